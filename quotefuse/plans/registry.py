@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotefuse.operators import clean, fuse, kpis, normalize
+from quotefuse import constants as K
+from quotefuse.operators import clean, fuse, kpis, normalize, quality, reports
 from quotefuse.plans import pipeline as P
+from quotefuse.plans import warehouse
 from quotefuse.schemas import BRONZE_COLUMNS
 from quotefuse.sources import fixtures
 
@@ -155,3 +157,154 @@ def q_price_alerts(spark, sf):
 @register("top_crypto_cap")
 def q_top_crypto_cap(spark, sf):
     return kpis.top_crypto(P.clean_ev(spark, sf))
+
+
+# --- data quality (A10-A16) ----------------------------------------------------
+
+def _dq_input(spark, sf):
+    return clean.cast_types(_b(spark, sf))
+
+
+@register("dq_completeness")
+def q_dq_completeness(spark, sf):
+    return quality.report(_dq_input(spark, sf), "bronze_ev", "bronze", ["completude"])
+
+
+@register("dq_coherence")
+def q_dq_coherence(spark, sf):
+    return quality.report(_dq_input(spark, sf), "bronze_ev", "bronze", ["coherence"])
+
+
+@register("dq_validity")
+def q_dq_validity(spark, sf):
+    return quality.report(_dq_input(spark, sf), "bronze_ev", "bronze", ["validite"])
+
+
+@register("dq_duplicates")
+def q_dq_duplicates(spark, sf):
+    return quality.duplicates(_dq_input(spark, sf))
+
+
+@register("dq_bronze_by_file")
+def q_dq_bronze_by_file(spark, sf):
+    return quality.report(_dq_input(spark, sf), None, "bronze", by="fichier_source")
+
+
+@register("dq_global_status")
+def q_dq_global_status(spark, sf):
+    bronze = quality.report(_dq_input(spark, sf), None, "bronze", by="fichier_source")
+    silver = quality.report(P.silver_ev(spark, sf), "silver", "silver")
+    return quality.global_status(bronze.unionByName(silver))
+
+
+# --- warehouse (K5-K7, A14) ----------------------------------------------------
+
+def _wh(spark, sf):
+    return P.fixture_warehouse(spark, sf)
+
+
+@register("dw_append_gold")
+def q_dw_append_gold(spark, sf):
+    root = _wh(spark, sf)
+    parts = [warehouse.read_table(spark, root, t).groupBy(warehouse.RUN_COL)
+             .agg(F.count(F.lit(1)).alias("nb_lignes")).select(F.lit(t).alias("table_name"), "*")
+             for t in K.GOLD_TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("dw_append_history")
+def q_dw_append_history(spark, sf):
+    return warehouse.read_table(spark, _wh(spark, sf), K.HISTORY_TABLE)
+
+
+@register("dw_load_counts")
+def q_dw_load_counts(spark, sf):
+    root = _wh(spark, sf)
+    latest = fixtures.RUN_IDS[1]
+    parts = [warehouse.read_table(spark, root, t).where(F.col(warehouse.RUN_COL) == latest)
+             .agg(F.count(F.lit(1)).alias("nb_lignes")).select(F.lit(t).alias("table_name"), "nb_lignes")
+             for t in K.DW_TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("dq_warehouse")
+def q_dq_warehouse(spark, sf):
+    return quality.warehouse_checks(spark, _wh(spark, sf))
+
+
+# --- reports (P10-P15, A6-A9, T3-T4) -------------------------------------------
+
+@register("latest_snapshot")
+def q_latest_snapshot(spark, sf):
+    return reports.latest_snapshot(spark, _wh(spark, sf))
+
+
+@register("market_sentiment")
+def q_market_sentiment(spark, sf):
+    return reports.market_sentiment(reports.latest_snapshot(spark, _wh(spark, sf)))
+
+
+@register("prices_by_category")
+def q_prices_by_category(spark, sf):
+    return reports.prices_by_category(spark, _wh(spark, sf), "crypto")
+
+
+@register("movers_by_type")
+def q_movers_by_type(spark, sf):
+    return reports.movers_by_type(spark, _wh(spark, sf), K.MOVE_DOWN, all_runs=True)
+
+
+@register("ticker_history")
+def q_ticker_history(spark, sf):
+    return reports.ticker_history(spark, _wh(spark, sf), "T1.PA")
+
+
+@register("ticker_card")
+def q_ticker_card(spark, sf):
+    return reports.ticker_card(spark, _wh(spark, sf))
+
+
+@register("distinct_tickers")
+def q_distinct_tickers(spark, sf):
+    return reports.distinct_tickers(spark, _wh(spark, sf))
+
+
+@register("crypto_totals")
+def q_crypto_totals(spark, sf):
+    return reports.crypto_totals(spark, _wh(spark, sf))
+
+
+@register("alert_count")
+def q_alert_count(spark, sf):
+    return reports.alert_count(spark, _wh(spark, sf))
+
+
+@register("report_categories")
+def q_report_categories(spark, sf):
+    return reports.report_categories(spark, _wh(spark, sf))
+
+
+@register("report_currencies")
+def q_report_currencies(spark, sf):
+    return reports.report_currencies(spark, _wh(spark, sf))
+
+
+@register("report_movers")
+def q_report_movers(spark, sf):
+    return reports.report_movers(spark, _wh(spark, sf))
+
+
+@register("report_alerts")
+def q_report_alerts(spark, sf):
+    return reports.report_alerts(spark, _wh(spark, sf))
+
+
+@register("report_cryptos")
+def q_report_cryptos(spark, sf):
+    return reports.report_cryptos(spark, _wh(spark, sf))
