@@ -12,11 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotefuse import constants as K
-from quotefuse.operators import clean, fuse, kpis, normalize, quality, reports
+from quotefuse.functions import scalar
+from quotefuse.operators import clean, collect, fuse, kpis, normalize, quality, reports
 from quotefuse.plans import pipeline as P
 from quotefuse.plans import warehouse
-from quotefuse.schemas import BRONZE_COLUMNS
-from quotefuse.sources import fixtures
+from quotefuse.schemas import BRONZE_COLUMNS, NUMERIC_COLUMNS
+from quotefuse.session import scratch_path
+from quotefuse.sources import bronze, fixtures, payloads
+from quotefuse.streaming import ticks
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -308,3 +311,148 @@ def q_report_alerts(spark, sf):
 @register("report_cryptos")
 def q_report_cryptos(spark, sf):
     return reports.report_cryptos(spark, _wh(spark, sf))
+
+
+# --- sources: landed payloads (S4-S8), Bronze CSV scan (S1) -------------------
+
+def _items(df, schema):
+    return payloads.items_from_text(df, "payload", schema)
+
+
+@register("parse_binance")
+def q_parse_binance(spark, sf):
+    items = _items(fixtures.binance_items(spark, sf), payloads.BINANCE_ITEM)
+    return payloads.parse_binance(items, None, fixtures.SNAPSHOT_TS, keep=("event_id",))
+
+
+@register("parse_coingecko")
+def q_parse_coingecko(spark, sf):
+    items = _items(fixtures.coingecko_items(spark, sf), payloads.COINGECKO_ITEM)
+    return payloads.parse_coingecko(items, fixtures.SNAPSHOT_TS, keep=("event_id",))
+
+
+@register("parse_boursorama")
+def q_parse_boursorama(spark, sf):
+    return payloads.parse_boursorama(fixtures.boursorama_payloads(spark, sf),
+                                     run_ts=fixtures.SNAPSHOT_TS, keep=("event_id",))
+
+
+@register("parse_yahoo")
+def q_parse_yahoo(spark, sf):
+    return payloads.parse_yahoo(fixtures.yahoo_records(spark, sf),
+                                fixtures.yahoo_dimension(spark, sf), fixtures.SNAPSHOT_TS,
+                                keep=("event_id",))
+
+
+@register("parse_fear_greed")
+def q_parse_fear_greed(spark, sf):
+    return payloads.parse_fear_greed(fixtures.fear_greed_payloads(spark, sf))
+
+
+@register("bronze_scan")
+def q_bronze_scan(spark, sf):
+    """bronze_ev landed as two CSV collections with different column orders,
+    then scanned back as Bronze (all text, NA tokens -> NULL, file-tagged)."""
+    b = _b(spark, sf)
+    root = scratch_path(spark, "landing")
+    cols = b.columns
+    P.run_split(b, 0).select(*cols).write.option("header", "true").csv(f"{root}/lot_a")
+    P.run_split(b, 1).select(*reversed(cols)).write.option("header", "true").csv(f"{root}/lot_b")
+    scanned = bronze.scan_bronze(spark, [f"{root}/lot_a", f"{root}/lot_b"])
+    lot = F.element_at(F.split(F.col("_qf_path"), "/"), -2)
+    num = set(NUMERIC_COLUMNS) | {"event_id"}
+    return scanned.select(
+        lot.alias("lot"), F.col("event_id").try_cast("long").alias("event_id"),
+        *[(F.col(c).try_cast("double") if c in num else F.col(c)).alias(c)
+          for c in BRONZE_COLUMNS if c != "fichier_source"],
+        F.col("fichier_source").endswith(".csv").alias("fichier_csv"))
+
+
+# --- collection (U1, U2, A4, A5, P13) ----------------------------------------------
+
+def _source_frames(spark, sf):
+    b = _prix_double(_b(spark, sf))
+    src = F.col("source")
+    return {
+        "yahoo": b.where(src == K.SRC_YAHOO).drop("capitalisation"),
+        "coingecko": b.where(src == K.SRC_COINGECKO).drop("volume"),
+        "binance": b.where(src == K.SRC_BINANCE).drop("nom"),
+        "boursorama": b.where(src == K.SRC_BOURSORAMA).drop("capitalisation", "categorie"),
+    }
+
+
+@register("collect_union")
+def q_collect_union(spark, sf):
+    return collect.union_sources(_source_frames(spark, sf).values())
+
+
+@register("collect_union_crypto")
+def q_collect_union_crypto(spark, sf):
+    f = _source_frames(spark, sf)
+    return collect.union_sources([f["coingecko"], f["binance"]])
+
+
+@register("collect_summary")
+def q_collect_summary(spark, sf):
+    return collect.summary(collect.union_sources(_source_frames(spark, sf).values()))
+
+
+@register("count_by_source")
+def q_count_by_source(spark, sf):
+    return collect.value_counts(P.clean_ev(spark, sf), "source")
+
+
+@register("count_by_category")
+def q_count_by_category(spark, sf):
+    return collect.value_counts(P.clean_ev(spark, sf), "categorie")
+
+
+# --- scalar functions (F1-F3), archive (K10) -------------------------------------
+
+@register("scalar_conversions")
+def q_scalar_conversions(spark, sf):
+    b = _b(spark, sf)
+    p = F.col("prix").try_cast("double")
+    return b.select("event_id", scalar.to_double("prix", 4).alias("prix_arrondi"),
+                    scalar.to_long("prix").alias("prix_entier"),
+                    scalar.pct_change(p, F.col("prix_ouv")).alias("variation"))
+
+
+@register("archive_partitions")
+def q_archive_partitions(spark, sf):
+    rows = P.clean_ev(spark, sf)
+    day = F.to_timestamp(F.col("date_collecte"))
+    archived = warehouse.archive(rows, scratch_path(spark, "archive"), ts_col=day)
+    return archived.groupBy("annee", "mois", "jour").agg(F.count(F.lit(1)).alias("nb"))
+
+
+# --- tick stream (R1-R4, K8, K9) as batch over the same functions ------------------
+
+def _ticks(spark, sf):
+    m = fixtures.tick_messages(spark, sf)
+    return ticks.parse_ticks(m, ts=F.col("timestamp"))
+
+
+@register("tick_parse")
+def q_tick_parse(spark, sf):
+    return _ticks(spark, sf)
+
+
+@register("tick_to_kafka_value")
+def q_tick_to_kafka_value(spark, sf):
+    return ticks.to_kafka(_ticks(spark, sf))
+
+
+@register("tick_read")
+def q_tick_read(spark, sf):
+    return ticks.read_ticks(ticks.to_kafka(_ticks(spark, sf)))
+
+
+@register("tick_alerts")
+def q_tick_alerts(spark, sf):
+    return ticks.alerts(_ticks(spark, sf))
+
+
+@register("tick_daily_counts")
+def q_tick_daily_counts(spark, sf):
+    return ticks.daily_counts(_ticks(spark, sf))

@@ -97,14 +97,18 @@ def save_snapshot(df: DataFrame, zone: str, name: str, run_id: str) -> None:
     df.write.mode("overwrite").parquet(f"{zone}/{name}_latest")
 
 
-def archive(df: DataFrame, root: str, run_ts: _dt.datetime | None = None) -> DataFrame:
-    """Date-partitioned archive yyyy/mm/dd of a zone's rows.
+def archive(df: DataFrame, root: str, run_ts: _dt.datetime | None = None,
+            ts_col=None) -> DataFrame:
+    """Date-partitioned archive annee/mois/jour.
 
-    Returns per-day row counts read back from the archive.
+    The day is the run's (upload day, as the original) or, with ``ts_col``,
+    each row's own timestamp. Re-archiving a day replaces that day only.
+    Returns the archive read back.
     """
-    ts = F.lit(run_ts) if run_ts is not None else F.current_timestamp()
-    parts = F.split(day_path(ts), "/")
+    if ts_col is None:
+        ts_col = F.lit(run_ts) if run_ts is not None else F.current_timestamp()
+    parts = F.split(day_path(ts_col), "/")
     out = df.select("*", parts[0].alias("annee"), parts[1].alias("mois"), parts[2].alias("jour"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("annee", "mois", "jour").parquet(root))
-    return out.sparkSession.read.parquet(root)
+    return df.sparkSession.read.parquet(root)

@@ -23,6 +23,7 @@ def build_session(master: str = "local[8]", app: str = "quotefuse",
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.sql.sources.partitionOverwriteMode", "dynamic"))
     for k, v in (extra or {}).items():

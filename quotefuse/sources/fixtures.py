@@ -80,3 +80,114 @@ def raw_alias_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
                "date_collecte": "collected_at"}
     b = bronze_ev(spark, sf_dir).drop("ts")
     return b.select([F.col(c).alias(renames.get(c, c)) for c in b.columns])
+
+
+# --- provider payloads built from events (one landed item per event) --------
+
+def quote_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events + previous value of the same user (the fixture's prior close)."""
+    ev = events(spark, sf_dir)
+    return lag_by_key(ev, "user_id", ["ts", "event_id"], "value", "prev")
+
+
+def _var() -> Column:
+    v, prev = F.col("value"), F.col("prev")
+    return F.try_divide(v - prev, F.nullif(prev, F.lit(0.0))) * 100
+
+
+def binance_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, v, eid = quote_events(spark, sf_dir), F.col("value"), F.col("event_id")
+    item = F.struct(
+        F.concat(F.lit("T"), _txt(F.col("user_id")), F.lit("USDT")).alias("symbol"),
+        F.when(eid % 31 == 0, F.lit("abc")).otherwise(_txt(v)).alias("lastPrice"),
+        _txt(F.col("prev")).alias("prevClosePrice"),
+        _txt(v * 0.99).alias("openPrice"), _txt(v * 1.05).alias("highPrice"),
+        _txt(v * 0.95).alias("lowPrice"), _txt(_var()).alias("priceChangePercent"),
+        _txt(v * 1234.5).alias("quoteVolume"), _txt(v - 0.01).alias("bidPrice"),
+        _txt(v + 0.01).alias("askPrice"), _txt(eid).alias("count"))
+    return e.select(eid, F.to_json(item).alias("payload"))
+
+
+def coingecko_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, v, eid = quote_events(spark, sf_dir), F.col("value"), F.col("event_id")
+    item = F.struct(
+        F.concat(F.lit("t"), _txt(F.col("user_id"))).alias("symbol"),
+        F.concat(F.lit("Actif "), _txt(F.col("user_id"))).alias("name"),
+        F.when(F.col("event_type") != "error", _txt(v)).alias("current_price"),
+        _txt(v - F.col("prev")).alias("price_change_24h"),
+        _txt(v * 1.05).alias("high_24h"), _txt(v * 0.95).alias("low_24h"),
+        _txt(_var()).alias("price_change_percentage_24h"),
+        _txt(_var() / 24).alias("price_change_percentage_1h_in_currency"),
+        _txt(_var() * 7).alias("price_change_percentage_7d_in_currency"),
+        _txt(v * 2).alias("ath"), _txt(v * 1e6).alias("circulating_supply"),
+        _txt(v * 1000.5).alias("total_volume"), _txt(v * 1e9).alias("market_cap"),
+        _txt(eid % 100).alias("market_cap_rank"))
+    return e.select(eid, F.to_json(item).alias("payload"))
+
+
+def boursorama_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, v, eid = quote_events(spark, sf_dir), F.col("value"), F.col("event_id")
+    sym = F.concat(F.lit("1rP"), _txt(F.col("user_id")))
+    name = F.concat(F.lit("Actif "), _txt(F.col("user_id")))
+    full = F.to_json(F.struct(F.struct(
+        name.alias("Name"), sym.alias("SymbolId"),
+        F.struct((v * 0.99).alias("o"), (v * 1.05).alias("h"), (v * 0.95).alias("l"),
+                 v.alias("c"), (v * 100).alias("v")).alias("qd"),
+        F.struct(F.col("prev").alias("c")).alias("qv")).alias("d")))
+    no_qd = F.to_json(F.struct(F.struct(name.alias("Name"), sym.alias("SymbolId")).alias("d")))
+    payload = (F.when(F.col("event_type") == "error", F.lit("[]"))
+               .when(eid % 13 == 0, F.lit('{"x": 1}'))
+               .when(eid % 17 == 0, no_qd).otherwise(full))
+    return e.select(eid, sym.alias("symbole"), payload.alias("payload"))
+
+
+def yahoo_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, v, eid, uid = (quote_events(spark, sf_dir), F.col("value"), F.col("event_id"),
+                      F.col("user_id"))
+    ticker = F.concat(F.lit("T"), _txt(uid), F.when(uid % 5 == 1, F.lit(".PA")).otherwise(F.lit("")))
+    cur = (F.when(eid % 50 == 0, F.lit("")).when(eid % 51 == 0, F.lit(None).cast("string"))
+           .when(uid % 5 == 1, F.lit("EUR")).otherwise(F.lit("USD")))
+    return e.select(eid, ticker.alias("ticker"), cur.alias("currency"),
+                    _txt(v).alias("last_price"), _txt(F.col("prev")).alias("previous_close"),
+                    _txt(v * 0.99).alias("open"), _txt(v * 1.05).alias("day_high"),
+                    _txt(v * 0.95).alias("day_low"), _txt(v * 100).alias("last_volume"),
+                    _txt(v * 1e7).alias("market_cap"),
+                    F.when(F.col("event_type") == "error", F.lit("HTTP 404")).alias("error"))
+
+
+def yahoo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ticker, categorie) requested per user — a distinct over events."""
+    uid = F.col("user_id")
+    ticker = F.concat(F.lit("T"), _txt(uid), F.when(uid % 5 == 1, F.lit(".PA")).otherwise(F.lit("")))
+    cat = (F.when(uid % 5 == 0, "crypto").when(uid % 5 == 1, "action_fr")
+           .when(uid % 5 == 2, "action").when(uid % 5 == 3, "indice").otherwise("fonds"))
+    return events(spark, sf_dir).select(ticker.alias("ticker"), cat.alias("categorie")).distinct()
+
+
+def fear_greed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    eid = F.col("event_id")
+    g = eid % 101
+    label = (F.when(g < 25, "Extreme Fear").when(g < 50, "Fear").when(g < 75, "Greed")
+             .otherwise("Extreme Greed"))
+    item = F.struct(F.when(eid % 13 == 0, F.lit("n/a")).otherwise(_txt(g)).alias("value"),
+                    label.alias("value_classification"))
+    payload = (F.when(eid % 17 == 0, F.lit('{"data": []}'))
+               .otherwise(F.to_json(F.struct(F.array(item).alias("data")))))
+    return events(spark, sf_dir).select(eid, payload.alias("payload"))
+
+
+def tick_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exchange ticker messages from bronze_ev: enveloped, bare (every 7th),
+    another event type (every 11th) or junk text (every 13th)."""
+    b = bronze_ev(spark, sf_dir)
+    eid = F.col("event_id")
+    data = F.struct(
+        F.when(eid % 11 == 0, F.lit("trade")).otherwise(F.lit("24hrTicker")).alias("e"),
+        F.col("ticker").alias("s"), F.col("prix").alias("c"),
+        _txt(F.col("variation_pct")).alias("P"), _txt(F.col("volume")).alias("v"),
+        _txt(F.col("prix_haut")).alias("h"), _txt(F.col("prix_bas")).alias("l"),
+        _txt(F.col("prix_ouv")).alias("o"))
+    env = F.to_json(F.struct(F.lit("x@ticker").alias("stream"), data.alias("data")))
+    value = (F.when(eid % 13 == 0, F.lit("not json {"))
+             .when(eid % 7 == 0, F.to_json(data)).otherwise(env))
+    return b.select(eid, value.alias("value"), F.col("ts").alias("timestamp"))
