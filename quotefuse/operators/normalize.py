@@ -35,21 +35,19 @@ def columns(df: DataFrame, aliases: Iterable[tuple[str, str]] = K.DEFAULT_ALIASE
         return df
     tmp = [f"_qf_{i}" for i in range(len(names))]
     safe = df.toDF(*tmp)
-    consumed = {i for idx in alias_of.values() for i in idx}
+    canon_at = {j: canon for canon, idx in alias_of.items() for j in idx}
     out, done = [], set()
     for i, n in enumerate(names):
-        if i in consumed or n in done:
+        target = canon_at.get(i, n)
+        if target in done:
             continue
-        if n in alias_of:
-            parts = [F.col(tmp[i])] + [F.col(tmp[j]) for j in alias_of[n]]
-            out.append(_coalesce_typed(safe, parts).alias(n))
+        if target in alias_of:  # first occurrence of the canonical name or an alias
+            parts = ([F.col(tmp[pos[target]])] if target in pos else []) + \
+                    [F.col(tmp[j]) for j in alias_of[target]]
+            out.append(_coalesce_typed(safe, parts).alias(target))
         else:
             out.append(F.col(tmp[i]).alias(n))
-        done.add(n)
-    for canon, idx in alias_of.items():
-        if canon not in done:
-            out.append(_coalesce_typed(safe, [F.col(tmp[j]) for j in idx]).alias(canon))
-            done.add(canon)
+        done.add(target)
     return safe.select(out)
 
 

@@ -93,8 +93,10 @@ def report(df: DataFrame, name: str | None, layer: str,
     names = [f"_r{i}" for i in range(len(rules))]
     aggs = [F.count(F.lit(1)).alias("_total")] + [
         r[2].cast("long").alias(n) for r, n in zip(rules, names)]
-    grouped = df.groupBy(F.col(by).alias("_tbl")) if by else df.groupBy(F.lit(name).alias("_tbl"))
-    wide = grouped.agg(*aggs)
+    if by:
+        wide = df.groupBy(F.col(by).alias("_tbl")).agg(*aggs)
+    else:  # a global aggregate: one row even for an empty table
+        wide = df.agg(*aggs).select(F.lit(name).alias("_tbl"), "*")
     meta = F.create_map(*[x for r, n in zip(rules, names)
                           for x in (F.lit(n), F.array(F.lit(r[0]), F.lit(r[1]), F.lit(r[3])))])
     long = wide.unpivot(["_tbl", "_total"], names, "_rule", "nb")
@@ -114,9 +116,11 @@ def report(df: DataFrame, name: str | None, layer: str,
 
 def row_counts(df: DataFrame, name: str | None, layer: str, by: str | None = None) -> DataFrame:
     """nb_lignes per table (or per file)."""
-    g = df.groupBy(F.col(by).alias("table_name")) if by else df.groupBy(F.lit(name).alias("table_name"))
-    return g.agg(F.count(F.lit(1)).alias("nb_lignes")).select(
-        F.lit(layer).alias("couche"), "table_name", "nb_lignes")
+    if by:
+        g = df.groupBy(F.col(by).alias("table_name")).agg(F.count(F.lit(1)).alias("nb_lignes"))
+    else:
+        g = df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(F.lit(name).alias("table_name"), "*")
+    return g.select(F.lit(layer).alias("couche"), "table_name", "nb_lignes")
 
 
 def duplicates(df: DataFrame, column: str = "ticker") -> DataFrame:
