@@ -87,7 +87,13 @@ def load_run(spark: SparkSession, root: str, silver_rows: DataFrame, run_id: str
                                                     run_id, run_ts)}
     written = (warehouse.read_table(spark, root, K.HISTORY_TABLE)
                .where(F.col(warehouse.RUN_COL) == run_id))
-    for t, g in kpis.all_gold(written, run_ts, n, threshold).items():
-        counts[t] = warehouse.load_table(g, root, t, run_id, run_ts)
+    gold = kpis.all_gold(written, run_ts, n, threshold)
+    # six independent small jobs over the same written partition: submit them
+    # together so the scheduler can run their tasks side by side
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(gold)) as pool:
+        futures = {t: pool.submit(warehouse.load_table, g, root, t, run_id, run_ts)
+                   for t, g in gold.items()}
+        counts.update({t: f.result() for t, f in futures.items()})
     counts["total"] = sum(counts.values())
     return counts

@@ -23,6 +23,23 @@ RUN_TS = (_dt.datetime(2024, 1, 14, 23, 59, 59), _dt.datetime(2024, 1, 31, 23, 5
 SNAPSHOT_TS = _dt.datetime(2024, 1, 31, 12, 0, 0)
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The adapter output written once per application to the shared folder
+    (the Bronze zone), then read back by every query: the whole table, no
+    recomputation of the lag per query, and nothing lost with an executor."""
+    from quotefuse.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _LANDED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"landed-{name}")
+        build().write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (spark.read.parquet(f"{sf_dir}/events.parquet")
             .select("event_id", "ts", "user_id", "event_type", "value"))
@@ -35,8 +52,12 @@ def _txt(c: Column) -> Column:
 def bronze_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped quotes: text prices with junk, error rows, NULL tickers,
     unknown categories and currencies, high-below-low rows, variations beyond
-    +-100. ``event_id`` is the explicit fusion order."""
-    ev = lag_by_key(events(spark, sf_dir), "user_id", ["ts", "event_id"], "value", "prev")
+    +-100. ``event_id`` is the explicit fusion order. Landed once per app."""
+    return landed(spark, sf_dir, "bronze_ev", lambda: build_bronze_ev(spark, sf_dir))
+
+
+def build_bronze_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = quote_events(spark, sf_dir)
     eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
     v, prev, ts_txt = F.col("value"), F.col("prev"), _txt(F.col("ts"))
     known_cat = (F.when(uid % 5 == 0, "crypto").when(uid % 5 == 1, "action_fr")
@@ -85,9 +106,10 @@ def raw_alias_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- provider payloads built from events (one landed item per event) --------
 
 def quote_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events + previous value of the same user (the fixture's prior close)."""
-    ev = events(spark, sf_dir)
-    return lag_by_key(ev, "user_id", ["ts", "event_id"], "value", "prev")
+    """events + previous value of the same user (the fixture's prior close),
+    landed once per app."""
+    return landed(spark, sf_dir, "quote_events", lambda: lag_by_key(
+        events(spark, sf_dir), "user_id", ["ts", "event_id"], "value", "prev"))
 
 
 def _var() -> Column:
