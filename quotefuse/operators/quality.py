@@ -144,16 +144,14 @@ def global_status(long_report: DataFrame, layers: Sequence[str] = ("silver",)) -
                     .alias("statut_global"))
 
 
-def to_json_document(long_report: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """Nested JSON text of a (small, aggregated) report (K11): one row."""
-    rows = long_report.select(F.struct(*REPORT_COLUMNS).alias("r"))
-    doc = rows.agg(F.sort_array(F.collect_list("r")).alias("checks"))
-    if counts is not None:
-        c = counts.agg(F.sort_array(F.collect_list(F.struct(*counts.columns))).alias("tables"))
-        doc = doc.unionByName(c, allowMissingColumns=True).agg(
-            F.first("checks", ignorenulls=True).alias("checks"),
-            F.first("tables", ignorenulls=True).alias("tables"))
-    return doc.select(F.to_json(F.struct(*doc.columns)).alias("rapport"))
+def to_json_document(long_report: DataFrame) -> DataFrame:
+    """Nested JSON of the report (K11): one line per (layer, table) holding that
+    table's checks, so each nested list is bounded by the number of rules and
+    the document is written by many tasks, not gathered into one row."""
+    checks = F.struct("section", "regle", "nb", "pct", "statut")
+    return (long_report.groupBy("couche", "table_name")
+            .agg(F.sort_array(F.collect_list(checks)).alias("controles"))
+            .select(F.to_json(F.struct("couche", "table_name", "controles")).alias("rapport")))
 
 
 def warehouse_checks(spark, root: str, tables: Sequence[str] = K.DW_TABLES) -> DataFrame:

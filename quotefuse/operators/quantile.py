@@ -3,23 +3,34 @@
 ``percentile``/``median`` merge every distinct value of a group into one
 buffer; for a global median that is one task holding the whole column. Here:
 
-1. duplicates collapse first (``groupBy(v).count()``, partially aggregated),
-2. the distinct values are range-partitioned (sampled bounds, balanced),
-3. each partition counts its rows; a window over those per-partition counts
-   (one row per partition — bounded by the partition count, so it can be
-   broadcast) gives every partition its rank offset,
-4. running counts inside each partition turn into global ranks, and only the
-   one or two rows at the middle ranks survive.
+1. duplicates collapse first (``groupBy(v).count()``, partially aggregated);
+2. P-1 splitters come from ``percentile_approx`` over the distinct values
+   (one small job; P-1 numbers reach the driver, as in a range partitioner's
+   sampling step), and ``Bucketizer`` (a JVM binary search) gives every value
+   its bucket — a pure function of the value, so every branch agrees;
+3. per-bucket counts (one row per bucket: bounded by P, safe to broadcast)
+   give each bucket its rank offset;
+4. running counts inside each bucket turn into global ranks, and only the one
+   or two rows at the middle ranks survive.
 
 The result equals the interpolated median (``quantile_cont(0.5)``).
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID = "_qf_qpid"
+_B = "_qf_bucket"
+
+
+def splitters(values: DataFrame, column: str, buckets: int) -> list[float]:
+    """Strictly increasing Bucketizer splits from approximate quantiles."""
+    fr = [i / buckets for i in range(1, buckets)]
+    row = values.agg(F.percentile_approx(column, fr, max(10000, 4 * buckets)).alias("b")).first()
+    inner = sorted({float(x) for x in (row["b"] or []) if x == x}) or [0.0]
+    return [float("-inf"), *inner, float("inf")]
 
 
 def exact_median(df: DataFrame, column: str, out: str = "median",
@@ -27,19 +38,20 @@ def exact_median(df: DataFrame, column: str, out: str = "median",
     """One-row DataFrame ``out`` (NULL when there is no non-NULL value)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = (df.select(F.col(column).alias("_v")).where(F.col("_v").isNotNull())
+    counts = (df.select(F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
               .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
-    inside = Window.partitionBy(_PID).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranged = (counts.repartitionByRange(n, "_v")
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn("_cum", F.sum("_n").over(inside)))
-    per = ranged.groupBy(_PID).agg(F.sum("_n").alias("_pn"))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    every = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = per.select(_PID, F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"),
+    splits = splitters(counts, "_v", max(2, n))
+    bucketed = (Bucketizer(splits=splits, inputCol="_v", outputCol=_B, handleInvalid="keep")
+                .transform(counts))
+    per = bucketed.groupBy(_B).agg(F.sum("_n").alias("_pn"))
+    before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = per.select(_B, F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"),
                          F.sum("_pn").over(every).alias("_total"))
-    # ``offsets`` has one row per range partition: a size bound by construction.
-    ranks = ranged.join(F.broadcast(offsets), _PID)
+    # ``offsets`` has at most one row per bucket: a size bound by construction.
+    inside = Window.partitionBy(_B).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = (bucketed.join(F.broadcast(offsets), _B)
+             .withColumn("_cum", F.sum("_n").over(inside)))
     hi = F.col("_off") + F.col("_cum")            # 1-based rank of the last copy
     lo = hi - F.col("_n") + 1                     # 1-based rank of the first copy
     k1 = F.floor((F.col("_total") - 1) / 2) + 1

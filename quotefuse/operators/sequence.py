@@ -39,7 +39,9 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     """Adds ``out`` = previous ``value`` of the same ``key`` in ``order``
     (which must be unique within a key)."""
     spark = df.sparkSession
-    m = chunks or min(4096, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    # chunks per hot key: enough to spread it over the cluster; the split-point
+    # lookup below is linear in it and runs for hot-key rows only
+    m = chunks or min(256, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     lead_col = order[0]
     lead = _as_long(F.col(lead_col), df.schema[lead_col].dataType.simpleString())
     hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_qf_n"))

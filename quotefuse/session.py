@@ -40,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
     directory is created and registered as the checkpoint dir.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    if d and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:

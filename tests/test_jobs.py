@@ -60,7 +60,8 @@ def test_run_all_twice_is_idempotent(spark, sf_small):
     fr = {r.ticker: r.source for r in rows if r.categorie == "action_fr"}
     assert fr.get("TTE.PA") in (K.LABEL_FR_FUSED, None)      # 1rPTTE remapped and fused
     assert first["quality"]["statut_global"] in ("OK", "WARN", "FAIL")
-    assert spark.read.text(f"{root}/logs/quality_report").count() == 1
+    doc = spark.read.text(f"{root}/logs/quality_report")
+    assert doc.count() >= 3 and doc.where(F.col("value").contains('"couche":"silver"')).count() == 1
 
 
 def test_source_subset(spark, sf_small):
