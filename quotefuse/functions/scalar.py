@@ -22,12 +22,11 @@ def round_half_away(c: str | Column, n: int) -> Column:
     (1.005 -> 1.0). This expression scales first too.
     """
     x = col(c)
-    m = float(10 ** n)
-    scaled = F.abs(x) * F.lit(m)
-    r = F.signum(x) * F.floor(scaled + F.lit(0.5)).cast("double") / F.lit(m)
-    return (F.when(x.isNull(), F.lit(None).cast("double"))
-            .when(F.isnan(x) | (scaled >= F.lit(_ROUND_LIMIT)), x)
-            .otherwise(r))
+    m = F.lit(float(10 ** n))
+    scaled = F.abs(x) * m
+    # NULL and NaN pass through the arithmetic (NaN < limit is false -> x)
+    return F.when(scaled < F.lit(_ROUND_LIMIT),
+                  F.signum(x) * F.floor(scaled + F.lit(0.5)) / m).otherwise(x)
 
 
 def nan_to_null(c: str | Column) -> Column:

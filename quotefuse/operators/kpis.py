@@ -135,12 +135,15 @@ def top_crypto(silver: DataFrame, n: int = K.TOP_N) -> DataFrame:
 
 
 def all_gold(silver: DataFrame, run_ts=None, n: int = K.TOP_N,
-             threshold: float = K.ALERT_THRESHOLD) -> dict[str, DataFrame]:
+             threshold: float = K.ALERT_THRESHOLD, sort: bool = True) -> dict[str, DataFrame]:
+    """The six KPIs. ``sort=False`` skips the presentation ORDER BY of the
+    grouped/filtered tables — for writes into unordered tables, where the
+    readers sort (saves a sampling job and a range shuffle per table)."""
     return {
         "snapshot_marche": snapshot(silver, run_ts),
         "top_mouvements": top_movers(silver, n),
-        "resume_categorie": by_category(silver),
-        "resume_devise": by_currency(silver),
-        "alertes_prix": alerts(silver, threshold),
+        "resume_categorie": by_category(silver, sort),
+        "resume_devise": by_currency(silver, sort),
+        "alertes_prix": alerts(silver, threshold, sort),
         "top_cryptos_cap": top_crypto(silver, n),
     }

@@ -97,11 +97,13 @@ def report(df: DataFrame, name: str | None, layer: str,
         wide = df.groupBy(F.col(by).alias("_tbl")).agg(*aggs)
     else:  # a global aggregate: one row even for an empty table
         wide = df.agg(*aggs).select(F.lit(name).alias("_tbl"), "*")
-    meta = F.create_map(*[x for r, n in zip(rules, names)
-                          for x in (F.lit(n), F.array(F.lit(r[0]), F.lit(r[1]), F.lit(r[3])))])
-    long = wide.unpivot(["_tbl", "_total"], names, "_rule", "nb")
-    m = F.element_at(meta, F.col("_rule"))
-    section, regle, level = m[0], m[1], m[2]
+    # wide -> long: one struct per rule, exploded (no per-row metadata lookup)
+    items = F.array(*[F.struct(F.lit(r[0]).alias("section"), F.lit(r[1]).alias("regle"),
+                               F.col(n).alias("nb"), F.lit(r[3]).alias("lvl"))
+                      for r, n in zip(rules, names)])
+    long = wide.select("_tbl", "_total", F.explode(items).alias("_r")).select(
+        "_tbl", "_total", "_r.*")
+    section, regle, level = F.col("section"), F.col("regle"), F.col("lvl")
     nb, total = F.col("nb"), F.col("_total")
     pct = F.when(level == "pct", F.when(total > 0, rnd(nb / total * F.lit(100.0), 2))
                  .otherwise(F.lit(0.0)))
