@@ -29,6 +29,13 @@ def round_half_away(c: str | Column, n: int) -> Column:
                   F.signum(x) * F.floor(scaled + F.lit(0.5)) / m).otherwise(x)
 
 
+def ts_lit(ts) -> Column:
+    """A fixed wall-clock instant as TIMESTAMP_NTZ, independent of the session
+    and Python time zones (a plain ``lit(datetime)`` is shifted by both)."""
+    return F.to_timestamp_ntz(F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")),
+                              F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def nan_to_null(c: str | Column) -> Column:
     """NaN -> NULL for a double column (missing is missing, D9)."""
     x = col(c)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quotefuse import constants as K
 from quotefuse.functions.scalar import round_half_away as rnd
-from quotefuse.functions.scalar import run_text
+from quotefuse.functions.scalar import run_text, ts_lit
 from quotefuse.operators.quantile import exact_median
 
 
@@ -32,7 +32,7 @@ def _flag(cond: Column) -> Column:
 def _ts_col(run_ts: _dt.datetime | Column | None) -> Column:
     if run_ts is None:
         return F.current_timestamp()
-    return run_ts if isinstance(run_ts, Column) else F.lit(run_ts)
+    return run_ts if isinstance(run_ts, Column) else ts_lit(run_ts)
 
 
 def snapshot(silver: DataFrame, run_ts: _dt.datetime | Column | None = None) -> DataFrame:

@@ -41,6 +41,7 @@ class Config:
     n: int = K.TOP_N
     threshold: float = K.ALERT_THRESHOLD
     drop_errors_first: bool = False
+    bronze_since: str | None = None             # oldest run_id Silver reads (None: all)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -104,6 +105,8 @@ def bronze_order(df: DataFrame) -> DataFrame:
 def silver(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, int]:
     """Bronze (all runs, newest first) -> Silver; counts before/after cleaning."""
     b = spark.read.parquet(cfg.path("bronze", "collecte"))
+    if cfg.bronze_since:  # partition pruning on run_id: only the listed runs are read
+        b = b.where(F.col(warehouse.RUN_COL) >= cfg.bronze_since)
     b = bronze_order(b).withColumn("fichier_source", F.concat(
         F.lit("collecte_"), F.col(warehouse.RUN_COL), F.lit(".parquet")))
     b = b.drop(warehouse.RUN_COL, SEQ)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quotefuse import constants as K
-from quotefuse.functions.scalar import day_path
+from quotefuse.functions.scalar import day_path, ts_lit
 from quotefuse.schemas import GOLD_COLUMNS, HISTORY_COLUMNS, dw_type, struct
 
 RUN_COL, LOADED_COL = "run_id", "inserted_at"
@@ -67,7 +67,7 @@ def _prepare(df: DataFrame, table: str, run_id: str, run_ts: _dt.datetime) -> Da
             cols.append(x.alias(c))
         else:
             cols.append(F.lit(None).cast(t).alias(c))
-    return df.select(*cols, F.lit(run_ts).cast("timestamp_ntz").alias(LOADED_COL),
+    return df.select(*cols, ts_lit(run_ts).alias(LOADED_COL),
                      F.lit(run_id).alias(RUN_COL))
 
 
@@ -106,7 +106,7 @@ def archive(df: DataFrame, root: str, run_ts: _dt.datetime | None = None,
     Returns the archive read back.
     """
     if ts_col is None:
-        ts_col = F.lit(run_ts) if run_ts is not None else F.current_timestamp()
+        ts_col = ts_lit(run_ts) if run_ts is not None else F.current_timestamp()
     parts = F.split(day_path(ts_col), "/")
     out = df.select("*", parts[0].alias("annee"), parts[1].alias("mois"), parts[2].alias("jour"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotefuse import constants as K
-from quotefuse.functions.scalar import pct_change, run_text, to_double, to_long, truthy_num
+from quotefuse.functions.scalar import (pct_change, run_text, to_double, to_long, truthy_num,
+                                         ts_lit)
 from quotefuse.schemas import RAW_QUOTE
 
 S, D, I = T.StringType(), T.DoubleType(), T.IntegerType()
@@ -51,7 +52,7 @@ FEAR_GREED = T.StructType([T.StructField("data", T.ArrayType(
 def _now(run_ts: _dt.datetime | Column | None) -> Column:
     if run_ts is None:
         return run_text(F.current_timestamp())
-    return run_text(run_ts if isinstance(run_ts, Column) else F.lit(run_ts))
+    return run_text(run_ts if isinstance(run_ts, Column) else ts_lit(run_ts))
 
 
 def conform(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

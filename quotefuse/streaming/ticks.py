@@ -102,3 +102,8 @@ def start(spark: SparkSession, source: DataFrame, out: str, checkpoint: str,
         "checkpointLocation", checkpoint)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
+
+
+def processed_count(query: StreamingQuery) -> int:
+    """Messages consumed so far, from the query's progress reports."""
+    return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))

@@ -188,3 +188,16 @@ def test_binance_symbol_filter(spark):
     out = payloads.parse_binance(items, K.COINS_BINANCE).collect()
     assert (out[0].prix, out[0].nb_trades_24h) == (1.0001, 7)
     assert [r.ticker for r in out] == ["BTC-USD"]
+
+
+def test_fixed_timestamps_ignore_session_time_zone(spark):
+    from quotefuse.functions.scalar import run_text, ts_lit
+    ts = dt.datetime(2024, 1, 31, 12, 0, 0)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = spark.range(1).select(run_text(ts_lit(ts)).alias("t"), ts_lit(ts).alias("n")).collect()[0]
+            assert r.t == "2024-01-31 12:00:00" and r.n == ts
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -19,6 +19,7 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, sf_small):
     ts = F.col("timestamp")
     q = ticks.start(spark, src, out, ckpt, ts=ts)
     q.awaitTermination()
+    assert ticks.processed_count(q) == msgs.count()
     batch = ticks.parse_ticks(spark.read.parquet(land), ts=ts)
     got = spark.read.parquet(f"{out}/ticks").drop("batch_id", "jour")
     assert got.count() == batch.count()
