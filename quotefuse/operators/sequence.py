@@ -9,7 +9,9 @@ key holding a third of the rows would sit in one task. Here:
    ``chunks - 1`` split points per key (a fixed-size sketch per key and task);
 3. every row gets ``chunk`` = number of its key's split points strictly below
    its leading order value — a pure function of the row, so any recomputation
-   of any branch agrees; cold keys are one chunk;
+   of any branch agrees; cold keys are one chunk. The count is O(1) expected
+   per row: split points are pre-bucketed per key into equal-width cells, so
+   a row adds its cell's prefix count to the few points inside its cell;
 4. the lag runs per (key, chunk); the first row of each chunk takes the last
    value of the previous non-empty chunk of its key. That carry table has at
    most ``chunks`` rows per key.
@@ -39,21 +41,37 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     """Adds ``out`` = previous ``value`` of the same ``key`` in ``order``
     (which must be unique within a key)."""
     spark = df.sparkSession
-    # chunks per hot key: enough to spread it over the cluster; the split-point
-    # lookup below is linear in it and runs for hot-key rows only
-    m = chunks or min(256, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    # chunks per hot key: enough to spread it over the cluster
+    m = chunks or min(1024, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     lead_col = order[0]
     lead = _as_long(F.col(lead_col), df.schema[lead_col].dataType.simpleString())
     hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_qf_n"))
            .where(F.col("_qf_n") > hot_rows).select(key))
     fractions = [i / m for i in range(1, m)]
-    bounds = (df.join(hot, key, "left_semi")
-              .groupBy(key)
-              .agg(F.percentile_approx(lead, fractions, max(10000, 4 * m)).alias(_B)))
-    chunk = F.coalesce(F.size(F.filter(F.col(_B), lambda b: b < lead)), F.lit(0))
+    stats = (df.join(hot, key, "left_semi").groupBy(key)
+             .agg(F.percentile_approx(lead, fractions, max(10000, 4 * m)).alias(_B),
+                  F.min(lead).alias("_qf_lo"), F.max(lead).alias("_qf_hi")))
+    # Pre-bucket each hot key's split points into m equal-width cells over
+    # [lo, hi] (once per key, in this small table), so a row needs only its
+    # cell's prefix count and the few split points inside its own cell.
+    lo, hi, b_ = F.col("_qf_lo"), F.col("_qf_hi"), F.col(_B)
+
+    def cell_of(x):
+        c = F.floor((x - lo) * F.lit(float(m)) / (hi - lo + F.lit(1.0)))
+        return F.least(F.greatest(c, F.lit(0)), F.lit(m - 1))
+
+    cells = F.sequence(F.lit(0), F.lit(m - 1))
+    bounds = stats.select(
+        key, "_qf_lo", "_qf_hi",
+        F.transform(cells, lambda c: F.size(F.filter(b_, lambda b: cell_of(b) < c))).alias("_qf_pre"),
+        F.transform(cells, lambda c: F.filter(b_, lambda b: cell_of(b) == c)).alias("_qf_in"))
+    cell = cell_of(lead) + 1
+    inner = F.element_at(F.col("_qf_in"), cell.cast("int"))
+    chunk = F.coalesce(F.element_at(F.col("_qf_pre"), cell.cast("int"))
+                       + F.size(F.filter(inner, lambda b: b < lead)), F.lit(0))
     w = Window.partitionBy(key, _CH).orderBy(*order)
     local = (df.join(bounds, key, "left")
-             .withColumn(_CH, chunk).drop(_B)
+             .withColumn(_CH, chunk).drop("_qf_lo", "_qf_hi", "_qf_pre", "_qf_in")
              .withColumn(out, F.lag(value).over(w))
              .withColumn(_FIRST, F.row_number().over(w) == 1)
              .withColumn(_LAST, F.lead(F.lit(1)).over(w).isNull()))

@@ -23,7 +23,7 @@ RUN_TS = (_dt.datetime(2024, 1, 14, 23, 59, 59), _dt.datetime(2024, 1, 31, 23, 5
 SNAPSHOT_TS = _dt.datetime(2024, 1, 31, 12, 0, 0)
 
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
@@ -32,12 +32,12 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     recomputation of the lag per query, and nothing lost with an executor."""
     from quotefuse.session import scratch_path
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    path = _LANDED.get(key)
-    if path is None:
+    df = _LANDED.get(key)
+    if df is None:
         path = scratch_path(spark, f"landed-{name}")
         build().write.parquet(path)
-        _LANDED[key] = path
-    return spark.read.parquet(path)
+        df = _LANDED[key] = spark.read.parquet(path)
+    return df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
