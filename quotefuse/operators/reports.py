@@ -19,12 +19,11 @@ from quotefuse.plans.warehouse import LOADED_COL, RUN_COL, read_table
 def _runs(df: DataFrame, run_id: str | None, all_runs: bool) -> DataFrame:
     if all_runs:
         return df
-    if run_id is not None:
-        return df.where(F.col(RUN_COL) == run_id)
-    # latest run: run ids are sortable stamps; max over the partition column
-    # only touches partition metadata-sized data
-    latest = df.agg(F.max(RUN_COL).alias("_latest"))
-    return df.join(latest, F.col(RUN_COL) == F.col("_latest"), "left_semi")
+    if run_id is None:
+        # latest run: one scalar from a scan that reads no column data, then a
+        # static filter on the partition column, so only that run's files are read
+        run_id = df.agg(F.max(RUN_COL)).first()[0]
+    return df.where(F.col(RUN_COL) == F.lit(run_id))
 
 
 def table(spark: SparkSession, root: str, name: str, run_id: str | None = None,

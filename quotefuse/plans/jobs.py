@@ -173,6 +173,9 @@ def quality(spark: SparkSession, cfg: Config, run_ts: _dt.datetime,
     saved = spark.read.parquet(cfg.path("logs", "quality")).where(
         F.col(warehouse.RUN_COL) == rid).drop(warehouse.RUN_COL)
     dq.to_json_document(saved).write.mode("overwrite").text(cfg.path("logs", "quality_report"))
+    counts = dq.row_counts(bronze, None, "bronze", by="fichier_source").unionByName(
+        dq.row_counts(read_silver(spark, cfg), "silver", "silver"))
+    counts.write.mode("overwrite").parquet(cfg.path("logs", "quality_counts"))
     return dq.global_status(saved, layers)
 
 

@@ -50,3 +50,11 @@ def test_parquet_pushdown_and_pruning(spark, sf_small):
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,3)]" in plan
     assert "ReadSchema: struct<user_id:bigint,value:double>" in plan
+
+
+def test_latest_run_report_prunes_partitions(spark, sf_small):
+    from quotefuse.operators import reports
+    root = P.fixture_warehouse(spark, sf_small)
+    plan = _plan(reports.prices_by_category(spark, root, "crypto"))
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "= 20240131_235959)]" in plan
+    assert "EqualTo(categorie,crypto)" in plan
