@@ -143,3 +143,29 @@ def report_alerts(spark, root, run_id=None, all_runs: bool = True) -> DataFrame:
 def report_cryptos(spark, root, run_id=None, all_runs: bool = True) -> DataFrame:
     t = table(spark, root, "top_cryptos_cap", run_id, all_runs)
     return t.orderBy(_desc_pg("capitalisation"), F.col("ticker").asc_nulls_last())
+
+
+# --- chart orderings (T5) ----------------------------------------------------
+
+def gainers_chart(spark, root, run_id=None, all_runs: bool = True) -> DataFrame:
+    """Rising list, ascending for a horizontal bar chart."""
+    return movers_by_type(spark, root, K.MOVE_UP, run_id, all_runs).orderBy(
+        F.col("variation_pct").asc_nulls_last(), F.col("ticker").asc_nulls_last())
+
+
+def losers_chart(spark, root, run_id=None, all_runs: bool = True) -> DataFrame:
+    """Falling list, descending."""
+    return movers_by_type(spark, root, K.MOVE_DOWN, run_id, all_runs).orderBy(
+        _desc_pg("variation_pct"), F.col("ticker").asc_nulls_last())
+
+
+def crypto_by_volume(spark, root, run_id=None, all_runs: bool = True) -> DataFrame:
+    """Top cryptos by 24h volume, ascending."""
+    return table(spark, root, "top_cryptos_cap", run_id, all_runs).orderBy(
+        F.col("volume").asc_nulls_last(), F.col("ticker").asc_nulls_last())
+
+
+def history_chart(spark, root, ticker: str) -> DataFrame:
+    """One ticker's history, oldest first, for a line chart."""
+    return ticker_history(spark, root, ticker).orderBy(
+        F.col(LOADED_COL).asc_nulls_last(), F.col("date_collecte").asc_nulls_last())
