@@ -37,7 +37,8 @@ def exact_median(df: DataFrame, column: str, out: str = "median",
                  partitions: int | None = None) -> DataFrame:
     """One-row DataFrame ``out`` (NULL when there is no non-NULL value)."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # buckets: one per shuffle partition, capped (the splits travel in the plan)
+    n = partitions or min(4096, int(spark.conf.get("spark.sql.shuffle.partitions")))
     counts = (df.select(F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
               .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
     splits = splitters(counts, "_v", max(2, n))
