@@ -1,7 +1,7 @@
 """Data-quality checks (A10-A16), each layer in ONE aggregation pass.
 
 Every rule of a section becomes a conditional count inside a single
-``agg``; ``unpivot`` turns the one wide row (or one row per file for
+``agg``; an ``explode`` of per-rule structs turns the one wide row (or one row per file for
 Bronze) into the long report ``(couche, table_name, section, regle, nb,
 pct, statut)``. Grouping by file is one job, not one job per file.
 """
