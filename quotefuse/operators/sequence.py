@@ -4,7 +4,8 @@
 key holding a third of the rows would sit in one task. Here:
 
 1. rows per key are counted (partial aggregation: skew-safe); keys above
-   ``hot_rows`` are hot, so there are at most ``total / hot_rows`` of them;
+   ``hot_rows`` are hot, so there are at most ``total / hot_rows`` of them.
+   Without any hot key the plain window lag is used (one shuffle);
 2. for hot keys only, ``percentile_approx`` of the leading order column gives
    ``chunks - 1`` split points per key (a fixed-size sketch per key and task);
 3. every row gets ``chunk`` = number of its key's split points strictly below
@@ -47,6 +48,10 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     lead = _as_long(F.col(lead_col), df.schema[lead_col].dataType.simpleString())
     hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_qf_n"))
            .where(F.col("_qf_n") > hot_rows).select(key))
+    if hot.isEmpty():
+        # no key exceeds hot_rows: every window partition fits a task, so the
+        # plain single-shuffle lag is already skew-safe
+        return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
     fractions = [i / m for i in range(1, m)]
     stats = (df.join(hot, key, "left_semi").groupBy(key)
              .agg(F.percentile_approx(lead, fractions, max(10000, 4 * m)).alias(_B),
