@@ -69,9 +69,19 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str) -> str:
         return _WAREHOUSES[key]
     root = scratch_path(spark, "warehouse")
     clean_rows = clean_ev(spark, sf_dir)
-    for run in (0, 1, 0):  # run 0 twice: the reload must not duplicate rows
-        run_id, run_ts = fixtures.RUN_IDS[run], fixtures.RUN_TS[run]
-        load_run(spark, root, run_split(clean_rows, run), run_id, run_ts)
+    warehouse.create_tables(spark, root)
+
+    def one(run: int):
+        return load_run(spark, root, run_split(clean_rows, run), fixtures.RUN_IDS[run],
+                        fixtures.RUN_TS[run])
+
+    # the two runs write disjoint run_id partitions (each job stages its own
+    # output), so they load side by side; then run 0 again: the reload must
+    # replace, not duplicate, its rows
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        [f.result() for f in [pool.submit(one, 0), pool.submit(one, 1)]]
+    one(0)
     _WAREHOUSES[key] = root
     return root
 
