@@ -117,8 +117,12 @@ def silver(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str,
     obs = Observation("clean")
     casted = casted.observe(obs, F.count(F.lit(1)).alias("nb_avant"),
                             F.count_if(clean.valid_predicate()).alias("nb_apres"))
-    out = clean.finalize(clean.currency(clean.valid(casted)), sort=True)
-    warehouse.save_snapshot(out, cfg.path("silver"), "silver", run_id_of(run_ts))
+    out = clean.finalize(clean.currency(clean.valid(casted)))
+    # observed during the (single) evaluation that writes the run partition;
+    # the sorted ``latest`` is copied from what was written
+    warehouse.save_snapshot(out, cfg.path("silver"), "silver", run_id_of(run_ts),
+                            sort_by=[F.col("categorie").asc_nulls_last(),
+                                     F.col("ticker").asc_nulls_last()])
     return {k: int(v) for k, v in obs.get.items()}
 
 

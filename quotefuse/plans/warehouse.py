@@ -90,11 +90,17 @@ def load(spark: SparkSession, root: str, silver: DataFrame, gold: Mapping[str, D
     return counts
 
 
-def save_snapshot(df: DataFrame, zone: str, name: str, run_id: str) -> None:
+def save_snapshot(df: DataFrame, zone: str, name: str, run_id: str, sort_by=None) -> None:
     """Zone snapshot: run-partitioned history plus an always-overwritten
-    ``latest`` (K1-K3; an empty result still replaces latest, D7)."""
+    ``latest`` (K1-K3; an empty result still replaces latest, D7). The plan
+    is evaluated once: ``latest`` is copied from the written partition, and
+    only that copy is sorted (``sort_by``)."""
     _write_run(df.withColumn(RUN_COL, F.lit(run_id)), f"{zone}/{name}")
-    df.write.mode("overwrite").parquet(f"{zone}/{name}_latest")
+    written = (df.sparkSession.read.parquet(f"{zone}/{name}")
+               .where(F.col(RUN_COL) == F.lit(run_id)).drop(RUN_COL))
+    if sort_by:
+        written = written.orderBy(*sort_by)
+    written.write.mode("overwrite").parquet(f"{zone}/{name}_latest")
 
 
 def archive(df: DataFrame, root: str, run_ts: _dt.datetime | None = None,

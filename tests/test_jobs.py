@@ -14,28 +14,29 @@ def _pick(values, uid):
     return F.element_at(F.array(*[F.lit(v) for v in values]), (uid % len(values) + 1).cast("int"))
 
 
-def _land(spark, sf, root):
+def _land(spark, sf, root, binance_var=None):
     e = fixtures.quote_events(spark, sf)
     uid, v, txt = F.col("user_id"), F.col("value"), lambda c: c.cast("string")
     e.select(_pick(K.COINS_BINANCE, uid).alias("symbol"), txt(v).alias("lastPrice"),
              txt(F.col("prev")).alias("prevClosePrice"), txt(v * 0.99).alias("openPrice"),
              txt(v * 1.05).alias("highPrice"), txt(v * 0.95).alias("lowPrice"),
-             txt((v - F.col("prev")) / F.col("prev") * 100).alias("priceChangePercent"),
+             txt(F.col("event_id") % 9 - 4 if binance_var is None else F.lit(binance_var)
+                 ).alias("priceChangePercent"),
              txt(v * 1000).alias("quoteVolume"), txt(F.col("event_id")).alias("count")
              ).write.json(f"{root}/landing/binance")
     coins = ("btc", "eth", "bnb", "sol", "xrp", "ada", "doge", "dot")
     e.select(_pick(coins, uid).alias("symbol"), _pick(coins, uid).alias("name"),
              txt(v).alias("current_price"), txt(v * 1e9).alias("market_cap"),
              txt(v - F.col("prev")).alias("price_change_24h"),
-             txt((v - F.col("prev")) / F.col("prev") * 100).alias("price_change_percentage_24h")
+             txt(F.col("event_id") % 9 - 4).alias("price_change_percentage_24h")
              ).write.json(f"{root}/landing/coingecko")
     yahoo = K.TICKERS_ACTIONS + K.TICKERS_INDICES + K.TICKERS_FR
     e.select(_pick(yahoo, uid).alias("ticker"), F.lit("").alias("currency"),
-             txt(v).alias("last_price"), txt(F.col("prev")).alias("previous_close"),
+             txt(v).alias("last_price"), txt(v * 0.99).alias("previous_close"),
              F.when(F.col("event_type") == "error", "timeout").alias("error")
              ).write.json(f"{root}/landing/yahoo")
     full = F.to_json(F.struct(F.struct(F.lit("X").alias("Name"), F.struct(
-        v.alias("c"), (v * 100).alias("v")).alias("qd"), F.struct(F.col("prev").alias("c")).alias("qv")
+        v.alias("c"), (v * 100).alias("v")).alias("qd"), F.struct((v * 0.99).alias("c")).alias("qv")
     ).alias("d")))
     e.select(_pick(K.SYMBOLES_BOURSORAMA, uid).alias("symbole"),
              F.when(F.col("event_id") % 9 == 0, F.lit("[]")).otherwise(full).alias("payload")
@@ -71,3 +72,14 @@ def test_source_subset(spark, sf_small):
     jobs.collect(spark, cfg, dt.datetime(2024, 2, 1))
     b = spark.read.parquet(f"{root}/bronze/collecte")
     assert {r.source for r in b.select("source").distinct().collect()} == {"coingecko", "binance"}
+
+
+def test_silver_job_with_everything_filtered(spark, sf_small):
+    root = scratch_path(spark, "jobs-empty")
+    _land(spark, sf_small, root, binance_var=500)   # every variation out of range
+    cfg = jobs.Config(root=root, sources=("binance",))
+    ts = dt.datetime(2024, 2, 2)
+    jobs.collect(spark, cfg, ts)
+    counts = jobs.silver(spark, cfg, ts)
+    assert counts["nb_avant"] > 0 and counts["nb_apres"] == 0
+    assert jobs.read_silver(spark, cfg).count() == 0      # empty latest replaces the old one
