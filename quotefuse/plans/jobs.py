@@ -21,11 +21,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotefuse import constants as K
 from quotefuse.operators import clean, collect as collect_ops, fuse, kpis, normalize
 from quotefuse.operators import quality as dq
 from quotefuse.plans import warehouse
+from quotefuse.schemas import RAW_QUOTE, SILVER
 from quotefuse.sources import payloads
 from quotefuse.streaming import ticks
 
@@ -96,6 +98,13 @@ def collect(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str,
     return {k: int(v) for k, v in obs.get.items()}
 
 
+def read_bronze(spark: SparkSession, cfg: Config) -> DataFrame:
+    """All collected runs (explicit schema: an empty run leaves no files)."""
+    schema = T.StructType(list(RAW_QUOTE.fields) + [T.StructField(SEQ, T.LongType()),
+                                                     T.StructField(warehouse.RUN_COL, T.StringType())])
+    return spark.read.schema(schema).parquet(cfg.path("bronze", "collecte"))
+
+
 def bronze_order(df: DataFrame) -> DataFrame:
     """Explicit, unique fusion order: newest run first, then collection order."""
     stamp = F.unix_timestamp(F.to_timestamp(F.col(warehouse.RUN_COL), "yyyyMMdd_HHmmss"))
@@ -104,7 +113,7 @@ def bronze_order(df: DataFrame) -> DataFrame:
 
 def silver(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, int]:
     """Bronze (all runs, newest first) -> Silver; counts before/after cleaning."""
-    b = spark.read.parquet(cfg.path("bronze", "collecte"))
+    b = read_bronze(spark, cfg)
     if cfg.bronze_since:  # partition pruning on run_id: only the listed runs are read
         b = b.where(F.col(warehouse.RUN_COL) >= cfg.bronze_since)
     b = bronze_order(b).withColumn("fichier_source", F.concat(
@@ -129,8 +138,9 @@ def silver(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str,
 def read_silver(spark: SparkSession, cfg: Config, run_id: str | None = None) -> DataFrame:
     """The latest Silver, or one run's partition."""
     if run_id is None:
-        return spark.read.parquet(cfg.path("silver", "silver_latest"))
-    return (spark.read.parquet(cfg.path("silver", "silver"))
+        return spark.read.schema(SILVER).parquet(cfg.path("silver", "silver_latest"))
+    schema = T.StructType(list(SILVER.fields) + [T.StructField(warehouse.RUN_COL, T.StringType())])
+    return (spark.read.schema(schema).parquet(cfg.path("silver", "silver"))
             .where(F.col(warehouse.RUN_COL) == run_id).drop(warehouse.RUN_COL))
 
 
@@ -140,7 +150,8 @@ def gold(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, in
     out = {}
     for t, g in kpis.all_gold(s, run_ts, cfg.n, cfg.threshold).items():
         warehouse.save_snapshot(g, cfg.path("gold"), t, run_id_of(run_ts))
-        out[t] = spark.read.parquet(cfg.path("gold", f"{t}_latest")).count()
+        out[t] = spark.read.schema(warehouse.gold_schema(t, False)).parquet(
+            cfg.path("gold", f"{t}_latest")).count()
     return out
 
 
@@ -148,8 +159,8 @@ def load(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, in
     """History + Gold of this run into the warehouse (idempotent)."""
     rid = run_id_of(run_ts)
     s = read_silver(spark, cfg, rid)
-    g = {t: spark.read.parquet(cfg.path("gold", t)).where(F.col(warehouse.RUN_COL) == rid)
-         .drop(warehouse.RUN_COL) for t in K.GOLD_TABLES}
+    g = {t: spark.read.schema(warehouse.gold_schema(t)).parquet(cfg.path("gold", t))
+         .where(F.col(warehouse.RUN_COL) == rid).drop(warehouse.RUN_COL) for t in K.GOLD_TABLES}
     return warehouse.load(spark, cfg.path("dw"), s, g, rid, run_ts)
 
 
@@ -157,15 +168,16 @@ def quality(spark: SparkSession, cfg: Config, run_ts: _dt.datetime,
             layers=("silver",)) -> DataFrame:
     """Bronze per file, Silver, Gold (completeness), warehouse; summary;
     long report + JSON document written under logs/. Returns the summary."""
-    bronze = spark.read.parquet(cfg.path("bronze", "collecte"))
+    bronze = read_bronze(spark, cfg)
     bronze = clean.cast_types(normalize.ensure(normalize.columns(
         bronze.withColumn("fichier_source", F.concat(F.lit("collecte_"), F.col(warehouse.RUN_COL),
                                                      F.lit(".parquet"))).drop(SEQ, warehouse.RUN_COL))))
     parts = [dq.report(bronze, None, "bronze", by="fichier_source"),
              dq.report(read_silver(spark, cfg), "silver", "silver")]
     for t in K.GOLD_TABLES:
-        parts.append(dq.report(spark.read.parquet(cfg.path("gold", f"{t}_latest")),
-                               f"{t}_latest", "gold", ["completude"]))
+        latest = spark.read.schema(warehouse.gold_schema(t, False)).parquet(
+            cfg.path("gold", f"{t}_latest"))
+        parts.append(dq.report(latest, f"{t}_latest", "gold", ["completude"]))
     parts.append(dq.warehouse_checks(spark, cfg.path("dw")))
     rep = parts[0]
     for p in parts[1:]:

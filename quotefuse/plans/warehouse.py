@@ -31,6 +31,13 @@ def table_schema(table: str):
     return struct(*cols, (LOADED_COL, T.TimestampNTZType()), (RUN_COL, T.StringType()))
 
 
+def gold_schema(table: str, with_run: bool = True):
+    """Schema of a Gold zone table (the KPI columns, plus ``run_id``)."""
+    from pyspark.sql import types as T
+    cols = [(c, dw_type(c)) for c in GOLD_COLUMNS[table]]
+    return struct(*cols, *([(RUN_COL, T.StringType())] if with_run else []))
+
+
 def _write_run(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(RUN_COL).parquet(path))
@@ -95,8 +102,10 @@ def save_snapshot(df: DataFrame, zone: str, name: str, run_id: str, sort_by=None
     ``latest`` (K1-K3; an empty result still replaces latest, D7). The plan
     is evaluated once: ``latest`` is copied from the written partition, and
     only that copy is sorted (``sort_by``)."""
-    _write_run(df.withColumn(RUN_COL, F.lit(run_id)), f"{zone}/{name}")
-    written = (df.sparkSession.read.parquet(f"{zone}/{name}")
+    tagged = df.withColumn(RUN_COL, F.lit(run_id))
+    _write_run(tagged, f"{zone}/{name}")
+    # explicit schema: an empty run writes no partition files to infer from
+    written = (df.sparkSession.read.schema(tagged.schema).parquet(f"{zone}/{name}")
                .where(F.col(RUN_COL) == F.lit(run_id)).drop(RUN_COL))
     if sort_by:
         written = written.orderBy(*sort_by)

@@ -83,3 +83,8 @@ def test_silver_job_with_everything_filtered(spark, sf_small):
     counts = jobs.silver(spark, cfg, ts)
     assert counts["nb_avant"] > 0 and counts["nb_apres"] == 0
     assert jobs.read_silver(spark, cfg).count() == 0      # empty latest replaces the old one
+    gold = jobs.gold(spark, cfg, ts)
+    assert gold["snapshot_marche"] == 1 and gold["top_mouvements"] == 0
+    loaded = jobs.load(spark, cfg, ts)
+    assert loaded[K.HISTORY_TABLE] == 0 and loaded["snapshot_marche"] == 1
+    assert jobs.quality(spark, cfg, ts).collect()[0].statut_global in ("OK", "WARN", "FAIL")
