@@ -50,8 +50,13 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
            .where(F.col("_qf_n") > hot_rows).select(key))
     if hot.isEmpty():
         # no key exceeds hot_rows: every window partition fits a task, so the
-        # plain single-shuffle lag is already skew-safe
-        return df.withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order)))
+        # plain single-shuffle lag is already skew-safe. The window reuses the
+        # explicit hash partitioning (still one exchange); its width is the
+        # session's shuffle partitions, so the output keeps the deployment's
+        # parallelism instead of being coalesced into a few large tasks.
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        return (df.repartition(n, key)
+                .withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order))))
     fractions = [i / m for i in range(1, m)]
     stats = (df.join(hot, key, "left_semi").groupBy(key)
              .agg(F.percentile_approx(lead, fractions, max(10000, 4 * m)).alias(_B),

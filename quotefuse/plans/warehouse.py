@@ -44,13 +44,18 @@ def _write_run(df: DataFrame, path: str) -> None:
 
 
 def create_tables(spark: SparkSession, root: str, tables=K.DW_TABLES) -> None:
-    """Create-if-missing: an empty, typed table directory per table (K4)."""
-    jvm_fs = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - path existence only
+    """Create-if-missing: an empty table directory per table (K4).
+
+    An empty partitioned Parquet write leaves only ``_SUCCESS`` (no schema),
+    so a directory is the same table; the types live in ``table_schema`` and
+    every read applies them (``read_table``)."""
+    jvm_fs = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - directories only
     conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
     for t in tables:
         p = jvm_fs.Path(f"{root}/{t}")
-        if not p.getFileSystem(conf).exists(p):
-            spark.createDataFrame([], table_schema(t)).write.partitionBy(RUN_COL).parquet(f"{root}/{t}")
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            fs.mkdirs(p)
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
