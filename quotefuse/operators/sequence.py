@@ -14,11 +14,14 @@ key holding a third of the rows would sit in one task. Here:
    per row: split points are pre-bucketed per key into equal-width cells, so
    a row adds its cell's prefix count to the few points inside its cell;
 4. the lag runs per (key, chunk); the first row of each chunk takes the last
-   value of the previous non-empty chunk of its key. That carry table has at
-   most ``chunks`` rows per key.
+   value of the previous non-empty chunk of its key. Only hot keys have
+   chunks > 0, so that carry table has at most (hot keys) x (chunks - 1) rows.
 
-Joins against the split-point table are plain equi-joins: AQE broadcasts it
-when its measured size allows and splits skewed partitions otherwise.
+The hot-key count is measured (step 1), so the side tables have a known size
+bound. Under ``broadcast_rows`` both are broadcast and the lag is ONE window
+pass over all rows plus a partial aggregate for the carry; above it, the
+joins are plain equi-joins (AQE decides, skewed partitions are split) and
+the first rows of each chunk are patched in a separate small branch.
 """
 
 from __future__ import annotations
@@ -38,7 +41,8 @@ def _as_long(c: Column, dtype: str) -> Column:
 
 
 def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
-               hot_rows: int = 1_000_000, chunks: int | None = None) -> DataFrame:
+               hot_rows: int = 1_000_000, chunks: int | None = None,
+               broadcast_rows: int = 2_000_000) -> DataFrame:
     """Adds ``out`` = previous ``value`` of the same ``key`` in ``order``
     (which must be unique within a key)."""
     spark = df.sparkSession
@@ -48,7 +52,8 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     lead = _as_long(F.col(lead_col), df.schema[lead_col].dataType.simpleString())
     hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_qf_n"))
            .where(F.col("_qf_n") > hot_rows).select(key))
-    if hot.isEmpty():
+    n_hot = hot.count()  # one small aggregate; gives the carry table's size bound
+    if n_hot == 0:
         # no key exceeds hot_rows: every window partition fits a task, so the
         # plain single-shuffle lag is already skew-safe. The window reuses the
         # explicit hash partitioning (still one exchange); its width is the
@@ -80,8 +85,13 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     chunk = F.coalesce(F.element_at(F.col("_qf_pre"), cell.cast("int"))
                        + F.size(F.filter(inner, lambda b: b < lead)), F.lit(0))
     w = Window.partitionBy(key, _CH).orderBy(*order)
-    local = (df.join(bounds, key, "left")
-             .withColumn(_CH, chunk).drop("_qf_lo", "_qf_hi", "_qf_pre", "_qf_in")
+    # both side tables grow with (hot keys) x chunks, which is now known
+    small = n_hot * (m - 1) <= broadcast_rows
+    chunked = df.join(F.broadcast(bounds) if small else bounds, key, "left").withColumn(
+        _CH, chunk).drop("_qf_lo", "_qf_hi", "_qf_pre", "_qf_in")
+    if small:
+        return _lag_with_carry_broadcast(chunked, key, order, value, out, w)
+    local = (chunked
              .withColumn(out, F.lag(value).over(w))
              .withColumn(_FIRST, F.row_number().over(w) == 1)
              .withColumn(_LAST, F.lead(F.lit(1)).over(w).isNull()))
@@ -95,3 +105,24 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
               .drop("_c_key", "_c_ch"))
     rest = local.where(~F.col(_FIRST))
     return rest.unionByName(firsts).drop(_CH, _FIRST, _LAST)
+
+
+def _lag_with_carry_broadcast(chunked: DataFrame, key: str, order: list[str], value: str,
+                              out: str, w: Window) -> DataFrame:
+    """One window pass over all rows; the first row of every chunk > 0 then
+    takes its carry from a broadcast table. Only hot keys have chunks > 0, so
+    the table holds at most (hot keys) x (chunks - 1) rows — the caller has
+    checked that bound against ``broadcast_rows``."""
+    lagged = (chunked.withColumn(out, F.lag(value).over(w))
+              .withColumn(_FIRST, F.row_number().over(w) == 1))
+    # last value per (key, chunk): a partial aggregate, then a lag over at
+    # most ``chunks`` rows per key
+    last = chunked.groupBy(key, _CH).agg(
+        F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias("_qf_lastv"))
+    carry = (last.select(F.col(key).alias("_c_key"), F.col(_CH).alias("_c_ch"),
+                         F.lag("_qf_lastv").over(Window.partitionBy(key).orderBy(_CH)).alias(_CARRY))
+             .where(F.col("_c_ch") > 0))
+    joined = lagged.join(F.broadcast(carry), F.col(key).eqNullSafe(F.col("_c_key"))
+                         & (F.col(_CH) == F.col("_c_ch")) & F.col(_FIRST), "left")
+    return joined.withColumn(out, F.when(F.col("_c_ch").isNotNull(), F.col(_CARRY))
+                             .otherwise(F.col(out))).drop(_CH, _FIRST, "_c_key", "_c_ch", _CARRY)

@@ -38,14 +38,29 @@ def test_fusion_one_row_per_group_and_idempotent(spark, sf_small):
     assert _rows(once.select(cols)) == _rows(twice.select(cols))
 
 
-@pytest.mark.parametrize("hot_rows", [1, 5, 1_000_000])
-def test_lag_by_key_equals_window_lag(spark, hot_rows):
+@pytest.mark.parametrize("hot_rows,broadcast_rows", [(1, 2_000_000), (5, 2_000_000), (1, 0),
+                                                     (5, 0), (1_000_000, 2_000_000)])
+def test_lag_by_key_equals_window_lag(spark, hot_rows, broadcast_rows):
     rnd = random.Random(7)
     # one key holds about a third of all rows
     data = [(i, rnd.choice([0, 0, 0, 1, 2, 3, 4, 5, 6]), rnd.randint(0, 50), float(i % 13))
             for i in range(600)]
     df = spark.createDataFrame(data, "id long, k long, t long, v double")
-    got = lag_by_key(df, "k", ["t", "id"], "v", "prev", hot_rows=hot_rows, chunks=6)
+    got = lag_by_key(df, "k", ["t", "id"], "v", "prev", hot_rows=hot_rows, chunks=6,
+                     broadcast_rows=broadcast_rows)
+    want = df.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("t", "id")))
+    assert _rows(got.select("id", "prev")) == _rows(want.select("id", "prev"))
+
+
+@pytest.mark.parametrize("broadcast_rows", [2_000_000, 0])
+def test_lag_by_key_nulls(spark, broadcast_rows):
+    """NULL values are carried across chunks as values; the NULL key is its own group."""
+    rnd = random.Random(11)
+    data = [(i, rnd.choice([None, 0, 0, 0, 1, 2]), rnd.randint(0, 40),
+             None if i % 5 == 0 else float(i % 13)) for i in range(400)]
+    df = spark.createDataFrame(data, "id long, k long, t long, v double")
+    got = lag_by_key(df, "k", ["t", "id"], "v", "prev", hot_rows=3, chunks=5,
+                     broadcast_rows=broadcast_rows)
     want = df.withColumn("prev", F.lag("v").over(Window.partitionBy("k").orderBy("t", "id")))
     assert _rows(got.select("id", "prev")) == _rows(want.select("id", "prev"))
 
