@@ -4,10 +4,14 @@
 buffer; for a global median that is one task holding the whole column. Here:
 
 1. duplicates collapse first (``groupBy(v).count()``, partially aggregated);
-2. P-1 splitters come from ``percentile_approx`` over the distinct values
-   (one small job; P-1 numbers reach the driver, as in a range partitioner's
-   sampling step), and ``Bucketizer`` (a JVM binary search) gives every value
-   its bucket — a pure function of the value, so every branch agrees;
+2. P-1 splitters come from ``percentile_approx`` over the values (one small
+   job with no shuffle of the data — a fixed-size sketch per task; P-1
+   numbers reach the driver, as in a range partitioner's sampling step).
+   Row-weighted splitters keep every bucket near N/P rows, so it holds at
+   most that many distinct values; a value repeated a third of all times
+   collapses to one (value, count) row. ``Bucketizer`` (a JVM binary search)
+   gives every value its bucket — a pure function of the value, so every
+   branch agrees;
 3. per-bucket counts (one row per bucket: bounded by P, safe to broadcast)
    give each bucket its rank offset;
 4. running counts inside each bucket turn into global ranks, and only the one
@@ -39,9 +43,9 @@ def exact_median(df: DataFrame, column: str, out: str = "median",
     spark = df.sparkSession
     # buckets: one per shuffle partition, capped (the splits travel in the plan)
     n = partitions or min(4096, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = (df.select(F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-              .groupBy("_v").agg(F.count(F.lit(1)).alias("_n")))
-    splits = splitters(counts, "_v", max(2, n))
+    values = df.select(F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    counts = values.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
+    splits = splitters(values, "_v", max(2, n))
     bucketed = (Bucketizer(splits=splits, inputCol="_v", outputCol=_B, handleInvalid="keep")
                 .transform(counts))
     per = bucketed.groupBy(_B).agg(F.sum("_n").alias("_pn"))
