@@ -58,3 +58,38 @@ def test_latest_run_report_prunes_partitions(spark, sf_small):
     plan = _plan(reports.prices_by_category(spark, root, "crypto"))
     assert "PartitionFilters: [isnotnull(run_id" in plan and "= 20240131_235959)]" in plan
     assert "EqualTo(categorie,crypto)" in plan
+
+
+def _static_plan(spark, df):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return _plan(df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_lag_without_hot_keys_is_one_exchange(spark, sf_small):
+    from quotefuse.operators.sequence import lag_by_key
+    from quotefuse.sources import fixtures
+    d = lag_by_key(fixtures.events(spark, sf_small), "user_id", ["ts", "event_id"], "value", "prev")
+    plan = _static_plan(spark, d)
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    assert plan.count("Exchange") == 1
+    assert "hashpartitioning(user_id#" in plan and f", {width})" in plan
+    assert plan.count("Window [") == 1
+
+
+def test_lag_with_hot_key_windows_all_rows_once(spark):
+    import random
+    from quotefuse.operators.sequence import lag_by_key
+    rnd = random.Random(3)
+    df = spark.createDataFrame([(i, rnd.choice([0, 0, 0, 1, 2]), rnd.randint(0, 30), float(i))
+                                for i in range(300)], "id long, k long, t long, v double")
+    small = _static_plan(spark, lag_by_key(df, "k", ["t", "id"], "v", "prev", hot_rows=5, chunks=4))
+    # one window over all rows + one over the (key, chunk) carry table
+    assert small.count("Window [") == 2
+    assert "BroadcastHashJoin" in small
+    big = _static_plan(spark, lag_by_key(df, "k", ["t", "id"], "v", "prev", hot_rows=5, chunks=4,
+                                         broadcast_rows=0))
+    # fallback above the bound: the window output feeds three branches
+    assert big.count("Window [") == 4
