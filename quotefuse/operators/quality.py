@@ -21,6 +21,11 @@ SECTIONS = ("completude", "coherence", "validite")
 REPORT_COLUMNS = ("couche", "table_name", "section", "regle", "nb", "pct", "statut")
 
 
+def _sql_text(v: str) -> str:
+    """A SQL string literal (backslash and quote escaped)."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _num(c: str) -> Column:
     x = F.col(c)
     return x.isNotNull() & ~F.isnan(x)
@@ -97,10 +102,11 @@ def report(df: DataFrame, name: str | None, layer: str,
         wide = df.groupBy(F.col(by).alias("_tbl")).agg(*aggs)
     else:  # a global aggregate: one row even for an empty table
         wide = df.agg(*aggs).select(F.lit(name).alias("_tbl"), "*")
-    # wide -> long: one struct per rule, exploded (no per-row metadata lookup)
-    items = F.array(*[F.struct(F.lit(r[0]).alias("section"), F.lit(r[1]).alias("regle"),
-                               F.col(n).alias("nb"), F.lit(r[3]).alias("lvl"))
-                      for r, n in zip(rules, names)])
+    # wide -> long: one struct per rule, exploded (no per-row metadata lookup);
+    # written as one SQL expression: one round trip instead of ~9 per rule
+    items = F.expr("array(" + ", ".join(
+        f"named_struct('section', {_sql_text(r[0])}, 'regle', {_sql_text(r[1])}, "
+        f"'nb', {n}, 'lvl', {_sql_text(r[3])})" for r, n in zip(rules, names)) + ")")
     long = wide.select("_tbl", "_total", F.explode(items).alias("_r")).select(
         "_tbl", "_total", "_r.*")
     section, regle, level = F.col("section"), F.col("regle"), F.col("lvl")
