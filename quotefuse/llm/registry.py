@@ -4,21 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotefuse.llm import langid, quality_knn
+from quotefuse.llm import decontam, langid, quality_knn, simhash_bk
 from quotefuse.llm.common import read
+from quotefuse.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 
 def op1_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_bk.near_duplicates(read(spark, sf_dir, "documents"), size=3, radius=3)
+
+
+def op4_prefix_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op7_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op1_quality_knn": op1_quality_knn,
-    "op7_language_kernel": op7_language_kernel,
-}
-
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality_knn, op3_simhash_bk_trees, op4_prefix_containment, op7_language_kernel)}
