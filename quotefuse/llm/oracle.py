@@ -23,4 +23,46 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE = {"op4_prefix_containment": DECONTAMINATION}
+# fixed values: the rules as (kind, pattern, group whose length counts, least length)
+_RULES = (
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]+", 0, 24),
+    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
+    ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0),
+    ("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}", 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
+    ("url_login", r"://[^\s:@/]{1,80}:[^\s:@/]{1,80}@", 0, 0),
+)
+
+
+def _matches(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {number} AS kind, '{kind}' AS name, {least} AS least,
+         list_transform(regexp_extract_all(text, '{quoted}', 0), lambda x: length(x)) AS m,
+         list_transform(regexp_extract_all(text, '{quoted}', {group}), lambda x: length(x)) AS g,
+         list_transform(string_split_regex(text, '{quoted}'), lambda x: length(x)) AS p
+  FROM t WHERE regexp_matches(text, '{quoted}')"""
+
+
+SECRETS = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({" UNION ALL ".join(_matches(n, *r) for n, r in enumerate(_RULES))}),
+e AS (SELECT doc_id, kind, name, least, unnest(m) AS m, unnest(g) AS g, unnest(list_slice(p, 1, len(m))) AS p,
+             unnest(range(len(m))) AS i FROM m),
+s AS (SELECT *, sum(p + m) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM e),
+k AS (SELECT doc_id, kind, (stop - m)::BIGINT AS start, name || ':' || (stop - m)::BIGINT || ':' || stop::BIGINT AS said
+      FROM s WHERE g >= least),
+d AS (SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WHERE kind = 1) AS n_access,
+             count(*) FILTER (WHERE kind = 2) AS n_hex,
+             string_agg(said, ',' ORDER BY start, kind) FILTER (WHERE kind < 3) AS base,
+             string_agg(said, ',' ORDER BY start, kind) AS spans FROM k GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN d USING (doc_id)
+"""
+
+ORACLE = {"op5_trigram_secrets": SECRETS, "op4_prefix_containment": DECONTAMINATION}

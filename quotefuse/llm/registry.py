@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotefuse.llm import decontam, langid, quality_knn, simhash_bk
+from quotefuse.llm import decontam, langid, mixing, quality_knn, secret_scan, simhash_bk
 from quotefuse.llm.common import read
 from quotefuse.llm.oracle import ORACLE
 
@@ -23,8 +23,18 @@ def op4_prefix_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op5_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(read(spark, sf_dir, "documents"))
+
+
 def op7_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_knn, op3_simhash_bk_trees, op4_prefix_containment, op7_language_kernel)}
+def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_quality_knn, op3_simhash_bk_trees, op4_prefix_containment, op5_trigram_secrets, op7_language_kernel,
+    op8_temperature_mixing)}

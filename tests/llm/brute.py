@@ -71,3 +71,31 @@ def decontaminate(docs, items, window=10):
         ids = sorted(str(x) for x in found if x is not None)
         out.append((i, len(w), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit)))
     return out
+
+
+SECRETS = [
+    ("assign", r"""(password|passwd|secret|token|api_?key)["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, re.I | re.A),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20, 0), ("hex", r"[0-9a-f]+", 0, 24, 0),
+    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0, 0), ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0, 0),
+    ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0, 0), ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0, 0),
+    ("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}", 0, 0, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0, 0),
+    ("url_login", r"://[^\s:@/]{1,80}:[^\s:@/]{1,80}@", 0, 0, re.A)]
+
+
+def secret_spans(text):
+    """(start, kind number, end) by start, then kind."""
+    out = []
+    for n, (_, pattern, group, least, flags) in enumerate(SECRETS):
+        out += [(m.start(), n, m.end()) for m in re.finditer(pattern, text or "", flags) if len(m[group]) >= least]
+    return sorted(out)
+
+
+def secrets(docs):
+    out = []
+    for i, text in docs:
+        spans = secret_spans(text)
+        said = [f"{SECRETS[k][0]}:{s}:{e}" for s, k, e in spans]
+        base = ",".join(x for x, (_, k, _) in zip(said, spans) if k < 3)
+        out.append((i, *(sum(k == n for _, k, _ in spans) for n in range(3)), hashlib.sha256(base.encode()).hexdigest(), ",".join(said)))
+    return out
