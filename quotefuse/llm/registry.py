@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotefuse.llm import decontam, langid, mixing, quality_knn, secret_scan, simhash_bk
+from quotefuse.llm import decontam, langid, license_scan, mixing, quality_knn, secret_scan, simhash_bk
 from quotefuse.llm.common import read
 from quotefuse.llm.oracle import ORACLE
 
@@ -35,6 +35,10 @@ def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op10_rare_license_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_knn, op3_simhash_bk_trees, op4_prefix_containment, op5_trigram_secrets, op7_language_kernel,
-    op8_temperature_mixing)}
+    op8_temperature_mixing, op10_rare_license_words)}

@@ -99,3 +99,41 @@ def secrets(docs):
         base = ",".join(x for x, (_, k, _) in zip(said, spans) if k < 3)
         out.append((i, *(sum(k == n for _, k, _ in spans) for n in range(3)), hashlib.sha256(base.encode()).hexdigest(), ",".join(said)))
     return out
+
+
+def licenses(docs):
+    """The base columns: n_words, n_base, first_word, last_word, base_labels."""
+    phrases = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
+    out = []
+    for i, text in docs:
+        w = WORD.findall(lower(text))
+        at = sorted((s, name) for p, name in phrases.items() for s in range(len(w)) if w[s:s + len(p.split())] == p.split())
+        out.append((i, len(w), len(at), at[0][0] if at else None, at[-1][0] if at else None, ",".join(sorted({n for _, n in at}))))
+    return out
+
+
+def license_labels(docs, templates, function_words, phrases, rare=8, agree=2):
+    """All labels, by trying every template at every place."""
+    known = {w for _, t, _ in templates for w in t.split()} - set(function_words) | {p.split()[0] for p, _ in phrases}
+    words = [WORD.findall(lower(t)) for _, t in docs]
+    df = {}
+    for w in words:
+        for x in set(w) & known:
+            df[x] = df.get(x, 0) + 1
+    out = []
+    for (i, _), w, base in zip(docs, words, licenses(docs)):
+        best = set(sorted(set(w) & known, key=lambda x: (df[x], x))[:rare])
+        labels, part = set(filter(None, base[5].split(","))), 0.0
+        for name, t, keys in templates:
+            t = t.split()
+            size = sum(x in known for x in t)
+            for place in range(-len(t), len(w)):
+                n = sum(x in best and 0 <= place + k < len(w) and w[place + k] == x for k, x in enumerate(t))
+                if n < min(agree, size):
+                    continue
+                spots = [(next(k for k in range(len(t)) if t[k:k + len(key.split())] == key.split()) + place, key.split()) for key in keys]
+                if all(s >= 0 and w[s:s + len(key)] == key for s, key in spots):
+                    labels.add(name)
+                    part = max(part, min(1.0, n / min(size, rare)))
+        out.append((i, ",".join(sorted(labels)), 1.0 if base[2] else part))
+    return out

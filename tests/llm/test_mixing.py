@@ -58,15 +58,15 @@ def test_weights_quotas_and_passes(spark, part, most, budget, block):
     z = sum(w.values())
     used, uses = Counter(), defaultdict(list)
     for r in got:
-        assert abs(r["weight"] - w[r["source"]] / z) < 1e-5 and r["n_tokens"] == n[r["doc_id"]] > 0
+        assert abs(r["weight"] - w[r["source"]] / z) < 1e-4 and r["n_tokens"] == n[r["doc_id"]] > 0
         used[r["source"]] += r["n_tokens"]
         uses[r["doc_id"]].append(r["epoch"])
     for s, t in tokens.items():
         quota = min(w[s] / z * budget_tokens, most * t)
         assert quota * (1 - 1e-4) - 24 <= used[s] <= quota * (1 + 1e-4) + 1, (s, quota, used[s])
-        full = int(quota * (1 + 1e-9) / t)
+        full = int(quota * (1 - 1e-4) / t)  # at the repetition limit a quota can end a token short of a pass
         for i in (i for i in n if src[i] == s and n[i]):
-            assert sorted(uses[i])[:full] == list(range(full)) and len(uses[i]) <= full + 1
+            assert sorted(uses[i])[:full] == list(range(full)) and len(uses[i]) <= quota * (1 + 1e-4) / t + 1
     # a pass is a permutation: (block, place) is unique in it, and whole passes use every place
     spots = Counter((r["source"], r["epoch"], r["block"], r["place"]) for r in got)
     assert max(spots.values()) == 1
