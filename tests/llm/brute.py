@@ -137,3 +137,94 @@ def license_labels(docs, templates, function_words, phrases, rare=8, agree=2):
                     part = max(part, min(1.0, n / min(size, rare)))
         out.append((i, ",".join(sorted(labels)), 1.0 if base[2] else part))
     return out
+
+
+def spark_hash(*values):
+    """xxhash64 of longs (int), ints (as ('i', n)) and strings, chained as in SQL; signed."""
+    seed = 42
+    for v in values:
+        data = v.encode() if isinstance(v, str) else v[1].to_bytes(4, "little", signed=True) if isinstance(v, tuple) else v.to_bytes(8, "little", signed=True)
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def order_minhash(text, k=2, pick=2, bins=32):
+    words = re.findall(r"[^ \t-\r]+", text or "")
+    if not words:
+        return ""
+    grams = [spark_hash(*((words[i:i + k] + [""] * k)[:k])) for i in range(max(1, len(words) - k + 1))]
+    low = (1 << 30) - 1
+    seen, packed = {}, []
+    for p, g in enumerate(grams):
+        top = g >> 30
+        packed.append((spark_hash(g, ("i", seen.get(top, 0))) & ~low | p))
+        seen[top] = seen.get(top, 0) + 1
+    sketch = {}
+    for x in sorted(packed):
+        sketch.setdefault((x >> 59) + bins // 2, []).append(x & low)
+    values = {}
+    for b, places in sketch.items():
+        h = spark_hash(0)
+        for p in sorted(places[:pick]):
+            h = spark_hash(h, grams[p])
+        values[b] = h
+    out = []
+    for b in range(bins):
+        d = next(d for d in range(bins) if (b + d) % bins in values)
+        v = values[(b + d) % bins]
+        out.append(v if d == 0 else spark_hash(v, ("i", d)))
+    return "".join(f"{(v & (1 << 64) - 1) >> 32:08x}" for v in out)
+
+
+def alike(a, b):
+    if not a or not b:
+        return float(a == b)
+    return sum(a[i:i + 8] == b[i:i + 8] for i in range(0, len(a), 8)) * 8 / len(a)
+
+
+def order_minhash_report(docs):
+    rows = sorted(docs, key=lambda r: (r[0] is None, -(r[0] or 0), spark_hash(r[1] or "")))
+    out = []
+    for j, (i, text) in enumerate(rows):
+        text, after = text or "", rows[(j + 1) % len(rows)][1] or ""
+        f = len(text) // 3
+        edited = text[:len(text) - f] + after[:f]
+        a, b, c = order_minhash(text), order_minhash(edited), order_minhash(after)
+        out.append((i, len(text), hashlib.sha256(edited.encode()).hexdigest(), a, b, alike(a, b), alike(a, c)))
+    return out
+
+
+def sentences(text):
+    """(start, end without white space after it, words) of each sentence, in bytes."""
+    data, out = (text or "").encode(), []
+    for m in re.finditer(rb"[^ \t-\r]+", data):
+        gap = data[out[-1][1]:m.start()] if out else b""
+        if not out or b"\n" in gap or data[out[-1][1] - 1:out[-1][1]] in (b".", b"!", b"?"):
+            out.append([m.start(), m.end(), 1])
+        else:
+            out[-1][1], out[-1][2] = m.end(), out[-1][2] + 1
+    return out
+
+
+def sentence_dedup(docs, least=3, words=16):
+    """(doc_id, n_sentences, n_removed, text), rows in order of id and text hash."""
+    rows = sorted(docs, key=lambda r: (r[0] is None, r[0] or 0, (spark_hash(r[1] or "") & (1 << 64) - 1) >> 4))
+    first, cut = {}, {}
+    for row in dict.fromkeys(rows):
+        s = sentences(row[1])
+        data = (row[1] or "").encode()
+        for i in range(len(s)):
+            j = next((j for j in range(i + least, len(s) + 1) if sum(x[2] for x in s[i:j]) >= words), None)
+            if j is None:
+                continue
+            span = tuple(data[a:b] for a, b, _ in s[i:j])
+            if first.setdefault(span, (row, i)) != (row, i):
+                cut.setdefault(row, set()).update(range(i, j))
+    out = []
+    for row in rows:
+        s, gone = sentences(row[1]), cut.get(row, set())
+        data = (row[1] or "").encode()
+        edge = [x[0] for x in s] + [len(data)]
+        text = row[1] if not gone else (data[:edge[0]] + b"".join(data[edge[i]:edge[i + 1]] for i in range(len(s)) if i not in gone)).decode()
+        out.append((row[0], len(s), len(gone), text))
+    return out
