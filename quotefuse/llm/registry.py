@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quotefuse.llm import decontam, langid, license_scan, mixing, quality_knn, secret_scan, simhash_bk
+from quotefuse.llm import (
+    decontam, langid, license_scan, mixing, order_minhash, quality_knn, secret_scan, sentence_spans, simhash_bk)
 from quotefuse.llm.common import read
 from quotefuse.llm.oracle import ORACLE
 
@@ -15,6 +16,11 @@ def op1_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op2_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentence_spans.dedup(docs, sentences=3, words=16)
+
+
 def op3_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_bk.near_duplicates(read(spark, sf_dir, "documents"), size=3, radius=3)
 
@@ -35,10 +41,14 @@ def op8_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents"))
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.report(read(spark, sf_dir, "documents"))
+
+
 def op10_rare_license_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_knn, op3_simhash_bk_trees, op4_prefix_containment, op5_trigram_secrets, op7_language_kernel,
-    op8_temperature_mixing, op10_rare_license_words)}
+    op1_quality_knn, op2_sentence_spans, op3_simhash_bk_trees, op4_prefix_containment, op5_trigram_secrets, op7_language_kernel,
+    op8_temperature_mixing, op9_order_minhash, op10_rare_license_words)}
