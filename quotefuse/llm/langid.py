@@ -120,6 +120,27 @@ def fit(docs: DataFrame, folds: int = 5, held: int = 0, per_language: int = 400,
     return spark.sparkContext.broadcast((langs, [s.tobytes() for s in marks], out.astype(np.float32)))
 
 
+def unpacked(model: tuple) -> tuple:
+    """What scoring needs of a model's value: languages, landmarks, sizes, outputs, workspace."""
+    langs, packed, out = model
+    marks, sizes = dense([np.frombuffer(p, dtype=np.int32) for p in packed])
+    return langs, marks, sizes, out, np.zeros(WIDTH, dtype=bool)
+
+
+def outputs(column: pa.Array, known: tuple) -> tuple[list[str], list[float]]:
+    """Language and score of each text of a column (null: no letter in it)."""
+    langs, marks, sizes, out, seen = known
+    pred, sure = [], []
+    for at in range(0, len(column), BATCH):
+        texts = column.slice(at, BATCH).to_pylist()
+        f = kernel([presence(t or "", seen) for t in texts], marks, sizes) @ out
+        for t, row in zip(texts, f):
+            best = int(np.argmax(row))
+            pred.append("und" if t is None else langs[best])
+            sure.append(0.0 if t is None else float(min(1.0, max(0.0, (row[best] + 1) / 2))))
+    return pred, sure
+
+
 def predict(docs: DataFrame, model, folds: int = 5, held: int = 0) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row of ``docs``."""
     rows = docs.select(
@@ -130,19 +151,9 @@ def predict(docs: DataFrame, model, folds: int = 5, held: int = 0) -> DataFrame:
         return rows.select("doc_id", "held_out", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
 
     def score(batches):
-        langs, packed, out = model.value
-        marks, sizes = dense([np.frombuffer(p, dtype=np.int32) for p in packed])
-        seen = np.zeros(WIDTH, dtype=bool)
+        known = unpacked(model.value)
         for b in batches:
-            column = b.column("text")
-            pred, sure = [], []
-            for at in range(0, len(column), BATCH):
-                texts = column.slice(at, BATCH).to_pylist()
-                f = kernel([presence(t or "", seen) for t in texts], marks, sizes) @ out
-                for t, row in zip(texts, f):
-                    best = int(np.argmax(row))
-                    pred.append("und" if t is None else langs[best])
-                    sure.append(0.0 if t is None else float(min(1.0, max(0.0, (row[best] + 1) / 2))))
+            pred, sure = outputs(b.column("text"), known)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("held_out"), pa.array(pred, pa.string()), pa.array(sure, pa.float64())],
                 ["doc_id", "held_out", "lang_pred", "score"])
@@ -154,3 +165,21 @@ def identify(docs: DataFrame, **params) -> DataFrame:
     """Fit on ``docs`` and predict every row of it."""
     docs = docs.select("doc_id", "text", "lang")
     return predict(docs, fit(docs, **params), params.get("folds", 5), params.get("held", 0))
+
+
+def keep_known(docs: DataFrame, min_score: float = 0.2, **params) -> DataFrame:
+    """``docs`` without the rows whose language is ``und`` or whose score is
+    under ``min_score``. Nothing is rejected for its score without a model."""
+    model = fit(docs.select("doc_id", "text", "lang"), **params)
+    lettered = docs.where(F.col("text").rlike(r"\p{L}"))
+    if model is None:
+        return lettered
+    names = docs.columns
+
+    def keep(batches):
+        known = unpacked(model.value)
+        for b in batches:
+            _, sure = outputs(b.column(names.index("text")), known)
+            yield b.filter(pa.array([s >= min_score for s in sure], pa.bool_()))
+
+    return lettered.mapInArrow(keep, docs.schema)
