@@ -39,6 +39,13 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+def order_key(doc_id: Column, text: Column) -> Column:
+    """One number that identifies and orders documents: the id (null last), then 60 bits of the text hash."""
+    wide = F.coalesce(doc_id.cast("decimal(19,0)"), F.lit(str(1 << 63)).cast("decimal(19,0)"))
+    tail = F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 4).cast("decimal(19,0)")
+    return (wide.cast("decimal(19,0)") * F.lit(1 << 60).cast("decimal(19,0)") + tail).cast("decimal(38,0)")
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once."""
     return F.transform(F.array(value), body).getItem(0)

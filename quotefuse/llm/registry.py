@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quotefuse.llm import (
-    decontam, langid, license_scan, mixing, order_minhash, quality_knn, secret_scan, sentence_spans, simhash_bk)
+    decontam, langid, license_scan, mixing, order_minhash, quality_knn, secret_scan, sentence_spans, simhash_bk,
+    suffix_array)
 from quotefuse.llm.common import read
 from quotefuse.llm.oracle import ORACLE
 
@@ -33,6 +34,10 @@ def op5_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(read(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.digest(read(spark, sf_dir, "documents"), length=200)
+
+
 def op7_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
@@ -50,5 +55,5 @@ def op10_rare_license_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_knn, op2_sentence_spans, op3_simhash_bk_trees, op4_prefix_containment, op5_trigram_secrets, op7_language_kernel,
-    op8_temperature_mixing, op9_order_minhash, op10_rare_license_words)}
+    op1_quality_knn, op2_sentence_spans, op3_simhash_bk_trees, op4_prefix_containment, op5_trigram_secrets, op6_suffix_array,
+    op7_language_kernel, op8_temperature_mixing, op9_order_minhash, op10_rare_license_words)}

@@ -25,10 +25,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotefuse.llm.common import fresh, saved
+from quotefuse.llm.common import fresh, order_key, saved
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -77,13 +77,6 @@ def spans(data: bytes, sentences: int, words: int) -> tuple[np.ndarray, np.ndarr
     return out, size
 
 
-def _order(doc_id: Column, text: Column) -> Column:
-    """One number that identifies and orders documents: the id (null last), then 60 bits of the text hash."""
-    wide = F.coalesce(doc_id.cast("decimal(19,0)"), F.lit(str(1 << 63)).cast("decimal(19,0)"))
-    tail = F.shiftrightunsigned(F.xxhash64(F.coalesce(text, F.lit(""))), 4).cast("decimal(19,0)")
-    return (wide.cast("decimal(19,0)") * F.lit(1 << 60).cast("decimal(19,0)") + tail).cast("decimal(38,0)")
-
-
 def occurrences(docs: DataFrame, sentences: int, words: int) -> DataFrame:
     """ord, hash, pos, again (not the hash's first place in the document) of every span."""
 
@@ -106,7 +99,7 @@ def occurrences(docs: DataFrame, sentences: int, words: int) -> DataFrame:
                     [b.column("ord").take(pa.array(np.concatenate(take))), pa.array(np.concatenate(hashes)),
                      pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(again))], ["ord", "hash", "pos", "again"])
 
-    rows = docs.select(_order(F.col("doc_id"), F.col("text")).alias("ord"), "text")
+    rows = docs.select(order_key(F.col("doc_id"), F.col("text")).alias("ord"), "text")
     return rows.mapInArrow(run, "ord decimal(38,0), hash long, pos int, again boolean")
 
 
@@ -117,7 +110,7 @@ def dedup(docs: DataFrame, sentences: int = 3, words: int = 16) -> DataFrame:
     repeated = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("ord").alias("first")).where(F.col("n") > 1)
     cuts = (found.join(repeated.select("hash", "first"), "hash").where(F.col("again") | (F.col("ord") != F.col("first")))
             .groupBy(F.col("ord").alias("cut_ord")).agg(F.collect_set("pos").alias("cut_places")))
-    rows = docs.withColumn(ord_, _order(F.col("doc_id"), F.col("text")))
+    rows = docs.withColumn(ord_, order_key(F.col("doc_id"), F.col("text")))
     rows = rows.join(cuts, F.col(ord_) == F.col("cut_ord"), "left").withColumn(places, F.col("cut_places"))
     names = docs.columns
     text_at = names.index("text")

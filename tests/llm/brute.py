@@ -228,3 +228,22 @@ def sentence_dedup(docs, least=3, words=16):
         text = row[1] if not gone else (data[:edge[0]] + b"".join(data[edge[i]:edge[i + 1]] for i in range(len(s)) if i not in gone)).decode()
         out.append((row[0], len(s), len(gone), text))
     return out
+
+
+def byte_dedup(docs, length=200):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256)."""
+    data = [(t or "").encode() for _, t in docs]
+    count = {}
+    for d in data:
+        for p in range(len(d) - length + 1):
+            count[d[p:p + length]] = count.get(d[p:p + length], 0) + 1
+    out = []
+    for (i, _), d in zip(docs, data):
+        gone = bytearray(len(d))
+        for p in range(len(d) - length + 1):
+            if count[d[p:p + length]] > 1:
+                gone[p:p + length] = b"\1" * length
+        kept = bytes(c for c, g in zip(d, gone) if not g)
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out.append((i, len(d), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
