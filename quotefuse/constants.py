@@ -114,12 +114,15 @@ DW_RULE_PRICE = "prix_negatifs"
 DW_RULE_TICKER = "tickers_vides"
 DW_RULE_VAR = "variation_aberrante"
 DW_RULE_EMPTY = "tables_vides"
+DW_ERROR = "erreur"
 
 # --- fixed values: Boursorama error messages -------------------------------
 MSG_BOURSO_EMPTY = "Symbole introuvable sur Boursorama (réponse vide)"
 MSG_BOURSO_NO_D = "Champ 'd' absent ou inattendu"
 MSG_BOURSO_NO_QD = "Champ 'qd' (quote du jour) absent dans la réponse"
 
+MSG_JSON = "JSON illisible : "
+
 # --- fixed values: pandas' default missing-value tokens (read_csv) ---------
 PANDAS_NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN",
                     "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",

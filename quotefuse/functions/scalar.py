@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Above this magnitude a double has no fraction left at any scale we round
-# to, and floor() could overflow BIGINT, so the value is returned as is.
-_ROUND_LIMIT = 4.0e15
+# From 2**52 on a scaled double has no fraction left, so there is nothing to
+# floor (which would also leave the BIGINT range); only the scaling remains.
+_WHOLE = float(2**52)
 
 
 def col(c: str | Column) -> Column:
@@ -24,9 +24,9 @@ def round_half_away(c: str | Column, n: int) -> Column:
     x = col(c)
     m = F.lit(float(10 ** n))
     scaled = F.abs(x) * m
-    # NULL and NaN pass through the arithmetic (NaN < limit is false -> x)
-    return F.when(scaled < F.lit(_ROUND_LIMIT),
-                  F.signum(x) * F.floor(scaled + F.lit(0.5)) / m).otherwise(x)
+    # NULL and NaN pass through the arithmetic; a value whose scaling overflows stays
+    whole = F.when(scaled < F.lit(_WHOLE), F.floor(scaled + F.lit(0.5)).cast("double")).otherwise(scaled)
+    return F.when(scaled == F.lit(float("inf")), x).otherwise(F.signum(x) * whole / m)
 
 
 def ts_lit(ts) -> Column:
@@ -68,11 +68,6 @@ def truthy_num(c: str | Column) -> Column:
     return x.isNotNull() & (x != 0)
 
 
-def blank_to_null(c: str | Column) -> Column:
-    """'' -> NULL (Python falsy text)."""
-    return F.nullif(col(c), F.lit(""))
-
-
 def is_missing(c: str | Column, dtype: str) -> Column:
     """pandas isna(): NULL, or NaN for floating columns (F16)."""
     x = col(c)
@@ -81,26 +76,41 @@ def is_missing(c: str | Column, dtype: str) -> Column:
     return x.isNull()
 
 
+def utc_ntz(ts: Column) -> Column:
+    """The UTC wall clock of an instant, in any session time zone."""
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(
+        secs=F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)"))
+
+
+def now_utc() -> Column:
+    return utc_ntz(F.current_timestamp())
+
+
+# Stamps are cut from the text of a wall clock: formatting a TIMESTAMP_NTZ goes
+# through the session zone and would move a time that the zone skips.
+
 def run_text(ts: Column) -> Column:
     """'yyyy-MM-dd HH:mm:ss' (F4)."""
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    return F.substring(ts.cast("string"), 1, 19)
 
 
 def day_path(ts: Column) -> Column:
     """'yyyy/MM/dd' archive path."""
-    return F.date_format(ts, "yyyy/MM/dd")
+    return F.replace(F.substring(ts.cast("string"), 1, 10), F.lit("-"), F.lit("/"))
 
 
 def day_stamp(ts: Column) -> Column:
     """'yyyyMMdd' (F5)."""
-    return F.date_format(ts, "yyyyMMdd")
+    return F.replace(F.substring(ts.cast("string"), 1, 10), F.lit("-"), F.lit(""))
 
 
 def run_stamp(ts: Column) -> Column:
     """'yyyyMMdd_HHmmss' (F6)."""
-    return F.date_format(ts, "yyyyMMdd_HHmmss")
+    return F.replace(F.translate(F.substring(ts.cast("string"), 1, 19), "-:", ""), F.lit(" "), F.lit("_"))
 
 
 def iso_text(ts: Column) -> Column:
     """ISO text with microseconds."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    t = ts.cast("string")
+    return F.concat(F.substring(t, 1, 10), F.lit("T"), F.substring(t, 12, 8), F.lit("."),
+                    F.rpad(F.substring(t, 21, 6), 6, "0"))

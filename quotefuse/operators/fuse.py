@@ -40,14 +40,18 @@ def _first(cond: Column | None) -> Column:
 
 
 def fuse(df: DataFrame, ord_col: str | Column, drop_errors_first: bool = False,
-         keep_order: bool = False) -> DataFrame:
+         keep_order: bool = False, families: tuple[str | None, ...] | None = None) -> DataFrame:
     """Fuse competing sources; ``ord_col`` must be non-NULL and unique.
 
     With ``keep_order`` the winning row's order value is kept as ``_qf_ord``.
+    ``families`` asks for some categories only (None: the unknown ones); a row's
+    category is its group's, so the test is made before the aggregation.
     """
     o = F.col(ord_col) if isinstance(ord_col, str) else ord_col
     if drop_errors_first and "statut" in df.columns:
         df = df.where(F.col("statut").isNull() | (F.col("statut") != K.STATUS_ERROR))
+    if families is not None:
+        df = in_families(df, families)
     cols = [c for c in df.columns if c != ORD]
     if "categorie" not in df.columns or "source" not in df.columns:
         return dedup_first(df, o, keep_order)
@@ -103,9 +107,9 @@ def dedup_first(df: DataFrame, ord_col: str | Column, keep_order: bool = False)
     return g.select(*sel)
 
 
-def split_by_category(df: DataFrame, category: str | None) -> DataFrame:
-    """Rows of one fusion family: a known category, or None for 'others'."""
+def in_families(df: DataFrame, families: tuple[str | None, ...]) -> DataFrame:
+    """Rows of some fusion families: known categories, or None for all others."""
     c = F.col("categorie")
-    if category is None:
-        return df.where(~c.isin(*K.CATEGORIES) | c.isNull())
-    return df.where(c == category)
+    known = [f for f in families if f is not None]
+    test = F.coalesce(c.isin(*known), F.lit(False)) if known else F.lit(False)
+    return df.where(test | c.isNull() | ~c.isin(*K.CATEGORIES)) if None in families else df.where(c.isin(*known))

@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotefuse import constants as K
+from quotefuse.functions.scalar import now_utc
 from quotefuse.functions.scalar import round_half_away as rnd
 from quotefuse.functions.scalar import run_text, ts_lit
-from quotefuse.operators.quantile import exact_median
+from quotefuse.operators.quantile import middle, ranked_values
 
 
 def _v() -> Column:
@@ -31,27 +32,24 @@ def _flag(cond: Column) -> Column:
 
 def _ts_col(run_ts: _dt.datetime | Column | None) -> Column:
     if run_ts is None:
-        return F.current_timestamp()
+        return now_utc()
     return run_ts if isinstance(run_ts, Column) else ts_lit(run_ts)
 
 
 def snapshot(silver: DataFrame, run_ts: _dt.datetime | Column | None = None) -> DataFrame:
     """Global market snapshot, one row even on empty input (A1)."""
-    base = silver.where(_v().isNotNull())
-    stats = base.agg(
-        F.count(F.lit(1)).alias("total_actifs"),
-        _flag(_v() > 0).alias("actifs_en_hausse"),
-        _flag(_v() < 0).alias("actifs_en_baisse"),
-        _flag(_v() == 0).alias("actifs_neutres"),
-        F.avg(_v()).alias("_avg"), F.max(_v()).alias("_max"), F.min(_v()).alias("_min"),
-        F.lit(None).cast("double").alias("_med"))
-    med = exact_median(base, "variation_pct", "_med")
-    nulls = {c: F.lit(None).cast(t) for c, t in
-             (("total_actifs", "long"), ("actifs_en_hausse", "long"),
-              ("actifs_en_baisse", "long"), ("actifs_neutres", "long"),
-              ("_avg", "double"), ("_max", "double"), ("_min", "double"))}
-    both = stats.unionByName(med.select(*[v.alias(k) for k, v in nulls.items()], "_med"))
-    one = both.agg(*[F.max(c).alias(c) for c in stats.columns])  # 2 rows -> 1
+    # every figure comes from the (value, count) table of one scan of Silver
+    v, n = F.col("_v"), F.col("_n")
+
+    def total(cond: Column) -> Column:
+        return F.sum(F.when(cond, n).otherwise(F.lit(0)))
+
+    one = ranked_values(silver, "variation_pct").agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("total_actifs"),
+        total(v > 0).alias("actifs_en_hausse"), total(v < 0).alias("actifs_en_baisse"),
+        total(v == 0).alias("actifs_neutres"),
+        (F.sum(v * n) / F.sum(n)).alias("_avg"), F.max(v).alias("_max"), F.min(v).alias("_min"),
+        middle().alias("_med"))
     return one.select(
         run_text(_ts_col(run_ts)).alias("date_snapshot"),
         "total_actifs", "actifs_en_hausse", "actifs_en_baisse", "actifs_neutres",

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotefuse import constants as K
-from quotefuse.functions.scalar import is_missing
+from quotefuse.functions.scalar import is_missing, now_utc, run_text, ts_lit
 from quotefuse.functions.scalar import round_half_away as rnd
 
 SECTIONS = ("completude", "coherence", "validite")
@@ -152,44 +152,66 @@ def global_status(long_report: DataFrame, layers: Sequence[str] = ("silver",)) -
                     .alias("statut_global"))
 
 
-def to_json_document(long_report: DataFrame) -> DataFrame:
+def to_json_document(long_report: DataFrame, counts: DataFrame | None = None,
+                     status: DataFrame | None = None, run_ts=None) -> DataFrame:
     """Nested JSON of the report (K11): one line per (layer, table) holding that
-    table's checks, so each nested list is bounded by the number of rules and
-    the document is written by many tasks, not gathered into one row."""
+    table's rows and checks, so each nested list is bounded by the number of
+    rules and the document is written by many tasks, not gathered into one row.
+    With ``status`` a last line holds the report's date and summary."""
     checks = F.struct("section", "regle", "nb", "pct", "statut")
-    return (long_report.groupBy("couche", "table_name")
-            .agg(F.sort_array(F.collect_list(checks)).alias("controles"))
-            .select(F.to_json(F.struct("couche", "table_name", "controles")).alias("rapport")))
+    doc = long_report.groupBy("couche", "table_name").agg(F.sort_array(F.collect_list(checks)).alias("controles"))
+    if counts is not None:
+        c = counts.select(F.col("couche").alias("_c"), F.col("table_name").alias("_t"), "nb_lignes")
+        doc = doc.join(c, F.col("couche").eqNullSafe(F.col("_c")) & F.col("table_name").eqNullSafe(F.col("_t")), "left").drop("_c", "_t")
+    cols = [c for c in ("couche", "table_name", "nb_lignes", "controles") if c in doc.columns]
+    out = doc.select(F.to_json(F.struct(*cols)).alias("rapport"))
+    if status is not None:
+        stamp = run_text(ts_lit(run_ts) if run_ts is not None else now_utc())
+        out = out.unionByName(status.select(F.to_json(F.struct(
+            stamp.alias("date_rapport"), F.struct("total_fail", "total_warn", "statut_global").alias("resume"))).alias("rapport")))
+    return out
 
 
 def warehouse_checks(spark, root: str, tables: Sequence[str] = K.DW_TABLES) -> DataFrame:
     """Warehouse checks (A14): rows per table, non-positive prices, empty
-    tickers, |variation| > 100, empty tables — one small aggregate per table."""
-    from quotefuse.plans.warehouse import read_table
-    counts = None
-    for t in tables:
-        c = read_table(spark, root, t).agg(F.count(F.lit(1)).alias("nb")).select(
-            F.lit(t).alias("regle"), "nb")
-        counts = c if counts is None else counts.unionByName(c)
-    per_table = counts.select(F.lit("dw").alias("couche"), F.col("regle").alias("table_name"),
-                              F.lit("nb_lignes_par_table").alias("section"), "regle",
-                              F.col("nb").cast("long").alias("nb"),
-                              F.lit(None).cast("double").alias("pct"),
-                              F.lit(None).cast("string").alias("statut"))
-    empty = counts.agg(F.count_if(F.col("nb") == 0).cast("long").alias("nb")).select(
-        F.lit("dw").alias("couche"), F.lit(None).cast("string").alias("table_name"),
-        F.lit(K.DW_RULE_EMPTY).alias("section"), F.lit(K.DW_RULE_EMPTY).alias("regle"), "nb",
-        F.lit(None).cast("double").alias("pct"),
-        F.when(F.col("nb") == 0, K.DQ_OK).otherwise(K.DQ_WARN).alias("statut"))
-    h = read_table(spark, root, K.HISTORY_TABLE)
+    tickers, |variation| > 100, empty tables (with their names), and an error
+    row for a table that does not exist. Each table is read by one aggregate;
+    all rows come from the one row per table that it leaves."""
+    from quotefuse.plans.warehouse import exists, read_table
     t, v = F.col("ticker"), F.col("variation_pct")
     rules = [(K.DW_RULE_PRICE, _cnt(F.col("prix") <= 0), K.DQ_FAIL),
              (K.DW_RULE_TICKER, _cnt(t.isNull() | (t == "")), K.DQ_FAIL),
              (K.DW_RULE_VAR, _cnt(F.abs(v) > K.DW_MAX_ABS_VAR), K.DQ_WARN)]
-    wide = h.agg(*[r[1].cast("long").alias(r[0]) for r in rules])
-    lvl = F.create_map(*[x for r in rules for x in (F.lit(r[0]), F.lit(r[2]))])
-    long = wide.unpivot([], [r[0] for r in rules], "regle", "nb").select(
-        F.lit("dw").alias("couche"), F.lit(K.HISTORY_TABLE).alias("table_name"),
-        F.col("regle").alias("section"), "regle", "nb", F.lit(None).cast("double").alias("pct"),
-        F.when(F.col("nb") == 0, K.DQ_OK).otherwise(F.element_at(lvl, F.col("regle"))).alias("statut"))
-    return per_table.unionByName(empty).unionByName(long)
+    names = [f"_r{i}" for i in range(len(rules))]
+    absent = [x for x in tables if not exists(spark, f"{root}/{x}")]
+    stats = None
+    for i, x in enumerate(tables):
+        own = [r[1].cast("long").alias(n) if x == K.HISTORY_TABLE else F.lit(None).cast("long").alias(n)
+               for r, n in zip(rules, names)]
+        one = read_table(spark, root, x).agg(F.count(F.lit(1)).alias("nb"), *own).select(
+            F.lit(i).alias("pos"), F.lit(x).alias("name"), F.lit(x not in absent).alias("there"), "nb", *names)
+        stats = one if stats is None else stats.unionByName(one)
+    row = stats.agg(F.array_sort(F.collect_list(F.struct("pos", "name", "there", "nb", *names))).alias("s"))
+    there = F.filter("s", lambda x: x["there"])
+
+    def item(table, section, regle, nb, statut):
+        return F.struct(table.cast("string").alias("table_name"), section.alias("section"), regle.alias("regle"),
+                        nb.cast("long").alias("nb"), statut.cast("string").alias("statut"))
+
+    null = F.lit(None)
+    per_table = F.transform(there, lambda x: item(x["name"], F.lit("nb_lignes_par_table"), x["name"], x["nb"], null))
+    gone = F.transform(F.filter("s", lambda x: ~x["there"]), lambda x: item(
+        x["name"], F.lit(K.DW_ERROR), x["name"], null, F.lit(K.DQ_FAIL)))
+    hollow = F.transform(F.filter(there, lambda x: x["nb"] == 0), lambda x: x["name"])
+    empty = F.array(item(F.nullif(F.array_join(hollow, ","), F.lit("")), F.lit(K.DW_RULE_EMPTY), F.lit(K.DW_RULE_EMPTY),
+                         F.size(hollow), F.when(F.size(hollow) == 0, K.DQ_OK).otherwise(K.DQ_WARN)))
+    history = F.filter(there, lambda x: x["name"] == K.HISTORY_TABLE)
+
+    def checks(x):
+        return F.array(*[item(F.lit(K.HISTORY_TABLE), F.lit(r[0]), F.lit(r[0]), x[n],
+                              F.when(x[n] == 0, K.DQ_OK).otherwise(r[2])) for r, n in zip(rules, names)])
+
+    every = F.concat(per_table, gone, empty, F.flatten(F.transform(history, checks)))
+    return row.select(F.explode(every).alias("r")).select(
+        F.lit("dw").alias("couche"), "r.table_name", "r.section", "r.regle", "r.nb",
+        F.lit(None).cast("double").alias("pct"), "r.statut")

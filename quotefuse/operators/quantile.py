@@ -23,7 +23,7 @@ The result equals the interpolated median (``quantile_cont(0.5)``).
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _B = "_qf_bucket"
@@ -37,30 +37,49 @@ def splitters(values: DataFrame, column: str, buckets: int) -> list[float]:
     return [float("-inf"), *inner, float("inf")]
 
 
-def exact_median(df: DataFrame, column: str, out: str = "median",
-                 partitions: int | None = None) -> DataFrame:
-    """One-row DataFrame ``out`` (NULL when there is no non-NULL value)."""
-    spark = df.sparkSession
-    # buckets: one per shuffle partition, capped (the splits travel in the plan)
-    n = partitions or min(4096, int(spark.conf.get("spark.sql.shuffle.partitions")))
+ROWS_PER_BUCKET = 1_000_000
+
+
+def ranked_values(df: DataFrame, column: str, partitions: int | None = None) -> DataFrame:
+    """Distinct values ``_v`` with their count ``_n``, the number of values up
+    to and with them ``_hi``, and the number of all values ``_total``."""
     values = df.select(F.col(column).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    counts = values.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
-    splits = splitters(values, "_v", max(2, n))
-    bucketed = (Bucketizer(splits=splits, inputCol="_v", outputCol=_B, handleInvalid="keep")
-                .transform(counts))
+    # as many buckets as keep one near ROWS_PER_BUCKET rows; the row count comes with the sketch's scan
+    if partitions is None:
+        n = values.count()
+        partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // ROWS_PER_BUCKET))
+    splits = splitters(values, "_v", max(2, partitions))
+    bucket = Bucketizer(splits=splits, inputCol="_v", outputCol=_B, handleInvalid="keep")
+    # the bucket is known to be set; said before both uses, so that they share one exchange
+    bucketed = bucket.transform(values.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))).withColumn(
+        _B, F.coalesce(F.col(_B), F.lit(-1.0)))
     per = bucketed.groupBy(_B).agg(F.sum("_n").alias("_pn"))
     before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     every = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # at most one row per bucket: a size bound by construction
     offsets = per.select(_B, F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"),
                          F.sum("_pn").over(every).alias("_total"))
-    # ``offsets`` has at most one row per bucket: a size bound by construction.
     inside = Window.partitionBy(_B).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranks = (bucketed.join(F.broadcast(offsets), _B)
-             .withColumn("_cum", F.sum("_n").over(inside)))
-    hi = F.col("_off") + F.col("_cum")            # 1-based rank of the last copy
+    ranks = bucketed.join(F.broadcast(offsets), _B)
+    return ranks.select("_v", "_n", (F.col("_off") + F.sum("_n").over(inside)).alias("_hi"), "_total")
+
+
+def is_middle() -> Column:
+    """Whether a row of ``ranked_values`` holds a middle rank."""
+    hi = F.col("_hi")                             # 1-based rank of the last copy
     lo = hi - F.col("_n") + 1                     # 1-based rank of the first copy
     k1 = F.floor((F.col("_total") - 1) / 2) + 1
     k2 = F.ceil((F.col("_total") - 1) / 2) + 1
-    mid = ranks.where(((lo <= k1) & (k1 <= hi)) | ((lo <= k2) & (k2 <= hi)))
-    a, b = F.min("_v"), F.max("_v")
-    return mid.agg((a + (b - a) * F.lit(0.5)).alias(out))
+    return ((lo <= k1) & (k1 <= hi)) | ((lo <= k2) & (k2 <= hi))
+
+
+def middle() -> Column:
+    """The interpolated median, as an aggregate over ``ranked_values``."""
+    a, b = F.min(F.when(is_middle(), F.col("_v"))), F.max(F.when(is_middle(), F.col("_v")))
+    return a + (b - a) * F.lit(0.5)
+
+
+def exact_median(df: DataFrame, column: str, out: str = "median",
+                 partitions: int | None = None) -> DataFrame:
+    """One-row DataFrame ``out`` (NULL when there is no non-NULL value)."""
+    return ranked_values(df, column, partitions).agg(middle().alias(out))

@@ -13,22 +13,17 @@ from pyspark.sql import functions as F
 
 from quotefuse import constants as K
 from quotefuse.functions.scalar import round_half_away as rnd
-from quotefuse.plans.warehouse import LOADED_COL, RUN_COL, read_table
-
-
-def _runs(df: DataFrame, run_id: str | None, all_runs: bool) -> DataFrame:
-    if all_runs:
-        return df
-    if run_id is None:
-        # latest run: one scalar from a scan that reads no column data, then a
-        # static filter on the partition column, so only that run's files are read
-        run_id = df.agg(F.max(RUN_COL)).first()[0]
-    return df.where(F.col(RUN_COL) == F.lit(run_id))
+from quotefuse.plans.warehouse import LOADED_COL, RUN_COL, latest_run, read_table
 
 
 def table(spark: SparkSession, root: str, name: str, run_id: str | None = None,
           all_runs: bool = False) -> DataFrame:
-    return _runs(read_table(spark, root, name), run_id, all_runs)
+    """A table's rows of one run (default: the newest, named by the partition
+    list without opening a file) through a static partition filter, or of all."""
+    rows = read_table(spark, root, name)
+    if all_runs:
+        return rows
+    return rows.where(F.col(RUN_COL) == F.lit(run_id if run_id is not None else latest_run(spark, root, name)))
 
 
 def _desc_pg(c: str) -> Column:
@@ -73,7 +68,12 @@ def ticker_history(spark, root, ticker: str) -> DataFrame:
     return (h.where(F.col("ticker") == F.lit(ticker))
             .select("ticker", "prix", "variation_pct", "volume", "date_collecte",
                     "categorie", "source", LOADED_COL)
-            .orderBy(F.col(LOADED_COL).desc_nulls_first(), F.col("date_collecte").desc_nulls_first()))
+            .orderBy(F.col(LOADED_COL).desc_nulls_first(), F.col("date_collecte").desc_nulls_first(), *_ties()))
+
+
+def _ties() -> list[Column]:
+    """Last sort keys: every other column, so equal times come in a fixed order."""
+    return [F.col(c).asc_nulls_last() for c in ("prix", "variation_pct", "volume", "categorie", "source")]
 
 
 def ticker_card(spark, root, ticker: str | None = None) -> DataFrame:
@@ -168,4 +168,10 @@ def crypto_by_volume(spark, root, run_id=None, all_runs: bool = True) -> DataFra
 def history_chart(spark, root, ticker: str) -> DataFrame:
     """One ticker's history, oldest first, for a line chart."""
     return ticker_history(spark, root, ticker).orderBy(
-        F.col(LOADED_COL).asc_nulls_last(), F.col("date_collecte").asc_nulls_last())
+        F.col(LOADED_COL).asc_nulls_last(), F.col("date_collecte").asc_nulls_last(), *_ties())
+
+
+def alerts_chart(spark, root, run_id=None, all_runs: bool = True) -> DataFrame:
+    """Alerts by variation, ascending for a horizontal bar chart."""
+    return table(spark, root, "alertes_prix", run_id, all_runs).orderBy(
+        F.col("variation_pct").asc_nulls_last(), F.col("ticker").asc_nulls_last())

@@ -46,13 +46,13 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     """Adds ``out`` = previous ``value`` of the same ``key`` in ``order``
     (which must be unique within a key)."""
     spark = df.sparkSession
-    # chunks per hot key: enough to spread it over the cluster
-    m = chunks or min(1024, max(2, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     lead_col = order[0]
     lead = _as_long(F.col(lead_col), df.schema[lead_col].dataType.simpleString())
     hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_qf_n"))
-           .where(F.col("_qf_n") > hot_rows).select(key))
-    n_hot = hot.count()  # one small aggregate; gives the carry table's size bound
+           .where(F.col("_qf_n") > hot_rows))
+    # one small aggregate; gives the number of hot keys and the largest of them
+    n_hot, largest = hot.agg(F.count(F.lit(1)), F.max("_qf_n")).first()
+    hot = hot.select(F.col(key).alias("_h_key"))
     if n_hot == 0:
         # no key exceeds hot_rows: every window partition fits a task, so the
         # plain single-shuffle lag is already skew-safe. The window reuses the
@@ -62,8 +62,11 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         return (df.repartition(n, key)
                 .withColumn(out, F.lag(value).over(Window.partitionBy(key).orderBy(*order))))
+    # chunks per hot key: about hot_rows / 4 rows each, and enough to spread it over the cluster
+    m = chunks or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-4 * largest // hot_rows))
     fractions = [i / m for i in range(1, m)]
-    stats = (df.join(hot, key, "left_semi").groupBy(key)
+    # null-safe: a NULL key can be hot like any other
+    stats = (df.join(hot, F.col(key).eqNullSafe(F.col("_h_key")), "left_semi").groupBy(key)
              .agg(F.percentile_approx(lead, fractions, max(10000, 4 * m)).alias(_B),
                   F.min(lead).alias("_qf_lo"), F.max(lead).alias("_qf_hi")))
     # Pre-bucket each hot key's split points into m equal-width cells over
@@ -77,7 +80,7 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
 
     cells = F.sequence(F.lit(0), F.lit(m - 1))
     bounds = stats.select(
-        key, "_qf_lo", "_qf_hi",
+        F.col(key).alias("_b_key"), "_qf_lo", "_qf_hi",
         F.transform(cells, lambda c: F.size(F.filter(b_, lambda b: cell_of(b) < c))).alias("_qf_pre"),
         F.transform(cells, lambda c: F.filter(b_, lambda b: cell_of(b) == c)).alias("_qf_in"))
     cell = cell_of(lead) + 1
@@ -87,8 +90,8 @@ def lag_by_key(df: DataFrame, key: str, order: list[str], value: str, out: str,
     w = Window.partitionBy(key, _CH).orderBy(*order)
     # both side tables grow with (hot keys) x chunks, which is now known
     small = n_hot * (m - 1) <= broadcast_rows
-    chunked = df.join(F.broadcast(bounds) if small else bounds, key, "left").withColumn(
-        _CH, chunk).drop("_qf_lo", "_qf_hi", "_qf_pre", "_qf_in")
+    chunked = df.join(F.broadcast(bounds) if small else bounds, F.col(key).eqNullSafe(F.col("_b_key")), "left").withColumn(
+        _CH, chunk).drop("_b_key", "_qf_lo", "_qf_hi", "_qf_pre", "_qf_in")
     if small:
         return _lag_with_carry_broadcast(chunked, key, order, value, out, w)
     local = (chunked

@@ -28,11 +28,13 @@ from quotefuse.operators import clean, collect as collect_ops, fuse, kpis, norma
 from quotefuse.operators import quality as dq
 from quotefuse.plans import warehouse
 from quotefuse.schemas import RAW_QUOTE, SILVER
+from quotefuse.sources import bronze as bronze_scan
 from quotefuse.sources import payloads
 from quotefuse.streaming import ticks
 
 SOURCES = ("yahoo", "coingecko", "binance", "boursorama")
 SEQ = "_qf_seq"
+BOURSORAMA_LANDED = T.StructType([T.StructField("symbole", T.StringType()), T.StructField("payload", T.StringType())])
 
 
 @dataclass
@@ -44,6 +46,8 @@ class Config:
     threshold: float = K.ALERT_THRESHOLD
     drop_errors_first: bool = False
     bronze_since: str | None = None             # oldest run_id Silver reads (None: all)
+    bronze_csv: tuple[str, ...] = ()            # folders of CSV snapshots Silver reads as well
+    export: tuple[str, ...] = ()                # further formats of the latest snapshots (csv, json)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -53,62 +57,83 @@ def run_id_of(ts: _dt.datetime) -> str:
     return ts.strftime("%Y%m%d_%H%M%S")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)  # noqa: SLF001
-
-
 def _read(spark: SparkSession, cfg: Config, source: str, schema) -> DataFrame | None:
     path = cfg.path("landing", source)
-    if not _exists(spark, path):
+    if not warehouse.exists(spark, path):
         return None
-    return (spark.read.schema(schema).option("multiLine", str(cfg.multiline).lower())
-            .json(path))
-
-
-def collect(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, int]:
-    """Parse the selected sources' landed payloads, union, save Bronze."""
-    frames = []
-    if "yahoo" in cfg.sources:
-        rec = _read(spark, cfg, "yahoo", payloads.YAHOO_RECORD)
-        if rec is not None:
-            frames.append(payloads.parse_yahoo(rec, payloads.instruments(spark), run_ts))
-    if "coingecko" in cfg.sources:
-        it = _read(spark, cfg, "coingecko", payloads.COINGECKO_ITEM)
-        if it is not None:
-            frames.append(payloads.parse_coingecko(it, run_ts))
-    if "binance" in cfg.sources:
-        it = _read(spark, cfg, "binance", payloads.BINANCE_ITEM)
-        if it is not None:
-            frames.append(payloads.parse_binance(it, K.COINS_BINANCE, run_ts))
-    if "boursorama" in cfg.sources:
-        raw = _read(spark, cfg, "boursorama", "symbole string, payload string")
-        if raw is not None:
-            frames.append(payloads.parse_boursorama(raw, run_ts=run_ts))
-    if not frames:
-        return {"nb_succes": 0, "nb_erreurs": 0}
-    union = collect_ops.union_sources(frames)
+    return payloads.read_landed(spark, path, schema, cfg.multiline)
+
+
+def fear_greed(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict:
+    """S8 in a collection: the landed index of this run, or {} without a usable one."""
+    path = cfg.path("landing", "fear_greed")
+    if not warehouse.exists(spark, path):
+        return {}
+    index = payloads.parse_fear_greed(spark.read.text(path, wholetext=cfg.multiline), "value")
+    warehouse.save_snapshot(index, cfg.path("bronze"), "fear_greed", run_id_of(run_ts))
+    got = spark.read.schema(index.schema).parquet(cfg.path("bronze", "fear_greed_latest")).orderBy(
+        "fear_greed_valeur", "fear_greed_label").limit(1).collect()
+    return got[0].asDict() if got else {}
+
+
+def collect(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict:
+    """Parse the selected sources' landed payloads, union, save Bronze.
+    Items that cannot be read are error rows; a source without a landing
+    folder is named in ``sources_absentes``; without any, an empty run is saved."""
+    parsers = {
+        "yahoo": (payloads.YAHOO_RECORD, "ticker", K.SRC_YAHOO,
+                  lambda df: payloads.parse_yahoo(df, payloads.instruments(spark), run_ts)),
+        "coingecko": (payloads.COINGECKO_ITEM, "symbol", K.SRC_COINGECKO,
+                      lambda df: payloads.parse_coingecko(df, run_ts)),
+        "binance": (payloads.BINANCE_ITEM, "symbol", K.SRC_BINANCE,
+                    lambda df: payloads.parse_binance(df, K.COINS_BINANCE, run_ts)),
+        "boursorama": (BOURSORAMA_LANDED, "symbole", K.SRC_BOURSORAMA,
+                       lambda df: payloads.parse_boursorama(df, run_ts=run_ts))}
+    frames, absent = [], []
+    for name in (n for n in parsers if n in cfg.sources):
+        schema, symbol, label, parse = parsers[name]
+        landed = _read(spark, cfg, name, schema)
+        if landed is None:
+            absent.append(name)
+            continue
+        good = landed.where(F.col(payloads.CORRUPT).isNull()).drop(payloads.CORRUPT)
+        frames.append(parse(good))
+        frames.append(payloads.unreadable(landed, symbol, label, run_ts))
+    union = collect_ops.union_sources(frames) if frames else spark.createDataFrame([], RAW_QUOTE)
     obs = Observation("collect")
     st = F.col("statut")
     # the row's collection position, fixed once at landing: the fusion order
     bronze = union.withColumn(SEQ, F.monotonically_increasing_id()).observe(
         obs, F.count_if(st == K.STATUS_OK).alias("nb_succes"),
         F.count_if(st == K.STATUS_ERROR).alias("nb_erreurs"))
-    warehouse.save_snapshot(bronze, cfg.path("bronze"), "collecte", run_id_of(run_ts))
-    return {k: int(v) for k, v in obs.get.items()}
+    warehouse.save_snapshot(bronze, cfg.path("bronze"), "collecte", run_id_of(run_ts), export=cfg.export)
+    return {**{k: int(v or 0) for k, v in obs.get.items()}, "sources_absentes": absent,
+            **fear_greed(spark, cfg, run_ts)}
 
 
 def read_bronze(spark: SparkSession, cfg: Config) -> DataFrame:
     """All collected runs (explicit schema: an empty run leaves no files)."""
     schema = T.StructType(list(RAW_QUOTE.fields) + [T.StructField(SEQ, T.LongType()),
                                                      T.StructField(warehouse.RUN_COL, T.StringType())])
-    return spark.read.schema(schema).parquet(cfg.path("bronze", "collecte"))
+    return warehouse.read_zone(spark, cfg.path("bronze", "collecte"), schema)
 
 
 def bronze_order(df: DataFrame) -> DataFrame:
-    """Explicit, unique fusion order: newest run first, then collection order."""
-    stamp = F.unix_timestamp(F.to_timestamp(F.col(warehouse.RUN_COL), "yyyyMMdd_HHmmss"))
-    return df.withColumn("_qf_key", F.struct((-stamp).alias("run"), F.col(SEQ).alias("seq")))
+    """Explicit, unique fusion order: newest run first, then collection order.
+    Run ids are digits of a UTC time, so they are ordered as numbers; no
+    session time zone comes in."""
+    stamp = F.regexp_replace(warehouse.RUN_COL, "[^0-9]", "").try_cast("long")
+    return df.withColumn("_qf_key", F.struct((-F.coalesce(stamp, F.lit(0).cast("long"))).alias("run"), F.col(SEQ).alias("seq")))
+
+
+def csv_bronze(spark: SparkSession, cfg: Config) -> DataFrame | None:
+    """CSV snapshots (S1) as Bronze rows: the run comes from the file name
+    (``..._yyyyMMdd_HHmmss.csv``), the position from the scan."""
+    if not cfg.bronze_csv:
+        return None
+    df = bronze_scan.scan_bronze(spark, cfg.bronze_csv).drop("_qf_path")
+    run = F.nullif(F.regexp_extract("fichier_source", r"(\d{8}_\d{6})", 1), F.lit(""))
+    return df.withColumn(warehouse.RUN_COL, run).withColumn(SEQ, F.monotonically_increasing_id())
 
 
 def silver(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, int]:
@@ -118,8 +143,12 @@ def silver(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str,
         b = b.where(F.col(warehouse.RUN_COL) >= cfg.bronze_since)
     b = bronze_order(b).withColumn("fichier_source", F.concat(
         F.lit("collecte_"), F.col(warehouse.RUN_COL), F.lit(".parquet")))
-    b = b.drop(warehouse.RUN_COL, SEQ)
-    df = normalize.tickers(normalize.columns(b))
+    df = normalize.tickers(normalize.columns(b.drop(warehouse.RUN_COL, SEQ)))
+    snapshots = csv_bronze(spark, cfg)
+    if snapshots is not None:
+        snapshots = normalize.tickers(normalize.columns(bronze_order(snapshots).drop(warehouse.RUN_COL, SEQ)))
+        text = df.select(*[c if c == "_qf_key" else F.col(c).cast("string").alias(c) for c in df.columns])
+        df = text.unionByName(snapshots, allowMissingColumns=True)
     fused = normalize.ensure(
         fuse.fuse(df, "_qf_key", drop_errors_first=cfg.drop_errors_first).drop("_qf_key"))
     casted = clean.cast_types(fused)
@@ -131,16 +160,16 @@ def silver(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str,
     # the sorted ``latest`` is copied from what was written
     warehouse.save_snapshot(out, cfg.path("silver"), "silver", run_id_of(run_ts),
                             sort_by=[F.col("categorie").asc_nulls_last(),
-                                     F.col("ticker").asc_nulls_last()])
+                                     F.col("ticker").asc_nulls_last()], export=cfg.export)
     return {k: int(v) for k, v in obs.get.items()}
 
 
 def read_silver(spark: SparkSession, cfg: Config, run_id: str | None = None) -> DataFrame:
     """The latest Silver, or one run's partition."""
     if run_id is None:
-        return spark.read.schema(SILVER).parquet(cfg.path("silver", "silver_latest"))
+        return warehouse.read_zone(spark, cfg.path("silver", "silver_latest"), SILVER)
     schema = T.StructType(list(SILVER.fields) + [T.StructField(warehouse.RUN_COL, T.StringType())])
-    return (spark.read.schema(schema).parquet(cfg.path("silver", "silver"))
+    return (warehouse.read_zone(spark, cfg.path("silver", "silver"), schema)
             .where(F.col(warehouse.RUN_COL) == run_id).drop(warehouse.RUN_COL))
 
 
@@ -149,9 +178,7 @@ def gold(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, in
     s = read_silver(spark, cfg, run_id_of(run_ts))
     out = {}
     for t, g in kpis.all_gold(s, run_ts, cfg.n, cfg.threshold).items():
-        warehouse.save_snapshot(g, cfg.path("gold"), t, run_id_of(run_ts))
-        out[t] = spark.read.schema(warehouse.gold_schema(t, False)).parquet(
-            cfg.path("gold", f"{t}_latest")).count()
+        out[t] = warehouse.save_snapshot(g, cfg.path("gold"), t, run_id_of(run_ts), export=cfg.export)
     return out
 
 
@@ -159,7 +186,7 @@ def load(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, in
     """History + Gold of this run into the warehouse (idempotent)."""
     rid = run_id_of(run_ts)
     s = read_silver(spark, cfg, rid)
-    g = {t: spark.read.schema(warehouse.gold_schema(t)).parquet(cfg.path("gold", t))
+    g = {t: warehouse.read_zone(spark, cfg.path("gold", t), warehouse.gold_schema(t))
          .where(F.col(warehouse.RUN_COL) == rid).drop(warehouse.RUN_COL) for t in K.GOLD_TABLES}
     return warehouse.load(spark, cfg.path("dw"), s, g, rid, run_ts)
 
@@ -175,24 +202,35 @@ def quality(spark: SparkSession, cfg: Config, run_ts: _dt.datetime,
     parts = [dq.report(bronze, None, "bronze", by="fichier_source"),
              dq.report(read_silver(spark, cfg), "silver", "silver")]
     for t in K.GOLD_TABLES:
-        latest = spark.read.schema(warehouse.gold_schema(t, False)).parquet(
-            cfg.path("gold", f"{t}_latest"))
+        latest = warehouse.read_zone(spark, cfg.path("gold", f"{t}_latest"), warehouse.gold_schema(t, False))
         parts.append(dq.report(latest, f"{t}_latest", "gold", ["completude"]))
     parts.append(dq.warehouse_checks(spark, cfg.path("dw")))
     rep = parts[0]
     for p in parts[1:]:
         rep = rep.unionByName(p)
     rid = run_id_of(run_ts)
-    rep.withColumn(warehouse.RUN_COL, F.lit(rid)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy(warehouse.RUN_COL).parquet(
-        cfg.path("logs", "quality"))
+    warehouse.write_run(rep.withColumn(warehouse.RUN_COL, F.lit(rid)), cfg.path("logs", "quality"), rid)
     saved = spark.read.parquet(cfg.path("logs", "quality")).where(
         F.col(warehouse.RUN_COL) == rid).drop(warehouse.RUN_COL)
-    dq.to_json_document(saved).write.mode("overwrite").text(cfg.path("logs", "quality_report"))
     counts = dq.row_counts(bronze, None, "bronze", by="fichier_source").unionByName(
         dq.row_counts(read_silver(spark, cfg), "silver", "silver"))
-    counts.write.mode("overwrite").parquet(cfg.path("logs", "quality_counts"))
-    return dq.global_status(saved, layers)
+    for t in K.GOLD_TABLES:
+        latest = warehouse.read_zone(spark, cfg.path("gold", f"{t}_latest"), warehouse.gold_schema(t, False))
+        counts = counts.unionByName(dq.row_counts(latest, f"{t}_latest", "gold"))
+    warehouse.write_run(counts.withColumn(warehouse.RUN_COL, F.lit(rid)), cfg.path("logs", "quality_counts"), rid)
+    counts = spark.read.parquet(cfg.path("logs", "quality_counts")).where(
+        F.col(warehouse.RUN_COL) == rid).drop(warehouse.RUN_COL)
+    status = dq.global_status(saved, layers)
+    dq.to_json_document(saved, counts, status, run_ts).write.mode("overwrite").text(cfg.path("logs", "quality_report"))
+    return status
+
+
+def archive(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, int]:
+    """Last step of the hourly chain (K10): the latest snapshots of every zone
+    copied under archive/<year>/<month>/<day>/, with counts of done and failed."""
+    paths = [cfg.path("bronze", "collecte_latest"), cfg.path("silver", "silver_latest"),
+             *(cfg.path("gold", f"{t}_latest") for t in K.GOLD_TABLES)]
+    return warehouse.archive_files(spark, paths, cfg.path("archive"), run_ts)
 
 
 def stream(spark: SparkSession, cfg: Config, source: DataFrame, trigger: dict | None = None):
@@ -202,34 +240,50 @@ def stream(spark: SparkSession, cfg: Config, source: DataFrame, trigger: dict |
 
 
 def run_all(spark: SparkSession, cfg: Config, run_ts: _dt.datetime | None = None) -> dict:
-    """Collect once -> Silver -> Gold -> load -> quality."""
+    """Collect once -> Silver -> Gold -> load -> quality -> archive."""
     run_ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     out = {"run_id": run_id_of(run_ts), "collect": collect(spark, cfg, run_ts)}
     out["silver"] = silver(spark, cfg, run_ts)
     out["gold"] = gold(spark, cfg, run_ts)
     out["load"] = load(spark, cfg, run_ts)
     out["quality"] = quality(spark, cfg, run_ts).collect()[0].asDict()
+    out["archive"] = archive(spark, cfg, run_ts)
     return out
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="quote pipeline jobs")
-    ap.add_argument("job", choices=["collect", "silver", "gold", "load", "quality", "run_all"])
+    ap.add_argument("job", choices=["collect", "silver", "gold", "load", "quality", "archive", "run_all", "stream"])
     ap.add_argument("--root", required=True)
     ap.add_argument("--source", choices=["tout", "yahoo", "crypto", "boursorama"], default="tout")
     ap.add_argument("--run-ts", help="yyyy-mm-ddTHH:MM:SS (default: now, UTC)")
     ap.add_argument("--multiline", action="store_true")
+    ap.add_argument("--n", type=int, default=K.TOP_N, help="rows of the movers and crypto lists")
+    ap.add_argument("--threshold", type=float, default=K.ALERT_THRESHOLD, help="price alert, in percent")
+    ap.add_argument("--bronze-since", help="oldest run id that Silver reads")
+    ap.add_argument("--bronze-csv", nargs="*", default=(), help="folders of CSV snapshots that Silver reads as well")
+    ap.add_argument("--drop-errors-first", action="store_true")
+    ap.add_argument("--export", nargs="*", choices=["csv", "json"], default=())
+    ap.add_argument("--ticks", help="folder of tick messages to stream from (stream job), one per line")
     a = ap.parse_args(argv)
     srcs = {"tout": SOURCES, "yahoo": ("yahoo",), "crypto": ("coingecko", "binance"),
             "boursorama": ("boursorama",)}[a.source]
-    cfg = Config(root=a.root, sources=srcs, multiline=a.multiline)
+    cfg = Config(root=a.root, sources=srcs, multiline=a.multiline, n=a.n, threshold=a.threshold,
+                 drop_errors_first=a.drop_errors_first, bronze_since=a.bronze_since,
+                 bronze_csv=tuple(a.bronze_csv), export=tuple(a.export))
     ts = _dt.datetime.fromisoformat(a.run_ts) if a.run_ts else \
         _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     spark = SparkSession.builder.getOrCreate()
+    if a.job == "stream":
+        if not a.ticks:
+            ap.error("stream needs --ticks")
+        query = stream(spark, cfg, spark.readStream.text(a.ticks))
+        query.awaitTermination()
+        print({"nb_messages": ticks.processed_count(spark, cfg.path("stream"))})
+        return
     fn = {"collect": collect, "silver": silver, "gold": gold, "load": load,
-          "run_all": run_all}.get(a.job)
-    res = fn(spark, cfg, ts) if fn else quality(spark, cfg, ts).collect()
-    print(res)
+          "archive": archive, "run_all": run_all}.get(a.job)
+    print(fn(spark, cfg, ts) if fn else quality(spark, cfg, ts).collect())
 
 
 if __name__ == "__main__":

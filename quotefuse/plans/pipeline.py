@@ -75,12 +75,11 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str) -> str:
         return load_run(spark, root, run_split(clean_rows, run), fixtures.RUN_IDS[run],
                         fixtures.RUN_TS[run])
 
-    # the two runs write disjoint run_id partitions (each job stages its own
-    # output), so they load side by side; then run 0 again: the reload must
-    # replace, not duplicate, its rows
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        [f.result() for f in [pool.submit(one, 0), pool.submit(one, 1)]]
+    # one load after another: stores without atomic renames need not stage two
+    # writers of one directory apart; then run 0 again, which must replace, not
+    # duplicate, its rows
+    one(0)
+    one(1)
     one(0)
     _WAREHOUSES[key] = root
     return root

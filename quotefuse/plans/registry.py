@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from quotefuse import constants as K
 from quotefuse.functions import scalar
 from quotefuse.operators import clean, collect, fuse, kpis, normalize, quality, reports
+from quotefuse.plans import jobs, warehouse
 from quotefuse.plans import pipeline as P
-from quotefuse.plans import warehouse
 from quotefuse.schemas import BRONZE_COLUMNS, NUMERIC_COLUMNS
 from quotefuse.session import scratch_path
 from quotefuse.sources import bronze, fixtures, payloads
@@ -84,39 +84,35 @@ def q_clean_counts(spark, sf):
 
 # --- fusion (J1-J6) -----------------------------------------------------------
 
-def _fused(spark, sf, family=None, all_rows=False):
+def _fused(spark, sf, families=None):
     df = normalize.tickers(_b(spark, sf))
-    out = fuse.fuse(df, "event_id", keep_order=True).drop("event_id")
-    out = out.withColumnRenamed(fuse.ORD, "event_id")
-    if not all_rows:
-        out = fuse.split_by_category(out, family)
-    return clean.cast_types(out, keep=("event_id",))
+    out = fuse.fuse(df, "event_id", keep_order=True, families=families).drop("event_id")
+    return clean.cast_types(out.withColumnRenamed(fuse.ORD, "event_id"), keep=("event_id",))
 
 
 @register("fuse_crypto")
 def q_fuse_crypto(spark, sf):
-    return _fused(spark, sf, "crypto")
+    return _fused(spark, sf, ("crypto",))
 
 
 @register("fuse_equity_fr")
 def q_fuse_equity_fr(spark, sf):
-    return _fused(spark, sf, "action_fr")
+    return _fused(spark, sf, ("action_fr",))
 
 
 @register("fuse_preferred")
 def q_fuse_preferred(spark, sf):
-    a = _fused(spark, sf, "action")
-    return a.unionByName(_fused(spark, sf, "indice"))
+    return _fused(spark, sf, ("action", "indice"))
 
 
 @register("fuse_other")
 def q_fuse_other(spark, sf):
-    return _fused(spark, sf, None)
+    return _fused(spark, sf, (None,))
 
 
 @register("fuse_all")
 def q_fuse_all(spark, sf):
-    return _fused(spark, sf, all_rows=True)
+    return _fused(spark, sf)
 
 
 @register("dedup_first")
@@ -195,9 +191,8 @@ def q_dq_bronze_by_file(spark, sf):
 
 @register("dq_global_status")
 def q_dq_global_status(spark, sf):
-    bronze = quality.report(_dq_input(spark, sf), None, "bronze", by="fichier_source")
-    silver = quality.report(P.silver_ev(spark, sf), "silver", "silver")
-    return quality.global_status(bronze.unionByName(silver))
+    # the summary counts Silver only, so only that layer is built
+    return quality.global_status(quality.report(P.silver_ev(spark, sf), "silver", "silver"))
 
 
 # --- warehouse (K5-K7, A14) ----------------------------------------------------
@@ -351,23 +346,29 @@ def q_parse_fear_greed(spark, sf):
 
 @register("bronze_scan")
 def q_bronze_scan(spark, sf):
-    """bronze_ev landed as two CSV collections with different column orders,
-    then scanned back as Bronze (all text, NA tokens -> NULL, file-tagged)."""
-    b = _b(spark, sf)
+    """bronze_ev landed as CSV files of two column orders in ONE folder, with
+    commas, quotes and line breaks in the names, then scanned back as Bronze
+    (all text, NA tokens -> NULL, file-tagged)."""
+    b = _b(spark, sf).withColumn("nom", _awkward_name())
     root = scratch_path(spark, "landing")
     cols = b.columns
-    P.run_split(b, 0).select(*cols).write.option("header", "true").csv(f"{root}/lot_a")
-    P.run_split(b, 1).select(*reversed(cols)).write.option("header", "true").csv(f"{root}/lot_b")
-    scanned = bronze.scan_bronze(spark, [f"{root}/lot_a", f"{root}/lot_b"])
-    lot = F.element_at(F.split(F.col("_qf_path"), "/"), -2)
+    for run, order in ((0, cols), (1, list(reversed(cols)))):
+        P.run_split(b, run).select(*order).write.mode("append").option("header", "true").option("escape", '"').csv(f"{root}/lots")
+    scanned = bronze.scan_bronze(spark, [f"{root}/lots", f"{root}/absent"])
     num = set(NUMERIC_COLUMNS) | {"event_id"}
     return scanned.select(
-        lot.alias("lot"), F.col("event_id").try_cast("long").alias("event_id"),
+        F.col("event_id").try_cast("long").alias("event_id"),
         *[(F.col(c).try_cast("double") if c in num else F.col(c)).alias(c)
           for c in BRONZE_COLUMNS if c != "fichier_source"],
         F.col("fichier_source").endswith(".csv").alias("fichier_csv"))
 
 
+def _awkward_name():
+    e, n = F.col("event_id"), F.col("nom")
+    return (F.when(e % 3 == 0, F.concat(n, F.lit(', dit "le gros"'))).when(e % 3 == 1, F.concat(n, F.lit("\nsuite")))
+            .otherwise(n))
+
+
 # --- collection (U1, U2, A4, A5, P13) ----------------------------------------------
 
 def _source_frames(spark, sf):
@@ -456,3 +457,69 @@ def q_tick_alerts(spark, sf):
 @register("tick_daily_counts")
 def q_tick_daily_counts(spark, sf):
     return ticks.daily_counts(_ticks(spark, sf))
+
+
+# --- large values, empty reloads, chart orderings, archive counts -------------------
+
+@register("round_large")
+def q_round_large(spark, sf):
+    """ROUND on values up to 1e18, at 0 to 4 decimals."""
+    e = fixtures.events(spark, sf)
+    x = F.col("value") * F.pow(F.lit(10.0), (F.col("event_id") % 17).cast("double"))
+    return e.select("event_id", *[scalar.round_half_away(x, n).alias(f"r{n}") for n in range(5)])
+
+
+@register("dw_reload_empty")
+def q_dw_reload_empty(spark, sf):
+    """Two runs of alerts loaded, the first one again without a row: what is left per run."""
+    root = scratch_path(spark, "reload")
+    rows = kpis.alerts(P.clean_ev(spark, sf), sort=False)
+    for run, ts in zip(fixtures.RUN_IDS, fixtures.RUN_TS):
+        warehouse.load_table(rows, root, "alertes_prix", run, ts)
+    warehouse.load_table(rows.limit(0), root, "alertes_prix", fixtures.RUN_IDS[0], fixtures.RUN_TS[0])
+    return warehouse.read_table(spark, root, "alertes_prix").groupBy(warehouse.RUN_COL).agg(F.count(F.lit(1)).alias("nb"))
+
+
+@register("report_chart_gainers")
+def q_chart_gainers(spark, sf):
+    return reports.gainers_chart(spark, _wh(spark, sf)).select("ticker", "variation_pct", warehouse.RUN_COL)
+
+
+@register("report_chart_losers")
+def q_chart_losers(spark, sf):
+    return reports.losers_chart(spark, _wh(spark, sf)).select("ticker", "variation_pct", warehouse.RUN_COL)
+
+
+@register("report_chart_alerts")
+def q_chart_alerts(spark, sf):
+    return reports.alerts_chart(spark, _wh(spark, sf)).select("ticker", "variation_pct", warehouse.RUN_COL)
+
+
+@register("report_chart_cryptos")
+def q_chart_cryptos(spark, sf):
+    return reports.crypto_by_volume(spark, _wh(spark, sf)).select("ticker", "volume", warehouse.RUN_COL)
+
+
+@register("fear_greed_collect")
+def q_fear_greed_collect(spark, sf):
+    """The index payloads landed as lines and collected as a run's snapshot."""
+    root = scratch_path(spark, "fear-greed")
+    fixtures.fear_greed_payloads(spark, sf).select("payload").write.text(f"{root}/landing/fear_greed")
+    jobs.fear_greed(spark, jobs.Config(root=root), fixtures.SNAPSHOT_TS)
+    return spark.read.parquet(f"{root}/bronze/fear_greed_latest").groupBy("fear_greed_valeur", "fear_greed_label").agg(
+        F.count(F.lit(1)).alias("nb"))
+
+
+@register("archive_counts")
+def q_archive_counts(spark, sf):
+    """Two snapshots archived under the run's day, a third one absent: the
+    archive's rows and the counts of the step."""
+    root = scratch_path(spark, "archive-run")
+    rows = P.clean_ev(spark, sf)
+    for run in (0, 1):
+        P.run_split(rows, run).write.parquet(f"{root}/zone/run{run}")
+    done = warehouse.archive_files(spark, [f"{root}/zone/run{i}" for i in range(3)], f"{root}/archive", fixtures.SNAPSHOT_TS)
+    kept = spark.read.option("recursiveFileLookup", "true").schema(rows.schema).parquet(
+        f"{root}/archive/{fixtures.SNAPSHOT_TS:%Y/%m/%d}")
+    return kept.agg(F.count(F.lit(1)).alias("nb_lignes")).select(
+        "nb_lignes", *[F.lit(v).cast("long").alias(k) for k, v in done.items()])

@@ -1,9 +1,10 @@
 """Zones and warehouse: partitioned Parquet, idempotent per run.
 
 Every table is a directory partitioned by ``run_id``; a load overwrites only
-its own run's partition (dynamic partition overwrite), so re-running a run
-leaves the same rows instead of duplicating them. Row counts come from
-``observe`` during the write — no second pass.
+its own run's partition (dynamic partition overwrite). That overwrite touches
+no partition when the result is empty, so a run that wrote no row has its
+partition removed: re-running a run leaves exactly its new rows, also none.
+Row counts come from ``observe`` during the write — no second pass.
 """
 
 from __future__ import annotations
@@ -11,11 +12,13 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotefuse import constants as K
-from quotefuse.functions.scalar import day_path, ts_lit
+from quotefuse.functions.scalar import day_path, now_utc, ts_lit
 from quotefuse.schemas import GOLD_COLUMNS, HISTORY_COLUMNS, dw_type, struct
 
 RUN_COL, LOADED_COL = "run_id", "inserted_at"
@@ -27,20 +30,38 @@ def table_columns(table: str) -> tuple[str, ...]:
 
 def table_schema(table: str):
     cols = [(c, dw_type(c)) for c in table_columns(table)]
-    from pyspark.sql import types as T
     return struct(*cols, (LOADED_COL, T.TimestampNTZType()), (RUN_COL, T.StringType()))
 
 
 def gold_schema(table: str, with_run: bool = True):
     """Schema of a Gold zone table (the KPI columns, plus ``run_id``)."""
-    from pyspark.sql import types as T
     cols = [(c, dw_type(c)) for c in GOLD_COLUMNS[table]]
     return struct(*cols, *([(RUN_COL, T.StringType())] if with_run else []))
 
 
-def _write_run(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(RUN_COL).parquet(path))
+def _fs(spark: SparkSession, path: str):
+    """(file system, path) of any Hadoop path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001 - directories only
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def write_run(df: DataFrame, path: str, run_id: str) -> int:
+    """Replaces one run of a partitioned directory with ``df`` (which holds
+    ``run_id`` in every row); returns the rows written."""
+    obs = Observation("write_run")
+    (df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(RUN_COL).parquet(path))
+    n = int(obs.get.get("n", 0))
+    if n == 0:
+        fs, p = _fs(df.sparkSession, f"{path}/{RUN_COL}={run_id}")
+        if fs.exists(p):
+            fs.delete(p, True)
+    return n
 
 
 def create_tables(spark: SparkSession, root: str, tables=K.DW_TABLES) -> None:
@@ -49,21 +70,36 @@ def create_tables(spark: SparkSession, root: str, tables=K.DW_TABLES) -> None:
     An empty partitioned Parquet write leaves only ``_SUCCESS`` (no schema),
     so a directory is the same table; the types live in ``table_schema`` and
     every read applies them (``read_table``)."""
-    jvm_fs = spark._jvm.org.apache.hadoop.fs  # noqa: SLF001 - directories only
-    conf = spark._jsc.hadoopConfiguration()  # noqa: SLF001
     for t in tables:
-        p = jvm_fs.Path(f"{root}/{t}")
-        fs = p.getFileSystem(conf)
+        fs, p = _fs(spark, f"{root}/{t}")
         if not fs.exists(p):
             fs.mkdirs(p)
 
 
+def read_zone(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet directory with its schema; empty if the path does not exist.
+    Every other failure to read is an error."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Whole table; a missing table reads as empty with its schema (S3)."""
-    try:
-        return spark.read.schema(table_schema(table)).parquet(f"{root}/{table}")
-    except Exception:  # noqa: BLE001 - absent path
-        return spark.createDataFrame([], table_schema(table))
+    return read_zone(spark, f"{root}/{table}", table_schema(table))
+
+
+def latest_run(spark: SparkSession, root: str, table: str) -> str | None:
+    """Newest run id, from the names of the table's partitions: no file is opened."""
+    fs, p = _fs(spark, f"{root}/{table}")
+    if not fs.exists(p):
+        return None
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    runs = [n.split("=", 1)[1] for n in names if n.startswith(f"{RUN_COL}=")]
+    return max(runs, default=None)
 
 
 def _prepare(df: DataFrame, table: str, run_id: str, run_ts: _dt.datetime) -> DataFrame:
@@ -79,17 +115,15 @@ def _prepare(df: DataFrame, table: str, run_id: str, run_ts: _dt.datetime) -> Da
             cols.append(x.alias(c))
         else:
             cols.append(F.lit(None).cast(t).alias(c))
-    return df.select(*cols, ts_lit(run_ts).alias(LOADED_COL),
-                     F.lit(run_id).alias(RUN_COL))
+    out = df.select(*cols, ts_lit(run_ts).alias(LOADED_COL), F.lit(run_id).alias(RUN_COL))
+    # the history is read by ticker: sorted files let row-group statistics prune it
+    return out.sortWithinPartitions("ticker") if table == K.HISTORY_TABLE else out
 
 
 def load_table(df: DataFrame, root: str, table: str, run_id: str,
                run_ts: _dt.datetime) -> int:
     """Append one run of a table idempotently; returns the rows written (K5, K6)."""
-    obs = Observation(f"load_{table}")
-    _write_run(_prepare(df, table, run_id, run_ts).observe(obs, F.count(F.lit(1)).alias("n")),
-               f"{root}/{table}")
-    return int(obs.get.get("n", 0))
+    return write_run(_prepare(df, table, run_id, run_ts), f"{root}/{table}", run_id)
 
 
 def load(spark: SparkSession, root: str, silver: DataFrame, gold: Mapping[str, DataFrame],
@@ -102,19 +136,25 @@ def load(spark: SparkSession, root: str, silver: DataFrame, gold: Mapping[str, D
     return counts
 
 
-def save_snapshot(df: DataFrame, zone: str, name: str, run_id: str, sort_by=None) -> None:
+def save_snapshot(df: DataFrame, zone: str, name: str, run_id: str, sort_by=None,
+                  export: tuple[str, ...] = ()) -> int:
     """Zone snapshot: run-partitioned history plus an always-overwritten
     ``latest`` (K1-K3; an empty result still replaces latest, D7). The plan
     is evaluated once: ``latest`` is copied from the written partition, and
-    only that copy is sorted (``sort_by``)."""
+    only that copy is sorted (``sort_by``). ``export`` names further formats
+    of ``latest`` ('csv', 'json'). Returns the rows written."""
     tagged = df.withColumn(RUN_COL, F.lit(run_id))
-    _write_run(tagged, f"{zone}/{name}")
+    n = write_run(tagged, f"{zone}/{name}", run_id)
     # explicit schema: an empty run writes no partition files to infer from
-    written = (df.sparkSession.read.schema(tagged.schema).parquet(f"{zone}/{name}")
+    written = (read_zone(df.sparkSession, f"{zone}/{name}", tagged.schema)
                .where(F.col(RUN_COL) == F.lit(run_id)).drop(RUN_COL))
     if sort_by:
         written = written.orderBy(*sort_by)
     written.write.mode("overwrite").parquet(f"{zone}/{name}_latest")
+    for kind in export:
+        out = written.write.mode("overwrite")
+        (out.option("header", "true").option("escape", '"') if kind == "csv" else out).format(kind).save(f"{zone}/{name}_latest_{kind}")
+    return n
 
 
 def archive(df: DataFrame, root: str, run_ts: _dt.datetime | None = None,
@@ -126,9 +166,25 @@ def archive(df: DataFrame, root: str, run_ts: _dt.datetime | None = None,
     Returns the archive read back.
     """
     if ts_col is None:
-        ts_col = ts_lit(run_ts) if run_ts is not None else F.current_timestamp()
+        ts_col = ts_lit(run_ts) if run_ts is not None else now_utc()
     parts = F.split(day_path(ts_col), "/")
     out = df.select("*", parts[0].alias("annee"), parts[1].alias("mois"), parts[2].alias("jour"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("annee", "mois", "jour").parquet(root))
-    return df.sparkSession.read.parquet(root)
+    # explicit schema: an archive of no rows leaves no file to infer from
+    days = [T.StructField(c, T.IntegerType()) for c in ("annee", "mois", "jour")]
+    return read_zone(df.sparkSession, root, T.StructType([*df.schema.fields, *days]))
+
+
+def archive_files(spark: SparkSession, paths: list[str], root: str, run_ts: _dt.datetime) -> dict[str, int]:
+    """Archives the Parquet directories of a run below root/<day>/<name> (K10);
+    counts what could and could not be archived."""
+    done = {"nb_ok": 0, "nb_erreurs": 0}
+    for path in paths:
+        try:
+            spark.read.parquet(path).write.mode("overwrite").parquet(
+                f"{root}/{run_ts:%Y/%m/%d}/{path.rstrip('/').rsplit('/', 1)[-1]}")
+            done["nb_ok"] += 1
+        except AnalysisException:  # absent, or no file to read a schema from
+            done["nb_erreurs"] += 1
+    return done

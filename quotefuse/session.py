@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -39,8 +38,9 @@ def build_session(master: str = "local[8]", app: str = "quotefuse",
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared scratch area the cluster names in spark.checkpoint.dir.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    directory is created and registered as the checkpoint dir.
+    Read from the session. Only a local session without one gets a fresh
+    temporary folder; on a cluster that would be each machine's own disk, so
+    there the setting is required.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d and not spark.sparkContext.getCheckpointDir():
@@ -48,6 +48,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines share (master {master})")
         d = tempfile.mkdtemp(prefix="quotefuse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)
@@ -57,16 +60,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
     return f"{shared_dir(spark)}/quotefuse/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(local_os_path(path)) or ".", exist_ok=True)

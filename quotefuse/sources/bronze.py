@@ -1,47 +1,100 @@
 """Bronze scan of landed CSV snapshots.
 
-Files are read all-STRING (no inference pass, no wrong type for an all-NULL
-column), one *header group* per read — Spark aligns CSV columns by position,
-so files with different headers must not share a read — then aligned by name
-with ``unionByName(allowMissingColumns=True)``. Each row is tagged with its
-file name; pandas' default missing-value tokens become NULL.
+Spark aligns CSV columns by position, so files with different headers must not
+share a read. One distributed pass takes the first line of every file; files
+are grouped by it, each group is read all-STRING under its own header (no
+inference pass, no wrong type for an all-NULL column; line breaks, commas and
+doubled quotes inside quoted text), and the groups are aligned by name with
+``unionByName(allowMissingColumns=True)``. Each row is tagged with its file
+name; pandas' default missing-value tokens become NULL. A file without a
+readable first line is skipped; ``skipped_files`` names it.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotefuse import constants as K
+from quotefuse.schemas import RAW_QUOTE
 
+FILE_COL, PATH_COL = "fichier_source", "_qf_path"
 
-def _header(spark: SparkSession, path: str) -> list[str]:
-    """Column names of one header group (reads only the first line)."""
-    first = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
-    return first.columns
 
+def _present(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """The paths that exist."""
+    out = []
+    for p in paths:
+        fp = spark._jvm.org.apache.hadoop.fs.Path(p)  # noqa: SLF001
+        if fp.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(fp):  # noqa: SLF001
+            out.append(p)
+    return out
+
+
+def headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path and first line of every file with a readable one."""
+    lines = (spark.read.option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").text(paths)
+             .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+             .where(F.col("at") == 0))
+    # a file's first split is read in order by one task, so its first row has the least id
+    first = lines.withColumn("id", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "id").alias("line"))
+    return first.select("path", F.regexp_replace("line", "^\ufeff|\r$", "").alias("line")).where(F.col("line") != "")
+
+
+def column_names(line: str) -> list[str]:
+    """Names in a header line; a repeated name gets a number (as pandas does)."""
+    out: list[str] = []
+    for i, name in enumerate(next(csv.reader([line]))):
+        name, n = name.strip() or f"Unnamed: {i}", 0
+        while (tag := f"{name}.{n}" if n else name) in out:
+            n += 1
+        out.append(tag)
+    return out
 
-def scan_group(spark: SparkSession, path: str, na_tokens: Iterable[str] = K.PANDAS_NA_TOKENS,
-               columns: list[str] | None = None) -> DataFrame:
-    """One header group (a directory or glob of same-header CSVs)."""
-    cols = columns or _header(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+
+def scan_group(spark: SparkSession, paths: list[str] | str, columns: list[str],
+               na_tokens: Iterable[str] = K.PANDAS_NA_TOKENS) -> DataFrame:
+    """Files that share one header."""
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
     df = (spark.read.schema(schema).option("header", "true").option("encoding", "UTF-8")
-          .option("mode", "PERMISSIVE").csv(path))
+          .option("multiLine", "true").option("quote", '"').option("escape", '"').option("enforceSchema", "true")
+          .option("ignoreCorruptFiles", "true").option("mode", "PERMISSIVE").csv(paths))
     tokens = list(na_tokens)
-    clean = [F.when(F.col(c).isin(*tokens), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-             for c in cols if c != "fichier_source"]
-    return df.select(*clean, F.col("_metadata.file_name").alias("fichier_source"),
-                     F.col("_metadata.file_path").alias("_qf_path"))
+    clean = [F.when(F.col(f"`{c}`").isin(*tokens), F.lit(None).cast("string")).otherwise(F.col(f"`{c}`")).alias(c)
+             for c in columns if c != FILE_COL]
+    return df.select(*clean, F.col("_metadata.file_name").alias(FILE_COL), F.col("_metadata.file_path").alias(PATH_COL))
 
 
-def scan_bronze(spark: SparkSession, paths: Iterable[str]) -> DataFrame | None:
-    """Union of header groups, columns aligned by name; None when no input."""
+def scan_bronze(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """Every CSV file below ``paths``, columns aligned by name; without any
+    readable file an empty frame with the quote columns as text."""
+    there = _present(spark, paths)
+    groups = headers(spark, there).groupBy("line").agg(
+        F.sort_array(F.collect_list("path")).alias("paths")).orderBy("line").collect() if there else []
     out = None
-    for p in paths:
-        g = scan_group(spark, p)
-        out = g if out is None else out.unionByName(g, allowMissingColumns=True)
+    for g in groups:
+        part = scan_group(spark, [unquote(p) for p in g["paths"]], column_names(g["line"]))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        names = [f.name for f in RAW_QUOTE.fields if f.name != FILE_COL] + [FILE_COL, PATH_COL]
+        out = spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
     return out
+
+
+def skipped_files(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Files that the scan leaves out: empty, or without a readable first line."""
+    there = _present(spark, paths)
+    if not there:
+        return []
+
+    def plain(p: str) -> str:
+        return unquote(p).replace("file:///", "file:/")
+
+    seen = {plain(r["path"]) for r in headers(spark, there).select("path").toLocalIterator()}
+    listed = spark.read.option("recursiveFileLookup", "true").text(there).inputFiles()
+    return sorted(p for p in map(plain, listed) if p not in seen)

@@ -23,21 +23,7 @@ RUN_TS = (_dt.datetime(2024, 1, 14, 23, 59, 59), _dt.datetime(2024, 1, 31, 23, 5
 SNAPSHOT_TS = _dt.datetime(2024, 1, 31, 12, 0, 0)
 
 
-_LANDED: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """The adapter output written once per application to the shared folder
-    (the Bronze zone), then read back by every query: the whole table, no
-    recomputation of the lag per query, and nothing lost with an executor."""
-    from quotefuse.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    df = _LANDED.get(key)
-    if df is None:
-        path = scratch_path(spark, f"landed-{name}")
-        build().write.parquet(path)
-        df = _LANDED[key] = spark.read.parquet(path)
-    return df
+_PLANS: dict[tuple[str, str], DataFrame] = {}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,11 +38,8 @@ def _txt(c: Column) -> Column:
 def bronze_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped quotes: text prices with junk, error rows, NULL tickers,
     unknown categories and currencies, high-below-low rows, variations beyond
-    +-100. ``event_id`` is the explicit fusion order. Landed once per app."""
-    return landed(spark, sf_dir, "bronze_ev", lambda: build_bronze_ev(spark, sf_dir))
-
-
-def build_bronze_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    +-100. ``event_id`` is the explicit fusion order. A lazy plan: a query that
+    does not use the previous close has no window in it."""
     ev = quote_events(spark, sf_dir)
     eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
     v, prev, ts_txt = F.col("value"), F.col("prev"), _txt(F.col("ts"))
@@ -106,10 +89,12 @@ def raw_alias_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- provider payloads built from events (one landed item per event) --------
 
 def quote_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events + previous value of the same user (the fixture's prior close),
-    landed once per app."""
-    return landed(spark, sf_dir, "quote_events", lambda: lag_by_key(
-        events(spark, sf_dir), "user_id", ["ts", "event_id"], "value", "prev"))
+    """events + previous value of the same user (the fixture's prior close).
+    Only the plan is kept per application, as building it counts rows per key."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PLANS:
+        _PLANS[key] = lag_by_key(events(spark, sf_dir), "user_id", ["ts", "event_id"], "value", "prev")
+    return _PLANS[key]
 
 
 def _var() -> Column:
@@ -178,12 +163,14 @@ def yahoo_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def yahoo_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(ticker, categorie) requested per user — a distinct over events."""
+    """(ticker, categorie) requested per user — a distinct over events. Every
+    41st user is not on the list, so its records have an unknown ticker."""
     uid = F.col("user_id")
     ticker = F.concat(F.lit("T"), _txt(uid), F.when(uid % 5 == 1, F.lit(".PA")).otherwise(F.lit("")))
     cat = (F.when(uid % 5 == 0, "crypto").when(uid % 5 == 1, "action_fr")
            .when(uid % 5 == 2, "action").when(uid % 5 == 3, "indice").otherwise("fonds"))
-    return events(spark, sf_dir).select(ticker.alias("ticker"), cat.alias("categorie")).distinct()
+    listed = events(spark, sf_dir).where(uid % 41 != 0)
+    return listed.select(ticker.alias("ticker"), cat.alias("categorie")).distinct()
 
 
 def fear_greed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

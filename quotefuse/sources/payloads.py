@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotefuse import constants as K
-from quotefuse.functions.scalar import (pct_change, run_text, to_double, to_long, truthy_num,
+from quotefuse.functions.scalar import (now_utc, pct_change, run_text, to_double, to_long, truthy_num,
                                          ts_lit)
 from quotefuse.schemas import RAW_QUOTE
 
@@ -51,7 +51,7 @@ FEAR_GREED = T.StructType([T.StructField("data", T.ArrayType(
 
 def _now(run_ts: _dt.datetime | Column | None) -> Column:
     if run_ts is None:
-        return run_text(F.current_timestamp())
+        return run_text(now_utc())
     return run_text(run_ts if isinstance(run_ts, Column) else ts_lit(run_ts))
 
 
@@ -62,9 +62,24 @@ def conform(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
                               .alias(f.name) for f in RAW_QUOTE.fields])
 
 
-def read_json_items(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Landed JSON (top-level array or JSON lines) -> one row per item."""
-    return spark.read.schema(schema).option("multiLine", "true").json(path)
+CORRUPT = "_qf_corrupt"
+
+
+def read_landed(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """Landed JSON (lines, or with ``multiline`` top-level arrays) -> one row
+    per item; text that cannot be read is kept in ``CORRUPT``."""
+    return (spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, S)]))
+            .option("multiLine", str(multiline).lower()).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+
+
+def unreadable(items: DataFrame, symbol_col: str, source: str, run_ts=None) -> DataFrame:
+    """Error rows of the items that could not be read."""
+    return conform(items.where(F.col(CORRUPT).isNotNull()).select(
+        F.col(symbol_col).alias("ticker"), F.lit(source).alias("source"),
+        F.lit(K.STATUS_ERROR).alias("statut"),
+        F.concat(F.lit(K.MSG_JSON), F.substring(CORRUPT, 1, 200)).alias("erreur_msg"),
+        _now(run_ts).alias("collecte_le")))
 
 
 def items_from_text(df: DataFrame, text_col: str, schema: T.StructType) -> DataFrame:
@@ -142,7 +157,7 @@ def parse_boursorama(df: DataFrame, symbol_col: str = "symbole", text_col: str =
     qd_empty = qd.isNull() | F.coalesce(*[qd[f] for f in ("d", "o", "h", "l", "c", "v")]).isNull()
     blank = raw.isNull() | F.trim(raw).isin("", "[]", "{}", "null") | F.trim(raw).startswith("[")
     err = (F.when(blank, F.lit(K.MSG_BOURSO_EMPTY))
-           .when(d.isNull(), F.lit(K.MSG_BOURSO_NO_D))
+           .when(d.isNull(), F.concat(F.lit(K.MSG_BOURSO_NO_D + " : "), F.substring(raw, 1, 200)))
            .when(qd_empty, F.lit(K.MSG_BOURSO_NO_QD)))
     prix, prev = to_double(qd["c"]), to_double(qv["c"])
     ok = err.isNull()
@@ -170,8 +185,9 @@ def parse_yahoo(records: DataFrame, dim: DataFrame, run_ts=None,
                 keep: tuple[str, ...] = ()) -> DataFrame:
     """Quote records joined to the (ticker, categorie) list they were
     requested from (S7); a record with ``error`` set is an error row that
-    keeps its category."""
-    r = records.join(dim.select("ticker", "categorie"), "ticker", "inner")
+    keeps its category. A ticker outside the list keeps its row with a NULL
+    category (it fuses with the unknown categories)."""
+    r = records.join(dim.select("ticker", "categorie"), "ticker", "left")
     prix, prev = to_double("last_price"), to_double("previous_close")
     ok = F.col("error").isNull()
     out = r.select(

@@ -2,20 +2,22 @@
 
 All stream operators are stateless projections/filters, so the same
 functions serve a static DataFrame (tests, backfills) and a streaming one.
-The persisted output is written per micro-batch through ``foreachBatch``
-into partitions keyed by (jour, batch_id) with dynamic overwrite: a batch
-replayed after a failure rewrites its own partitions, so the two sinks
-(ticks and alerts) stay exactly-once together with the checkpoint.
+Ticks and alerts go to two file sinks partitioned by UTC day. A file sink's own
+log names the files of every committed micro-batch, so a batch replayed after a
+failure does not appear twice, a reader sees whole batches only, and there is
+one directory a day however many batches run.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quotefuse import constants as K
-from quotefuse.functions.scalar import day_stamp, iso_text
+from quotefuse.functions.scalar import iso_text, now_utc
 from quotefuse.schemas import TICK, TICK_COLUMNS, TICK_ENVELOPE
 
 _REQUIRED = ("c", "P", "v", "h", "l", "o")
@@ -27,11 +29,11 @@ def parse_ticks(df: DataFrame, value_col: str = "value", ts: Column | None = Non
     The payload is the ``data`` object of an envelope, or the message itself;
     only 24h-ticker events are kept; a message with any required field
     missing or not numeric is dropped (that message only). ``ts`` is the
-    event time to stamp (default: processing time, as the producer does).
+    event time to stamp (default: processing time in UTC, as the producer does).
     """
     msg = F.from_json(F.col(value_col).cast("string"), TICK_ENVELOPE)
     tick = F.coalesce(msg["data"], F.struct(*[msg[f].alias(f) for f in ("e", "s", "c", "P", "v", "h", "l", "o")]))
-    stamp = iso_text(ts if ts is not None else F.current_timestamp())
+    stamp = iso_text(ts if ts is not None else now_utc())
     t = df.select(tick.alias("t"), stamp.alias("timestamp"))
     nums = {f: F.col(f"t.{f}").try_cast("double") for f in _REQUIRED}
     out = t.where(F.col("t.e") == K.TICK_EVENT).select(
@@ -64,7 +66,7 @@ def alerts(ticks: DataFrame, threshold: float = K.ALERT_THRESHOLD) -> DataFrame:
 
 def with_day(ticks: DataFrame) -> DataFrame:
     """UTC day of the tick stamp, 'yyyyMMdd' (K9 file-per-day)."""
-    return ticks.withColumn("jour", day_stamp(F.to_timestamp(F.col("timestamp"))))
+    return ticks.withColumn("jour", F.replace(F.substring("timestamp", 1, 10), F.lit("-"), F.lit("")))
 
 
 def arrow(ticks: DataFrame) -> DataFrame:
@@ -77,33 +79,45 @@ def daily_counts(ticks: DataFrame) -> DataFrame:
     return with_day(ticks).groupBy("jour").agg(F.count(F.lit(1)).alias("nb_ticks"))
 
 
-def write_batch(batch: DataFrame, batch_id: int, out: str,
-                threshold: float = K.ALERT_THRESHOLD) -> None:
-    """Both sinks of one micro-batch, idempotent on replay."""
-    ticks = with_day(batch).withColumn("batch_id", F.lit(batch_id)).persist()
-    try:
-        (ticks.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("jour", "batch_id").parquet(f"{out}/ticks"))
-        (with_day(alerts(ticks, threshold)).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("jour", "batch_id").parquet(f"{out}/alertes"))
-    finally:
-        ticks.unpersist()
+@dataclass
+class TickStream:
+    """The two queries of a stream job."""
+    ticks: StreamingQuery
+    alerts: StreamingQuery
+
+    def awaitTermination(self) -> None:  # noqa: N802 - as a StreamingQuery
+        self.ticks.awaitTermination()
+        self.alerts.awaitTermination()
+
+    def processAllAvailable(self) -> None:  # noqa: N802
+        self.ticks.processAllAvailable()
+        self.alerts.processAllAvailable()
+
+    def stop(self) -> None:
+        self.ticks.stop()
+        self.alerts.stop()
+
+
+def _sink(df: DataFrame, out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+    return (with_day(df).writeStream.format("parquet").partitionBy("jour").outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(**trigger).start(out))
 
 
 def start(spark: SparkSession, source: DataFrame, out: str, checkpoint: str,
-          trigger: dict | None = None, ts: Column | None = None) -> StreamingQuery:
+          trigger: dict | None = None, ts: Column | None = None,
+          threshold: float = K.ALERT_THRESHOLD) -> TickStream:
     """readStream (Kafka or file source with a ``value`` column) -> parse ->
-    foreachBatch{ticks, alerts}. Kafka: ``spark.readStream.format('kafka')
+    day files of ticks and of alerts (R3, R4, K9), each with its own part of
+    the checkpoint. Kafka: ``spark.readStream.format('kafka')
     .option('subscribe', 'crypto-prices').option('startingOffsets', 'latest')``
     (the connector jar must be on the classpath)."""
+    trigger = trigger or {"availableNow": True}
     parsed = parse_ticks(source, ts=ts)
-    w = parsed.writeStream.foreachBatch(lambda b, i: write_batch(b, i, out)).option(
-        "checkpointLocation", checkpoint)
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    return TickStream(_sink(parsed, f"{out}/ticks", f"{checkpoint}/ticks", trigger),
+                      _sink(alerts(parsed, threshold), f"{out}/alertes", f"{checkpoint}/alertes", trigger))
 
 
-def processed_count(query: StreamingQuery) -> int:
-    """Messages consumed so far, from the query's progress reports."""
-    return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))
+def processed_count(spark: SparkSession, out: str) -> int:
+    """Ticks processed so far, over all batches and restarts (R5): the rows
+    that the sink's log names, counted from the files' footers."""
+    return spark.read.schema(TICK).parquet(f"{out}/ticks").count()

@@ -177,7 +177,7 @@ def test_boursorama_payload_cases(spark):
     out = {r.ticker: r for r in payloads.parse_boursorama(df).collect()}
     assert (out["1rPBN"].variation_pct, out["1rPBN"].volume, out["1rPBN"].statut) == (20.0, 1000, "succes")
     assert out["1rPX"].erreur_msg == K.MSG_BOURSO_EMPTY and out["1rPX"].categorie is None
-    assert out["1rPY"].erreur_msg == K.MSG_BOURSO_NO_D
+    assert out["1rPY"].erreur_msg.startswith(K.MSG_BOURSO_NO_D + " : {")
     assert out["1rPZ"].erreur_msg == K.MSG_BOURSO_NO_QD
 
 

@@ -2,6 +2,7 @@
 import __spark_entry__ as E
 from quotefuse.operators import fuse, kpis
 from quotefuse.plans import pipeline as P
+from quotefuse.session import scratch_path
 
 
 def _plan(df):
@@ -37,21 +38,14 @@ def test_topk_uses_take_ordered(spark, sf_small):
 
 
 def test_no_python_evaluation_anywhere(spark, sf_small):
-    for name, q in E.queries().items():
+    from quotefuse.plans.registry import REGISTRY
+    for name, q in REGISTRY.items():
         plan = _plan(q(spark, sf_small))
         for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
                      "PythonUDF"):
             assert node not in plan, (name, node)
 
 
-def test_parquet_pushdown_and_pruning(spark, sf_small):
-    from pyspark.sql import functions as F
-    df = spark.read.parquet(f"{sf_small}/events.parquet").where(F.col("user_id") == 3).select("value")
-    plan = _plan(df)
-    assert "PushedFilters: [IsNotNull(user_id), EqualTo(user_id,3)]" in plan
-    assert "ReadSchema: struct<user_id:bigint,value:double>" in plan
-
-
 def test_latest_run_report_prunes_partitions(spark, sf_small):
     from quotefuse.operators import reports
     root = P.fixture_warehouse(spark, sf_small)
@@ -93,3 +87,46 @@ def test_lag_with_hot_key_windows_all_rows_once(spark):
                                          broadcast_rows=0))
     # fallback above the bound: the window output feeds three branches
     assert big.count("Window [") == 4
+
+
+def test_queries_without_the_previous_close_have_no_window(spark, sf_small):
+    from quotefuse.plans.registry import REGISTRY
+    for key in ("map_tickers", "dq_duplicates", "collect_summary", "normalize_currency"):
+        assert "Window [" not in _static_plan(spark, REGISTRY[key](spark, sf_small)), key
+
+
+def test_family_filter_is_below_the_fusion(spark, sf_small):
+    from quotefuse.plans.registry import REGISTRY
+    for key in ("fuse_crypto", "fuse_preferred"):
+        plan = _static_plan(spark, REGISTRY[key](spark, sf_small))
+        bottom = plan[plan.rindex("Aggregate("):]
+        assert "Filter" in bottom and plan.count("(key=[_qf_cat") == 2, key
+
+
+def test_snapshot_reads_silver_once(spark):
+    from quotefuse.operators import kpis
+    path = scratch_path(spark, "silver")
+    spark.range(1000).selectExpr("cast(id % 37 as double) as variation_pct").write.parquet(path)
+    plan = _static_plan(spark, kpis.snapshot(spark.read.parquet(path)))
+    assert plan.count("FileScan parquet") - plan.count("ReusedExchange") <= 1
+
+
+def test_hot_null_key_is_chunked(spark):
+    from quotefuse.operators.sequence import lag_by_key
+    df = spark.createDataFrame([(i, None if i % 3 else i % 5, i // 2, float(i)) for i in range(300)],
+                               "id long, k long, t long, v double")
+    got = {r["id"]: r["prev"] for r in lag_by_key(df, "k", ["t", "id"], "v", "prev", hot_rows=50, chunks=4).collect()}
+    last = {}
+    for i in range(300):
+        k = None if i % 3 else i % 5
+        assert got[i] == last.get(k, None)
+        last[k] = float(i)
+    plan = _static_plan(spark, lag_by_key(df, "k", ["t", "id"], "v", "prev", hot_rows=50, chunks=4))
+    assert "coalesce(k#" in plan  # the chunk join is null-safe
+
+
+def test_latest_run_needs_no_job(spark, sf_small):
+    from quotefuse.plans import warehouse
+    root = P.fixture_warehouse(spark, sf_small)
+    assert warehouse.latest_run(spark, root, "alertes_prix") == "20240131_235959"
+    assert warehouse.latest_run(spark, root, "absent") is None

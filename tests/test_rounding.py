@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from quotefuse.functions.scalar import round_half_away
 
-_floats = st.floats(min_value=-1e9, max_value=1e9, allow_nan=False, allow_infinity=False)
+_floats = st.one_of(st.floats(min_value=-1e9, max_value=1e9, allow_nan=False, allow_infinity=False),
+                    st.floats(min_value=-1e19, max_value=1e19, allow_nan=False, allow_infinity=False),
+                    st.builds(lambda m, e: m * 10.0**e, st.floats(min_value=-10, max_value=10), st.integers(8, 18)))
 _ties = st.integers(min_value=-10**7, max_value=10**7).map(lambda i: i / 1000 + 0.0005)
 
 

@@ -19,10 +19,9 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, sf_small):
     ts = F.col("timestamp")
     q = ticks.start(spark, src, out, ckpt, ts=ts)
     q.awaitTermination()
-    assert ticks.processed_count(q) == msgs.count()
     batch = ticks.parse_ticks(spark.read.parquet(land), ts=ts)
-    got = spark.read.parquet(f"{out}/ticks").drop("batch_id", "jour")
-    assert got.count() == batch.count()
+    got = spark.read.parquet(f"{out}/ticks").drop("jour")
+    assert got.count() == batch.count() == ticks.processed_count(spark, out)
     assert got.exceptAll(batch).count() == 0
     n_alerts = spark.read.parquet(f"{out}/alertes").count()
     assert n_alerts == ticks.alerts(batch).count()
@@ -31,11 +30,36 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, sf_small):
     assert spark.read.parquet(f"{out}/ticks").count() == batch.count()
 
 
-def test_replayed_batch_overwrites_itself(spark):
-    out = scratch_path(spark, "replay")
-    df = spark.createDataFrame([("A", 1.0, 1.0, 1.0, 1.0, 1.0, 3.0, "s", "c", "2024-01-02T00:00:00.000000")],
-                               "ticker string, prix double, prix_ouv double, prix_haut double, prix_bas double, volume double, variation_pct double, source string, categorie string, timestamp string")
-    ticks.write_batch(df, 5, out)
-    ticks.write_batch(df, 5, out)
-    assert spark.read.parquet(f"{out}/ticks").count() == 1
-    assert spark.read.parquet(f"{out}/alertes").count() == 1
+def test_count_is_not_limited_to_recent_progress(spark):
+    """More batches than a query keeps progress reports of; one directory a day."""
+    msg = '{"e": "24hrTicker", "s": "A", "c": "%d", "P": "3", "v": "1", "h": "1", "l": "1", "o": "1"}'
+    land, out, ckpt = (scratch_path(spark, n) for n in ("many-in", "many-out", "many-ckpt"))
+    n = 8
+    spark.range(0, n, 1, n).selectExpr(f"format_string('{msg}', id) as value").write.text(land)
+    src = spark.readStream.option("maxFilesPerTrigger", 1).text(land)
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "3")
+    try:
+        q = ticks.start(spark, src, out, ckpt)
+        q.awaitTermination()
+        assert len(q.ticks.recentProgress) <= 3
+    finally:
+        spark.conf.set(key, kept)
+    assert ticks.processed_count(spark, out) == n
+    assert spark.read.parquet(f"{out}/ticks").select("jour").distinct().count() <= 2
+
+
+def test_default_stamp_is_utc_in_any_session_zone(spark):
+    import datetime as dt
+    msg = '{"e": "24hrTicker", "s": "A", "c": "1", "P": "3", "v": "1", "h": "1", "l": "1", "o": "1"}'
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("Asia/Tokyo", "America/New_York", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            t = ticks.with_day(ticks.parse_ticks(spark.createDataFrame([(msg,)], "value string"))).collect()[0]
+            now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            assert abs((now - dt.datetime.fromisoformat(t["timestamp"])).total_seconds()) < 120
+            assert t["jour"] == t["timestamp"][:10].replace("-", "")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
