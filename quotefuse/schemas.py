@@ -11,6 +11,8 @@ def struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# Fixed values from here on: column names and orders of the layers' contract.
+
 # Union of what the four collectors emit (error rows fill only a few fields).
 RAW_QUOTE = struct(
     ("ticker", S), ("nom", S), ("prix", D), ("ouverture", D), ("haut", D),
@@ -51,7 +53,7 @@ TICK_ENVELOPE = T.StructType(
     + list(_tick_payload.fields)
 )
 
-# Warehouse column lists (without run_id / inserted_at).
+# Warehouse column lists (without run_id / inserted_at).
 HISTORY_COLUMNS = SILVER_COLUMNS[:-1]
 GOLD_COLUMNS = {
     "snapshot_marche": ("date_snapshot", "total_actifs", "actifs_en_hausse",
