@@ -103,7 +103,7 @@ def occurrences(docs: DataFrame, sentences: int, words: int) -> DataFrame:
     return rows.mapInArrow(run, "ord decimal(38,0), hash long, pos int, again boolean")
 
 
-def dedup(docs: DataFrame, sentences: int = 3, words: int = 16) -> DataFrame:
+def dedup(docs: DataFrame, sentences: int = 2, words: int = 16) -> DataFrame:
     """``docs`` with the text cut, and n_sentences, n_removed of every row."""
     ord_, places, n_all, n_cut = fresh(docs, "ord", "places", "n_sentences", "n_removed")
     found = saved(occurrences(docs.select("doc_id", "text"), sentences, words), "spans")
