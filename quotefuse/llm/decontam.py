@@ -244,10 +244,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """``docs`` without the rows that hold a benchmark window."""
+    h, bad_id, bad_h = fresh(docs, "text_hash", "bad_id", "bad_hash")
     bad = hits(docs.select("doc_id", "text"), benchmark, **params).where(F.size("runs") > 0).select(
-        F.col("doc_id").alias("bad_id"), F.col("h").alias("bad_h")).distinct()
-    (h,) = fresh(docs, "text_hash")
+        F.col("doc_id").alias(bad_id), F.col("h").alias(bad_h)).distinct()
     return docs.withColumn(h, F.xxhash64("text")).join(
-        bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.col(h) == F.col("bad_h")), "left_anti").drop(h)
+        bad, F.col("doc_id").eqNullSafe(F.col(bad_id)) & (F.col(h) == F.col(bad_h)), "left_anti").drop(h)
 
 

@@ -105,13 +105,13 @@ def occurrences(docs: DataFrame, sentences: int, words: int) -> DataFrame:
 
 def dedup(docs: DataFrame, sentences: int = 2, words: int = 16) -> DataFrame:
     """``docs`` with the text cut, and n_sentences, n_removed of every row."""
-    ord_, places, n_all, n_cut = fresh(docs, "ord", "places", "n_sentences", "n_removed")
+    ord_, cut_ord, places, n_all, n_cut = fresh(docs, "ord", "cut_ord", "places", "n_sentences", "n_removed")
     found = saved(occurrences(docs.select("doc_id", "text"), sentences, words), "spans")
     repeated = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("ord").alias("first")).where(F.col("n") > 1)
     cuts = (found.join(repeated.select("hash", "first"), "hash").where(F.col("again") | (F.col("ord") != F.col("first")))
-            .groupBy(F.col("ord").alias("cut_ord")).agg(F.collect_set("pos").alias("cut_places")))
+            .groupBy(F.col("ord").alias(cut_ord)).agg(F.collect_set("pos").alias(places)))
     rows = docs.withColumn(ord_, order_key(F.col("doc_id"), F.col("text")))
-    rows = rows.join(cuts, F.col(ord_) == F.col("cut_ord"), "left").withColumn(places, F.col("cut_places"))
+    rows = rows.join(cuts, F.col(ord_) == F.col(cut_ord), "left")
     names = docs.columns
     text_at = names.index("text")
 

@@ -276,8 +276,8 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
     last), of rows with one id the least text hash, of equal rows any."""
     least = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("i"), F.col("h").alias("h")))
     first = grouped(docs, **params).groupBy("root").agg(least.alias("m"))
-    (h,) = fresh(docs, "text_hash")
-    ids = first.select(F.col("m.i").alias("keep_id"), F.col("m.h").alias("keep_h")).distinct()
+    h, keep_id, keep_h = fresh(docs, "text_hash", "keep_id", "keep_hash")
+    ids = first.select(F.col("m.i").alias(keep_id), F.col("m.h").alias(keep_h)).distinct()
     kept = docs.withColumn(h, F.xxhash64("text")).join(
-        ids, F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col(h) == F.col("keep_h")), "left_semi")
+        ids, F.col("doc_id").eqNullSafe(F.col(keep_id)) & (F.col(h) == F.col(keep_h)), "left_semi")
     return kept.dropDuplicates(["doc_id", h]).drop(h)

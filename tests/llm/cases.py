@@ -28,7 +28,8 @@ def frame(spark, rows, extra=False):
     """Documents of (doc_id, text) rows; ``extra`` adds columns with clashing names."""
     df = spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in rows], SCHEMA)
     if extra:
-        for name in ("h", "fp", "score", "text_hash", "root", "a", "b", "n", "items", "rank", "fingerprint", "component_id"):
+        for name in ("h", "fp", "score", "text_hash", "root", "a", "b", "n", "items", "rank", "fingerprint", "component_id", "spans", "ord",
+                     "keep_id", "bad_id", "cut_ord", "places", "n_sentences", "label", "held_out", "lang_pred", "weight", "epoch"):
             df = df.selectExpr("*", f"'x' as {name}")
     return df
 
