@@ -43,10 +43,6 @@ def clean_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_unfused(fixtures.bronze_ev(spark, sf_dir).drop("ts", "event_id"))
 
 
-def gold_ev(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return kpis.all_gold(clean_ev(spark, sf_dir), fixtures.SNAPSHOT_TS)
-
-
 # --- fixture warehouse: two runs, the first loaded twice (idempotence) ------
 
 _WAREHOUSES: dict[tuple[str, str], str] = {}

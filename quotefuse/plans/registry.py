@@ -32,8 +32,8 @@ def register(name: str):
     return deco
 
 
-def _b(spark, sf):
-    return fixtures.bronze_ev(spark, sf).drop("ts")
+def _b(spark, sf, prev=True):
+    return fixtures.bronze_ev(spark, sf, prev).drop("ts")
 
 
 def _prix_double(df: DataFrame) -> DataFrame:
@@ -50,7 +50,7 @@ def q_normalize_columns(spark, sf):
 
 @register("map_tickers")
 def q_map_tickers(spark, sf):
-    return normalize.tickers(_b(spark, sf)).select("event_id", "ticker", "devise")
+    return normalize.tickers(_b(spark, sf, prev=False)).select("event_id", "ticker", "devise")
 
 
 @register("ensure_columns")
@@ -73,7 +73,7 @@ def q_clean_filter(spark, sf):
 
 @register("normalize_currency")
 def q_normalize_currency(spark, sf):
-    return (clean.currency(clean.cast_types(_b(spark, sf), keep=("event_id",)))
+    return (clean.currency(clean.cast_types(_b(spark, sf, prev=False), keep=("event_id",)))
             .select("event_id", "ticker", "devise"))
 
 
@@ -160,8 +160,8 @@ def q_top_crypto_cap(spark, sf):
 
 # --- data quality (A10-A16) ----------------------------------------------------
 
-def _dq_input(spark, sf):
-    return clean.cast_types(_b(spark, sf))
+def _dq_input(spark, sf, prev=True):
+    return clean.cast_types(_b(spark, sf, prev))
 
 
 @register("dq_completeness")
@@ -181,7 +181,7 @@ def q_dq_validity(spark, sf):
 
 @register("dq_duplicates")
 def q_dq_duplicates(spark, sf):
-    return quality.duplicates(_dq_input(spark, sf))
+    return quality.duplicates(_dq_input(spark, sf, prev=False))
 
 
 @register("dq_bronze_by_file")
@@ -371,8 +371,8 @@ def _awkward_name():
 
 # --- collection (U1, U2, A4, A5, P13) ----------------------------------------------
 
-def _source_frames(spark, sf):
-    b = _prix_double(_b(spark, sf))
+def _source_frames(spark, sf, prev=True):
+    b = _prix_double(_b(spark, sf, prev))
     src = F.col("source")
     return {
         "yahoo": b.where(src == K.SRC_YAHOO).drop("capitalisation"),
@@ -395,7 +395,7 @@ def q_collect_union_crypto(spark, sf):
 
 @register("collect_summary")
 def q_collect_summary(spark, sf):
-    return collect.summary(collect.union_sources(_source_frames(spark, sf).values()))
+    return collect.summary(collect.union_sources(_source_frames(spark, sf, prev=False).values()))
 
 
 @register("count_by_source")

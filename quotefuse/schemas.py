@@ -85,8 +85,3 @@ def dw_type(col: str) -> T.DataType:
     if col in TEXT_DW_COLUMNS:
         return S
     return D
-
-
-# Long quality-report layout: one row per check.
-QUALITY = struct(("couche", S), ("table_name", S), ("section", S), ("regle", S),
-                 ("nb", L), ("pct", D), ("statut", S))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotefuse.operators.sequence import lag_by_key
+from quotefuse.session import scratch_path
 
 # Two warehouse runs split the fixture at this instant (FIXTURES.md §2.2).
 RUN_SPLIT = _dt.datetime(2024, 1, 15)
@@ -23,7 +24,14 @@ RUN_TS = (_dt.datetime(2024, 1, 14, 23, 59, 59), _dt.datetime(2024, 1, 31, 23, 5
 SNAPSHOT_TS = _dt.datetime(2024, 1, 31, 12, 0, 0)
 
 
-_PLANS: dict[tuple[str, str], DataFrame] = {}
+_LANDED: dict[tuple, DataFrame] = {}
+
+
+def _stamp(spark: SparkSession, path: str) -> tuple:
+    """Length and modification time of a table, to notice that it was replaced."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    st = p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p)  # noqa: SLF001
+    return st.getLen(), st.getModificationTime()
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,12 +43,13 @@ def _txt(c: Column) -> Column:
     return c.cast("string")
 
 
-def bronze_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_ev(spark: SparkSession, sf_dir: str, prev: bool = True) -> DataFrame:
     """Bronze-shaped quotes: text prices with junk, error rows, NULL tickers,
     unknown categories and currencies, high-below-low rows, variations beyond
-    +-100. ``event_id`` is the explicit fusion order. A lazy plan: a query that
-    does not use the previous close has no window in it."""
-    ev = quote_events(spark, sf_dir)
+    +-100. ``event_id`` is the explicit fusion order. Without ``prev`` the
+    previous close is NULL: for queries that look at neither it nor the
+    variation, which then read ``events`` only."""
+    ev = quote_events(spark, sf_dir) if prev else events(spark, sf_dir).withColumn("prev", F.lit(None).cast("double"))
     eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
     v, prev, ts_txt = F.col("value"), F.col("prev"), _txt(F.col("ts"))
     known_cat = (F.when(uid % 5 == 0, "crypto").when(uid % 5 == 1, "action_fr")
@@ -89,12 +98,16 @@ def raw_alias_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- provider payloads built from events (one landed item per event) --------
 
 def quote_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events + previous value of the same user (the fixture's prior close).
-    Only the plan is kept per application, as building it counts rows per key."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _PLANS:
-        _PLANS[key] = lag_by_key(events(spark, sf_dir), "user_id", ["ts", "event_id"], "value", "prev")
-    return _PLANS[key]
+    """events + previous value of the same user (the fixture's prior close),
+    written once per application and state of the table to the shared folder:
+    the lag is not computed again by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir, _stamp(spark, f"{sf_dir}/events.parquet"))
+    if key not in _LANDED:
+        df = lag_by_key(events(spark, sf_dir), "user_id", ["ts", "event_id"], "value", "prev")
+        path = scratch_path(spark, "quote-events")
+        df.write.parquet(path)
+        _LANDED[key] = spark.read.schema(df.schema).parquet(path)
+    return _LANDED[key]
 
 
 def _var() -> Column:

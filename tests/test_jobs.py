@@ -88,3 +88,13 @@ def test_silver_job_with_everything_filtered(spark, sf_small):
     loaded = jobs.load(spark, cfg, ts)
     assert loaded[K.HISTORY_TABLE] == 0 and loaded["snapshot_marche"] == 1
     assert jobs.quality(spark, cfg, ts).collect()[0].statut_global in ("OK", "WARN", "FAIL")
+
+
+def test_history_chart_is_oldest_first_with_fixed_ties(spark, sf_small):
+    from quotefuse.operators import reports
+    from quotefuse.plans import pipeline as P
+    root = P.fixture_warehouse(spark, sf_small)
+    got = reports.history_chart(spark, root, "T1.PA").collect()
+    assert got and [r.date_collecte for r in got] == sorted(r.date_collecte for r in got)
+    assert [tuple(r) for r in got] == [tuple(r) for r in reports.history_chart(spark, root, "T1.PA").repartition(3).orderBy(
+        "inserted_at", "date_collecte", "prix", "variation_pct", "volume", "categorie", "source").collect()]

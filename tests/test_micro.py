@@ -201,3 +201,23 @@ def test_fixed_timestamps_ignore_session_time_zone(spark):
             assert r.t == "2024-01-31 12:00:00" and r.n == ts
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_stamps_arrow_and_successes(spark):
+    import datetime as dt
+    from quotefuse.functions import scalar
+    from quotefuse.operators import collect
+    from quotefuse.streaming import ticks
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # 02:30 does not exist there on this day
+        t = scalar.ts_lit(dt.datetime(2024, 3, 10, 2, 30, 5, 70))
+        r = spark.range(1).select(scalar.run_stamp(t).alias("a"), scalar.run_text(t).alias("b"), scalar.day_stamp(t).alias("c"),
+                                  scalar.iso_text(t).alias("d"), scalar.day_path(t).alias("e")).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert tuple(r) == ("20240310_023005", "2024-03-10 02:30:05", "20240310", "2024-03-10T02:30:05.000070", "2024/03/10")
+    up = ticks.arrow(spark.createDataFrame([(1.0,), (0.0,), (-1.0,), (None,)], "variation_pct double")).collect()
+    assert [x.fleche for x in up] == [K.ARROW_UP, K.ARROW_UP, K.ARROW_DOWN, K.ARROW_DOWN]
+    rows = spark.createDataFrame([("a", "succes"), ("b", "erreur"), ("c", None)], "ticker string, statut string")
+    assert [x.ticker for x in collect.successes(rows).collect()] == ["a"]

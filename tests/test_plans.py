@@ -92,7 +92,8 @@ def test_lag_with_hot_key_windows_all_rows_once(spark):
 def test_queries_without_the_previous_close_have_no_window(spark, sf_small):
     from quotefuse.plans.registry import REGISTRY
     for key in ("map_tickers", "dq_duplicates", "collect_summary", "normalize_currency"):
-        assert "Window [" not in _static_plan(spark, REGISTRY[key](spark, sf_small)), key
+        plan = _static_plan(spark, REGISTRY[key](spark, sf_small))
+        assert "Window [" not in plan and "/events.parquet" in plan and "quote-events" not in plan, key
 
 
 def test_family_filter_is_below_the_fusion(spark, sf_small):
