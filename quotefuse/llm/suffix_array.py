@@ -10,8 +10,8 @@ window`` bytes after it agree. So anchors that agree on these bytes (a class)
 hold all repeats between them, each at equal offsets from its anchors. Anchors
 of a class of one cannot be in a repeat.
 
-Suffix sorting. The context of an anchor is all that the strings over it can
-reach. Equal contexts collapse first: such strings are repeats without more
+Suffix sorting. Each string belongs to one anchor, the least place of its first
+``window``; the context of an anchor is all that its strings reach. Equal contexts collapse first: such strings are repeats without more
 work. The different contexts of the classes are laid end to end in batches,
 and each batch gets its suffix array by the difference cover modulo 3: sort
 the triples at the sampled places (1 and 2 mod 3), name them, recurse on the
@@ -46,11 +46,12 @@ _LOW = np.uint64((1 << 24) - 1)
 PART = 1 << 23  # places winnowed at once
 
 
-def anchors(data: bytes, window: int) -> np.ndarray:
-    """Places that are the least (of equal ones the last) of some ``window`` consecutive places."""
+def anchors(data: bytes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places that are the least (of equal ones the last) of some ``window``
+    consecutive places, and the first and last start of the windows they are least of."""
     n = len(data) - GRAM + 1
     if n < window:
-        return np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 3
     found = []
     for at in range(0, n - window + 1, PART):
         m = min(n - at, PART + window - 1)
@@ -67,8 +68,29 @@ def anchors(data: bytes, window: int) -> np.ndarray:
         ahead = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
         behind = np.minimum.accumulate(grid, axis=1).ravel()
         least = np.minimum(ahead[: m - window + 1], behind[window - 1: m])
-        found.append(at + np.unique((_LOW - (least & _LOW)).astype(np.int64)))
-    return np.unique(np.concatenate(found))
+        found.append(at + (_LOW - (least & _LOW)).astype(np.int64))
+    least = np.concatenate(found)  # never falls, so each anchor has one run
+    first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    return least[first], first, np.concatenate((first[1:], [len(least)])) - 1
+
+
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """A stable order of the keys; packed with the places and sorted as numbers where 64 bits hold both."""
+    bits = len(keys).bit_length()
+    if len(keys) and int(keys.max()).bit_length() + bits <= 64:
+        packed = np.sort((keys.astype(np.uint64) << np.uint64(bits)) | np.arange(len(keys), dtype=np.uint64))
+        return (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return np.argsort(keys, kind="stable")
+
+
+def named(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Rank of each key among the different keys, an order of the keys, and their number."""
+    order = order_of(keys)
+    up = keys[order]
+    new = np.concatenate(([0], np.cumsum(up[1:] != up[:-1])))
+    name = np.empty(len(keys), dtype=np.int64)
+    name[order] = new
+    return name, order, int(new[-1]) + 1
 
 
 def suffix_order(s: np.ndarray, asked: int, covered: int = 1) -> np.ndarray:
@@ -79,45 +101,64 @@ def suffix_order(s: np.ndarray, asked: int, covered: int = 1) -> np.ndarray:
         return np.array(sorted(range(n), key=lambda i: s[i:].tolist()), dtype=np.int64)
     t = np.concatenate((s, np.zeros(3, dtype=np.int64))).astype(np.uint64)
     top = np.uint64(int(t.max()) + 1)
-    first = np.arange(1, n + (n % 3 == 1), 3)
-    second = np.arange(2, n, 3)
-    sampled = np.concatenate((first, second))
+    sampled = np.concatenate((np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)))
     triples = (t[sampled] * top + t[sampled + 1]) * top + t[sampled + 2]
-    names, name = np.unique(triples, return_inverse=True)
-    if len(names) == len(sampled) or 3 * covered >= asked:
-        order = np.argsort(name, kind="stable")
+    order = None
+    if int(top) ** 3 <= 1 << 24:  # few letters: a table of the triples in use names them without a sort
+        used = np.zeros(int(top) ** 3, dtype=bool)
+        used[triples] = True
+        name, names = (np.cumsum(used, dtype=np.int32)[triples] - 1).astype(np.int64), int(np.count_nonzero(used))
     else:
-        order = suffix_order(name.astype(np.int64) + 1, asked, 3 * covered)
+        name, order, names = named(triples)
+    if names == len(sampled) or 3 * covered >= asked:
+        order = order_of(name) if order is None else order
+    else:
+        order = suffix_order(name + 1, asked, 3 * covered)
     rank = np.zeros(n + 3, dtype=np.uint64)
     rank[sampled[order]] = np.arange(1, len(sampled) + 1, dtype=np.uint64)
     rank[n:] = 0
-    size = np.uint64(n + 3)
+    order = sampled[order]
+    order = order[order < n]
     rest = np.arange(0, n, 3)
-    rest = rest[np.argsort(t[rest] * size + rank[rest + 1], kind="stable")]
-    first, second = first[first < n], second
+    size = np.uint64(n + 3)
+    rest_one = t[rest] * size + rank[rest + 1]
+    by = order_of(rest_one)
+    rest, rest_one = rest[by], rest_one[by]
+
+    def two(at):
+        return (t[at] * top + t[at + 1]) * size + rank[at + 2]
+
+    # keys rise along each order, but for suffixes alike in all letters asked for
+    rest_two = np.maximum.accumulate(two(rest))
+    is_one = order % 3 == 1
+    ones, twos = order[is_one], order[~is_one]
+    key_one = np.maximum.accumulate(t[ones] * size + rank[ones + 1])
+    key_two = np.maximum.accumulate(two(twos))
     # places in the merged order: how many of each kind come before
-    by_one, by_two = t * size, (t[:-1] * top + t[1:]) * size
-    rest_one, rest_two = by_one[rest] + rank[rest + 1], by_two[rest] + rank[rest + 2]
-    key_one = by_one[first] + rank[first + 1]
-    key_two = by_two[second] + rank[np.minimum(second + 2, n + 2)]
-    place = np.zeros(n, dtype=np.int64)
-    place[rest] = np.arange(len(rest)) + np.searchsorted(np.sort(key_one), rest_one) + np.searchsorted(np.sort(key_two), rest_two)
-    own = np.argsort(np.argsort(rank[np.concatenate((first, second))], kind="stable"), kind="stable")
-    place[first] = own[: len(first)] + np.searchsorted(np.sort(rest_one), key_one)
-    place[second] = own[len(first):] + np.searchsorted(np.sort(rest_two), key_two)
-    return np.argsort(place, kind="stable")
-
-
-def repeats(contexts: list[bytes], lefts: list[int], classes: list, length: int, window: int) -> list[np.ndarray]:
-    """For each context the offsets (from string start to anchor) of the
+    place = np.empty(n, dtype=np.int64)
+    place[rest] = np.arange(len(rest)) + np.searchsorted(key_one, rest_one) + np.searchsorted(key_two, rest_two)
+    own = np.arange(len(order))
+    place[ones] = own[is_one] + np.searchsorted(rest_one, key_one, side="right")
+    place[twos] = own[~is_one] + np.searchsorted(rest_two, key_two, side="right")
+    out = np.full(n, -1, dtype=np.int64)
+    place = np.minimum(place, n - 1)
+    out[place] = np.arange(n)
+    return out if out.min() >= 0 else np.argsort(place, kind="stable")
+
+
+def repeats(contexts: list[bytes], lefts: list[int], classes: list, length: int) -> list[np.ndarray]:
+    """For each context the offsets (from anchor back to string start) of the
     strings that another context of its class has at the same offset."""
     data = np.frombuffer(b"".join(contexts) + bytes(length), dtype=np.uint8)
     edges = np.concatenate(([0], np.cumsum([len(c) for c in contexts])))
     total = int(edges[-1])
-    order = suffix_order(data[:total].astype(np.int64) + 1, length)
+    letters = np.zeros(256, dtype=np.int64)
+    here = np.unique(data[:total])
+    letters[here] = np.arange(1, len(here) + 1)
+    order = suffix_order(letters[data[:total]], length)
     owner = np.repeat(np.arange(len(contexts)), np.diff(edges))
     offset = np.array(lefts)[owner] - (np.arange(total) - edges[owner])
-    whole = (np.arange(total) + length <= edges[owner + 1]) & (offset >= 0) & (offset < window)
+    whole = np.arange(total) + length <= edges[owner + 1]
     order = order[whole[order]]
     out = [np.zeros(0, np.int64)] * len(contexts)
     if len(order) < 2:
@@ -137,7 +178,9 @@ def repeats(contexts: list[bytes], lefts: list[int], classes: list, length: int,
     group = np.concatenate(([0], np.cumsum(~same)))
     number = {c: i for i, c in enumerate(dict.fromkeys(classes))}
     kind = np.array([number[c] for c in classes])[owner[order]]
-    key = (group * len(number) + kind) * window + offset[order]
+    off = offset[order]
+    least, span = int(off.min()), int(off.max() - off.min()) + 1
+    key = (group * len(number) + kind) * span + (off - least)
     _, at, counted = np.unique(key, return_inverse=True, return_counts=True)
     hit = order[counted[at] > 1]
     hit = hit[np.argsort(owner[hit], kind="stable")]
@@ -159,28 +202,34 @@ def joined(docs: DataFrame, side: DataFrame, rows: int, most: int, how: str) ->
 
 
 def mark_anchors(docs: DataFrame, length: int, window: int) -> DataFrame:
-    """ord, a, ck (hash of the bytes after the anchor), x (hash of its context) of every anchor."""
+    """ord, a, far and near (offsets of its first and last string), ck (hash of
+    the bytes after the anchor), x (hash of its context) of every anchor."""
     after = length - window
 
     def run(batches):
         for b in batches:
-            take, places, ck, x = [], [], [], []
+            take, at, far, near, ck, x = [], [], [], [], [], []
             for i, t in enumerate(b.column("text").to_pylist()):
                 data = (t or "").encode("utf-8", "replace")
                 if len(data) < length:
                     continue
-                got = anchors(data, window)
-                got = got[got + after <= len(data)].tolist()
-                take += [i] * len(got)
-                places += got
-                ck += [xxhash.xxh64_intdigest(data[a:a + after]) for a in got]
-                x += [xxhash.xxh64_intdigest(data[max(0, a - window + 1):a + length], min(a, window - 1)) for a in got]
+                places, first, last = anchors(data, window)
+                last = np.minimum(last, len(data) - length)
+                mine = first <= last
+                places, first, last = places[mine], first[mine], last[mine]
+                take.append(np.full(len(places), i))
+                at.append(places)
+                far.append(places - first)
+                near.append(places - last)
+                ck += [xxhash.xxh64_intdigest(data[a:a + after]) for a in places.tolist()]
+                x += [xxhash.xxh64_intdigest(data[lo:hi + length], a - lo) for a, lo, hi in zip(places.tolist(), first.tolist(), last.tolist())]
             if take:
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("ord").take(pa.array(take)), pa.array(places, pa.int32()),
-                     *(pa.array(np.array(v, dtype=np.uint64).view(np.int64)) for v in (ck, x))], ["ord", "a", "ck", "x"])
+                    [b.column("ord").take(pa.array(np.concatenate(take))), pa.array(np.concatenate(at).astype(np.int32)),
+                     *(pa.array(np.concatenate(v).astype(np.int16)) for v in (far, near)),
+                     *(pa.array(np.array(v, dtype=np.uint64).view(np.int64)) for v in (ck, x))], ["ord", "a", "far", "near", "ck", "x"])
 
-    return docs.mapInArrow(run, "ord decimal(38,0), a int, ck long, x long")
+    return docs.mapInArrow(run, "ord decimal(38,0), a int, far short, near short, ck long, x long")
 
 
 def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, broadcast_values: int, batch_bytes: int) -> DataFrame:
@@ -194,8 +243,8 @@ def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, bro
         (F.col("kinds") > 1) & (F.col("least") == 1)).select("ck", "kinds")
     chosen = contexts.join(classes, "ck")
     places = marks.join(chosen, ["ck", "x", "ord"]).groupBy("ord", "ck", "x").agg(
-        F.min("a").alias("a"), F.max("n").alias("n"), F.max("kinds").alias("kinds"))
-    wanted = saved(places.groupBy("ord").agg(F.collect_list(F.struct("a", "ck", "x", "n", "kinds")).alias("want")), "wanted")
+        F.min("a").alias("a"), F.max("far").alias("far"), F.min("near").alias("near"), F.max("kinds").alias("kinds"))
+    wanted = saved(places.groupBy("ord").agg(F.collect_list(F.struct("a", "far", "near", "ck", "x", "kinds")).alias("want")), "wanted")
     held = wanted.select(F.size("want").alias("n"), F.array_max(F.transform("want", lambda w: w["kinds"])).alias("k")).agg(
         F.sum("n").alias("n"), F.max("k").alias("k")).first()
     values = held["n"] or 0
@@ -205,14 +254,14 @@ def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, bro
             out = []
             for t, want in zip(b.column("text").to_pylist(), b.column("want").to_pylist()):
                 data = (t or "").encode("utf-8", "replace")
-                out += [(w["ck"], w["x"], w["n"], w["kinds"], min(w["a"], window - 1), data[max(0, w["a"] - window + 1):w["a"] + length]) for w in want]
+                out += [(w["ck"], w["x"], w["kinds"], w["far"], data[w["a"] - w["far"]:w["a"] - w["near"] + length]) for w in want]
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, k) for v, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                    ["ck", "x", "n", "kinds", "left", "bytes"])
+                    [pa.array(v, k) for v, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                    ["ck", "x", "kinds", "left", "bytes"])
 
     pieces = joined(docs, wanted, values, broadcast_values, "inner").mapInArrow(
-        cut, "ck long, x long, n long, kinds long, left int, bytes binary")
+        cut, "ck long, x long, kinds long, left int, bytes binary")
     usual = pieces.where(F.col("kinds") <= class_rows)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -220,7 +269,7 @@ def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, bro
         held, size, last, kind = [], 0, None, None
 
         def close():
-            got = repeats([h[3] for h in held], [h[2] for h in held], [h[0] for h in held], length, window)
+            got = repeats([h[3] for h in held], [h[2] for h in held], [h[0] for h in held], length)
             rows = [(h[0], h[1], lo, hi) for h, offs in zip(held, got) for lo, hi in runs_of(offs)]
             if rows:
                 yield pa.RecordBatch.from_arrays(
@@ -244,7 +293,7 @@ def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, bro
     def windows(batches):
         for b in batches:
             for ck, x, left, data in zip(*(b.column(c).to_pylist() for c in ("ck", "x", "left", "bytes"))):
-                offs = [o for o in range(min(left, window - 1) + 1) if left - o + length <= len(data)]
+                offs = list(range(left - (len(data) - length), left + 1))
                 hashes = [xxhash.xxh128_digest(data[left - o:left - o + length]) for o in offs]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([ck] * len(offs), pa.int64()), pa.array([x] * len(offs), pa.int64()), pa.array(offs, pa.int32()),
@@ -256,10 +305,11 @@ def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, bro
         often = crowded.groupBy("ck", "o", "w").agg(F.count("*").alias("k")).where(F.col("k") > 1).select("ck", "o", "w")
         more = crowded.join(often, ["ck", "o", "w"]).select("ck", "x", F.col("o").alias("lo"), (F.col("o") + 1).alias("hi"))
         found = found.unionByName(more)
-    copied = contexts.where(F.col("n") > 1).select("ck", "x", F.lit(0).alias("lo"), F.lit(window).alias("hi"))
+    copied = contexts.where(F.col("n") > 1).select("ck", "x", F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"))
     singles = found.join(contexts.where(F.col("n") == 1).select("ck", "x"), ["ck", "x"], "left_semi")
     starts = marks.join(copied.unionByName(singles), ["ck", "x"]).groupBy("ord").agg(
-        F.collect_set(F.struct((F.col("a") - F.col("hi") + 1).alias("lo"), (F.col("a") - F.col("lo") + 1).alias("hi"))).alias("runs"))
+        F.collect_set(F.struct((F.col("a") - F.coalesce(F.col("hi") - 1, F.col("far"))).alias("lo"),
+                               (F.col("a") - F.coalesce("lo", F.col("near")) + 1).alias("hi"))).alias("runs"))
 
     def merge(batches):
         for b in batches:
@@ -278,7 +328,7 @@ def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, bro
 
 
 def dedup(docs: DataFrame, length: int = 200, window: int = 150, class_rows: int = 4000,
-          broadcast_values: int = 4_000_000, batch_bytes: int = 1 << 20) -> DataFrame:
+          broadcast_values: int = 4_000_000, batch_bytes: int = 1 << 19) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes) of every row."""
     rows = docs.select("doc_id", "text", order_key(F.col("doc_id"), F.col("text")).alias("ord"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
