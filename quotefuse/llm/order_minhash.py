@@ -131,13 +131,13 @@ def likeness(a: Column, b: Column) -> Column:
 SPLITS = 9_000  # most ranges of ids, and parts of one range
 
 
-def with_next(rows: DataFrame, columns: list[str], range_rows: int) -> DataFrame:
+def with_next(rows: DataFrame, ids: DataFrame, columns: list[str], range_rows: int) -> DataFrame:
     """Adds ``next_<c>`` of the next row by descending doc_id (after the last:
     the first). Rows are dealt into ranges of ids at quantiles, about
     ``range_rows`` rows each; an id (or null) that fills several ranges is cut
     by its text hash. The first row of each range is also put at the end of
-    the range before, so every successor is found inside a range."""
-    ids = rows.select("doc_id", "h")
+    the range before, so every successor is found inside a range. ``ids`` has
+    doc_id and h of the same rows from before any costly column was added."""
     size = ids.agg(F.count("*").alias("n"), F.count("doc_id").alias("k")).first()
     parts = max(1, min(SPLITS, -(-size["k"] // range_rows)))
     cuts = [] if parts == 1 else ids.select(F.percentile_approx(
@@ -183,10 +183,10 @@ def with_next(rows: DataFrame, columns: list[str], range_rows: int) -> DataFrame
 def report(docs: DataFrame, k: int = 2, pick: int = 2, range_rows: int = 2000) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likeness."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", F.xxhash64(text).alias("h"), text.alias("text"))
+    plain = docs.select("doc_id", F.xxhash64(text).alias("h"), text.alias("text"))
     # explode of one value keeps a fingerprint from being computed again by each use
-    rows = rows.withColumn("fp", F.explode(F.array(fingerprint(F.col("text"), k, pick))))
-    rows = with_next(rows, ["text", "fp"], range_rows)
+    rows = plain.withColumn("fp", F.explode(F.array(fingerprint(F.col("text"), k, pick))))
+    rows = with_next(rows, plain.select("doc_id", "h"), ["text", "fp"], range_rows)
     n = F.length("text")
     part = F.floor(n / F.lit(3)).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - part), F.substring("next_text", F.lit(1), part))
