@@ -61,3 +61,11 @@ def blocks(items: Iterable, size: int) -> Iterator[list]:
             part = []
     if part:
         yield part
+
+
+def slices(batches: Iterable, rows: int = 512) -> Iterator:
+    """The record batches in parts of at most ``rows`` rows, so that a task
+    holds the Python values of few texts at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

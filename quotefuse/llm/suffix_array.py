@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotefuse.llm.common import order_key, saved
+from quotefuse.llm.common import order_key, saved, slices
 
 GRAM = 8
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -207,7 +207,7 @@ def mark_anchors(docs: DataFrame, length: int, window: int) -> DataFrame:
     after = length - window
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             take, at, far, near, ck, x = [], [], [], [], [], []
             for i, t in enumerate(b.column("text").to_pylist()):
                 data = (t or "").encode("utf-8", "replace")
@@ -250,7 +250,7 @@ def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, bro
     values = held["n"] or 0
 
     def cut(batches):
-        for b in batches:
+        for b in slices(batches):
             out = []
             for t, want in zip(b.column("text").to_pylist(), b.column("want").to_pylist()):
                 data = (t or "").encode("utf-8", "replace")
@@ -275,7 +275,7 @@ def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, bro
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(v, k) for v, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["ck", "x", "lo", "hi"])
 
-        for b in batches:
+        for b in slices(batches, 2048):
             for row in zip(*(b.column(c).to_pylist() for c in ("ck", "x", "left", "bytes"))):
                 if size > batch_bytes and row[0] != last:
                     yield from close()
@@ -328,7 +328,7 @@ def covered_runs(docs: DataFrame, length: int, window: int, class_rows: int, bro
 
 
 def dedup(docs: DataFrame, length: int = 200, window: int = 150, class_rows: int = 4000,
-          broadcast_values: int = 4_000_000, batch_bytes: int = 1 << 19) -> DataFrame:
+          broadcast_values: int = 1_000_000, batch_bytes: int = 1 << 18) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (bytes) of every row."""
     rows = docs.select("doc_id", "text", order_key(F.col("doc_id"), F.col("text")).alias("ord"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
@@ -336,7 +336,7 @@ def dedup(docs: DataFrame, length: int = 200, window: int = 150, class_rows: int
     values = starts.agg(F.sum(F.size("starts"))).first()[0] or 0
 
     def remove(batches):
-        for b in batches:
+        for b in slices(batches):
             out = []
             for t, runs in zip(b.column("text").to_pylist(), b.column("starts").to_pylist()):
                 data = (t or "").encode("utf-8", "replace")
