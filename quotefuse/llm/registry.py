@@ -19,7 +19,7 @@ def op1_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentence_spans.dedup(docs, sentences=2, words=16)
+    return sentence_spans.dedup(docs, sentences=2, words=16, whole=True)
 
 
 def op3_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,10 @@ A sentence ends after a run of . ! or ? before white space, or at a line end.
 A span starts at every sentence and runs over the fewest consecutive sentences
 that are at least ``sentences`` many and hold at least ``words`` words; where
 it starts it depends on nothing before it, so a repeated passage has the same
-spans wherever it stands. Every span is hashed, the hashes are joined over all
+spans wherever it stands. With ``whole`` a span also ends at every sentence,
+over the fewest sentences before it; so every sentence of a repeated passage
+that holds that much lies in a span within the passage (from its start, or to
+the passage's end). A text that holds less is one span. Every span is hashed, the hashes are joined over all
 documents, and every sentence that is covered by an occurrence of a repeated
 span other than its first is removed with the white space after it. First is
 the least document (by id, a null id last, then text hash), then the least
@@ -15,7 +18,7 @@ partially aggregated minima, and the occurrences meet them in an equi-join that
 Spark can split.
 
 Defined results: null text stays null and has no sentences; a text shorter
-than a span is kept whole; rows equal in id and text are one document; a
+than a span is kept whole (with ``whole`` its first copy only); rows equal in id and text are one document; a
 document whose every sentence is removed becomes an empty text; other columns
 pass through; an empty table gives an empty result.
 """
@@ -54,45 +57,56 @@ def sentence_starts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts[opens], ends[last], last - opens + 1
 
 
-def spans(data: bytes, sentences: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, number of sentences) of the span at each sentence; the last
-    sentences may have none (number 0)."""
-    start, end, n_words = sentence_starts(data)
-    n = len(start)
-    if n < sentences:
-        return np.zeros(n, np.uint64), np.zeros(n, np.int64)
-    one = np.fromiter((xxhash.xxh64_intdigest(data[s:e]) for s, e in zip(start.tolist(), end.tolist())), dtype=np.uint64, count=n)
+def runs(n_words: np.ndarray, sentences: int, words: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence and end of every hashed run, in order of place."""
+    n = len(n_words)
     total = np.concatenate(([0], np.cumsum(n_words)))
-    stop = np.maximum(np.arange(n) + sentences, np.searchsorted(total, total[:-1] + words))
-    size = np.where(stop <= n, stop - np.arange(n), 0)
+    at = np.arange(n)
+    stop = np.maximum(at + sentences, np.searchsorted(total, total[:-1] + words))
+    first, stop = at[stop <= n], stop[stop <= n]
+    if not whole or not n:
+        return first, stop
+    if not len(first):
+        return np.zeros(1, np.int64), np.full(1, n)
+    back = np.minimum(at + 1 - sentences, np.searchsorted(total, total[1:] - words, side="right") - 1)
+    # as one number each: first, stop
+    both = np.unique(np.concatenate((first * (n + 1) + stop, back[back >= 0] * (n + 1) + at[back >= 0] + 1)))
+    return both // (n + 1), both % (n + 1)
+
+
+def run_hashes(data: bytes, start: np.ndarray, end: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    one = np.fromiter((xxhash.xxh64_intdigest(data[s:e]) for s, e in zip(start.tolist(), end.tolist())), dtype=np.uint64, count=len(start))
     # a hash of the sentences' hashes and their number, from sums of weighted hashes over a window
-    out = np.zeros(n, dtype=np.uint64)
-    for k in np.unique(size[size > 0]).tolist():
-        at = np.flatnonzero(size == k)
+    out, size = np.zeros(len(first), dtype=np.uint64), stop - first
+    for k in np.unique(size).tolist():
+        which = np.flatnonzero(size == k)
+        at = first[which]
         h = np.full(len(at), k, dtype=np.uint64)
         for j in range(k):
             h = (h ^ one[at + j]) * _MULT
             h ^= h >> np.uint64(29)
-        out[at] = h
-    return out, size
+        out[which] = h
+    return out
 
 
-def occurrences(docs: DataFrame, sentences: int, words: int) -> DataFrame:
-    """ord, hash, pos, again (not the hash's first place in the document) of every span."""
+def occurrences(docs: DataFrame, sentences: int, words: int, whole: bool) -> DataFrame:
+    """ord, hash, pos (its number in the document), again (not the hash's first place in the document) of every span."""
 
     def run(batches):
         for b in batches:
             take, hashes, places, again = [], [], [], []
             for i, t in enumerate(b.column("text").to_pylist()):
-                h, size = spans((t or "").encode("utf-8", "replace"), sentences, words)
-                at = np.flatnonzero(size)
+                data = (t or "").encode("utf-8", "replace")
+                start, end, n_words = sentence_starts(data)
+                at, stop = runs(n_words, sentences, words, whole)
                 if not len(at):
                     continue
+                h = run_hashes(data, start, end, at, stop)
                 first = np.zeros(len(at), dtype=bool)
-                first[np.unique(h[at], return_index=True)[1]] = True
+                first[np.unique(h, return_index=True)[1]] = True
                 take.append(np.full(len(at), i))
-                hashes.append(h[at].view(np.int64))
-                places.append(at)
+                hashes.append(h.view(np.int64))
+                places.append(np.arange(len(at)))
                 again.append(~first)
             if take:
                 yield pa.RecordBatch.from_arrays(
@@ -103,10 +117,10 @@ def occurrences(docs: DataFrame, sentences: int, words: int) -> DataFrame:
     return rows.mapInArrow(run, "ord decimal(38,0), hash long, pos int, again boolean")
 
 
-def dedup(docs: DataFrame, sentences: int = 2, words: int = 16) -> DataFrame:
+def dedup(docs: DataFrame, sentences: int = 2, words: int = 16, whole: bool = False) -> DataFrame:
     """``docs`` with the text cut, and n_sentences, n_removed of every row."""
     ord_, cut_ord, places, n_all, n_cut = fresh(docs, "ord", "cut_ord", "places", "n_sentences", "n_removed")
-    found = saved(occurrences(docs.select("doc_id", "text"), sentences, words), "spans")
+    found = saved(occurrences(docs.select("doc_id", "text"), sentences, words, whole), "spans")
     repeated = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("ord").alias("first")).where(F.col("n") > 1)
     cuts = (found.join(repeated.select("hash", "first"), "hash").where(F.col("again") | (F.col("ord") != F.col("first")))
             .groupBy(F.col("ord").alias(cut_ord)).agg(F.collect_set("pos").alias(places)))
@@ -120,18 +134,18 @@ def dedup(docs: DataFrame, sentences: int = 2, words: int = 16) -> DataFrame:
             texts, total, cut = [], [], []
             for t, at in zip(b.column("text").to_pylist(), b.column(places).to_pylist()):
                 data = (t or "").encode("utf-8", "replace")
-                start, _, _ = sentence_starts(data)
+                start, _, n_words = sentence_starts(data)
                 gone = np.zeros(len(start), dtype=bool)
                 if at:
-                    _, size = spans(data, sentences, words)
+                    first, stop = runs(n_words, sentences, words, whole)
                     mark = np.zeros(len(start) + 1, dtype=np.int64)
                     at = np.array(at)
-                    np.add.at(mark, at, 1)
-                    np.add.at(mark, at + size[at], -1)
+                    np.add.at(mark, first[at], 1)
+                    np.add.at(mark, stop[at], -1)
                     gone = np.cumsum(mark)[:-1] > 0
                     edge = np.concatenate((start, [len(data)]))
                     kept = [data[edge[i]:edge[i + 1]] for i in np.flatnonzero(~gone).tolist()]
-                    t = (data[:edge[0]] + b"".join(kept)).decode()
+                    t = (b"" if whole and not kept else data[:edge[0]] + b"".join(kept)).decode()
                 texts.append(t)
                 total.append(len(start))
                 cut.append(int(gone.sum()))
