@@ -7,7 +7,12 @@ it starts it depends on nothing before it, so a repeated passage has the same
 spans wherever it stands. With ``whole`` a span also ends at every sentence,
 over the fewest sentences before it; so every sentence of a repeated passage
 that holds that much lies in a span within the passage (from its start, or to
-the passage's end). A text that holds less is one span. Every span is hashed, the hashes are joined over all
+the passage's end). A text that holds less is one span. Stops beyond ASCII end
+a sentence as well, each code point of a script without white space between
+words is a word, and a sentence of more than ``words`` words counts as pieces:
+one begins at each word whose hash (16 bytes from it) is the least of the three
+words on both sides in its sentence, so that copies are cut alike whatever
+stands around them; where no hash stands out, at every ``words`` words. Every span is hashed, the hashes are joined over all
 documents, and every sentence that is covered by an occurrence of a repeated
 span other than its first is removed with the white space after it. First is
 the least document (by id, a null id last, then text hash), then the least
@@ -38,6 +43,15 @@ _SPACE[[32, *range(9, 14)]] = True
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[33, 46, 63]] = True
 _MULT = np.uint64(0x9E3779B97F4A7C15)
+# stops that need no white space after them (CJK, half width, Arabic, Indic, Ethiopic, Myanmar, Khmer)
+_WIDE_STOPS = np.array([0x61F, 0x6D4, 0x964, 0x965, 0x104A, 0x104B, 0x1362, 0x17D4, 0x17D5, 0x3002, 0xFF01, 0xFF0E, 0xFF1F, 0xFF61])
+_WIDE_SPACES = np.array([0xA0, 0x3000])
+# scripts without white space between words: first and last code point
+_UNSPACED = np.array([(0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3040, 0x312F), (0x31F0, 0x31FF),
+                      (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)])
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)  # masks of the first bytes
+# a piece begins at a word whose hash is the least among so many words on both sides
+_NEAR = 3
 
 
 def sentence_starts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,6 +71,78 @@ def sentence_starts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts[opens], ends[last], last - opens + 1
 
 
+def wide_words(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word of a text beyond ASCII, and whether a stop beyond ASCII ends it (of all but the last)."""
+    place = np.flatnonzero((b & 0xC0) != 0x80)  # of characters
+    code = b[place].astype(np.int64)
+    for lead, size in ((0xC0, 2), (0xE0, 3), (0xF0, 4)):
+        at = np.flatnonzero((code >= lead) & (code < (lead >> 1 | 0x80)))
+        wide = code[at] & (0xFF >> (size + 1))
+        for k in range(1, size):
+            wide = wide << 6 | (b[place[at] + k] & 0x3F)
+        code[at] = -wide  # negative, so that no later lead takes it
+    code = np.abs(code)
+    side = np.searchsorted(_UNSPACED[:, 0], code, side="right") - 1
+    alone = (side >= 0) & (code <= _UNSPACED[np.maximum(side, 0), 1])
+    stop = np.isin(code, _WIDE_STOPS)
+    space = _SPACE[b[place]] | np.isin(code, _WIDE_SPACES)
+    before = lambda x, first: np.concatenate(([first], x[:-1]))
+    opens = ~space & (before(space, True) | alone | before(alone, False) | before(stop, False))
+    closes = ~space & np.concatenate(((space | opens)[1:], [True]))
+    return place[opens], np.concatenate((place[1:], [len(b)]))[closes], stop[closes][:-1] & ~stop[opens][1:]
+
+
+def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word (a code point in scripts without white space
+    between words), and whether it begins a sentence; stops beyond ASCII count."""
+    b = np.frombuffer(data, dtype=np.uint8)
+    if data.isascii():
+        space = _SPACE[b]
+        start = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+        end = np.flatnonzero(~space & np.concatenate((space[1:], [True]))) + 1
+        wide = False
+    else:
+        start, end, wide = wide_words(b)
+    if not len(start):
+        return start, end, np.zeros(0, dtype=bool)
+    newlines = np.concatenate(([0], np.cumsum(b == 10)))
+    ended = wide | (start[1:] > end[:-1]) & _STOP[b[end[:-1] - 1]] | (newlines[start[1:]] > newlines[end[:-1]])
+    return start, end, np.concatenate(([True], ended))
+
+
+def pieces(data: bytes, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``sentence_starts`` with every sentence of more than ``words`` words cut into pieces."""
+    start, end, opens = words_of(data)
+    n = len(start)
+    if not n:
+        return start, end, start
+    sentence = np.cumsum(opens) - 1
+    first = np.flatnonzero(opens)
+    count = np.diff(np.concatenate((first, [n])))
+    if (count > words).any():
+        limit = np.concatenate((end[first[1:] - 1], end[-1:]))[sentence]
+        # of the 16 bytes from the word on, within its sentence
+        eight, left = np.ndarray((len(data) + 9,), "<u8", data + bytes(16), strides=(1,)), limit - start
+        h = (eight[start] & _FIRST[np.minimum(left, 8)]) * _MULT
+        h ^= h >> np.uint64(29)
+        h = (h ^ eight[start + 8] & _FIRST[np.clip(left - 8, 0, 8)]) * _MULT
+        h ^= h >> np.uint64(29)
+        least = count[sentence] > words
+        for d in range(1, min(_NEAR, n - 1) + 1):
+            other = sentence[d:] != sentence[:-d]
+            least[d:] &= other | (h[d:] < h[:-d])
+            least[:-d] &= other | (h[:-d] <= h[d:])
+        opens = opens | least
+        # where no hash stands out (the same words again and again): by number from the piece's start
+        first = np.flatnonzero(opens)
+        count = np.diff(np.concatenate((first, [n])))
+        piece = np.cumsum(opens) - 1
+        opens |= (count[piece] > 2 * words) & ((np.arange(n) - first[piece]) % words == 0)
+        first = np.flatnonzero(opens)
+        count = np.diff(np.concatenate((first, [n])))
+    return start[first], end[first + count - 1], count
+
+
 def runs(n_words: np.ndarray, sentences: int, words: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
     """First sentence and end of every hashed run, in order of place."""
     n = len(n_words)
@@ -97,7 +183,7 @@ def occurrences(docs: DataFrame, sentences: int, words: int, whole: bool) -> Dat
             take, hashes, places, again = [], [], [], []
             for i, t in enumerate(b.column("text").to_pylist()):
                 data = (t or "").encode("utf-8", "replace")
-                start, end, n_words = sentence_starts(data)
+                start, end, n_words = pieces(data, words) if whole else sentence_starts(data)
                 at, stop = runs(n_words, sentences, words, whole)
                 if not len(at):
                     continue
@@ -134,7 +220,7 @@ def dedup(docs: DataFrame, sentences: int = 2, words: int = 16, whole: bool = Fa
             texts, total, cut = [], [], []
             for t, at in zip(b.column("text").to_pylist(), b.column(places).to_pylist()):
                 data = (t or "").encode("utf-8", "replace")
-                start, _, n_words = sentence_starts(data)
+                start, _, n_words = pieces(data, words) if whole else sentence_starts(data)
                 gone = np.zeros(len(start), dtype=bool)
                 if at:
                     first, stop = runs(n_words, sentences, words, whole)

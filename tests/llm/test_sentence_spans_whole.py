@@ -42,3 +42,48 @@ def test_removes_no_less(spark, rows):
     for i, _, _, t in brute.sentence_dedup(rows, 2, 16):
         old[i] = old.get(i, 0) + len(t or "")
     assert all(kept[i] <= old[i] for i in old)
+
+
+def long_passages(alphabet, joint, seed):
+    """40 pairs of documents that share 60 words amid others, without a stop."""
+    rng = random.Random(seed)
+    some = lambda n: joint.join(rng.choice(alphabet) for _ in range(n))
+    rows, passages = [], [some(60) for _ in range(40)]
+    for i, p in enumerate(passages):
+        rows += [(i, joint.join((some(30), p, some(30)))), (100 + i, joint.join((some(7 + i % 20), p, some(25))))]
+    return rows, passages
+
+
+@pytest.mark.parametrize("alphabet,joint", [([f"w{i:03x}" for i in range(900)], " "), ([chr(0x4E00 + i) for i in range(900)], "")], ids=["spaced", "cjk"])
+def test_passage_in_long_sentences(spark, alphabet, joint):
+    rows, passages = long_passages(alphabet, joint, 5)
+    out = {r["doc_id"]: r["text"] for r in sp.dedup(frame(spark, rows), whole=True).collect()}
+    for i, p in enumerate(passages):
+        words = p.split() if joint else list(p)
+        middle = joint.join(words[26:34])
+        assert middle in out[i] and middle not in out[100 + i]
+        assert out[i] == rows[2 * i][1]
+
+
+def test_stops_beyond_ascii(spark):
+    run = "".join("".join(chr(0x4E00 + 37 * i + k) for k in range(9)) + "。" for i in range(4))
+    rows = [(1, "前言在此。" + run + "後記！"), (2, "別的話？" + run + "完")]
+    out = {r["doc_id"]: r["text"] for r in sp.dedup(frame(spark, rows), whole=True).collect()}
+    assert out == {1: rows[0][1], 2: "別的話？完"}
+
+
+def test_long_copies_end_empty(spark):
+    texts = ["same " * 500, "0 1 " * 300, "字" * 400, "x" * 5000, " ".join(str(i * i) for i in range(400)), "中文 mixed 日本語の text. " * 9]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, t) for i, t in enumerate(texts)]
+    out = {r["doc_id"]: r["text"] for r in sp.dedup(frame(spark, rows), whole=True).collect()}
+    assert all(out[100 + i] == "" for i in range(len(texts)))
+
+
+def test_pieces_join_to_the_sentences():
+    for text in [t for _, t in AWKWARD + small_documents() if t and t.isascii()]:
+        data = text.encode()
+        start, end, count = sp.sentence_starts(data)
+        s, e, c = sp.pieces(data, 16)
+        assert set(start.tolist()) <= set(s.tolist()) and set(end.tolist()) <= set(e.tolist()) and c.sum() == count.sum()
+        s, e, c = sp.pieces(data, 1 << 30)
+        assert s.tolist() == start.tolist() and e.tolist() == end.tolist() and c.tolist() == count.tolist()
