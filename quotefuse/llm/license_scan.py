@@ -11,10 +11,12 @@ highest IDF; their positions are joined with the template postings; the
 difference of positions places the template in the file, and the postings are
 intersected by counting, for each (file, template, place), the different
 template positions that agree. A placement with at least ``agree`` of them
-(all, if the template has fewer) is verified: every key phrase of the template
-must stand at its position word for word. The score is 1 for a base phrase and
-else the best share, of the template's indexed positions or of ``rare`` if
-that is less, that agrees in a verified placement.
+(all, if the template has fewer) is verified; where the rare words give fewer
+and a phrase stands in the file, all its licence words are looked up and
+counted. Every key phrase of the template must stand at its position word for
+word. The score is 1 for a base phrase and else the best share, of the
+template's indexed positions or of ``rare`` if that is less, that agrees in a
+verified placement.
 
 Base and key phrases are placed word for word: a phrase is found from its
 first indexed word and checked against the words beside it.
@@ -151,13 +153,18 @@ def scan(docs: DataFrame, rare: int = 8, agree: int = 2) -> DataFrame:
     ranked = [r["word"] for r in sorted(df, key=lambda r: (r["count"], r["word"]))]  # highest IDF first
     order = F.array(*[F.lit(w) for w in ranked]).cast("array<string>")
     best = F.slice(F.array_intersect(order, "held"), 1, rare)
-    looked = (some.withColumn("held", held).withColumn("best", best)
-              .select("doc_id", "h", "starts", F.explode(F.filter("places", lambda p: F.array_contains("best", p["word"]))).alias("p")))
+    # beyond the rare words, the places of the others if a phrase stands in the file: no template is verified without one
+    looked = (some.withColumn("held", held).withColumn("best", best).withColumn("all", F.size("starts") > 0)
+              .select("doc_id", "h", "starts", "best", F.explode(
+                  F.filter("places", lambda p: F.col("all") | F.array_contains("best", p["word"]))).alias("p")))
     sizes = F.create_map(*itertools.chain.from_iterable(
         (F.lit(n), F.lit(sum(w in set(indexed_words()) for w in t.split()))) for n, (_, t, _) in enumerate(TEMPLATES)))
     agreed = (looked.join(F.broadcast(postings), F.col("p.word") == F.col("word"))
               .withColumn("place", F.col("p.pos") - F.col("tpos")).where(verified(F.col("template"), F.col("place"), F.col("starts")))
-              .groupBy("doc_id", "h", "template", "place").agg(F.count_distinct("tpos").alias("n"))
+              .groupBy("doc_id", "h", "template", "place").agg(
+                  F.count("*").alias("every"), F.count_if(F.array_contains("best", F.col("word"))).alias("few"))
+              # the rest decides only where the rare words do not reach the template
+              .withColumn("n", F.when(F.col("few") >= agree, F.col("few")).otherwise(F.col("every")))
               .withColumn("size", sizes[F.col("template")]).where(F.col("n") >= F.least(F.lit(agree), F.col("size"))))
     label = F.get(F.array(*[F.lit(name) for name, _, _ in TEMPLATES]), F.col("template"))
     found = agreed.groupBy("doc_id", "h").agg(
