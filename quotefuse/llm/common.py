@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,19 @@ def slices(batches: Iterable, rows: int = 512) -> Iterator:
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+
+
+def text_slices(batches: Iterable, column: str, rows: int = 4096, size: int = 1 << 21) -> Iterator:
+    """The record batches in parts of at most ``rows`` rows and about ``size``
+    bytes of a string column; a longer text makes a part of its own."""
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        lengths = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(lengths, dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            before = ends[at - 1] if at else 0
+            stop = min(max(int(np.searchsorted(ends, before + size, side="right")), at + 1), at + rows)
+            yield b.slice(at, stop - at)
+            at = min(stop, b.num_rows)

@@ -65,4 +65,101 @@ SELECT t.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
 FROM t LEFT JOIN d USING (doc_id)
 """
 
-ORACLE = {"op5_trigram_secrets": SECRETS, "op4_prefix_containment": DECONTAMINATION}
+# fixed values: the rules as (verdict, host, path), the method's globs as (verdict, glob, expression, literal characters)
+_URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+              ("block", "net", "/es/"), ("block", "net", "/fr/"))
+_URL_GLOBS = (
+    ("block", "*adult**", r"[^/]*adult.*", 5), ("block", "*casino**", r"[^/]*casino.*", 6),
+    ("block", "*cheap-pills**", r"[^/]*cheap-pills.*", 11), ("block", "*porn**", r"[^/]*porn.*", 4),
+    ("block", "*xxx**", r"[^/]*xxx.*", 3), ("block", "ads.**", r"ads\..*", 4), ("block", "*.ads.**", r"[^/]*\.ads\..*", 5),
+    ("block", "**/wp-login.php", r".*/wp-login\.php", 13), ("block", "**/wp-admin/**", r".*/wp-admin/.*", 10),
+    ("block", "**/cgi-bin/**", r".*/cgi-bin/.*", 9), ("block", "**.exe", r".*\.exe", 4), ("block", "**.zip", r".*\.zip", 4),
+    ("block", "*.*/*/login", r"[^/]*\.[^/]*/[^/]*/login", 8),
+    ("allow", "*.adult-education.*/**", r"[^/]*\.adult-education\.[^/]*/.*", 18))
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else f"'{x}'" for x in r) + ")" for r in rows)
+
+
+URLS = f"""
+WITH rules(verdict, h, p) AS (VALUES {_values(_URL_RULES)}),
+globs(verdict, pattern, re, size) AS (VALUES {_values(_URL_GLOBS)}),
+u AS (
+  SELECT page_id, row_number() OVER () AS row,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (
+  SELECT row, h || p AS rule, verdict, row_number() OVER (PARTITION BY row ORDER BY length(h || p) DESC) AS k
+  FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
+g AS (
+  SELECT row, pattern, verdict, row_number() OVER (PARTITION BY row ORDER BY size DESC, verdict DESC, pattern DESC) AS k
+  FROM u JOIN globs ON regexp_full_match(host || path, '(?s)' || re))
+SELECT page_id, host, path, rule, coalesce(r.verdict, g.verdict, 'allow') AS verdict,
+       CASE WHEN rule IS NULL THEN pattern END AS own_glob
+FROM u LEFT JOIN r ON r.row = u.row AND r.k = 1 LEFT JOIN g ON g.row = u.row AND g.k = 1
+"""
+
+COLLOCATIONS = f"""
+WITH q AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOW}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM q),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (
+  SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS f
+  FROM w, unnest(range(1, 5)) AS s(m), unnest(range(1, len(w) - m + 2)) AS r(i) WHERE len(w) >= m
+  GROUP BY ALL HAVING count(*) >= 30),
+k AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM c WHERE m > 1),
+cut AS (
+  SELECT k.lang, k.phrase, a, x, l.f AS l, r.f AS r, 2000000::HUGEINT * a // (l.f + r.f) AS score
+  FROM k, unnest(range(1, k.m)) AS t(x)
+  JOIN c l ON l.lang = k.lang AND l.phrase = array_to_string(list_slice(w, 1, x), ' ')
+  JOIN c r ON r.lang = k.lang AND r.phrase = array_to_string(list_slice(w, x + 1, k.m), ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, x) = 1),
+gone AS (
+  SELECT DISTINCT k.lang, k.phrase FROM k
+  JOIN k AS big ON big.lang = k.lang AND big.m > k.m AND contains(' ' || big.phrase || ' ', ' ' || k.phrase || ' ')
+  WHERE 100 * big.a >= 80 * k.a),
+kept AS (SELECT best.* FROM best ANTI JOIN gone USING (lang, phrase)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+RESAMPLING = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS row, {_WORDS} AS w FROM documents),
+b AS (SELECT {_WORDS} AS w FROM benchmark),
+step AS (
+  SELECT i, list_reduce(range(8), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, i) AS v
+  FROM range(256) AS t(i)),
+crc AS (SELECT list(v ORDER BY i) AS t FROM step),
+word AS (SELECT DISTINCT unnest(w) AS word FROM (SELECT w FROM d UNION ALL SELECT w FROM b)),
+place AS (
+  SELECT word, xor(list_reduce(
+           list_transform(range(strlen(word)), lambda j: ('0x' || substr(hex(encode(word)), (2 * j + 1)::INT, 2))::BIGINT),
+           lambda x, y: xor(x >> 8, t[(xor(x, y) & 255) + 1]), 4294967295::BIGINT), 4294967295) % 10000 AS bucket
+  FROM word, crc),
+dw AS (SELECT row, bucket FROM (SELECT row, unnest(w) AS word FROM d) JOIN place USING (word)),
+bw AS (SELECT bucket FROM (SELECT unnest(w) AS word FROM b) JOIN place USING (word)),
+s AS (SELECT bucket, count(*) AS s FROM dw GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw GROUP BY bucket),
+z AS (SELECT (SELECT count(*) FROM dw)::DOUBLE AS s_all, (SELECT count(*) FROM bw)::DOUBLE AS t_all),
+gain AS (
+  SELECT s.bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all + 10000) / ((s::DOUBLE + 1) * (t_all + 10000))))::BIGINT AS g
+  FROM s LEFT JOIN t USING (bucket), z),
+weight AS (SELECT row, floor(sum(g) / count(*))::BIGINT AS weight FROM dw JOIN gain USING (bucket) GROUP BY row),
+noise AS (SELECT row, ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h FROM d),
+scored AS (
+  SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+  FROM d JOIN noise USING (row) LEFT JOIN weight USING (row)),
+drawn AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (
+    PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, weight, n_features) END AS k,
+    count(*) FILTER (WHERE n_features >= 20) OVER () AS fit FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= 10 * fit // 100 THEN k END::BIGINT AS rank FROM drawn
+"""
+
+ORACLE = {
+    "op5_trigram_secrets": SECRETS, "op4_prefix_containment": DECONTAMINATION, "op11_shift_and_urls": URLS,
+    "op12_fingerprint_phrases": COLLOCATIONS, "op13_importance_draw": RESAMPLING}
