@@ -5,21 +5,23 @@ into words at blanks and tabs; everything is counted per language. Inside a
 task numpy prefix polynomials hash every word from its bytes and every run of 1
 to 4 words from its words: a fingerprint is a difference of two prefix sums.
 
-1. Runs of one and two words: fingerprints with partial counts are shuffled and
-   summed. Those that reach ``least`` are marked in a bit table of fixed size.
-2. Runs of one to four words whose words and word pairs are all marked (no other
-   run can reach ``least``): fingerprint, count and a pointer to an occurrence
-   (text key, byte and length) for every batch, all occurrences of the batch
-   compared with the pointed one by their words. Spark sums by fingerprint.
-3. Only pointers of fingerprints that reach ``least`` meet the texts: each phrase
-   is cut out there and counts are summed again by the phrase itself. Two phrases
-   of one fingerprint fall apart here, so counts are exact whatever collides.
-
-A fingerprint's sum is never under the count of any of its phrases, and marks
-have no false negatives, so nothing frequent is lost; a full bit table would only
-prune less. Repeated texts are read through one key (two 64-bit hashes), so a
-text copied a million times is shuffled once per task; a language or a word of
-any share is split by the fingerprint.
+1. Runs of one and two words, then of three words whose word pairs may be
+   frequent: fingerprints with partial counts are shuffled and summed. Those that
+   reach ``least`` are marked in a bit table of fixed size. A sum is never under
+   the count of any phrase of that fingerprint and marks have no false negatives,
+   so nothing frequent is lost; a full bit table only prunes less.
+2. Marked runs, and runs of four words made of marked ones: each task sends the
+   fingerprint, a second one by tables of random numbers instead of powers
+   (together 128 bits), a count, and a pointer to an occurrence: text key, byte
+   and length. Spark sums the counts and keeps the least pointer.
+3. Only what reaches ``least`` then meets the texts, and only the texts that are
+   pointed at (few: the least keys): the phrase is cut out, must have the
+   fingerprint's number of words, and counts are summed by the phrase itself.
+   Phrases that collide in one fingerprint have met apart by the other.
+
+Repeated texts are read through one key (two 64-bit hashes of text and
+language), so a text copied a million times is shuffled once per task; a
+language or a word of any share is split by the fingerprint.
 
 A candidate (2 to 4 words, ``least`` occurrences) is cut after each of its
 words; all parts are frequent too, so the counts of both parts come by
@@ -46,7 +48,9 @@ from quotefuse.llm.common import saved, text_slices
 MOST = 4                  # words of the longest phrase
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 HELD = 1 << 22            # fingerprints that a task holds before it writes counts out
+SPOTS = 1 << 19           # pointers that a task holds
 BITS = 26                 # the bit table has 2**BITS bits (8 MB)
+TABLE = np.random.default_rng(12).integers(0, 1 << 63, (64, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 KIND = np.zeros(256, dtype=np.uint8)  # 0: of a word, 1: between words, 2: ends a piece
@@ -69,11 +73,22 @@ def powers(base: int, size: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
+class Prefix:
+    """Prefix polynomial of a sequence of numbers: the span [s, e) has hash (P[e] - P[s]) * base**-s."""
+
+    def __init__(self, values: np.ndarray, base: int = BASE):
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * powers(base, len(values)))))
+        self.down = powers(pow(base, -1, 1 << 64), len(values))
+
+    def spans(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return (self.sums[stop] - self.sums[start]) * self.down[start]
+
+
 class Words:
     """The words of a batch of texts: where they stand, their hashes, their pieces.
 
     ``row`` is the text of each word, ``start`` and ``stop`` are bytes within
-    the batch's ``data``; ``base`` is where each text begins there."""
+    the batch; ``base`` is where each text begins there."""
 
     def __init__(self, texts: pa.Array, salt: np.ndarray):
         raw = texts.cast(pa.binary())
@@ -91,42 +106,24 @@ class Words:
         self.start, self.stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.row = np.searchsorted(self.base, self.start, side="right") - 1
         # pieces: a new one wherever a piece's end or a text's end lies before the word
-        marks = np.cumsum(kind == 2)
-        self.piece = marks[self.start] + self.row if len(data) else np.zeros(0, np.int64)
-        # Rabin-Karp: the word at [s, e) has hash (P[e] - P[s]) * BASE**-s
-        inverse = pow(BASE, -1, 1 << 64)
-        down = powers(inverse, len(data))
-        prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)))))
-        self.hash = mixed((prefix[self.stop] - prefix[self.start]) * down[self.start] + (self.stop - self.start).astype(np.uint64))
+        self.piece = np.cumsum(kind == 2)[self.start] + self.row if len(data) else np.zeros(0, np.int64)
         self.salt = salt[self.row] if len(self.row) else np.zeros(0, np.uint64)
-        self.prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(self.hash * powers(BASE, len(self.hash)))))
-        self.down = powers(inverse, len(self.hash))
+        letters = Prefix(self.data.astype(np.uint64) + np.uint64(1))
+        self.words = Prefix(mixed(letters.spans(self.start, self.stop) + (self.stop - self.start).astype(np.uint64)))
 
     def runs(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """First word and fingerprint (language and length included) of all runs of ``n`` words of one piece."""
         size = max(len(self.start) - n + 1, 0)
         at = np.flatnonzero(self.piece[:size] == self.piece[n - 1: n - 1 + size])
-        fp = (self.prefix[at + n] - self.prefix[at]) * self.down[at]
-        return at, mixed(fp ^ (self.salt[at] + np.uint64(n)))
-
-    def codes(self) -> np.ndarray:
-        """A number per distinct word, by its bytes: words of one hash are compared with the first of them."""
-        _, first, code = np.unique(self.hash, return_index=True, return_inverse=True)
-        size = self.stop - self.start
-        other = size != size[first[code]]
-        for at in range(0, len(code), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            n = size[part]
-            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            mine = self.data[np.repeat(self.start[part], n) + inner]
-            theirs = self.data[np.minimum(np.repeat(self.start[first[code[part]]], n) + inner, len(self.data) - 1)]
-            bad = np.add.reduceat(mine != theirs, np.cumsum(n) - n) if len(n) else n
-            other[part] |= bad > 0
-        extra: dict[bytes, int] = {}
-        for i in np.flatnonzero(other).tolist():
-            word = self.data[self.start[i]: self.stop[i]].tobytes()
-            code[i] = extra.setdefault(word, len(first) + len(extra))
-        return code
+        return at, mixed(self.words.spans(at, at + n) ^ (self.salt[at] + np.uint64(n)))
+
+    def second(self) -> Prefix:
+        """Prefixes for a second fingerprint: a word is the sum of a random number per byte and place in the word."""
+        begins = np.concatenate(([0], self.start))
+        place = np.arange(len(self.data)) - np.repeat(begins, np.diff(np.append(begins, len(self.data))))
+        values = TABLE[place & 63, self.data] * (mixed((place >> 6).astype(np.uint64)) | np.uint64(1))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
+        return Prefix(mixed(sums[self.stop] - sums[self.start]), BASE ^ 0x5DEECE66C)
 
 
 def summed(fp: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,13 +141,15 @@ def salts(langs: list[str]) -> np.ndarray:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), text.alias("text"), F.xxhash64(text).alias("k1"),
-                       F.xxhash64(F.lit(1), text).alias("k2"))
+    text, lang = F.coalesce("text", F.lit("")), F.coalesce("lang", F.lit("und"))
+    return docs.select(lang.alias("lang"), text.alias("text"), F.xxhash64(text, lang).alias("k1"),
+                       F.xxhash64(F.lit(1), lang, text).alias("k2"))
 
 
-def short_counts(rows: DataFrame) -> DataFrame:
-    """(fp, n): partial counts of the fingerprints of one and two words."""
+def fingerprint_counts(rows: DataFrame, sizes: tuple[int, ...], marks: list[np.ndarray], bits: int) -> DataFrame:
+    """(fp, n): partial counts of the fingerprints of runs of some sizes; with ``marks``
+    (tables of shorter sizes) of the runs whose parts are all marked."""
+    known = rows.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches):
         held, size = [], 0
@@ -163,7 +162,7 @@ def short_counts(rows: DataFrame) -> DataFrame:
 
         for b in text_slices(batches, "text"):
             words = Words(b.column("text"), salts(b.column("lang").to_pylist()))
-            fp = np.concatenate([words.runs(n)[1] for n in (1, 2)])
+            fp = np.concatenate([x for _, x in candidates(words, known.value, max(sizes), bits)[min(sizes) - 1:]])
             held.append(summed(fp, np.ones(len(fp), np.int64)))
             size += len(held[-1][0])
             if size > HELD:
@@ -175,6 +174,22 @@ def short_counts(rows: DataFrame) -> DataFrame:
     return rows.select("lang", "text").mapInArrow(run, "fp long, n long")
 
 
+def candidates(words: Words, marks: list[np.ndarray], most: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(first word, fingerprint) of the runs of 1 to ``most`` words that are marked, as far as
+    there are tables (the first one is of one and two words), and whose parts are."""
+    out, before = [], None
+    for n in range(1, most + 1):
+        at, fp = words.runs(n)
+        keep = np.ones(len(at), dtype=bool) if before is None else before[at] & before[at + 1]
+        table = max(n - 2, 0)
+        if table < len(marks):
+            keep &= marked(marks[table], fp, bits)
+        out.append((at[keep], fp[keep]))
+        before = np.zeros(len(words.start) + 1, dtype=bool)
+        before[at[keep]] = True
+    return out
+
+
 def bit_table(fps: DataFrame, bits: int) -> np.ndarray:
     """Marks of all fingerprints of ``fps``: at most 2**bits / 64 words are gathered."""
     place = F.shiftrightunsigned("fp", 64 - bits)
@@ -190,62 +205,72 @@ def marked(table: np.ndarray, fp: np.ndarray, bits: int) -> np.ndarray:
     return (table[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def pointers(rows: DataFrame, table: np.ndarray, bits: int) -> DataFrame:
-    """(lang, words, fp, n, k1, k2, at, size): per batch, the runs that may be frequent with
-    their count and one occurrence; words 0 carries the number of words of a language."""
-    known = rows.sparkSession.sparkContext.broadcast(table)
-    names = ["lang", "words", "fp", "n", "k1", "k2", "at", "size"]
+NAMES = ["fp", "check", "n", "k1", "k2", "at", "size", "words"]
+
+
+def merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """One row per (fp, check): counts summed, the first pointer kept."""
+    cols = [np.concatenate(x) for x in zip(*parts)]
+    order = np.argsort(cols[0], kind="stable")
+    fp, check = cols[0][order], cols[1][order]
+    if ((fp[1:] == fp[:-1]) & (check[1:] != check[:-1])).any():  # phrases that share a fingerprint
+        order = np.lexsort((cols[1], cols[0]))
+        fp, check = cols[0][order], cols[1][order]
+    heads = np.flatnonzero(np.concatenate(([True], (fp[1:] != fp[:-1]) | (check[1:] != check[:-1]))))[: len(fp)]
+    counts = np.add.reduceat(cols[2][order], heads) if len(fp) else cols[2]
+    return [counts if i == 2 else x[order[heads]] for i, x in enumerate(cols)]
+
+
+def pointers(rows: DataFrame, marks: list[np.ndarray], bits: int) -> DataFrame:
+    """Partial counts of the runs that may be frequent, each with one occurrence: the
+    text's key (k1, k2), the first byte there and the number of bytes."""
+    known = rows.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches):
-        bitmap = known.value
-        for b in text_slices(batches, "text", rows=1 << 16, size=1 << 23):
-            langs = b.column("lang").to_pylist()
-            words = Words(b.column("text"), salts(langs))
+        held, size = [], 0
+
+        def out():
+            cols = merged(held)
+            for at in range(0, len(cols[0]), 1 << 17):
+                part = [x[at: at + (1 << 17)] for x in cols]
+                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in part], NAMES)
+
+        for b in text_slices(batches, "text"):
+            b = b.take(pc.sort_indices(b.column("k1")))  # so that the least key is met first
+            words = Words(b.column("text"), salts(b.column("lang").to_pylist()))
+            second = words.second()
             k1, k2 = (b.column(k).to_numpy(zero_copy_only=False) for k in ("k1", "k2"))
-            for lang in dict.fromkeys(langs):
-                mine = np.array([x == lang for x in langs])
-                total = int(mine[words.row].sum()) if len(words.row) else 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang]), pa.array([0]), pa.array([0]), pa.array([total]), *(pa.array([0]) for _ in range(4))], names)
-            code, may = words.codes(), {}
-            for n in range(1, MOST + 1):
-                at, fp = words.runs(n)
-                if n < 3:
-                    keep = marked(bitmap, fp, bits)
-                    may[n] = np.zeros(len(words.start) + MOST, dtype=bool)
-                    may[n][at[keep]] = True
-                    if n == 2:  # both words as well
-                        keep &= may[1][at] & may[1][at + 1]
-                        may[2][:] = False
-                        may[2][at[keep]] = True
-                else:
-                    keep = np.logical_and.reduce([may[2][at + i] for i in range(n - 1)])
-                at, fp = at[keep], fp[keep]
-                if not len(at):
-                    continue
-                # one group per fingerprint and words: occurrences are compared with the first
-                order = np.argsort(fp, kind="stable")
-                at, fp = at[order], fp[order]
-                heads = np.flatnonzero(np.concatenate(([True], fp[1:] != fp[:-1])))
-                sizes = np.diff(np.append(heads, len(fp)))
-                first = np.repeat(at[heads], sizes)
-                same = np.logical_and.reduce([code[at + i] == code[first + i] for i in range(n)])
-                counts = np.add.reduceat(same.astype(np.int64), heads)
-                spot, mark = at[heads], fp[heads]
-                if not same.all():  # other words of the same fingerprint: a row for each of them
-                    odd, where = np.unique(np.stack([code[at[~same] + i] for i in range(n)], axis=1), axis=0, return_inverse=True)
-                    one = np.zeros(len(odd), np.int64)
-                    one[where.ravel()] = np.arange(len(at))[~same]
-                    spot, mark = np.append(spot, at[one]), np.append(mark, fp[one])
-                    counts = np.append(counts, np.bincount(where.ravel(), minlength=len(odd)))
-                row = words.row[spot]
-                begin = words.start[spot]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("lang").take(pa.array(row)), pa.array(np.full(len(spot), n, np.int32)).cast(pa.int64()),
-                     pa.array(mark.view(np.int64)), pa.array(counts), pa.array(k1[row]), pa.array(k2[row]),
-                     pa.array(begin - words.base[row]), pa.array(words.stop[spot + n - 1] - begin)], names)
+            found = []
+            for n, (at, fp) in enumerate(candidates(words, known.value, MOST, bits), 1):
+                check = mixed(second.spans(at, at + n) + words.salt[at])
+                row, begin = words.row[at], words.start[at]
+                found.append([fp, check, np.ones(len(at), np.int64), k1[row], k2[row], begin - words.base[row],
+                              words.stop[at + n - 1] - begin, np.full(len(at), n, np.int64)])
+            held.append(merged(found))
+            size += len(held[-1][0])
+            if size > SPOTS:
+                held = [merged(held)]
+                size = len(held[0][0])
+                if size > SPOTS // 2:
+                    yield from out()
+                    held, size = [], 0
+        if held:
+            yield from out()
+
+    return rows.mapInArrow(run, ", ".join(f"{x} long" for x in NAMES))
 
-    return rows.mapInArrow(run, "lang string, words long, fp long, n long, k1 long, k2 long, at long, size long")
+
+def pointed(rows: DataFrame, keys: DataFrame, bits: int = 20) -> DataFrame:
+    """The texts that a key of ``keys`` points at, and a few others: a bit table of
+    fixed size spares the others the shuffle."""
+    known = rows.sparkSession.sparkContext.broadcast(bit_table(keys.select(F.col("k1").alias("fp")), bits))
+
+    def run(batches):
+        for b in batches:
+            k1 = b.column("k1").to_numpy(zero_copy_only=False).view(np.uint64)
+            yield b.filter(pa.array(marked(known.value, k1, bits)))
+
+    return rows.mapInArrow(run, rows.schema).dropDuplicates(["k1", "k2"])
 
 
 def cut_out(text: Column, at: Column, size: Column) -> Column:
@@ -255,23 +280,31 @@ def cut_out(text: Column, at: Column, size: Column) -> Column:
     return F.regexp_replace(low, "[ \t]+", " ")
 
 
-def phrase_counts(docs: DataFrame, least: int = 30, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
-    """(lang, phrase, words, f) of all runs of 1 to 4 words with f >= ``least``, and (lang, n)."""
-    rows = _rows(docs)
-    often = short_counts(rows).groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    partial = saved(pointers(rows, bit_table(often, bits), bits), "phrase-pointers")
-    totals = partial.where(F.col("words") == 0).groupBy("lang").agg(F.sum("n").alias("n"))
-    runs = partial.where(F.col("words") > 0)
-    frequent = runs.groupBy("fp").agg(F.sum("n").alias("total")).where(F.col("total") >= least).select("fp")
-    place = ["k1", "k2", "lang", "words", "at", "size"]
-    spots = (runs.join(frequent, "fp", "left_semi").groupBy(*place).agg(F.sum("n").alias("n")).groupBy("k1", "k2")
-             .agg(F.collect_list(F.struct("lang", "words", "at", "size", "n")).alias("spots")))  # the phrases of one text
-    texts = rows.select("k1", "k2", "text").dropDuplicates(["k1", "k2"])
-    data = texts.join(spots, ["k1", "k2"]).select(F.explode(F.transform("spots", lambda s: F.struct(
-        s["lang"].alias("lang"), s["words"].alias("words"), s["n"].alias("n"),
-        cut_out(F.col("text"), s["at"], s["size"]).alias("phrase")))).alias("s")).select("s.*")
-    counted = data.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    return saved(counted, "phrase-counts"), saved(totals, "lang-words")
+WORD = r"[^.,;:!?\n-\r \t]+"
+
+
+def phrase_counts(docs: DataFrame, least: int = 30, bits: int = BITS) -> DataFrame:
+    """(lang, words, phrase, f) of all runs of 1 to 4 words with f >= ``least``."""
+    rows, marks = _rows(docs), []
+    for sizes in ((1, 2), (3,)):
+        often = fingerprint_counts(rows, sizes, marks, bits).groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        marks.append(bit_table(often, bits))
+    spots = saved(pointers(rows, marks, bits).groupBy("fp", "check", "words").agg(
+        F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "at", "size")).alias("spot"))
+        .where(F.col("n") >= least).select("words", "n", "spot.*"), "phrase-pointers")
+    # all that points at one text: at most its runs
+    by_text = spots.groupBy("k1", "k2").agg(F.collect_list(F.struct("words", "at", "size", "n")).alias("spots"))
+    data = pointed(rows, spots).join(by_text, ["k1", "k2"]).select("lang", F.explode(F.transform("spots", lambda s: F.struct(
+        s["words"].alias("words"), s["n"].alias("n"), cut_out(F.col("text"), s["at"], s["size"]).alias("phrase")))).alias("s"))
+    right = F.size(F.split("s.phrase", " ")) == F.col("s.words")
+    counted = data.where(right).groupBy("lang", "s.words", "s.phrase").agg(F.sum("s.n").alias("f"))
+    return saved(counted, "phrase-counts")
+
+
+def word_totals(docs: DataFrame) -> DataFrame:
+    """(lang, n): all word occurrences of each language."""
+    rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.groupBy("lang").agg(F.sum(F.regexp_count("text", F.lit(WORD))).cast("long").alias("n"))
 
 
 def part(start: Column | int, size: Column | int) -> Column:
@@ -286,7 +319,7 @@ def exact(x: Column) -> Column:
 def mine(docs: DataFrame, least: int = 30, top: int = 2000, inside: int = 80, scale: int = 2_000_000, salts: int = 64,
          bits: int = BITS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` collocations of each language."""
-    counted, totals = phrase_counts(docs, least, bits)
+    counted, totals = phrase_counts(docs, least, bits), word_totals(docs)
     parts = counted.select("lang", F.col("phrase").alias("part"), "f")
     whole = counted.where(F.col("words") > 1).select("lang", "phrase", "words", F.col("f").alias("a"))
     cuts = whole.withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("words") - 1)))

@@ -84,12 +84,16 @@ def test_colliding_fingerprints_keep_exact_counts(spark, monkeypatch):
     assert sorted(map(tuple, co.mine(table(spark, rows), least=8).collect())) == brute(rows, least=8)
 
 
-def test_words_of_one_hash_get_codes_by_their_bytes(monkeypatch):
-    monkeypatch.setattr(co, "mixed", lambda x: x & np.uint64(1))
-    words = co.Words(pa.array(["ab cd ab ef", "", "cd g h ab"]), np.zeros(3, np.uint64))
-    said = ["ab", "cd", "ab", "ef", "cd", "g", "h", "ab"]
-    code = words.codes().tolist()
-    assert [[a == b for b in code] for a in code] == [[a == b for b in said] for a in said]
+def test_structured_words_that_powers_cannot_tell_apart(spark):
+    """Thue-Morse words of 2048 letters have the same polynomial modulo 2**64 for every odd base."""
+    one = "".join("ab"[i.bit_count() & 1] for i in range(2048))
+    two = one.translate(str.maketrans("ab", "ba"))
+    w = co.Words(pa.array([one + " x " + two]), np.zeros(1, np.uint64))
+    at, fp = w.runs(1)
+    check = w.second().spans(at, at + 1)
+    assert fp[0] == fp[2] and check[0] != check[2]
+    rows = [("en", one + " x")] * 6 + [("en", two + " x")] * 7
+    assert sorted(map(tuple, co.mine(table(spark, rows), least=5).collect())) == brute(rows, least=5)
 
 
 def test_words_of_a_sliced_batch():
@@ -97,4 +101,7 @@ def test_words_of_a_sliced_batch():
     w = co.Words(texts, np.zeros(4, np.uint64))
     got = [bytes(w.data[s:e]).decode() for s, e in zip(w.start, w.stop)]
     assert got == ["ab", "cd", "é", "f", "g"] and w.row.tolist() == [0, 0, 2, 2, 3]
-    assert [w.runs(2)[0].tolist()] == [[2]] and len(w.runs(4)[0]) == 0
+    assert w.runs(2)[0].tolist() == [2] and len(w.runs(4)[0]) == 0
+    alone = co.Words(pa.array(["f", "x  F", "ab"]), np.zeros(3, np.uint64)).second()
+    again = w.second()
+    assert alone.spans(np.array([0, 2, 3]), np.array([1, 3, 4])).tolist() == again.spans(np.array([3, 3, 0]), np.array([4, 4, 1])).tolist()
