@@ -18,12 +18,12 @@ from quotefuse.plans.warehouse import LOADED_COL, RUN_COL, latest_run, read_tabl
 
 def table(spark: SparkSession, root: str, name: str, run_id: str | None = None,
           all_runs: bool = False) -> DataFrame:
-    """A table's rows of one run (default: the newest, named by the partition
-    list without opening a file) through a static partition filter, or of all."""
-    rows = read_table(spark, root, name)
+    """A table's rows of one run (default: the newest in the ledger, which may
+    hold none), listing that run's files only, or of all runs."""
     if all_runs:
-        return rows
-    return rows.where(F.col(RUN_COL) == F.lit(run_id if run_id is not None else latest_run(spark, root, name)))
+        return read_table(spark, root, name)
+    run_id = run_id if run_id is not None else latest_run(spark, root, name)
+    return read_table(spark, root, name, run_id if run_id is not None else "")
 
 
 def _desc_pg(c: str) -> Column:

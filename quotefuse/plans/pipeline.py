@@ -84,21 +84,18 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str) -> str:
 def load_run(spark: SparkSession, root: str, silver_rows: DataFrame, run_id: str,
              run_ts, n: int = K.TOP_N, threshold: float = K.ALERT_THRESHOLD) -> dict[str, int]:
     """Write a run's Silver to the history table once, then compute the six
-    KPIs from that written partition (no recomputation of the Silver plan)."""
-    from pyspark.sql import functions as F
-    from quotefuse.plans import warehouse
+    KPIs from what was written (no recomputation of the Silver plan); all seven
+    tables become visible in one commit."""
+    from quotefuse.plans import ledger, warehouse
     warehouse.create_tables(spark, root)
-    counts = {K.HISTORY_TABLE: warehouse.load_table(silver_rows, root, K.HISTORY_TABLE,
-                                                    run_id, run_ts)}
-    written = (warehouse.read_table(spark, root, K.HISTORY_TABLE)
-               .where(F.col(warehouse.RUN_COL) == run_id))
+    history = warehouse.write_load(silver_rows, root, K.HISTORY_TABLE, run_id, run_ts)
+    written = (spark.read.schema(warehouse.table_schema(K.HISTORY_TABLE))
+               .parquet(ledger.folder(root, K.HISTORY_TABLE, run_id, history.load_id)))
     gold = kpis.all_gold(written, run_ts, n, threshold, sort=False)
-    # six independent small jobs over the same written partition: submit them
+    # six independent small jobs over the same written load: submit them
     # together so the scheduler can run their tasks side by side
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=len(gold)) as pool:
-        futures = {t: pool.submit(warehouse.load_table, g, root, t, run_id, run_ts)
-                   for t, g in gold.items()}
-        counts.update({t: f.result() for t, f in futures.items()})
-    counts["total"] = sum(counts.values())
-    return counts
+        futures = [pool.submit(warehouse.write_load, g, root, t, run_id, run_ts) for t, g in gold.items()]
+        entries = [history, *(f.result() for f in futures)]
+    return warehouse.committed(spark, root, entries)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quotefuse import constants as K
 from quotefuse.functions import scalar
 from quotefuse.operators import clean, collect, fuse, kpis, normalize, quality, reports
-from quotefuse.plans import jobs, warehouse
+from quotefuse.plans import catalog, jobs, ledger, warehouse
 from quotefuse.plans import pipeline as P
 from quotefuse.schemas import BRONZE_COLUMNS, NUMERIC_COLUMNS
 from quotefuse.session import scratch_path
@@ -523,3 +523,45 @@ def q_archive_counts(spark, sf):
         f"{root}/archive/{fixtures.SNAPSHOT_TS:%Y/%m/%d}")
     return kept.agg(F.count(F.lit(1)).alias("nb_lignes")).select(
         "nb_lignes", *[F.lit(v).cast("long").alias(k) for k, v in done.items()])
+
+
+# --- ledger and SQL over the catalog (P10, P11, K4-K7, S10) ---------------------------
+
+@register("dw_latest_empty")
+def q_dw_latest_empty(spark, sf):
+    """Two runs of alerts and a third one without any: the newest run, what the
+    default report shows of it, and the rows of all runs."""
+    root = scratch_path(spark, "latest-empty")
+    rows = kpis.alerts(P.clean_ev(spark, sf), sort=False)
+    for run, ts in zip(fixtures.RUN_IDS, fixtures.RUN_TS):
+        warehouse.load_table(rows, root, "alertes_prix", run, ts)
+    warehouse.load_table(rows.limit(0), root, "alertes_prix", "20240201_000000", fixtures.RUN_TS[1])
+    shown = reports.report_alerts(spark, root, all_runs=False).select(F.lit(1).alias("d"), F.lit(0).alias("t"))
+    every = reports.report_alerts(spark, root).select(F.lit(0).alias("d"), F.lit(1).alias("t"))
+    return shown.unionByName(every).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("d", "nb_dernier"), ("t", "nb_tous"))]).select(
+        F.lit(warehouse.latest_run(spark, root, "alertes_prix")).alias("run_id"), "nb_dernier", "nb_tous")
+
+
+@register("dw_ledger")
+def q_dw_ledger(spark, sf):
+    return ledger.frame(spark, _wh(spark, sf)).select("table_name", "run_id", "nb_lignes")
+
+
+def _ask(name: str, **args) -> Query:
+    def run(spark, sf):
+        return catalog.ask(spark, catalog.register(spark, _wh(spark, sf)), name, **args)
+    return run
+
+
+for _name, _args in (("apercu", {}), ("categories", {}), ("prix_categorie", {"categorie": "crypto"}), ("mouvements", {}),
+                     ("devises", {}), ("cryptos", {}), ("alertes", {}), ("tickers", {}), ("historique", {"ticker": "T1.PA"})):
+    register(f"sql_{_name}")(_ask(_name, **_args))
+
+
+@register("sql_dernier_run")
+def q_sql_dernier_run(spark, sf):
+    """A question of the user's own over the views of the newest run."""
+    return catalog.query(spark, catalog.register(spark, _wh(spark, sf)), """
+        SELECT a.categorie, count(*) AS nb_alertes, max(c.nb_actifs) AS nb_actifs
+        FROM alertes_prix_dernier a LEFT JOIN resume_categorie_dernier c ON c.categorie <=> a.categorie
+        WHERE abs(a.variation_pct) >= :seuil GROUP BY a.categorie""", {"seuil": 5.0})

@@ -1,10 +1,12 @@
 """Zones and warehouse: partitioned Parquet, idempotent per run.
 
-Every table is a directory partitioned by ``run_id``; a load overwrites only
-its own run's partition (dynamic partition overwrite). That overwrite touches
-no partition when the result is empty, so a run that wrote no row has its
-partition removed: re-running a run leaves exactly its new rows, also none.
-Row counts come from ``observe`` during the write — no second pass.
+A warehouse table is a folder of loads; the ledger says which load of a run is
+live and with how many rows, so readers see whole loads only and an empty run is
+a run like any other (``plans/ledger.py``). A zone is a directory partitioned by
+``run_id`` whose snapshot overwrites its own run's partition (dynamic partition
+overwrite); that touches no partition when the result is empty, so a run that
+wrote no row has its partition removed. Row counts come from ``observe`` during
+the write, without a second pass.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import types as T
 
 from quotefuse import constants as K
 from quotefuse.functions.scalar import day_path, now_utc, ts_lit
+from quotefuse.plans import ledger
 from quotefuse.schemas import GOLD_COLUMNS, HISTORY_COLUMNS, dw_type, struct
 
 RUN_COL, LOADED_COL = "run_id", "inserted_at"
@@ -69,7 +72,8 @@ def create_tables(spark: SparkSession, root: str, tables=K.DW_TABLES) -> None:
 
     An empty partitioned Parquet write leaves only ``_SUCCESS`` (no schema),
     so a directory is the same table; the types live in ``table_schema`` and
-    every read applies them (``read_table``)."""
+    every read applies them (``read_table``), and ``plans/catalog.py`` declares
+    them as tables of the Spark catalog."""
     for t in tables:
         fs, p = _fs(spark, f"{root}/{t}")
         if not fs.exists(p):
@@ -87,19 +91,20 @@ def read_zone(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
         return spark.createDataFrame([], schema)
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """Whole table; a missing table reads as empty with its schema (S3)."""
-    return read_zone(spark, f"{root}/{table}", table_schema(table))
+def read_table(spark: SparkSession, root: str, table: str, run_id: str | None = None) -> DataFrame:
+    """A table's live rows, of all runs or of one; without any it is empty with
+    its schema (S3). Only the folders that the ledger names are listed."""
+    found = [e for e in ledger.live(spark, root, table) if e.nb_lignes and run_id in (None, e.run_id)]
+    schema = table_schema(table)
+    if not found:
+        return spark.createDataFrame([], schema)
+    paths = [ledger.folder(root, table, e.run_id, e.load_id) for e in found]
+    return spark.read.schema(schema).option("basePath", f"{root}/{table}").parquet(*paths).drop(ledger.LOAD_COL)
 
 
 def latest_run(spark: SparkSession, root: str, table: str) -> str | None:
-    """Newest run id, from the names of the table's partitions: no file is opened."""
-    fs, p = _fs(spark, f"{root}/{table}")
-    if not fs.exists(p):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    runs = [n.split("=", 1)[1] for n in names if n.startswith(f"{RUN_COL}=")]
-    return max(runs, default=None)
+    """Newest run id of a table, from the ledger: no data file is opened."""
+    return ledger.latest_run(spark, root, table)
 
 
 def _prepare(df: DataFrame, table: str, run_id: str, run_ts: _dt.datetime) -> DataFrame:
@@ -120,20 +125,36 @@ def _prepare(df: DataFrame, table: str, run_id: str, run_ts: _dt.datetime) -> Da
     return out.sortWithinPartitions("ticker") if table == K.HISTORY_TABLE else out
 
 
+def write_load(df: DataFrame, root: str, table: str, run_id: str, run_ts: _dt.datetime) -> ledger.Entry:
+    """Writes one load of a table where nobody looks yet; the entry to commit."""
+    entry = ledger.Entry(table, run_id, ledger.new_load(), 0)
+    obs = Observation("write_load")
+    (_prepare(df, table, run_id, run_ts).drop(RUN_COL).observe(obs, F.count(F.lit(1)).alias("n"))
+     .write.parquet(ledger.folder(root, table, run_id, entry.load_id)))
+    return ledger.Entry(table, run_id, entry.load_id, int(obs.get.get("n", 0)))
+
+
 def load_table(df: DataFrame, root: str, table: str, run_id: str,
                run_ts: _dt.datetime) -> int:
-    """Append one run of a table idempotently; returns the rows written (K5, K6)."""
-    return write_run(_prepare(df, table, run_id, run_ts), f"{root}/{table}", run_id)
+    """Loads one run of a table, replacing an earlier load of it; returns the rows written (K5, K6)."""
+    entry = write_load(df, root, table, run_id, run_ts)
+    ledger.commit(df.sparkSession, root, [entry])
+    return entry.nb_lignes
 
 
 def load(spark: SparkSession, root: str, silver: DataFrame, gold: Mapping[str, DataFrame],
          run_id: str, run_ts: _dt.datetime) -> dict[str, int]:
-    """Gold tables + history for one run; per-table and total counts (K7)."""
+    """Gold tables + history for one run, made visible together; per-table and total counts (K7)."""
     create_tables(spark, root)
-    counts = {t: load_table(gold[t], root, t, run_id, run_ts) for t in K.GOLD_TABLES if t in gold}
-    counts[K.HISTORY_TABLE] = load_table(silver, root, K.HISTORY_TABLE, run_id, run_ts)
-    counts["total"] = sum(counts.values())
-    return counts
+    frames = {**{t: gold[t] for t in K.GOLD_TABLES if t in gold}, K.HISTORY_TABLE: silver}
+    return committed(spark, root, [write_load(df, root, t, run_id, run_ts) for t, df in frames.items()])
+
+
+def committed(spark: SparkSession, root: str, entries: list[ledger.Entry]) -> dict[str, int]:
+    """Commits the tables of a load; rows per table and in total."""
+    ledger.commit(spark, root, entries)
+    counts = {e.table_name: e.nb_lignes for e in entries}
+    return {**counts, "total": sum(counts.values())}
 
 
 def save_snapshot(df: DataFrame, zone: str, name: str, run_id: str, sort_by=None,

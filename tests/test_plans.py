@@ -49,8 +49,9 @@ def test_no_python_evaluation_anywhere(spark, sf_small):
 def test_latest_run_report_prunes_partitions(spark, sf_small):
     from quotefuse.operators import reports
     root = P.fixture_warehouse(spark, sf_small)
-    plan = _plan(reports.prices_by_category(spark, root, "crypto"))
-    assert "PartitionFilters: [isnotnull(run_id" in plan and "= 20240131_235959)]" in plan
+    report = reports.prices_by_category(spark, root, "crypto")
+    plan, files = _plan(report), report.inputFiles()
+    assert files and all("run_id=20240131_235959/load_id=" in f for f in files)
     assert "EqualTo(categorie,crypto)" in plan
 
 
