@@ -21,6 +21,10 @@ sends at most one candidate per (group, source) — a hot ticker holding a
 third of all rows costs no more shuffle than a cold one. Error rows take
 part (an error row of the preferred source wins and the ticker is later
 cleaned away); ``drop_errors_first=True`` removes them before fusing.
+
+The aggregate is a state that can be stored and merged with that of other rows
+(``partial``, ``merge``, ``resolve``): ``plans/fusion_state.py`` keeps one over
+all collected runs.
 """
 
 from __future__ import annotations
@@ -39,34 +43,35 @@ def _first(cond: Column | None) -> Column:
     return F.min_by(F.col(_ROW), order)
 
 
-def fuse(df: DataFrame, ord_col: str | Column, drop_errors_first: bool = False,
-         keep_order: bool = False, families: tuple[str | None, ...] | None = None) -> DataFrame:
-    """Fuse competing sources; ``ord_col`` must be non-NULL and unique.
+def _key() -> Column:
+    return F.when(F.col("categorie").isin(*K.CATEGORIES), F.col("categorie"))
 
-    With ``keep_order`` the winning row's order value is kept as ``_qf_ord``.
-    ``families`` asks for some categories only (None: the unknown ones); a row's
-    category is its group's, so the test is made before the aggregation.
-    """
+
+ROLES = {"any": None, "bn": K.SRC_BINANCE, "cg": K.SRC_COINGECKO, "yh": K.SRC_YAHOO, "bo": K.SRC_BOURSORAMA}
+STATE_KEY = ("_qf_cat", "_qf_ticker")
+
+
+def partial(df: DataFrame, ord_col: str | Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """The mergeable state of a fusion: per (category, ticker) the first row overall and of
+    each source, each with its order value inside. ``by`` keeps states apart (a run each)."""
     o = F.col(ord_col) if isinstance(ord_col, str) else ord_col
-    if drop_errors_first and "statut" in df.columns:
-        df = df.where(F.col("statut").isNull() | (F.col("statut") != K.STATUS_ERROR))
-    if families is not None:
-        df = in_families(df, families)
-    cols = [c for c in df.columns if c != ORD]
-    if "categorie" not in df.columns or "source" not in df.columns:
-        return dedup_first(df, o, keep_order)
-    base = df.select(*cols, o.alias(ORD))
+    cols = [c for c in df.columns if c != ORD and c not in by]
+    base = df.select(*by, *cols, o.alias(ORD))
     payload = F.struct(*[F.col(c) for c in cols + [ORD]])
     src = F.col("source")
-    cat_key = F.when(F.col("categorie").isin(*K.CATEGORIES), F.col("categorie"))
-    g = (base.select(cat_key.alias("_qf_cat"), F.col("ticker").alias("_qf_ticker"),
-                     src, F.col(ORD), payload.alias(_ROW))
-         .groupBy("_qf_cat", "_qf_ticker")
-         .agg(_first(None).alias("any"),
-              _first(src == K.SRC_BINANCE).alias("bn"),
-              _first(src == K.SRC_COINGECKO).alias("cg"),
-              _first(src == K.SRC_YAHOO).alias("yh"),
-              _first(src == K.SRC_BOURSORAMA).alias("bo")))
+    keyed = base.select(*by, _key().alias(STATE_KEY[0]), F.col("ticker").alias(STATE_KEY[1]), src, F.col(ORD), payload.alias(_ROW))
+    return keyed.groupBy(*by, *STATE_KEY).agg(
+        *[_first(None if name is None else src == name).alias(role) for role, name in ROLES.items()])
+
+
+def merge(states: DataFrame) -> DataFrame:
+    """One state from the rows of several: the candidate of the least order value stays."""
+    return states.groupBy(*STATE_KEY).agg(*[F.min_by(F.col(r), F.col(r)[ORD]).alias(r) for r in ROLES])
+
+
+def resolve(state: DataFrame, keep_order: bool = False) -> DataFrame:
+    """The fused row of every group of a state."""
+    cols = [f.name for f in state.schema["any"].dataType.fields if f.name != ORD]
     cat = F.col("_qf_cat")
     crypto, fr = cat == "crypto", cat == "action_fr"
     pref = cat.isin("action", "indice")
@@ -91,7 +96,28 @@ def fuse(df: DataFrame, ord_col: str | Column, drop_errors_first: bool = False,
         out.append(w.alias(c))
     if keep_order:
         out.append(winner[ORD].alias(ORD))
-    return g.select(*out)
+    return state.select(*out)
+
+
+def without_errors(df: DataFrame) -> DataFrame:
+    return df.where(F.col("statut").isNull() | (F.col("statut") != K.STATUS_ERROR)) if "statut" in df.columns else df
+
+
+def fuse(df: DataFrame, ord_col: str | Column, drop_errors_first: bool = False,
+         keep_order: bool = False, families: tuple[str | None, ...] | None = None) -> DataFrame:
+    """Fuse competing sources; ``ord_col`` must be non-NULL and unique.
+
+    With ``keep_order`` the winning row's order value is kept as ``_qf_ord``.
+    ``families`` asks for some categories only (None: the unknown ones); a row's
+    category is its group's, so the test is made before the aggregation.
+    """
+    if drop_errors_first:
+        df = without_errors(df)
+    if families is not None:
+        df = in_families(df, families)
+    if "categorie" not in df.columns or "source" not in df.columns:
+        return dedup_first(df, F.col(ord_col) if isinstance(ord_col, str) else ord_col, keep_order)
+    return resolve(partial(df, ord_col), keep_order)
 
 
 def dedup_first(df: DataFrame, ord_col: str | Column, keep_order: bool = False) -> DataFrame:

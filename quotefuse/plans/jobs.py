@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from quotefuse import constants as K
 from quotefuse.operators import clean, collect as collect_ops, fuse, kpis, normalize
 from quotefuse.operators import quality as dq
-from quotefuse.plans import warehouse
+from quotefuse.plans import fusion_state, ledger, warehouse
 from quotefuse.schemas import RAW_QUOTE, SILVER
 from quotefuse.sources import bronze as bronze_scan
 from quotefuse.sources import payloads
@@ -48,6 +48,7 @@ class Config:
     bronze_since: str | None = None             # oldest run_id Silver reads (None: all)
     bronze_csv: tuple[str, ...] = ()            # folders of CSV snapshots Silver reads as well
     export: tuple[str, ...] = ()                # further formats of the latest snapshots (csv, json)
+    incremental: bool = True                    # Silver keeps a fusion state and reads new runs only
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
@@ -106,7 +107,8 @@ def collect(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict:
     bronze = union.withColumn(SEQ, F.monotonically_increasing_id()).observe(
         obs, F.count_if(st == K.STATUS_OK).alias("nb_succes"),
         F.count_if(st == K.STATUS_ERROR).alias("nb_erreurs"))
-    warehouse.save_snapshot(bronze, cfg.path("bronze"), "collecte", run_id_of(run_ts), export=cfg.export)
+    n = warehouse.save_snapshot(bronze, cfg.path("bronze"), "collecte", run_id_of(run_ts), export=cfg.export)
+    ledger.commit(spark, cfg.path("bronze"), [ledger.Entry("collecte", run_id_of(run_ts), ledger.new_load(), n)])
     return {**{k: int(v or 0) for k, v in obs.get.items()}, "sources_absentes": absent,
             **fear_greed(spark, cfg, run_ts)}
 
@@ -136,21 +138,42 @@ def csv_bronze(spark: SparkSession, cfg: Config) -> DataFrame | None:
     return df.withColumn(warehouse.RUN_COL, run).withColumn(SEQ, F.monotonically_increasing_id())
 
 
-def silver(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, int]:
-    """Bronze (all runs, newest first) -> Silver; counts before/after cleaning."""
+def bronze_quotes(spark: SparkSession, cfg: Config, runs: list[str] | None = None) -> DataFrame:
+    """Collected quotes as the fusion reads them, with ``run_id`` and the order ``_qf_key``;
+    of some runs only those partitions are read."""
     b = read_bronze(spark, cfg)
+    if runs is not None:
+        b = b.where(F.col(warehouse.RUN_COL).isin(*runs)) if runs else b.where(F.lit(False))
     if cfg.bronze_since:  # partition pruning on run_id: only the listed runs are read
         b = b.where(F.col(warehouse.RUN_COL) >= cfg.bronze_since)
     b = bronze_order(b).withColumn("fichier_source", F.concat(
         F.lit("collecte_"), F.col(warehouse.RUN_COL), F.lit(".parquet")))
-    df = normalize.tickers(normalize.columns(b.drop(warehouse.RUN_COL, SEQ)))
+    return normalize.tickers(normalize.columns(b.drop(SEQ)))
+
+
+def fused_quotes(spark: SparkSession, cfg: Config) -> DataFrame:
+    """J6 over all collected runs: from the stored state and the runs that are new
+    (``plans/fusion_state.py``), or, with a lower bound, CSV snapshots or a Bronze
+    zone without a ledger, over all rows."""
+    runs = {e.run_id: e.load_id for e in ledger.live(spark, cfg.path("bronze"), "collecte")}
+    if cfg.incremental and runs and not cfg.bronze_since and not cfg.bronze_csv:
+        def rows(some: list[str]) -> DataFrame:
+            quotes = bronze_quotes(spark, cfg, some)
+            return fuse.without_errors(quotes) if cfg.drop_errors_first else quotes
+        state = cfg.path("silver", "fusion_sans_erreurs" if cfg.drop_errors_first else "fusion")
+        return fusion_state.fused(spark, state, runs, rows, "_qf_key")[0].drop("_qf_key")
+    df = bronze_quotes(spark, cfg).drop(warehouse.RUN_COL)
     snapshots = csv_bronze(spark, cfg)
     if snapshots is not None:
         snapshots = normalize.tickers(normalize.columns(bronze_order(snapshots).drop(warehouse.RUN_COL, SEQ)))
         text = df.select(*[c if c == "_qf_key" else F.col(c).cast("string").alias(c) for c in df.columns])
         df = text.unionByName(snapshots, allowMissingColumns=True)
-    fused = normalize.ensure(
-        fuse.fuse(df, "_qf_key", drop_errors_first=cfg.drop_errors_first).drop("_qf_key"))
+    return fuse.fuse(df, "_qf_key", drop_errors_first=cfg.drop_errors_first).drop("_qf_key")
+
+
+def silver(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, int]:
+    """Bronze (all runs, newest first) -> Silver; counts before/after cleaning."""
+    fused = normalize.ensure(fused_quotes(spark, cfg))
     casted = clean.cast_types(fused)
     obs = Observation("clean")
     casted = casted.observe(obs, F.count(F.lit(1)).alias("nb_avant"),
@@ -264,13 +287,14 @@ def main(argv=None) -> None:
     ap.add_argument("--bronze-csv", nargs="*", default=(), help="folders of CSV snapshots that Silver reads as well")
     ap.add_argument("--drop-errors-first", action="store_true")
     ap.add_argument("--export", nargs="*", choices=["csv", "json"], default=())
+    ap.add_argument("--full", action="store_true", help="Silver fuses all Bronze rows instead of keeping a state")
     ap.add_argument("--ticks", help="folder of tick messages to stream from (stream job), one per line")
     a = ap.parse_args(argv)
     srcs = {"tout": SOURCES, "yahoo": ("yahoo",), "crypto": ("coingecko", "binance"),
             "boursorama": ("boursorama",)}[a.source]
     cfg = Config(root=a.root, sources=srcs, multiline=a.multiline, n=a.n, threshold=a.threshold,
                  drop_errors_first=a.drop_errors_first, bronze_since=a.bronze_since,
-                 bronze_csv=tuple(a.bronze_csv), export=tuple(a.export))
+                 bronze_csv=tuple(a.bronze_csv), export=tuple(a.export), incremental=not a.full)
     ts = _dt.datetime.fromisoformat(a.run_ts) if a.run_ts else \
         _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
     spark = SparkSession.builder.getOrCreate()
