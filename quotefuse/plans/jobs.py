@@ -257,7 +257,7 @@ def archive(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str,
 
 
 def stream(spark: SparkSession, cfg: Config, source: DataFrame, trigger: dict | None = None):
-    """Tick stream into logs/ticks (per day) and logs/alertes."""
+    """One tick stream into stream/ticks and stream/alertes, by day."""
     return ticks.start(spark, source, cfg.path("stream"), cfg.path("stream", "_checkpoint"),
                        trigger)
 

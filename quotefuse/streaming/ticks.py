@@ -2,23 +2,27 @@
 
 All stream operators are stateless projections/filters, so the same
 functions serve a static DataFrame (tests, backfills) and a streaming one.
-Ticks and alerts go to two file sinks partitioned by UTC day. A file sink's own
-log names the files of every committed micro-batch, so a batch replayed after a
-failure does not appear twice, a reader sees whole batches only, and there is
-one directory a day however many batches run.
+
+One query feeds both sinks. Each micro-batch is parsed once and written as a lot
+of ticks by UTC day; its alerts are filtered from the lot that was written; then
+one commit of the ledger names the files of both with their rows. Readers see
+both or neither, a batch replayed after a failure finds its number committed and
+writes nothing, and the number of messages comes from the ledger. The lots of a
+finished day are merged into few files by ``merge_days``, with one commit that
+swaps them.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quotefuse import constants as K
 from quotefuse.functions.scalar import iso_text, now_utc
-from quotefuse.schemas import TICK, TICK_COLUMNS, TICK_ENVELOPE
+from quotefuse.plans import ledger
+from quotefuse.schemas import TICK, TICK_COLUMNS, TICK_ENVELOPE, struct
 
 _REQUIRED = ("c", "P", "v", "h", "l", "o")
 
@@ -79,45 +83,98 @@ def daily_counts(ticks: DataFrame) -> DataFrame:
     return with_day(ticks).groupBy("jour").agg(F.count(F.lit(1)).alias("nb_ticks"))
 
 
-@dataclass
-class TickStream:
-    """The two queries of a stream job."""
-    ticks: StreamingQuery
-    alerts: StreamingQuery
+TICKS, ALERTS, LOTS = "ticks", "alertes", "lots"
+ALERT_SCHEMA = struct(("ticker", T.StringType()), ("direction", T.StringType()), ("variation_pct", T.DoubleType()),
+                      ("prix", T.DoubleType()), ("timestamp", T.StringType()))
+DAY = T.StructField("jour", T.StringType())
+
+
+def _schema(table: str) -> T.StructType:
+    return T.StructType([*(TICK if table == TICKS else ALERT_SCHEMA).fields, DAY])
+
 
-    def awaitTermination(self) -> None:  # noqa: N802 - as a StreamingQuery
-        self.ticks.awaitTermination()
-        self.alerts.awaitTermination()
+def _path(out: str, table: str, e: ledger.Entry) -> str:
+    return f"{out}/{table}/{ledger.LOAD_COL}={e.load_id}/jour={e.run_id.partition('.')[0]}"
 
-    def processAllAvailable(self) -> None:  # noqa: N802
-        self.ticks.processAllAvailable()
-        self.alerts.processAllAvailable()
 
-    def stop(self) -> None:
-        self.ticks.stop()
-        self.alerts.stop()
+def _write_lot(df: DataFrame, out: str, table: str, lot: str) -> list[ledger.Entry]:
+    """One table of a lot by day; an entry per day with its rows (days are few)."""
+    target = f"{out}/{table}/{ledger.LOAD_COL}={lot}"
+    df.write.partitionBy("jour").parquet(target)
+    days = df.sparkSession.read.schema(_schema(table)).parquet(target).groupBy("jour").count().collect()
+    return [ledger.Entry(table, f"{r['jour']}.{lot}", lot, r["count"]) for r in days]
 
 
-def _sink(df: DataFrame, out: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    return (with_day(df).writeStream.format("parquet").partitionBy("jour").outputMode("append")
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start(out))
+def write_batch(ticks: DataFrame, batch_id: int, out: str, stream: str, threshold: float = K.ALERT_THRESHOLD) -> None:
+    """Both sinks of one micro-batch of parsed ticks; a batch that is committed already is left alone."""
+    spark = ticks.sparkSession
+    done = {e.run_id: e.nb_lignes for e in ledger.live(spark, out, LOTS)}
+    if done.get(stream, -1) >= batch_id:
+        return
+    lot = ledger.new_load()
+    entries = _write_lot(with_day(ticks), out, TICKS, lot)
+    if entries:  # the alerts of exactly what was written
+        written = spark.read.schema(_schema(TICKS)).parquet(f"{out}/{TICKS}/{ledger.LOAD_COL}={lot}")
+        entries += _write_lot(with_day(alerts(written, threshold)), out, ALERTS, lot)
+    ledger.commit(spark, out, [*entries, ledger.Entry(LOTS, stream, lot, batch_id)])
 
 
 def start(spark: SparkSession, source: DataFrame, out: str, checkpoint: str,
           trigger: dict | None = None, ts: Column | None = None,
-          threshold: float = K.ALERT_THRESHOLD) -> TickStream:
-    """readStream (Kafka or file source with a ``value`` column) -> parse ->
-    day files of ticks and of alerts (R3, R4, K9), each with its own part of
-    the checkpoint. Kafka: ``spark.readStream.format('kafka')
+          threshold: float = K.ALERT_THRESHOLD) -> StreamingQuery:
+    """readStream (Kafka or file source with a ``value`` column) -> parse once ->
+    ticks and alerts by day (R3, R4, K9). Kafka: ``spark.readStream.format('kafka')
     .option('subscribe', 'crypto-prices').option('startingOffsets', 'latest')``
     (the connector jar must be on the classpath)."""
-    trigger = trigger or {"availableNow": True}
-    parsed = parse_ticks(source, ts=ts)
-    return TickStream(_sink(parsed, f"{out}/ticks", f"{checkpoint}/ticks", trigger),
-                      _sink(alerts(parsed, threshold), f"{out}/alertes", f"{checkpoint}/alertes", trigger))
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")  # the checkpoint's own id
+        write_batch(batch, batch_id, out, stream or "", threshold)
+
+    return (parse_ticks(source, ts=ts).writeStream.foreachBatch(both).outputMode("append")
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_sink(spark: SparkSession, out: str, table: str = TICKS, day: str | None = None) -> DataFrame:
+    """The committed rows of a sink, of all days or one ('yyyyMMdd')."""
+    found = [e for e in ledger.live(spark, out, table) if day in (None, e.run_id.partition(".")[0])]
+    if not found:
+        return spark.createDataFrame([], _schema(table))
+    return (spark.read.schema(_schema(table)).option("basePath", f"{out}/{table}")
+            .parquet(*[_path(out, table, e) for e in found]).drop(ledger.LOAD_COL))
 
 
 def processed_count(spark: SparkSession, out: str) -> int:
-    """Ticks processed so far, over all batches and restarts (R5): the rows
-    that the sink's log names, counted from the files' footers."""
-    return spark.read.schema(TICK).parquet(f"{out}/ticks").count()
+    """Ticks processed so far, over all batches and restarts (R5): sums of the
+    ledger, without reading the sink; also while a stream runs."""
+    return sum(e.nb_lignes for e in ledger.live(spark, out, TICKS))
+
+
+def merge_days(spark: SparkSession, out: str, before: str, file_bytes: int = 128 << 20) -> dict[str, int]:
+    """Packs the lots of every day before ``before`` ('yyyyMMdd') into files of about
+    ``file_bytes``; lots merged per day. One commit per day swaps the files of both sinks,
+    so a running stream and readers are not disturbed; replaced files stay until removed."""
+    days: dict[str, list[ledger.Entry]] = {}
+    for e in ledger.live(spark, out):
+        day = e.run_id.partition(".")[0]
+        if e.table_name in (TICKS, ALERTS) and day < before:
+            days.setdefault(day, []).append(e)
+    merged = {}
+    for day, lots in sorted(days.items()):
+        new = []
+        for table in (TICKS, ALERTS):
+            old = [e for e in lots if e.table_name == table]
+            if len(old) < 2:
+                continue
+            fs, p = ledger._fs(spark, out)  # noqa: SLF001
+            size = sum(fs.getContentSummary(ledger._fs(spark, _path(out, table, e))[1]).getLength() for e in old)  # noqa: SLF001
+            rows = spark.read.schema(_schema(table)).option("basePath", f"{out}/{table}").parquet(
+                *[_path(out, table, e) for e in old]).drop(ledger.LOAD_COL)
+            written = _write_lot(rows.repartition(max(1, -(-size // file_bytes))), out, table, ledger.new_load())
+            if sum(e.nb_lignes for e in written) != sum(e.nb_lignes for e in old):
+                raise RuntimeError(f"{table} of {day}: merged files hold other rows than the lots")
+            new += [*written, *(ledger.Entry(table, e.run_id, e.load_id, ledger.GONE) for e in old)]
+            merged[day] = merged.get(day, 0) + len(old)
+        if new:
+            ledger.commit(spark, out, new)
+    return merged

@@ -20,14 +20,14 @@ def test_stream_equals_batch_and_restart_is_idempotent(spark, sf_small):
     q = ticks.start(spark, src, out, ckpt, ts=ts)
     q.awaitTermination()
     batch = ticks.parse_ticks(spark.read.parquet(land), ts=ts)
-    got = spark.read.parquet(f"{out}/ticks").drop("jour")
+    got = ticks.read_sink(spark, out).drop("jour")
     assert got.count() == batch.count() == ticks.processed_count(spark, out)
     assert got.exceptAll(batch).count() == 0
-    n_alerts = spark.read.parquet(f"{out}/alertes").count()
-    assert n_alerts == ticks.alerts(batch).count()
+    found = ticks.read_sink(spark, out, ticks.ALERTS).drop("jour")
+    assert found.count() == ticks.alerts(batch).count() and found.exceptAll(ticks.alerts(batch)).count() == 0
     q2 = ticks.start(spark, src, out, ckpt, ts=ts)   # restart: nothing new
     q2.awaitTermination()
-    assert spark.read.parquet(f"{out}/ticks").count() == batch.count()
+    assert ticks.read_sink(spark, out).count() == batch.count()
 
 
 def test_count_is_not_limited_to_recent_progress(spark):
@@ -43,11 +43,11 @@ def test_count_is_not_limited_to_recent_progress(spark):
     try:
         q = ticks.start(spark, src, out, ckpt)
         q.awaitTermination()
-        assert len(q.ticks.recentProgress) <= 3
+        assert len(q.recentProgress) <= 3
     finally:
         spark.conf.set(key, kept)
     assert ticks.processed_count(spark, out) == n
-    assert spark.read.parquet(f"{out}/ticks").select("jour").distinct().count() <= 2
+    assert ticks.read_sink(spark, out).select("jour").distinct().count() <= 2
 
 
 def test_default_stamp_is_utc_in_any_session_zone(spark):
@@ -63,3 +63,53 @@ def test_default_stamp_is_utc_in_any_session_zone(spark):
             assert t["jour"] == t["timestamp"][:10].replace("-", "")
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+TICK_ROW = ("A", 1.0, 1.0, 1.0, 1.0, 1.0, 9.0, "binance_ws", "crypto")
+
+
+def some_ticks(spark, *stamps):
+    from quotefuse.schemas import TICK
+    return spark.createDataFrame([(*TICK_ROW, s) for s in stamps], TICK)
+
+
+def test_a_replayed_batch_doubles_nothing(spark, monkeypatch):
+    """Both sinks are committed together: a batch that fails between them leaves
+    neither, and its replay writes both once."""
+    import pytest
+    from quotefuse.plans import ledger
+    out = scratch_path(spark, "replay")
+    batch = some_ticks(spark, "2024-01-31T23:59:59.000000", "2024-02-01T00:00:00.000000")
+    real = ticks.alerts
+    monkeypatch.setattr(ticks, "alerts", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ticks.write_batch(batch, 0, out, "s")
+    assert ticks.processed_count(spark, out) == 0 and ticks.read_sink(spark, out).count() == 0
+    monkeypatch.setattr(ticks, "alerts", real)
+    for _ in range(3):
+        ticks.write_batch(batch, 0, out, "s")
+    ticks.write_batch(batch.limit(0), 1, out, "s")
+    ticks.write_batch(batch, 0, out, "another stream of the same folder")
+    for table in (ticks.TICKS, ticks.ALERTS):
+        assert ticks.read_sink(spark, out, table).count() == 4
+        assert ticks.read_sink(spark, out, table, "20240201").count() == 2
+    assert ticks.processed_count(spark, out) == 4
+    assert {e.run_id: e.nb_lignes for e in ledger.live(spark, out, ticks.LOTS)}["s"] == 1
+
+
+def test_finished_days_are_merged_while_a_stream_goes_on(spark):
+    out = scratch_path(spark, "merge")
+    for i in range(5):
+        ticks.write_batch(some_ticks(spark, f"2024-01-31T10:00:0{i}.000000", f"2024-02-01T10:00:0{i}.000000"), i, out, "s")
+    reader = ticks.read_sink(spark, out)
+    rows = sorted(map(str, reader.collect()))
+    assert ticks.merge_days(spark, out, "20240201") == {"20240131": 10}
+    ticks.write_batch(some_ticks(spark, "2024-02-01T11:00:00.000000"), 5, out, "s")
+    assert sorted(map(str, reader.collect())) == rows  # listed before the swap
+    assert len(ticks.read_sink(spark, out, day="20240131").inputFiles()) == 1
+    assert len(ticks.read_sink(spark, out, day="20240201").inputFiles()) >= 6
+    assert ticks.read_sink(spark, out).count() == 11 == ticks.processed_count(spark, out)
+    assert ticks.merge_days(spark, out, "20240201") == {}
+    ticks.write_batch(some_ticks(spark, "2024-01-31T10:00:00.000000"), 6, out, "s")  # a late tick
+    assert ticks.merge_days(spark, out, "20240301")["20240131"] == 4
+    assert ticks.read_sink(spark, out).count() == 12 == ticks.processed_count(spark, out)
