@@ -81,11 +81,12 @@ def validity_rules(df: DataFrame) -> list[tuple[str, Column, str]]:
 
 
 def report(df: DataFrame, name: str | None, layer: str,
-           sections: Sequence[str] = SECTIONS, by: str | None = None) -> DataFrame:
+           sections: Sequence[str] = SECTIONS, by: str | None = None, with_total: bool = False) -> DataFrame:
     """Long quality report of one layer in a single aggregation.
 
     ``by`` (e.g. 'fichier_source') groups the checks; the group value is the
-    table name then, as for per-file Bronze checks.
+    table name then, as for per-file Bronze checks. ``with_total`` adds the number of
+    rows to every line, so that counts need no pass of their own.
     """
     data = df.drop(by) if by else df
     rules: list[tuple[str, str, Column, str]] = []
@@ -119,16 +120,12 @@ def report(df: DataFrame, name: str | None, layer: str,
               .otherwise(F.when(nb == 0, K.DQ_OK).otherwise(level)))
     return long.select(F.lit(layer).alias("couche"), F.col("_tbl").alias("table_name"),
                        section.alias("section"), regle.alias("regle"), nb.alias("nb"),
-                       pct.alias("pct"), statut.alias("statut"))
+                       pct.alias("pct"), statut.alias("statut"), *([F.col("_total").alias("nb_lignes")] if with_total else []))
 
 
-def row_counts(df: DataFrame, name: str | None, layer: str, by: str | None = None) -> DataFrame:
-    """nb_lignes per table (or per file)."""
-    if by:
-        g = df.groupBy(F.col(by).alias("table_name")).agg(F.count(F.lit(1)).alias("nb_lignes"))
-    else:
-        g = df.agg(F.count(F.lit(1)).alias("nb_lignes")).select(F.lit(name).alias("table_name"), "*")
-    return g.select(F.lit(layer).alias("couche"), "table_name", "nb_lignes")
+def counts_of(long_report: DataFrame) -> DataFrame:
+    """nb_lignes per table (or file) of a report made with ``with_total``."""
+    return long_report.groupBy("couche", "table_name").agg(F.first("nb_lignes").alias("nb_lignes"))
 
 
 def duplicates(df: DataFrame, column: str = "ticker") -> DataFrame:
@@ -172,26 +169,47 @@ def to_json_document(long_report: DataFrame, counts: DataFrame | None = None,
     return out
 
 
-def warehouse_checks(spark, root: str, tables: Sequence[str] = K.DW_TABLES) -> DataFrame:
+def _dw_rules() -> list[tuple[str, Column, str]]:
+    t, v = F.col("ticker"), F.col("variation_pct")
+    return [(K.DW_RULE_PRICE, _cnt(F.col("prix") <= 0), K.DQ_FAIL),
+            (K.DW_RULE_TICKER, _cnt(t.isNull() | (t == "")), K.DQ_FAIL),
+            (K.DW_RULE_VAR, _cnt(F.abs(v) > K.DW_MAX_ABS_VAR), K.DQ_WARN)]
+
+
+def history_checks(spark, root: str, state: str | None = None) -> DataFrame:
+    """The warehouse rules counted over the history, a row: with ``state`` each run is
+    counted once and its counts are kept there, else the whole table is read."""
+    from quotefuse.plans import ledger, run_state
+    from quotefuse.plans.warehouse import RUN_COL, read_runs, read_table
+    names = [f"_r{i}" for i in range(len(_dw_rules()))]
+    aggs = [r[1].cast("long").alias(n) for r, n in zip(_dw_rules(), names)]
+    if state is None:
+        return read_table(spark, root, K.HISTORY_TABLE).agg(*aggs)
+    runs = {e.run_id: e.load_id for e in ledger.live(spark, root, K.HISTORY_TABLE)}
+    per_run, _ = run_state.update(spark, state, "historique", runs, lambda some: read_runs(
+        spark, root, K.HISTORY_TABLE, some).groupBy(RUN_COL).agg(*aggs))
+    return per_run.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
+
+
+def warehouse_checks(spark, root: str, tables: Sequence[str] = K.DW_TABLES, state: str | None = None) -> DataFrame:
     """Warehouse checks (A14): rows per table, non-positive prices, empty
     tickers, |variation| > 100, empty tables (with their names), and an error
-    row for a table that does not exist. Each table is read by one aggregate;
-    all rows come from the one row per table that it leaves."""
-    from quotefuse.plans.warehouse import exists, read_table
-    t, v = F.col("ticker"), F.col("variation_pct")
-    rules = [(K.DW_RULE_PRICE, _cnt(F.col("prix") <= 0), K.DQ_FAIL),
-             (K.DW_RULE_TICKER, _cnt(t.isNull() | (t == "")), K.DQ_FAIL),
-             (K.DW_RULE_VAR, _cnt(F.abs(v) > K.DW_MAX_ABS_VAR), K.DQ_WARN)]
+    row for a table that does not exist. Row counts come from the ledger; the
+    history is read by one aggregate, with ``state`` its new runs only."""
+    from quotefuse.plans import ledger
+    from quotefuse.plans.warehouse import exists
+    rules = _dw_rules()
     names = [f"_r{i}" for i in range(len(rules))]
     absent = [x for x in tables if not exists(spark, f"{root}/{x}")]
-    stats = None
-    for i, x in enumerate(tables):
-        own = [r[1].cast("long").alias(n) if x == K.HISTORY_TABLE else F.lit(None).cast("long").alias(n)
-               for r, n in zip(rules, names)]
-        one = read_table(spark, root, x).agg(F.count(F.lit(1)).alias("nb"), *own).select(
-            F.lit(i).alias("pos"), F.lit(x).alias("name"), F.lit(x not in absent).alias("there"), "nb", *names)
-        stats = one if stats is None else stats.unionByName(one)
-    row = stats.agg(F.array_sort(F.collect_list(F.struct("pos", "name", "there", "nb", *names))).alias("s"))
+    rows = {x: 0 for x in tables}
+    for e in ledger.live(spark, root):
+        if e.table_name in rows:
+            rows[e.table_name] += e.nb_lignes
+    sizes = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(x).alias("name"), F.lit(x not in absent).alias("there"),
+                               F.lit(rows[x]).cast("long").alias("nb")) for i, x in enumerate(tables)])
+    row = history_checks(spark, root, state).select(F.transform(sizes, lambda x: F.struct(
+        x["pos"].alias("pos"), x["name"].alias("name"), x["there"].alias("there"), x["nb"].alias("nb"),
+        *[F.when(x["name"] == K.HISTORY_TABLE, F.col(n)).alias(n) for n in names])).alias("s"))
     there = F.filter("s", lambda x: x["there"])
 
     def item(table, section, regle, nb, statut):

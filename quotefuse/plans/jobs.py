@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from quotefuse import constants as K
 from quotefuse.operators import clean, collect as collect_ops, fuse, kpis, normalize
 from quotefuse.operators import quality as dq
-from quotefuse.plans import fusion_state, ledger, warehouse
+from quotefuse.plans import fusion_state, ledger, run_state, warehouse
 from quotefuse.schemas import RAW_QUOTE, SILVER
 from quotefuse.sources import bronze as bronze_scan
 from quotefuse.sources import payloads
@@ -214,35 +214,46 @@ def load(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, in
     return warehouse.load(spark, cfg.path("dw"), s, g, rid, run_ts)
 
 
+def checked_bronze(spark: SparkSession, cfg: Config, runs: list[str] | None = None) -> DataFrame:
+    """Bronze rows of some runs (None: all) as the checks read them, with their file's name."""
+    b = read_bronze(spark, cfg)
+    if runs is not None:
+        b = b.where(F.col(warehouse.RUN_COL).isin(*runs)) if runs else b.where(F.lit(False))
+    return clean.cast_types(normalize.ensure(normalize.columns(
+        b.withColumn("fichier_source", F.concat(F.lit("collecte_"), F.col(warehouse.RUN_COL),
+                                                F.lit(".parquet"))).drop(SEQ, warehouse.RUN_COL))))
+
+
+def bronze_report(spark: SparkSession, cfg: Config) -> DataFrame:
+    """The checks of every Bronze file, with its rows: a file's result is kept, so only
+    files of new or repeated runs are read."""
+    def compute(runs: list[str] | None) -> DataFrame:
+        rep = dq.report(checked_bronze(spark, cfg, runs), None, "bronze", by="fichier_source", with_total=True)
+        return rep.withColumn("run_id", F.regexp_extract("table_name", r"^collecte_(.*)\.parquet$", 1))
+
+    runs = {e.run_id: e.load_id for e in ledger.live(spark, cfg.path("bronze"), "collecte")}
+    if not runs:  # a Bronze zone without a ledger
+        return compute(None).drop("run_id")
+    return run_state.update(spark, cfg.path("logs", "quality_state"), "bronze", runs, compute)[0].drop("run_id")
+
+
 def quality(spark: SparkSession, cfg: Config, run_ts: _dt.datetime,
             layers=("silver",)) -> DataFrame:
     """Bronze per file, Silver, Gold (completeness), warehouse; summary;
-    long report + JSON document written under logs/. Returns the summary."""
-    bronze = read_bronze(spark, cfg)
-    bronze = clean.cast_types(normalize.ensure(normalize.columns(
-        bronze.withColumn("fichier_source", F.concat(F.lit("collecte_"), F.col(warehouse.RUN_COL),
-                                                     F.lit(".parquet"))).drop(SEQ, warehouse.RUN_COL))))
-    parts = [dq.report(bronze, None, "bronze", by="fichier_source"),
-             dq.report(read_silver(spark, cfg), "silver", "silver")]
+    long report + JSON document written under logs/. Returns the summary. Of Bronze and of
+    the history only new runs are read; their checks and counts come from one pass."""
+    sized = bronze_report(spark, cfg).unionByName(dq.report(read_silver(spark, cfg), "silver", "silver", with_total=True))
     for t in K.GOLD_TABLES:
         latest = warehouse.read_zone(spark, cfg.path("gold", f"{t}_latest"), warehouse.gold_schema(t, False))
-        parts.append(dq.report(latest, f"{t}_latest", "gold", ["completude"]))
-    parts.append(dq.warehouse_checks(spark, cfg.path("dw")))
-    rep = parts[0]
-    for p in parts[1:]:
-        rep = rep.unionByName(p)
+        sized = sized.unionByName(dq.report(latest, f"{t}_latest", "gold", ["completude"], with_total=True))
+    stock = dq.warehouse_checks(spark, cfg.path("dw"), state=cfg.path("logs", "quality_state"))
+    rep = sized.unionByName(stock, allowMissingColumns=True)
     rid = run_id_of(run_ts)
     warehouse.write_run(rep.withColumn(warehouse.RUN_COL, F.lit(rid)), cfg.path("logs", "quality"), rid)
-    saved = spark.read.parquet(cfg.path("logs", "quality")).where(
-        F.col(warehouse.RUN_COL) == rid).drop(warehouse.RUN_COL)
-    counts = dq.row_counts(bronze, None, "bronze", by="fichier_source").unionByName(
-        dq.row_counts(read_silver(spark, cfg), "silver", "silver"))
-    for t in K.GOLD_TABLES:
-        latest = warehouse.read_zone(spark, cfg.path("gold", f"{t}_latest"), warehouse.gold_schema(t, False))
-        counts = counts.unionByName(dq.row_counts(latest, f"{t}_latest", "gold"))
-    warehouse.write_run(counts.withColumn(warehouse.RUN_COL, F.lit(rid)), cfg.path("logs", "quality_counts"), rid)
-    counts = spark.read.parquet(cfg.path("logs", "quality_counts")).where(
+    saved = spark.read.schema(rep.schema.add(warehouse.RUN_COL, "string")).parquet(cfg.path("logs", "quality")).where(
         F.col(warehouse.RUN_COL) == rid).drop(warehouse.RUN_COL)
+    counts = dq.counts_of(saved.where(F.col("nb_lignes").isNotNull()))
+    saved = saved.drop("nb_lignes")
     status = dq.global_status(saved, layers)
     dq.to_json_document(saved, counts, status, run_ts).write.mode("overwrite").text(cfg.path("logs", "quality_report"))
     return status

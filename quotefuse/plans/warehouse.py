@@ -12,7 +12,7 @@ the write, without a second pass.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -94,7 +94,12 @@ def read_zone(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 def read_table(spark: SparkSession, root: str, table: str, run_id: str | None = None) -> DataFrame:
     """A table's live rows, of all runs or of one; without any it is empty with
     its schema (S3). Only the folders that the ledger names are listed."""
-    found = [e for e in ledger.live(spark, root, table) if e.nb_lignes and run_id in (None, e.run_id)]
+    return read_runs(spark, root, table, None if run_id is None else [run_id])
+
+
+def read_runs(spark: SparkSession, root: str, table: str, runs: Collection[str] | None) -> DataFrame:
+    """The live rows of some runs (None: of all)."""
+    found = [e for e in ledger.live(spark, root, table) if e.nb_lignes and (runs is None or e.run_id in runs)]
     schema = table_schema(table)
     if not found:
         return spark.createDataFrame([], schema)
