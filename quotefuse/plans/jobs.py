@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from quotefuse import constants as K
 from quotefuse.operators import clean, collect as collect_ops, fuse, kpis, normalize
 from quotefuse.operators import quality as dq
-from quotefuse.plans import fusion_state, ledger, run_state, warehouse
+from quotefuse.plans import archiving, fusion_state, ledger, run_state, warehouse
 from quotefuse.schemas import RAW_QUOTE, SILVER
 from quotefuse.sources import bronze as bronze_scan
 from quotefuse.sources import payloads
@@ -260,11 +260,15 @@ def quality(spark: SparkSession, cfg: Config, run_ts: _dt.datetime,
 
 
 def archive(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, int]:
-    """Last step of the hourly chain (K10): the latest snapshots of every zone
-    copied under archive/<year>/<month>/<day>/, with counts of done and failed."""
-    paths = [cfg.path("bronze", "collecte_latest"), cfg.path("silver", "silver_latest"),
-             *(cfg.path("gold", f"{t}_latest") for t in K.GOLD_TABLES)]
-    return warehouse.archive_files(spark, paths, cfg.path("archive"), run_ts)
+    """Last step of the hourly chain (K10): raw payloads, the latest snapshots of every zone
+    and the logs, byte for byte under archive/<year>/<month>/<day>/, with counts of files
+    done and failed and of bytes. The outcome of every file is logged beside."""
+    latest = [cfg.path("bronze", "collecte_latest"), cfg.path("silver", "silver_latest"),
+              *(cfg.path("gold", f"{t}_latest") for t in K.GOLD_TABLES)]
+    folders = [(cfg.path("landing"), "raw"), *((p, "processed/" + p.rsplit("/", 1)[-1]) for p in latest), (cfg.path("logs"), "logs")]
+    outcome = archiving.mirror(spark, folders, cfg.path("archive", run_ts.strftime("%Y/%m/%d")), required=latest)
+    warehouse.write_run(outcome.withColumn(warehouse.RUN_COL, F.lit(run_id_of(run_ts))), cfg.path("archive_log"), run_id_of(run_ts))
+    return archiving.counts(outcome)
 
 
 def stream(spark: SparkSession, cfg: Config, source: DataFrame, trigger: dict | None = None):

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from quotefuse import constants as K
 from quotefuse.functions.scalar import day_path, now_utc, ts_lit
-from quotefuse.plans import ledger
+from quotefuse.plans import archiving, ledger
 from quotefuse.schemas import GOLD_COLUMNS, HISTORY_COLUMNS, dw_type, struct
 
 RUN_COL, LOADED_COL = "run_id", "inserted_at"
@@ -195,22 +195,26 @@ def archive(df: DataFrame, root: str, run_ts: _dt.datetime | None = None,
         ts_col = ts_lit(run_ts) if run_ts is not None else now_utc()
     parts = F.split(day_path(ts_col), "/")
     out = df.select("*", parts[0].alias("annee"), parts[1].alias("mois"), parts[2].alias("jour"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    obs = Observation("archive")
+    (out.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("annee", "mois", "jour").parquet(root))
+    if run_ts is not None and int(obs.get.get("n", 0)) == 0:  # the run's day holds nothing any more
+        day = run_ts.strftime("annee=%Y/mois=%m/jour=%d")
+        for path in {f"{root}/{day}", f"{root}/annee={run_ts.year}/mois={run_ts.month}/jour={run_ts.day}"}:
+            fs, p = _fs(df.sparkSession, path)
+            if fs.exists(p):
+                fs.delete(p, True)
     # explicit schema: an archive of no rows leaves no file to infer from
     days = [T.StructField(c, T.IntegerType()) for c in ("annee", "mois", "jour")]
     return read_zone(df.sparkSession, root, T.StructType([*df.schema.fields, *days]))
 
 
 def archive_files(spark: SparkSession, paths: list[str], root: str, run_ts: _dt.datetime) -> dict[str, int]:
-    """Archives the Parquet directories of a run below root/<day>/<name> (K10);
-    counts what could and could not be archived."""
-    done = {"nb_ok": 0, "nb_erreurs": 0}
-    for path in paths:
-        try:
-            spark.read.parquet(path).write.mode("overwrite").parquet(
-                f"{root}/{run_ts:%Y/%m/%d}/{path.rstrip('/').rsplit('/', 1)[-1]}")
-            done["nb_ok"] += 1
-        except AnalysisException:  # absent, or no file to read a schema from
-            done["nb_erreurs"] += 1
-    return done
+    """Archives the directories of a run, byte for byte, below root/<day>/<name>
+    (K10); counts the directories that could and could not be archived. What an
+    earlier archive of the day had of them and is gone since is removed."""
+    named = [(p, p.rstrip("/").rsplit("/", 1)[-1]) for p in paths]
+    outcome = archiving.mirror(spark, named, f"{root}/{run_ts:%Y/%m/%d}", required=paths)
+    failed = {r["cible"] for r in outcome.where(F.col("erreur").isNotNull()).select("cible").collect()}
+    wrong = {name for _, name in named if any(f"/{name}/" in f"{t}/" for t in failed)}
+    return {"nb_ok": len(named) - len(wrong), "nb_erreurs": len(wrong)}

@@ -128,3 +128,50 @@ def test_quality_document_has_date_rows_and_summary(spark):
     last = next(d for d in docs if "resume" in d)
     assert last["date_rapport"] == "2024-02-01 10:00:00" and last["resume"]["statut_global"] in ("OK", "WARN", "FAIL")
     assert any(d.get("nb_lignes") is not None for d in docs if d.get("couche") == "silver")
+
+
+def tree(folder):
+    return {os.path.relpath(os.path.join(d, n), folder): open(os.path.join(d, n), "rb").read()
+            for d, _, names in os.walk(folder) for n in names if n[:1] not in "_."}
+
+
+def test_archive_is_byte_exact_with_an_outcome_per_file(spark):
+    from quotefuse.plans import archiving
+    root = scratch_path(spark, "copy")
+    local = root.removeprefix("file:")
+    write(f"{local}/in/a", "x y.json", "é\n" * 3_000_000)
+    write(f"{local}/in", "empty.csv", "")
+    write(f"{local}/in", "_SUCCESS", "")
+    os.symlink(f"{local}/nowhere", f"{local}/in/broken.json")
+    assert [b for _, b in archiving.listed(spark, f"{root}/in/a")] == ["x y.json"]
+    pairs = [(f"{root}/in/{n}", f"{root}/out/{n}") for n in ("a/x y.json", "empty.csv", "broken.json")]
+    rows = {r["cible"].rsplit("/", 1)[1]: r for r in archiving.copy_files(spark, pairs).collect()}
+    assert rows["x y.json"]["octets"] == 9_000_000 and rows["broken.json"]["erreur"] and rows["empty.csv"]["octets"] == 0
+    assert tree(f"{local}/out") == {"empty.csv": b"", "a/x y.json": "é\n".encode() * 3_000_000}
+    assert archiving.counts(archiving.copy_files(spark, pairs)) == {"nb_ok": 2, "nb_erreurs": 1, "octets": 9_000_000}
+
+
+def test_archive_of_a_day_holds_its_last_run(spark):
+    root = scratch_path(spark, "archive-day")
+    local = root.removeprefix("file:")
+    write(f"{local}/landing/coingecko", "a.json", '{"symbol": "btc", "current_price": "5", "price_change_percentage_24h": "2"}\n')
+    cfg = jobs.Config(root=root, sources=("coingecko",))
+    first = jobs.run_all(spark, cfg, TS)
+    day = f"{local}/archive/2024/02/01"
+    assert first["archive"]["nb_erreurs"] == 0 and tree(f"{day}/raw") == tree(f"{local}/landing")
+    for zone, name in (("silver", "silver_latest"), ("gold", "top_mouvements_latest")):
+        assert tree(f"{day}/processed/{name}") == tree(f"{local}/{zone}/{name}")
+    assert set(tree(f"{day}/logs")) == set(tree(f"{local}/logs"))
+    assert first["archive"]["octets"] == sum(map(len, tree(day).values()))
+    os.rename(f"{local}/landing", f"{local}/landed")
+    second = jobs.run_all(spark, cfg, TS)
+    assert not tree(f"{day}/raw") and tree(f"{day}/processed/silver_latest") == tree(f"{local}/silver/silver_latest")
+    assert second["archive"]["nb_erreurs"] == 0
+
+
+def test_archive_of_an_empty_day_removes_the_rows(spark):
+    root = scratch_path(spark, "archive-empty")
+    some = spark.createDataFrame([("A", 5.0)], ALERT)
+    assert warehouse.archive(some, root, TS).count() == 1
+    assert warehouse.archive(some, root, dt.datetime(2024, 2, 2)).count() == 2
+    assert warehouse.archive(some.limit(0), root, TS).count() == 1
