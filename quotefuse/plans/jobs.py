@@ -4,7 +4,8 @@ tick stream. Each job is one lazy plan per layer, ending in zone writes.
 Layout under ``cfg.root`` (any Hadoop path):
   landing/<source>/*.json   landed provider payloads (JSON lines by default —
                             splittable; ``multiline=True`` for raw API arrays)
-  bronze/collecte/run_id=…  collected quotes (plus ``collecte_latest``)
+  bronze/collecte/run_id=…  collected quotes (plus ``collecte_latest``); a collection of the
+                            yahoo, crypto or boursorama sources alone has a snapshot of that name
   silver/silver/run_id=…    Silver (plus ``silver_latest``)
   gold/<table>/run_id=…     the six KPIs (plus ``<table>_latest``)
   dw/<table>/run_id=…       warehouse tables
@@ -19,7 +20,7 @@ import argparse
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,6 +34,9 @@ from quotefuse.sources import payloads
 from quotefuse.streaming import ticks
 
 SOURCES = ("yahoo", "coingecko", "binance", "boursorama")
+# What can be collected alone, with the name of its snapshots; any other choice is a "collecte"
+SUBSETS = {"yahoo": ("yahoo",), "crypto": ("coingecko", "binance"), "boursorama": ("boursorama",)}
+SNAPSHOTS = ("collecte", *SUBSETS)
 SEQ = "_qf_seq"
 BOURSORAMA_LANDED = T.StructType([T.StructField("symbole", T.StringType()), T.StructField("payload", T.StringType())])
 
@@ -50,6 +54,11 @@ class Config:
     export: tuple[str, ...] = ()                # further formats of the latest snapshots (csv, json)
     incremental: bool = True                    # Silver keeps a fusion state and reads new runs only
 
+    @property
+    def snapshot(self) -> str:
+        """Name of the collection's snapshots."""
+        return next((n for n, s in SUBSETS.items() if set(s) == set(self.sources)), "collecte")
+
     def path(self, *parts: str) -> str:
         return "/".join([self.root.rstrip("/"), *parts])
 
@@ -107,17 +116,41 @@ def collect(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict:
     bronze = union.withColumn(SEQ, F.monotonically_increasing_id()).observe(
         obs, F.count_if(st == K.STATUS_OK).alias("nb_succes"),
         F.count_if(st == K.STATUS_ERROR).alias("nb_erreurs"))
-    n = warehouse.save_snapshot(bronze, cfg.path("bronze"), "collecte", run_id_of(run_ts), export=cfg.export)
-    ledger.commit(spark, cfg.path("bronze"), [ledger.Entry("collecte", run_id_of(run_ts), ledger.new_load(), n)])
-    return {**{k: int(v or 0) for k, v in obs.get.items()}, "sources_absentes": absent,
-            **fear_greed(spark, cfg, run_ts)}
+    n = warehouse.save_snapshot(bronze, cfg.path("bronze"), cfg.snapshot, run_id_of(run_ts), export=cfg.export)
+    ledger.commit(spark, cfg.path("bronze"), [ledger.Entry(cfg.snapshot, run_id_of(run_ts), ledger.new_load(), n)])
+    index = fear_greed(spark, cfg, run_ts) if cfg.snapshot in ("collecte", "crypto") else {}
+    return {**{k: int(v or 0) for k, v in obs.get.items()}, "sources_absentes": absent, **index}
+
+
+SNAPSHOT = "_qf_snapshot"
 
 
 def read_bronze(spark: SparkSession, cfg: Config) -> DataFrame:
-    """All collected runs (explicit schema: an empty run leaves no files)."""
+    """All collected runs of all snapshots (explicit schema: an empty run leaves no files)."""
     schema = T.StructType(list(RAW_QUOTE.fields) + [T.StructField(SEQ, T.LongType()),
                                                      T.StructField(warehouse.RUN_COL, T.StringType())])
-    return warehouse.read_zone(spark, cfg.path("bronze", "collecte"), schema)
+    out = None
+    for name in SNAPSHOTS:
+        if name == "collecte" or warehouse.exists(spark, cfg.path("bronze", name)):
+            one = warehouse.read_zone(spark, cfg.path("bronze", name), schema).withColumn(SNAPSHOT, F.lit(name))
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+def bronze_runs(spark: SparkSession, cfg: Config) -> dict[str, str]:
+    """The committed runs ('run', or 'run.name' of a snapshot other than collecte) and their loads."""
+    return {e.run_id if e.table_name == "collecte" else f"{e.run_id}.{e.table_name}": e.load_id
+            for e in ledger.live(spark, cfg.path("bronze")) if e.table_name in SNAPSHOTS}
+
+
+def of_runs(bronze: DataFrame, runs: list[str]) -> DataFrame:
+    """Rows of some runs as ``bronze_runs`` names them: only their partitions are read."""
+    test = F.lit(False)
+    for name in SNAPSHOTS:
+        some = [r.partition(".")[0] for r in runs if (r.partition(".")[2] or "collecte") == name]
+        if some:
+            test = test | ((F.col(SNAPSHOT) == name) & F.col(warehouse.RUN_COL).isin(*some))
+    return bronze.where(test)
 
 
 def bronze_order(df: DataFrame) -> DataFrame:
@@ -125,7 +158,20 @@ def bronze_order(df: DataFrame) -> DataFrame:
     Run ids are digits of a UTC time, so they are ordered as numbers; no
     session time zone comes in."""
     stamp = F.regexp_replace(warehouse.RUN_COL, "[^0-9]", "").try_cast("long")
-    return df.withColumn("_qf_key", F.struct((-F.coalesce(stamp, F.lit(0).cast("long"))).alias("run"), F.col(SEQ).alias("seq")))
+    name = F.col(SNAPSHOT) if SNAPSHOT in df.columns else F.lit("")
+    return df.withColumn("_qf_key", F.struct((-F.coalesce(stamp, F.lit(0).cast("long"))).alias("run"), F.col(SEQ).alias("seq"),
+                                             name.alias("name"))).drop(SNAPSHOT)
+
+
+def file_name() -> Column:
+    """The name that a run's snapshot has as a file."""
+    return F.concat(F.col(SNAPSHOT), F.lit("_"), F.col(warehouse.RUN_COL), F.lit(".parquet"))
+
+
+def run_label() -> Column:
+    """The run as ``bronze_runs`` names it."""
+    return F.when(F.col(SNAPSHOT) == "collecte", F.col(warehouse.RUN_COL)).otherwise(
+        F.concat(F.col(warehouse.RUN_COL), F.lit("."), F.col(SNAPSHOT)))
 
 
 def csv_bronze(spark: SparkSession, cfg: Config) -> DataFrame | None:
@@ -143,11 +189,11 @@ def bronze_quotes(spark: SparkSession, cfg: Config, runs: list[str] | None = Non
     of some runs only those partitions are read."""
     b = read_bronze(spark, cfg)
     if runs is not None:
-        b = b.where(F.col(warehouse.RUN_COL).isin(*runs)) if runs else b.where(F.lit(False))
+        b = of_runs(b, runs)
     if cfg.bronze_since:  # partition pruning on run_id: only the listed runs are read
         b = b.where(F.col(warehouse.RUN_COL) >= cfg.bronze_since)
-    b = bronze_order(b).withColumn("fichier_source", F.concat(
-        F.lit("collecte_"), F.col(warehouse.RUN_COL), F.lit(".parquet")))
+    b = b.withColumn("fichier_source", file_name()).withColumn("_qf_run", run_label())
+    b = bronze_order(b).withColumn(warehouse.RUN_COL, F.col("_qf_run")).drop("_qf_run")
     return normalize.tickers(normalize.columns(b.drop(SEQ)))
 
 
@@ -155,7 +201,7 @@ def fused_quotes(spark: SparkSession, cfg: Config) -> DataFrame:
     """J6 over all collected runs: from the stored state and the runs that are new
     (``plans/fusion_state.py``), or, with a lower bound, CSV snapshots or a Bronze
     zone without a ledger, over all rows."""
-    runs = {e.run_id: e.load_id for e in ledger.live(spark, cfg.path("bronze"), "collecte")}
+    runs = bronze_runs(spark, cfg)
     if cfg.incremental and runs and not cfg.bronze_since and not cfg.bronze_csv:
         def rows(some: list[str]) -> DataFrame:
             quotes = bronze_quotes(spark, cfg, some)
@@ -218,10 +264,9 @@ def checked_bronze(spark: SparkSession, cfg: Config, runs: list[str] | None = No
     """Bronze rows of some runs (None: all) as the checks read them, with their file's name."""
     b = read_bronze(spark, cfg)
     if runs is not None:
-        b = b.where(F.col(warehouse.RUN_COL).isin(*runs)) if runs else b.where(F.lit(False))
+        b = of_runs(b, runs)
     return clean.cast_types(normalize.ensure(normalize.columns(
-        b.withColumn("fichier_source", F.concat(F.lit("collecte_"), F.col(warehouse.RUN_COL),
-                                                F.lit(".parquet"))).drop(SEQ, warehouse.RUN_COL))))
+        b.withColumn("fichier_source", file_name()).drop(SEQ, SNAPSHOT, warehouse.RUN_COL))))
 
 
 def bronze_report(spark: SparkSession, cfg: Config) -> DataFrame:
@@ -229,9 +274,10 @@ def bronze_report(spark: SparkSession, cfg: Config) -> DataFrame:
     files of new or repeated runs are read."""
     def compute(runs: list[str] | None) -> DataFrame:
         rep = dq.report(checked_bronze(spark, cfg, runs), None, "bronze", by="fichier_source", with_total=True)
-        return rep.withColumn("run_id", F.regexp_extract("table_name", r"^collecte_(.*)\.parquet$", 1))
+        run, name = (F.regexp_extract("table_name", r"^([a-z]+)_(.*)\.parquet$", i) for i in (2, 1))
+        return rep.withColumn("run_id", F.when(name == "collecte", run).otherwise(F.concat(run, F.lit("."), name)))
 
-    runs = {e.run_id: e.load_id for e in ledger.live(spark, cfg.path("bronze"), "collecte")}
+    runs = bronze_runs(spark, cfg)
     if not runs:  # a Bronze zone without a ledger
         return compute(None).drop("run_id")
     return run_state.update(spark, cfg.path("logs", "quality_state"), "bronze", runs, compute)[0].drop("run_id")
@@ -263,7 +309,7 @@ def archive(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str,
     """Last step of the hourly chain (K10): raw payloads, the latest snapshots of every zone
     and the logs, byte for byte under archive/<year>/<month>/<day>/, with counts of files
     done and failed and of bytes. The outcome of every file is logged beside."""
-    latest = [cfg.path("bronze", "collecte_latest"), cfg.path("silver", "silver_latest"),
+    latest = [cfg.path("bronze", f"{cfg.snapshot}_latest"), cfg.path("silver", "silver_latest"),
               *(cfg.path("gold", f"{t}_latest") for t in K.GOLD_TABLES)]
     folders = [(cfg.path("landing"), "raw"), *((p, "processed/" + p.rsplit("/", 1)[-1]) for p in latest), (cfg.path("logs"), "logs")]
     outcome = archiving.mirror(spark, folders, cfg.path("archive", run_ts.strftime("%Y/%m/%d")), required=latest)
@@ -305,8 +351,7 @@ def main(argv=None) -> None:
     ap.add_argument("--full", action="store_true", help="Silver fuses all Bronze rows instead of keeping a state")
     ap.add_argument("--ticks", help="folder of tick messages to stream from (stream job), one per line")
     a = ap.parse_args(argv)
-    srcs = {"tout": SOURCES, "yahoo": ("yahoo",), "crypto": ("coingecko", "binance"),
-            "boursorama": ("boursorama",)}[a.source]
+    srcs = {"tout": SOURCES, **SUBSETS}[a.source]
     cfg = Config(root=a.root, sources=srcs, multiline=a.multiline, n=a.n, threshold=a.threshold,
                  drop_errors_first=a.drop_errors_first, bronze_since=a.bronze_since,
                  bronze_csv=tuple(a.bronze_csv), export=tuple(a.export), incremental=not a.full)

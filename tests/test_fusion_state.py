@@ -99,7 +99,7 @@ def test_silver_job_reads_the_new_run_only(spark, monkeypatch):
         assert got == [tuple(r) for r in jobs.read_silver(spark, cfg).collect()] and got
     assert got[0][2] == 7.0
     land(spark, root, 9, coin="eth")
-    warehouse.save_snapshot(jobs.read_bronze(spark, cfg).limit(0).drop("run_id"), f"{root}/bronze", "collecte", jobs.run_id_of(TS[3]))
+    warehouse.save_snapshot(jobs.read_bronze(spark, cfg).limit(0).drop("run_id", jobs.SNAPSHOT), f"{root}/bronze", "collecte", jobs.run_id_of(TS[3]))
     ledger.commit(spark, f"{root}/bronze", [ledger.Entry("collecte", jobs.run_id_of(TS[3]), "vide", 0)])
     jobs.silver(spark, cfg, TS[3])
     assert [r["prix"] for r in jobs.read_silver(spark, cfg).collect()] == [5.0]

@@ -70,10 +70,35 @@ def test_source_subset(spark, sf_small):
     _land(spark, sf_small, root)
     cfg = jobs.Config(root=root, sources=("coingecko", "binance"))
     jobs.collect(spark, cfg, dt.datetime(2024, 2, 1))
-    b = spark.read.parquet(f"{root}/bronze/collecte")
+    b = spark.read.parquet(f"{root}/bronze/crypto")
     assert {r.source for r in b.select("source").distinct().collect()} == {"coingecko", "binance"}
 
 
+def test_subsets_have_their_own_snapshots(spark):
+    """A subset leaves the snapshot of the whole collection alone, takes the index only with
+    the crypto sources, and Silver and the checks read the runs of all of them."""
+    root = scratch_path(spark, "subsets")
+    spark.createDataFrame([("btc", "5", "2")], "symbol string, current_price string, price_change_percentage_24h string").write.json(
+        f"{root}/landing/coingecko")
+    spark.createDataFrame([("AAPL", "7", "6")], "ticker string, last_price string, previous_close string").write.json(f"{root}/landing/yahoo")
+    spark.createDataFrame([('{"data": [{"value": "40", "value_classification": "Fear"}]}',)], "value string").write.text(f"{root}/landing/fear_greed")
+    ts = dt.datetime(2024, 2, 1, 10)
+    yahoo, crypto, every = (jobs.Config(root=root, sources=s) for s in (("yahoo",), ("binance", "coingecko"), jobs.SOURCES))
+    assert "fear_greed_valeur" not in jobs.collect(spark, yahoo, ts)
+    assert jobs.collect(spark, crypto, ts)["fear_greed_valeur"] == 40
+    assert not warehouse.exists(spark, f"{root}/bronze/collecte_latest")
+    jobs.silver(spark, every, ts)
+    assert {r.ticker: r.fichier_source for r in jobs.read_silver(spark, every).collect()} == {
+        "AAPL": "yahoo_20240201_100000.parquet", "BTC-USD": "crypto_20240201_100000.parquet"}
+    jobs.collect(spark, every, ts + dt.timedelta(hours=1))
+    jobs.silver(spark, every, ts + dt.timedelta(hours=1))
+    assert {r.fichier_source for r in jobs.read_silver(spark, every).collect()} == {"collecte_20240201_110000.parquet"}
+    rep = jobs.bronze_report(spark, every)
+    assert {r.table_name for r in rep.select("table_name").distinct().collect()} == {
+        "yahoo_20240201_100000.parquet", "crypto_20240201_100000.parquet", "collecte_20240201_110000.parquet"}
+    assert rep.count() == jobs.bronze_report(spark, every).count()
+
+
 def test_silver_job_with_everything_filtered(spark, sf_small):
     root = scratch_path(spark, "jobs-empty")
     _land(spark, sf_small, root, binance_var=500)   # every variation out of range
