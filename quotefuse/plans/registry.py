@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quotefuse import constants as K
 from quotefuse.functions import scalar
 from quotefuse.operators import clean, collect, fuse, kpis, normalize, quality, reports
-from quotefuse.plans import catalog, jobs, ledger, warehouse
+from quotefuse.plans import catalog, fusion_state, jobs, ledger, run_state, warehouse
 from quotefuse.plans import pipeline as P
 from quotefuse.schemas import BRONZE_COLUMNS, NUMERIC_COLUMNS
 from quotefuse.session import scratch_path
@@ -565,3 +565,63 @@ def q_sql_dernier_run(spark, sf):
         SELECT a.categorie, count(*) AS nb_alertes, max(c.nb_actifs) AS nb_actifs
         FROM alertes_prix_dernier a LEFT JOIN resume_categorie_dernier c ON c.categorie <=> a.categorie
         WHERE abs(a.variation_pct) >= :seuil GROUP BY a.categorie""", {"seuil": 5.0})
+
+
+# --- incremental jobs and the stream's two sinks (X2, X5, X6, R3-R5, K9) ---------------
+
+def _in_runs(df: DataFrame) -> DataFrame:
+    """The fixture's rows as four runs."""
+    return df.withColumn(warehouse.RUN_COL, F.concat(F.lit("r"), (F.col("event_id") % 4).cast("string")))
+
+
+# a first collection of two runs, a late one, then one that is new and one collected again
+_ARRIVALS = ({"r1": "a", "r3": "a"}, {"r0": "a", "r1": "a", "r3": "a"}, {"r0": "a", "r1": "b", "r2": "a", "r3": "a"})
+
+
+@register("silver_incremental")
+def q_silver_incremental(spark, sf):
+    """The fusion of all rows, reached by three updates of the stored state."""
+    quotes = _in_runs(normalize.tickers(_b(spark, sf)))
+    root = scratch_path(spark, "fusion")
+    for n, runs in enumerate(_ARRIVALS):
+        def rows(some, first=n == 0):
+            part = quotes.where(F.col(warehouse.RUN_COL).isin(*some)) if some else quotes.where(F.lit(False))
+            # the first collection of r1 was another one: its prices are replaced later
+            return part.withColumn("prix", F.lit("1").cast("string")) if first else part
+        named = {r: v + ("0" if n == 0 and r == "r3" else "") for r, v in runs.items()}  # so was r3, until the second
+        done = fusion_state.update(spark, root, named, rows, "event_id")
+    schema = fuse.partial(quotes.limit(0).drop(warehouse.RUN_COL), "event_id").schema
+    out = fuse.resolve(spark.read.schema(schema).parquet(done["etat"]), keep_order=True).drop("event_id")
+    return clean.cast_types(out.withColumnRenamed(fuse.ORD, "event_id"), keep=("event_id",))
+
+
+@register("dq_incremental")
+def q_dq_incremental(spark, sf):
+    """The report of every Bronze file, its results kept: three updates, each over new files."""
+    rows = _dq_input(spark, sf)
+    root = scratch_path(spark, "quality")
+    files = sorted(r[0] for r in rows.select("fichier_source").distinct().collect())
+
+    def compute(some):
+        part = rows.where(F.col("fichier_source").isin(*some)) if some else rows.where(F.lit(False))
+        return quality.report(part, None, "bronze", by="fichier_source").withColumn("run_id", F.col("table_name"))
+
+    for n in (1, 2, 3):
+        got, _ = run_state.update(spark, root, "bronze", {f: "a" for f in files[: -(-n * len(files) // 3)]}, compute)
+    return got.drop("run_id")
+
+
+@register("tick_stream_sinks")
+def q_tick_stream_sinks(spark, sf):
+    """The messages as a stream into both sinks, drained, started again and its finished
+    days merged: ticks and alerts of each day, and the processed count."""
+    land, out = scratch_path(spark, "tick-landing"), scratch_path(spark, "tick-sinks")
+    fixtures.tick_messages(spark, sf).select("value", "timestamp").repartition(4).write.parquet(land)
+    source = spark.readStream.schema("value string, timestamp timestamp_ntz").option("maxFilesPerTrigger", 2).parquet(land)
+    for _ in range(2):
+        ticks.start(spark, source, out, f"{out}/_checkpoint", ts=F.col("timestamp")).awaitTermination()
+    ticks.merge_days(spark, out, "20240116")
+    each = [ticks.read_sink(spark, out, t).select("jour", F.lit(t == ticks.TICKS).cast("int").alias("t"), F.lit(t == ticks.ALERTS).cast("int").alias("a"))
+            for t in (ticks.TICKS, ticks.ALERTS)]
+    return each[0].unionByName(each[1]).groupBy("jour").agg(F.sum("t").alias("nb_ticks"), F.sum("a").alias("nb_alertes")).withColumn(
+        "nb_messages", F.lit(ticks.processed_count(spark, out)).cast("long"))
