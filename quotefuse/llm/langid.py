@@ -72,19 +72,20 @@ def dense(marks: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sample(docs: DataFrame, folds: int, held: int, per_language: int, max_rows: int) -> DataFrame:
-    """The bounded learning sample: doc_id, lang, text, rank."""
-    rows = (docs.where(F.col("lang").isNotNull() & (fold_of(F.col("doc_id"), folds) != held))
-            .select("doc_id", "lang", F.xxhash64("doc_id").alias("h")))
+    """The bounded learning sample: doc_id, lang, text, rank. An id counts once per
+    language, by the text of least hash that has a letter, however many rows carry it."""
+    texts = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("t")).where(
+        F.col("lang").isNotNull() & (fold_of(F.col("doc_id"), folds) != held) & F.col("text").rlike(r"\p{L}"))
+    rows = texts.groupBy("doc_id", "lang").agg(F.min("t").alias("t")).withColumn("h", F.xxhash64("doc_id"))
     # thin each language by the hash to about twice its share first, so that no ranking holds a frequent language
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_rows)
     part = F.col("h") / F.lit(2.0**64) + 0.5
     rows = rows.join(F.broadcast(sizes), "lang").where(part * F.col("n") < 2 * per_language)
     w = Window.partitionBy("lang").orderBy("h", "doc_id")
-    picked = (rows.select("doc_id", "lang", "h").distinct().withColumn("rank", F.row_number().over(w))
-              .where(F.col("rank") <= per_language)
-              .orderBy("rank", "h", "lang").limit(max_rows).select("doc_id", "lang", "rank"))
-    texts = docs.select("doc_id", "lang", "text").where(F.col("text").rlike(r"\p{L}"))
-    return texts.join(F.broadcast(picked), ["doc_id", "lang"])
+    picked = (rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_language)
+              .orderBy("rank", "h", "lang").limit(max_rows).select("doc_id", "lang", "t", "rank"))
+    # equal rows of a picked id leave each task once
+    return texts.join(F.broadcast(picked), ["doc_id", "lang", "t"]).dropDuplicates(["doc_id", "lang"]).drop("t")
 
 
 def fit(docs: DataFrame, folds: int = 5, held: int = 0, per_language: int = 400,

@@ -28,13 +28,14 @@ _RULES = (
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
-    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,12}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+                    r"|(?:[\x20\x09\x0A\x0D]+[A-Za-z0-9+/=]{16,}){0,60})", 0, 0),
     ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0),
     ("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}", 0, 0),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
-    ("url_login", r"://[^\s:@/]{1,80}:[^\s:@/]{1,80}@", 0, 0),
+    ("url_login", r"://[^\s:@/]+:[^\s:@/]+@", 0, 0),
 )
 
 

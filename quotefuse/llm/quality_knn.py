@@ -82,13 +82,15 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_label: int) -> DataFrame:
-    """Labelled rows to learn from: at most ``per_label`` of each label value."""
+    """Labelled documents to learn from: at most ``per_label`` of each label value."""
     rows = (labels.select("doc_id", F.col(label).cast("int").alias("label"))
             .where((fold_of(F.col("doc_id"), folds) != held) & F.col("label").isin(0, 1)).distinct()
             .withColumn("h", F.xxhash64("doc_id")))
     part = [rows.where(F.col("label") == v).orderBy("h", "doc_id").limit(per_label) for v in (0, 1)]
     picked = part[0].unionByName(part[1])
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id")
+    # an id counts once per label, by its text of least hash, however many rows carry it
+    return rows.groupBy("doc_id", "label", "h").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def latent(x: np.ndarray, rank: int, seed: int = 7, rounds: int = 6) -> np.ndarray:

@@ -45,13 +45,15 @@ BASE = (
 )
 # fixed values: published token formats
 ADDED = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    # to the END line, or without one over the lines of base64 that follow (60 lines of 64 hold 2.8 KB, more than an RSA key of 4,096 bits)
+    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,12}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+                        r"|(?:[\x20\x09\x0A\x0D]+[A-Za-z0-9+/=]{16,}){0,60})"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("url_login", r"://[^\s:@/]{1,80}:[^\s:@/]{1,80}@"),
+    Rule("url_login", r"://[^\s:@/]+:[^\s:@/]+@"),
 )
 RULES = BASE + ADDED
 

@@ -76,11 +76,12 @@ def decontaminate(docs, items, window=10):
 SECRETS = [
     ("assign", r"""(password|passwd|secret|token|api_?key)["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, re.I | re.A),
     ("access", r"AKIA[A-Z0-9]+", 0, 20, 0), ("hex", r"[0-9a-f]+", 0, 24, 0),
-    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0, 0), ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0, 0),
+    ("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[^-]*(?:-[^-]+){0,12}-----END [A-Z ]{0,40}PRIVATE KEY-----"
+                    r"|(?:[ \t\n\r]+[A-Za-z0-9+/=]{16,}){0,60})", 0, 0, 0), ("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0, 0),
     ("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0, 0), ("google", r"AIza[A-Za-z0-9_-]{35}", 0, 0, 0),
     ("stripe", r"[sr]k_live_[A-Za-z0-9]{16,}", 0, 0, 0),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0, 0),
-    ("url_login", r"://[^\s:@/]{1,80}:[^\s:@/]{1,80}@", 0, 0, re.A)]
+    ("url_login", r"://[^\s:@/]+:[^\s:@/]+@", 0, 0, re.A)]
 
 
 def secret_spans(text):

@@ -1,5 +1,5 @@
 import pytest
-from cases import AWKWARD, SMALL, frame, same
+from cases import SCHEMA, AWKWARD, SMALL, frame, same
 
 import brute
 import corpus_pipeline
@@ -87,3 +87,15 @@ def test_language_awkward_and_empty(spark):
     assert langid.identify(frame(spark, [])).count() == 0
     none = langid.identify(frame(spark, [(1, None), (2, "abc")]).selectExpr("doc_id", "text", "cast(null as string) as lang")).collect()
     assert {r["lang_pred"] for r in none} == {"und"}
+
+
+def test_a_language_whose_rows_share_an_id_is_learned(spark):
+    """10,000 rows of one language on one id, among languages of single rows."""
+    rows = [(1, f"der schnelle fuchs läuft {i % 7}", "de") for i in range(10_000)] + [
+        (i, f"the quick brown fox {i}", "en") for i in range(2, 80)] + [(81, "...", "fr"), (81, "le renard brun", "fr"), (82, "", "xx")]
+    docs = spark.createDataFrame([(i, t, g, "s", len(t)) for i, t, g in rows], SCHEMA)
+    for per_language, max_rows in ((400, 4000), (5, 10)):
+        got = langid.sample(docs, 5, 9, per_language, max_rows).collect()
+        assert [r["text"][:3] for r in got if r["lang"] == "de"] == ["der"]
+        assert [r["text"] for r in got if r["lang"] == "fr"] == ["le renard brun"]
+        assert 1 <= sum(r["lang"] == "en" for r in got) <= per_language and len(got) <= max_rows

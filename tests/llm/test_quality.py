@@ -44,3 +44,14 @@ def test_awkward(spark, labels):
     empty = {r["score"] for r in got if r["doc_id"] in (4, 5)}
     assert len(empty) == 1 and (labels or empty == {0.5})
     assert q.classify(frame(spark, []), table).count() == 0
+
+
+def test_rows_that_share_an_id_do_not_crowd_out_the_others(spark):
+    """10,000 rows of one labelled id: it votes once, the others are learned all the same."""
+    rows = [(1, "good clean words here")] * 10_000 + [(i, f"bad {i} bad bad") for i in range(2, 60)]
+    labels = spark.createDataFrame([(1, 1, 0)] + [(i, 0, 0) for i in range(2, 60)], "doc_id long, quality int, toxic int")
+    got = q.sample(frame(spark, rows), labels, "quality", 3, 99, 50).collect()
+    assert sorted((r["doc_id"], r["label"]) for r in got if r["doc_id"] == 1) == [(1, 1)] and len(got) == 51
+    two = [(1, "b"), (1, "a"), (2, None)]
+    both = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (2, 1, 0)], "doc_id long, quality int, toxic int")
+    assert len(q.sample(frame(spark, two), both, "quality", 3, 99, 50).collect()) == 3
