@@ -26,11 +26,14 @@ ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import Counter
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotefuse.llm.common import let
+from quotefuse.llm.common import let, saved
 
 BIN_BITS = 5
 BINS = 1 << BIN_BITS
@@ -128,55 +131,65 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((a == "") | (b == ""), (a == b).cast("double")).otherwise(equal / F.lit(float(BINS)))
 
 
-SPLITS = 9_000  # most ranges of ids, and parts of one range
+MOST_RANGES = 500_000  # of ids; over 500,000 x range_rows rows they hold more rows each
+
+
+def split_ids(ids: DataFrame, range_rows: int) -> list[int | None]:
+    """The id of the first and then of every ``range_rows``-th row of each task
+    of a distributed sort by descending id (null last) and hash."""
+    step = max(range_rows, -(-ids.count() // MOST_RANGES))
+    at = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)  # place within the task
+    ordered = ids.orderBy(F.desc_nulls_last("doc_id"), "h").withColumn("at", at)
+    return [r["doc_id"] for r in ordered.where(F.col("at") % step == 0).select("doc_id").collect()]
 
 
 def with_next(rows: DataFrame, ids: DataFrame, columns: list[str], range_rows: int) -> DataFrame:
     """Adds ``next_<c>`` of the next row by descending doc_id (after the last:
-    the first). Rows are dealt into ranges of ids at quantiles, about
-    ``range_rows`` rows each; an id (or null) that fills several ranges is cut
-    by its text hash. The first row of each range is also put at the end of
-    the range before, so every successor is found inside a range. ``ids`` has
-    doc_id and h of the same rows from before any costly column was added."""
-    size = ids.agg(F.count("*").alias("n"), F.count("doc_id").alias("k")).first()
-    parts = max(1, min(SPLITS, -(-size["k"] // range_rows)))
-    cuts = [] if parts == 1 else ids.select(F.percentile_approx(
-        "doc_id", F.array(*[F.lit(i / parts) for i in range(1, parts)]), 10 * parts).alias("q")).first()["q"]
-    splits = sorted({float(q) for q in cuts})
-    often = {q: n for q in set(cuts) if (n := cuts.count(q)) > 1} if len(cuts) < 2000 else {}
-    nulls = max(1, min(SPLITS, -(-(size["n"] - size["k"]) // range_rows)))
+    the first), and the row's ``place``. Rows are dealt into ranges of ids, about ``range_rows`` rows
+    each, whatever the number of rows; an id (or null) that fills several
+    ranges is cut by its text hash into as many parts. The first row of each
+    range is also put at the end of the range before, so every successor is
+    found inside a range. ``ids`` has doc_id and h of the same rows from before
+    any costly column was added; it is read several times."""
+    starts = split_ids(ids, range_rows)
+    times = Counter(starts)
+    nulls = max(1, times.pop(None, 0))
+    lows = sorted({float(i) for i in times})
+    splits = [float("-inf"), *lows, float("inf")]
+    # a frequent id is the least of its range (as doubles; of equal doubles the largest id is taken)
+    often = {bisect_right(lows, float(i)): (i, n) for i, n in sorted(times.items()) if n > 1}
+    table = rows.sparkSession.createDataFrame([(at, i, n) for at, (i, n) in often.items()], "id_range int, often long, parts int")
 
     def with_place(df):
-        """``place``: ascending in the order of the rows."""
-        value = F.col("doc_id").cast("double")
-        if splits:
-            df = Bucketizer(splits=[float("-inf"), *splits, float("inf")], inputCol="id_value", outputCol="id_range").transform(
-                df.withColumn("id_value", F.coalesce(value, F.lit(0.0))))
-        at = F.col("id_range").cast("long") if splits else F.lit(0).cast("long")
+        """``place``: (range, part of the range), ascending in the order of the rows."""
+        value = F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))
+        if lows:
+            df = Bucketizer(splits=splits, inputCol="id_value", outputCol="id_range").transform(df.withColumn("id_value", value))
+        df = df.withColumn("id_range", F.when(F.col("doc_id").isNull(), len(splits)).otherwise(
+            F.col("id_range").cast("int") if lows else F.lit(0)))
+        df = df.join(F.broadcast(table), "id_range", "left") if often else df.withColumns(
+            {"often": F.lit(None).cast("long"), "parts": F.lit(None).cast("int")})  # at most MOST_RANGES and one per task
         spread = F.col("h") / F.lit(2.0**64) + 0.5
-        share = F.lit(1)
-        for q, n in often.items():
-            share = F.when(F.col("doc_id") == q, n).otherwise(share)
-        sub = F.least(F.floor(spread * F.when(F.col("doc_id").isNull(), nulls).otherwise(share)), F.lit(SPLITS)).cast("long")
-        turn = F.when(F.col("doc_id").isNull(), F.lit(parts + 1)).otherwise(F.lit(parts) - at)
-        # a frequent id shares its range with smaller ids, which come after all of its parts
-        sub = F.when(F.col("doc_id").isNull() | F.col("doc_id").isin(list(often)), sub).otherwise(F.lit(SPLITS + 1)) if often else F.when(
-            F.col("doc_id").isNull(), sub).otherwise(F.lit(0))
-        return df.withColumn("place", turn * 10_000 + sub).drop("id_value", "id_range")
+        part = (F.when(F.col("doc_id").isNull(), F.floor(spread * nulls))
+                .when(F.col("doc_id") == F.col("often"), F.floor(spread * F.col("parts")) + 1)
+                .when(F.col("doc_id") < F.col("often"), F.col("parts") + 2).otherwise(0))
+        turn = F.when(F.col("doc_id").isNull(), len(splits)).otherwise(F.lit(len(splits)) - 1 - F.col("id_range"))
+        place = F.struct(turn.cast("int").alias("range"), part.cast("int").alias("part"))
+        return df.withColumn("place", place).drop("id_value", "id_range", "often", "parts")
 
     order = F.struct(F.col("doc_id").isNull().alias("n"), (-F.col("doc_id")).alias("i"), F.col("h").alias("h"))
     firsts = sorted(with_place(ids).groupBy("place").agg(F.min(order).alias("m")).select("place", "m.i", "m.h").collect())
     if not firsts:
         return rows.select("*", *[F.col(c).alias(f"next_{c}") for c in columns])
     ghosts = [(firsts[j - 1]["place"], None if r["i"] is None else -r["i"], r["h"]) for j, r in enumerate(firsts)]
-    ghosts = rows.sparkSession.createDataFrame(ghosts, "ghost_place long, ghost_id long, ghost_h long")
+    ghosts = rows.sparkSession.createDataFrame(ghosts, "ghost_place struct<range int, part int>, ghost_id long, ghost_h long")
     held = with_place(rows).join(F.broadcast(ghosts), F.col("doc_id").eqNullSafe(F.col("ghost_id")) & (F.col("h") == F.col("ghost_h")), "left")
     plain = F.struct(F.col("place").alias("place"), F.lit(False).alias("ghost"))
     again = F.struct(F.col("ghost_place").alias("place"), F.lit(True).alias("ghost"))
     held = held.withColumn("spot", F.explode(F.when(F.col("ghost_place").isNull(), F.array(plain)).otherwise(F.array(plain, again))))
     held = held.select(*rows.columns, F.col("spot.place").alias("place"), F.col("spot.ghost").alias("ghost"))
     w = Window.partitionBy("place").orderBy("ghost", F.desc_nulls_last("doc_id"), "h")
-    led = held.select(*rows.columns, "ghost", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
+    led = held.select(*rows.columns, "place", "ghost", *[F.lead(c).over(w).alias(f"next_{c}") for c in columns])
     return led.where(~F.col("ghost")).drop("ghost")
 
 
@@ -186,7 +199,7 @@ def report(docs: DataFrame, k: int = 2, pick: int = 2, range_rows: int = 2000) -
     plain = docs.select("doc_id", F.xxhash64(text).alias("h"), text.alias("text"))
     # explode of one value keeps a fingerprint from being computed again by each use
     rows = plain.withColumn("fp", F.explode(F.array(fingerprint(F.col("text"), k, pick))))
-    rows = with_next(rows, plain.select("doc_id", "h"), ["text", "fp"], range_rows)
+    rows = with_next(rows, saved(plain.select("doc_id", "h"), "order-minhash-ids"), ["text", "fp"], range_rows)
     n = F.length("text")
     part = F.floor(n / F.lit(3)).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - part), F.substring("next_text", F.lit(1), part))
