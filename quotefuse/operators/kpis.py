@@ -18,7 +18,7 @@ from quotefuse import constants as K
 from quotefuse.functions.scalar import now_utc
 from quotefuse.functions.scalar import round_half_away as rnd
 from quotefuse.functions.scalar import run_text, ts_lit
-from quotefuse.operators.quantile import middle, ranked_values
+from quotefuse.operators.quantile import median_of, middle_values
 
 
 def _v() -> Column:
@@ -37,19 +37,17 @@ def _ts_col(run_ts: _dt.datetime | Column | None) -> Column:
 
 
 def snapshot(silver: DataFrame, run_ts: _dt.datetime | Column | None = None) -> DataFrame:
-    """Global market snapshot, one row even on empty input (A1)."""
-    # every figure comes from the (value, count) table of one scan of Silver
-    v, n = F.col("_v"), F.col("_n")
-
-    def total(cond: Column) -> Column:
-        return F.sum(F.when(cond, n).otherwise(F.lit(0)))
-
-    one = ranked_values(silver, "variation_pct").agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("total_actifs"),
-        total(v > 0).alias("actifs_en_hausse"), total(v < 0).alias("actifs_en_baisse"),
-        total(v == 0).alias("actifs_neutres"),
-        (F.sum(v * n) / F.sum(n)).alias("_avg"), F.max(v).alias("_max"), F.min(v).alias("_min"),
-        middle().alias("_med"))
+    """Global market snapshot, one row even on empty input (A1). Reads Silver
+    twice when called: all figures with the median's sketch, then its range."""
+    v = F.col("_v")
+    values = silver.select(F.col("variation_pct").cast("double").alias("_v"))
+    found = middle_values(values, {
+        "total_actifs": F.count(v), "actifs_en_hausse": _flag(v > 0), "actifs_en_baisse": _flag(v < 0),
+        "actifs_neutres": _flag(v == 0), "_avg": F.avg(v), "_max": F.max(v), "_min": F.min(v)})
+    found["_med"] = median_of(found)
+    one = silver.sparkSession.range(1).select(*[
+        F.lit(found[c]).cast("double" if c.startswith("_") else "long").alias(c)
+        for c in ("total_actifs", "actifs_en_hausse", "actifs_en_baisse", "actifs_neutres", "_avg", "_max", "_min", "_med")])
     return one.select(
         run_text(_ts_col(run_ts)).alias("date_snapshot"),
         "total_actifs", "actifs_en_hausse", "actifs_en_baisse", "actifs_neutres",
