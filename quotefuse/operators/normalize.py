@@ -1,6 +1,7 @@
 """Bronze normalisation: column aliases, ticker remap, currency rule, defaults.
 
-All of it is a single projection each; nothing here shuffles.
+All of it is a single projection each and nothing shuffles, but for a mapping
+that is a table too large to broadcast.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quotefuse import constants as K
 from quotefuse.schemas import ENSURE_DEFAULTS
+from quotefuse.session import scratch_path
 
 
 def columns(df: DataFrame, aliases: Iterable[tuple[str, str]] = K.DEFAULT_ALIASES) -> DataFrame:
@@ -60,25 +62,51 @@ def _coalesce_typed(df: DataFrame, cols: list) -> F.Column:
     return F.coalesce(*cols)
 
 
-def tickers(df: DataFrame, mapping: Mapping[str, str] = K.BOURSORAMA_TICKERS) -> DataFrame:
+def tickers(df: DataFrame, mapping: Mapping[str, str] | DataFrame = K.BOURSORAMA_TICKERS,
+            broadcast_rows: int = 100_000) -> DataFrame:
     """Exchange-specific symbols -> common tickers, then '.PA' -> EUR.
 
-    The map is a bounded literal (its size is the parameter's). A NULL
-    ticker keeps its currency. Without a ``ticker`` column this is a no-op.
+    ``mapping`` is a small literal map, or a table of any size with the
+    columns ``alias`` and ``ticker`` (see ``look_up``). A NULL ticker keeps its
+    currency. Without a ``ticker`` column this is a no-op.
     """
     if "ticker" not in df.columns:
         return df
-    t = F.col("ticker")
-    if mapping:
+    if isinstance(mapping, DataFrame):
+        df = look_up(df, mapping, broadcast_rows)
+    elif mapping:
         lut = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-        t = F.coalesce(F.try_element_at(lut, F.col("ticker")), F.col("ticker"))
-    df = df.withColumn("ticker", t)
+        df = df.withColumn("ticker", F.coalesce(F.try_element_at(lut, F.col("ticker")), F.col("ticker")))
     if "devise" not in df.columns:
         df = df.withColumn("devise", F.lit(K.DEFAULT_CURRENCY))
     return df.withColumn("devise", F.when(F.col("ticker").endswith(".PA"), F.lit("EUR"))
                          .otherwise(F.col("devise")))
 
 
+def look_up(df: DataFrame, mapping: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
+    """``ticker`` replaced by a mapping table's (J7); every row of ``df`` stays, once.
+
+    Of an alias that the table holds more than once the least ticker counts;
+    rows with a NULL alias or ticker do not. The table is counted: up to
+    ``broadcast_rows`` aliases are broadcast. Of more, those that ``df`` uses
+    are kept first (distinct tickers, so a ticker of any share is one row),
+    written to the shared folder and counted again; what is still too many is
+    joined by a shuffle, where AQE splits a frequent ticker's partition.
+    """
+    pairs = (mapping.where(F.col("alias").isNotNull() & F.col("ticker").isNotNull())
+             .groupBy(F.col("alias").cast("string").alias("_qf_alias"))
+             .agg(F.min(F.col("ticker").cast("string")).alias("_qf_to")))
+    small = pairs.limit(broadcast_rows + 1).count() <= broadcast_rows
+    if not small:
+        used = df.select(F.col("ticker").alias("_qf_alias")).distinct()
+        path = scratch_path(df.sparkSession, "ticker-map")
+        pairs.join(used, "_qf_alias", "left_semi").write.parquet(path)
+        pairs = df.sparkSession.read.schema(pairs.schema).parquet(path)
+        small = pairs.count() <= broadcast_rows
+    joined = df.join(F.broadcast(pairs) if small else pairs, F.col("ticker") == F.col("_qf_alias"), "left")
+    return joined.withColumn("ticker", F.coalesce("_qf_to", "ticker")).drop("_qf_alias", "_qf_to")
+
+
 def ensure(df: DataFrame, defaults: Mapping[str, object] = ENSURE_DEFAULTS) -> DataFrame:
     """Add missing Silver columns with their defaults (P4); existing NULLs stay."""
     missing = [F.lit(v).cast("string").alias(c) for c, v in defaults.items()

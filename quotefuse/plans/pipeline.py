@@ -12,7 +12,7 @@ from quotefuse.sources import fixtures
 
 
 def silver(bronze: DataFrame, ord_col: str | Column, aliases=K.DEFAULT_ALIASES,
-           mapping: Mapping[str, str] = K.BOURSORAMA_TICKERS,
+           mapping: Mapping[str, str] | DataFrame = K.BOURSORAMA_TICKERS,
            drop_errors_first: bool = False, sort: bool = False) -> DataFrame:
     """Silver: aliases -> ticker rules -> fusion (1 shuffle) -> defaults ->
     casts -> validity filter -> currency rule -> 14 columns."""

@@ -53,6 +53,19 @@ def q_map_tickers(spark, sf):
     return normalize.tickers(_b(spark, sf, prev=False)).select("event_id", "ticker", "devise")
 
 
+@register("map_tickers_table")
+def q_map_tickers_table(spark, sf):
+    """A mapping of every traded symbol, some of them twice, joined rather than spelled out."""
+    ev = fixtures.events(spark, sf)
+    symbol = F.col("user_id").cast("string")
+    mapping = ev.where("user_id % 7 <> 0").select(
+        F.concat(F.lit("T"), symbol).alias("alias"),
+        F.when(F.col("event_type") == "view", F.concat(F.lit("M"), symbol, F.lit(".PA"))).when(
+            F.col("event_type") != "error", F.concat(F.lit("N"), symbol)).alias("ticker"))
+    quotes = normalize.tickers(_b(spark, sf, prev=False), mapping, broadcast_rows=1_000)
+    return quotes.select("event_id", "ticker", "devise")
+
+
 @register("ensure_columns")
 def q_ensure_columns(spark, sf):
     df = normalize.ensure(_b(spark, sf).drop("devise", "capitalisation", "statut"))
