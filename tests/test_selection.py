@@ -60,6 +60,19 @@ def test_splitters_do_not_grow_with_the_rows(spark, monkeypatch):
     assert set(rounds) <= {(2, 10_000), (15, 160)} and len(rounds) < 8
 
 
+def test_snapshot_reads_silver_twice(spark):
+    rows = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            rows.add(b.num_rows)
+            yield b
+
+    silver = spark.range(0, 1000, 1, 3).selectExpr("cast(id % 37 as double) as variation_pct").mapInArrow(counted, "variation_pct double")
+    got = kpis.snapshot(silver).collect()[0]
+    assert rows.value == 2000 and got.total_actifs == 1000 and got.variation_mediane == 18.0
+
+
 QUOTES = [("a", "USD"), ("a", "USD"), ("b", "GBP"), (None, "GBP"), ("z", None), ("", "USD")] + [("hot", "USD")] * 500
 MAP = [("a", "A2"), ("a", "A1.PA"), ("b", "B"), ("b", None), (None, "N"), ("c", "C"), ("z", None), ("hot", "H.PA"), ("hot", "H.PA")]
 WANT = sorted([("A1.PA", "EUR")] * 2 + [("B", "GBP"), ("z", ""), ("", "USD"), ("None", "GBP")] + [("H.PA", "EUR")] * 500)
