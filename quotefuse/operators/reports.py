@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quotefuse import constants as K
 from quotefuse.functions.scalar import round_half_away as rnd
+from quotefuse.plans.skipping import read_ticker
 from quotefuse.plans.warehouse import LOADED_COL, RUN_COL, latest_run, read_table
 
 
@@ -63,9 +64,9 @@ def movers_by_type(spark, root, type_mouvement: str = K.MOVE_UP, run_id=None,
 
 
 def ticker_history(spark, root, ticker: str) -> DataFrame:
-    """One ticker over all runs, newest first."""
-    h = read_table(spark, root, K.HISTORY_TABLE)
-    return (h.where(F.col("ticker") == F.lit(ticker))
+    """One ticker over all runs, newest first (P12); of the loads that are indexed
+    only files that may hold it are opened (``plans/skipping.py``)."""
+    return (read_ticker(spark, root, ticker)
             .select("ticker", "prix", "variation_pct", "volume", "date_collecte",
                     "categorie", "source", LOADED_COL)
             .orderBy(F.col(LOADED_COL).desc_nulls_first(), F.col("date_collecte").desc_nulls_first(), *_ties()))
@@ -83,9 +84,7 @@ def ticker_card(spark, root, ticker: str | None = None) -> DataFrame:
     remaining columns break ties so the pick is deterministic. One partial
     aggregation per ticker: a hot ticker costs one row per task.
     """
-    h = read_table(spark, root, K.HISTORY_TABLE)
-    if ticker is not None:
-        h = h.where(F.col("ticker") == F.lit(ticker))
+    h = read_table(spark, root, K.HISTORY_TABLE) if ticker is None else read_ticker(spark, root, ticker)
     recency = F.struct(F.col(LOADED_COL), F.col("date_collecte"), F.col("prix"),
                        F.col("variation_pct"))
     return h.groupBy("ticker").agg(

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from quotefuse import constants as K
 from quotefuse.operators import clean, collect as collect_ops, fuse, kpis, normalize
 from quotefuse.operators import quality as dq
-from quotefuse.plans import archiving, fusion_state, ledger, run_state, warehouse
+from quotefuse.plans import archiving, fusion_state, ledger, run_state, skipping, warehouse
 from quotefuse.schemas import RAW_QUOTE, SILVER
 from quotefuse.sources import bronze as bronze_scan
 from quotefuse.sources import payloads
@@ -252,12 +252,15 @@ def gold(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, in
 
 
 def load(spark: SparkSession, cfg: Config, run_ts: _dt.datetime) -> dict[str, int]:
-    """History + Gold of this run into the warehouse (idempotent)."""
+    """History + Gold of this run into the warehouse (idempotent), then the
+    history's index by ticker over the loads that are new."""
     rid = run_id_of(run_ts)
     s = read_silver(spark, cfg, rid)
     g = {t: warehouse.read_zone(spark, cfg.path("gold", t), warehouse.gold_schema(t))
          .where(F.col(warehouse.RUN_COL) == rid).drop(warehouse.RUN_COL) for t in K.GOLD_TABLES}
-    return warehouse.load(spark, cfg.path("dw"), s, g, rid, run_ts)
+    counts = warehouse.load(spark, cfg.path("dw"), s, g, rid, run_ts)
+    skipping.update(spark, cfg.path("dw"))
+    return counts
 
 
 def checked_bronze(spark: SparkSession, cfg: Config, runs: list[str] | None = None) -> DataFrame:

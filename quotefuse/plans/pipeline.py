@@ -81,6 +81,22 @@ def fixture_warehouse(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def indexed_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Root of a warehouse with the history alone: both fixture runs indexed by
+    ticker, then the first loaded again, which the index does not know."""
+    from quotefuse.plans import skipping, warehouse
+    from quotefuse.session import scratch_path
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#index")
+    if key not in _WAREHOUSES:
+        root, clean_rows = scratch_path(spark, "indexed"), clean_ev(spark, sf_dir)
+        for run in (0, 1, 0):
+            warehouse.load_table(run_split(clean_rows, run), root, K.HISTORY_TABLE, fixtures.RUN_IDS[run], fixtures.RUN_TS[run])
+            if run == 1:
+                skipping.update(spark, root)
+        _WAREHOUSES[key] = root
+    return _WAREHOUSES[key]
+
+
 def load_run(spark: SparkSession, root: str, silver_rows: DataFrame, run_id: str,
              run_ts, n: int = K.TOP_N, threshold: float = K.ALERT_THRESHOLD) -> dict[str, int]:
     """Write a run's Silver to the history table once, then compute the six

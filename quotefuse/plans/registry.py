@@ -276,6 +276,12 @@ def q_ticker_history(spark, sf):
     return reports.ticker_history(spark, _wh(spark, sf), "T1.PA")
 
 
+@register("ticker_history_indexed")
+def q_ticker_history_indexed(spark, sf):
+    """Through the index by ticker: one run indexed, the other loaded again since."""
+    return reports.ticker_history(spark, P.indexed_warehouse(spark, sf), "T1.PA")
+
+
 @register("ticker_card")
 def q_ticker_card(spark, sf):
     return reports.ticker_card(spark, _wh(spark, sf))

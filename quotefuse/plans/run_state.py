@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from quotefuse.plans import ledger
 
 FOLDERS = 64
+FILE_ROWS = 1_000_000
 
 
 def _schema(schema: T.StructType) -> T.StructType:
@@ -57,6 +58,7 @@ def update(spark: SparkSession, root: str, name: str, runs: Mapping[str, str], c
     entries = ledger.live(spark, root, name)
     if len({e.load_id for e in entries}) > FOLDERS:
         load = ledger.new_load()
-        read(spark, root, name, schema).coalesce(1).write.parquet(f"{root}/{name}/{ledger.LOAD_COL}={load}")
+        rows = read(spark, root, name, schema)
+        rows.coalesce(1 + rows.count() // FILE_ROWS).write.parquet(f"{root}/{name}/{ledger.LOAD_COL}={load}")
         ledger.commit(spark, root, [ledger.Entry(name, e.run_id, load, 0, e.source) for e in entries])
     return read(spark, root, name, schema), changed
