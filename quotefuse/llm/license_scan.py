@@ -6,17 +6,19 @@ phrases. The template index has postings (word, template, position) for the
 words worth indexing; function words are left out by the index's definition.
 
 Scan: the inverse document frequency of every indexed word is counted over
-all documents. Each file looks up the ``rare`` of its licence words with the
-highest IDF; their positions are joined with the template postings; the
-difference of positions places the template in the file, and the postings are
-intersected by counting, for each (file, template, place), the different
-template positions that agree. A placement with at least ``agree`` of them
-(all, if the template has fewer) is verified; where the rare words give fewer
-and a phrase stands in the file, all its licence words are looked up and
-counted. Every key phrase of the template must stand at its position word for
-word. The score is 1 for a base phrase and else the best share, of the
-template's indexed positions or of ``rare`` if that is less, that agrees in a
-verified placement.
+all documents. A file looks up a template if it holds every indexed word of the
+template's key phrases. It looks up ``rare`` of the template's words that it
+holds: the ``agree`` of highest IDF of its first key phrase, then the others by IDF.
+Their positions are joined with the template's postings; the difference of
+positions places the template in the file, and the postings are intersected by
+counting, for each (file, template, place), the template positions that agree.
+A placement with at least ``agree`` of them (all, if the template has fewer) is
+verified: every key phrase of the template must stand at its position word for
+word. With ``agree`` 2 the choice of words loses no template that all words would
+find: a first key phrase with fewer than two indexed words occurs only in templates
+of at most ``rare`` words, which are looked up whole; ``rare`` below ``agree`` is an error. The score
+is 1 for a base phrase and else the best share, of the template's indexed
+positions or of ``rare`` if that is less, that agrees in a verified placement.
 
 Base and key phrases are placed word for word: a phrase is found from its
 first indexed word and checked against the words beside it.
@@ -129,43 +131,59 @@ def template_postings(spark) -> DataFrame:
     return spark.createDataFrame(rows, "word string, template int, tpos long")
 
 
-def verified(template: Column, place: Column, starts: Column) -> Column:
-    """Whether every key phrase of ``template``, laid at ``place``, stands in the file."""
-    numbers, out = {p: n for n, p in enumerate(phrases())}, F.lit(False)
-    for n, (_, words, keys) in enumerate(TEMPLATES):
-        good = template == n
+def template_phrases(spark) -> DataFrame:
+    """number, template, at: where the key phrases stand in the templates; bounded likewise."""
+    numbers, rows = {p: n for n, p in enumerate(phrases())}, []
+    for n, (_, template, keys) in enumerate(TEMPLATES):
+        words = template.split()
         for key in keys:
-            want, words_ = key.split(), words.split()
-            at = next(i for i in range(len(words_)) if words_[i:i + len(want)] == want)
-            good = good & F.array_contains(starts, F.struct((place + at).alias("pos"), F.lit(numbers[key]).alias("number")))
-        out = out | good
-    return out
+            want = key.split()
+            rows.append((numbers[key], n, next(i for i in range(len(words)) if words[i:i + len(want)] == want)))
+    return spark.createDataFrame(rows, "number int, template int, at long")
+
+
+def lookups(ranked: list[str], agree: int = 2) -> Column:
+    """For each template its number, the indexed words of its key phrases, and its own in the order of lookup."""
+    known, place, out = set(indexed_words()), {w: i for i, w in enumerate(ranked)}, []
+    for n, (_, template, keys) in enumerate(TEMPLATES):
+        def rank(words):
+            return sorted({w for w in words if w in known}, key=lambda w: (place.get(w, len(place)), w))
+        first = rank(keys[0].split())[:agree]
+        own = first + [w for w in rank(template.split()) if w not in first]
+        out.append(F.struct(F.lit(n).alias("template"), F.array(*map(F.lit, rank(" ".join(keys).split()))).alias("must"),
+                            F.array(*map(F.lit, own)).alias("own")))
+    return F.array(*out)
 
 
 def scan(docs: DataFrame, rare: int = 8, agree: int = 2) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
+    if rare < agree:
+        raise ValueError(f"rare ({rare}) must be at least agree ({agree})")
     files = saved(file_words(docs.select("doc_id", "text")), "license_words")
     some = files.where(F.size("places") > 0).dropDuplicates(["doc_id", "h"])
-    postings = template_postings(docs.sparkSession)
+    spark, known = docs.sparkSession, set(indexed_words())
     held = F.array_distinct(F.transform("places", lambda p: p["word"]))
     # document frequencies over all documents; as many rows as the templates have words
     df = files.where(F.size("places") > 0).select(F.explode(held).alias("word")).groupBy("word").count().collect()
     ranked = [r["word"] for r in sorted(df, key=lambda r: (r["count"], r["word"]))]  # highest IDF first
-    order = F.array(*[F.lit(w) for w in ranked]).cast("array<string>")
-    best = F.slice(F.array_intersect(order, "held"), 1, rare)
-    # beyond the rare words, the places of the others if a phrase stands in the file: no template is verified without one
-    looked = (some.withColumn("held", held).withColumn("best", best).withColumn("all", F.size("starts") > 0)
-              .select("doc_id", "h", "starts", "best", F.explode(
-                  F.filter("places", lambda p: F.col("all") | F.array_contains("best", p["word"]))).alias("p")))
-    sizes = F.create_map(*itertools.chain.from_iterable(
-        (F.lit(n), F.lit(sum(w in set(indexed_words()) for w in t.split()))) for n, (_, t, _) in enumerate(TEMPLATES)))
-    agreed = (looked.join(F.broadcast(postings), F.col("p.word") == F.col("word"))
-              .withColumn("place", F.col("p.pos") - F.col("tpos")).where(verified(F.col("template"), F.col("place"), F.col("starts")))
-              .groupBy("doc_id", "h", "template", "place").agg(
-                  F.count("*").alias("every"), F.count_if(F.array_contains("best", F.col("word"))).alias("few"))
-              # the rest decides only where the rare words do not reach the template
-              .withColumn("n", F.when(F.col("few") >= agree, F.col("few")).otherwise(F.col("every")))
-              .withColumn("size", sizes[F.col("template")]).where(F.col("n") >= F.least(F.lit(agree), F.col("size"))))
+    tried = some.withColumn("held", held).select("doc_id", "h", "places", "held", F.explode(
+        F.filter(lookups(ranked, agree), lambda c: F.size(F.array_except(c["must"], F.col("held"))) == 0)).alias("c"))
+    tried = tried.withColumn("best", F.slice(F.array_intersect("c.own", "held"), 1, rare))
+    looked = (tried.select("doc_id", "h", F.col("c.template").alias("template"), F.explode(
+        F.filter("places", lambda p: F.array_contains(F.col("best"), p["word"]))).alias("p"))
+        .select("doc_id", "h", "template", F.col("p.word").alias("word"), F.col("p.pos").alias("pos"))
+        .join(F.broadcast(template_postings(spark)), ["template", "word"])
+        .select("doc_id", "h", "template", (F.col("pos") - F.col("tpos")).alias("place"), F.lit(1).alias("word"), F.lit(0).alias("phrase")))
+    stands = (some.select("doc_id", "h", F.explode("starts").alias("s")).select("doc_id", "h", "s.pos", "s.number")
+              .join(F.broadcast(template_phrases(spark)), "number")
+              .select("doc_id", "h", "template", (F.col("pos") - F.col("at")).alias("place"), F.lit(0).alias("word"), F.lit(1).alias("phrase")))
+    sizes = F.array(*[F.lit(sum(w in known for w in t.split())) for _, t, _ in TEMPLATES])
+    keys = F.array(*[F.lit(len(k)) for _, _, k in TEMPLATES])
+    agreed = (looked.unionByName(stands).groupBy("doc_id", "h", "template", "place")
+              .agg(F.sum("word").alias("n"), F.sum("phrase").alias("phrases"))
+              .withColumn("size", F.get(sizes, F.col("template")))
+              .where(F.col("n") >= F.least(F.lit(agree), F.col("size")))
+              .where(F.col("phrases") == F.get(keys, F.col("template"))))
     label = F.get(F.array(*[F.lit(name) for name, _, _ in TEMPLATES]), F.col("template"))
     found = agreed.groupBy("doc_id", "h").agg(
         F.collect_set(label).alias("found"), F.max(F.least(F.lit(1.0), F.col("n") / F.least(F.col("size"), F.lit(rare)))).alias("part"))

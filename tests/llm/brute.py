@@ -114,7 +114,8 @@ def licenses(docs):
 
 
 def license_labels(docs, templates, function_words, phrases, rare=8, agree=2):
-    """All labels, by trying every template at every place."""
+    """All labels, by trying every template at every place with all its words; the
+    score by the words that the operator looks up."""
     known = {w for _, t, _ in templates for w in t.split()} - set(function_words) | {p.split()[0] for p, _ in phrases}
     words = [WORD.findall(lower(t)) for _, t in docs]
     df = {}
@@ -123,19 +124,21 @@ def license_labels(docs, templates, function_words, phrases, rare=8, agree=2):
             df[x] = df.get(x, 0) + 1
     out = []
     for (i, _), w, base in zip(docs, words, licenses(docs)):
-        best = set(sorted(set(w) & known, key=lambda x: (df[x], x))[:rare])
         labels, part = set(filter(None, base[5].split(","))), 0.0
         for name, t, keys in templates:
             t = t.split()
             size = sum(x in known for x in t)
+            mine = sorted(set(w) & known & set(t), key=lambda x: (df[x], x))
+            first = [x for x in mine if x in keys[0].split()][:2]
+            best = (first + [x for x in mine if x not in first])[:rare]
             for place in range(-len(t), len(w)):
-                n = sum(x in best and 0 <= place + k < len(w) and w[place + k] == x for k, x in enumerate(t))
-                if n < min(agree, size):
+                at = [x for k, x in enumerate(t) if x in known and 0 <= place + k < len(w) and w[place + k] == x]
+                if len(at) < min(agree, size):
                     continue
                 spots = [(next(k for k in range(len(t)) if t[k:k + len(key.split())] == key.split()) + place, key.split()) for key in keys]
                 if all(s >= 0 and w[s:s + len(key)] == key for s, key in spots):
                     labels.add(name)
-                    part = max(part, min(1.0, n / min(size, rare)))
+                    part = max(part, min(1.0, sum(x in best for x in at) / min(size, rare)))
         out.append((i, ",".join(sorted(labels)), 1.0 if base[2] else part))
     return out
 

@@ -22,6 +22,25 @@ def test_against_brute_force(spark, rows):
     assert any("notice" in r["labels"] for r in got)
 
 
+def test_labels_come_from_the_lookup(spark, monkeypatch):
+    """Without postings no template is placed: only the base labels are left."""
+    want = {r["doc_id"]: r["labels"] for r in ls.scan(frame(spark, PLANTED)).collect()}
+    assert want[35] == "mit-text" and want[36] == "bsd-text" and want[33] == "cc-by,cc-by-nc-notice"
+    monkeypatch.setattr(ls, "template_postings", lambda spark: spark.createDataFrame([], "word string, template int, tpos long"))
+    assert all(r["labels"] == r["base_labels"] for r in ls.scan(frame(spark, PLANTED)).collect())
+    with pytest.raises(ValueError):
+        ls.scan(frame(spark, PLANTED), rare=1)
+
+
+def test_rare_words_change_the_score_and_lose_no_label(spark):
+    # the rarest words of mit-text stand elsewhere, its phrase in place
+    text = "without restriction person obtaining associated documentation software copy. Permission is hereby granted, free of charge"
+    rows = PLANTED + [(60, text)] + [(70 + i, "permission granted hereby charge") for i in range(20)]
+    few, many = ({r["doc_id"]: r for r in ls.scan(frame(spark, rows), rare=n).collect()} for n in (2, 50))
+    assert {i: r["labels"] for i, r in few.items()} == {i: r["labels"] for i, r in many.items()}
+    assert few[60]["labels"] == "mit-text" and few[60]["score"] == 1.0 > many[60]["score"] > 0
+
+
 def test_no_python_on_the_main_path(spark):
     plan = ls.scan(frame(spark, PLANTED))._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
