@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotefuse.llm.common import fresh
+from quotefuse.llm.common import fresh, saved
 
 _WORD = bytes(ord(chr(c).lower()) if c < 128 and chr(c).isalnum() else c if c >= 128 else 32 for c in range(256))
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -162,15 +162,19 @@ def item_blocks(benchmark: DataFrame, block_words: int):
 
 def spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int = 5,
           block_words: int = 500_000) -> list[DataFrame]:
-    """For each block of the benchmark, all rows of ``docs`` (doc_id, text) as
-    doc_id, n_words, runs (array of [start, end) word runs that are hit), items."""
+    """For each block of the benchmark, rows of ``docs`` (doc_id, text) as doc_id, n_words,
+    runs (array of [start, end) word runs that are hit), items: all of them for the first
+    block, those with hits for the others. Of several blocks each is written, and its
+    broadcasts freed, before the index of the next is built."""
     sc = docs.sparkSession.sparkContext
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, h long, n_words long, runs array<struct<s:long,e:long>>, items array<string>"
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     out = []
-    for items in [*item_blocks(benchmark, block_words)] or [[]]:
-        ix = Index(items, window, shingle)
+    left = item_blocks(benchmark, block_words)
+    items, more = next(left, None), next(left, None)
+    while items is not None:
+        ix, items, more = Index(items, window, shingle), more, next(left, None)
         if not ix.windows:
             continue
         index = sc.broadcast(ix)
@@ -196,7 +200,12 @@ def spans(docs: DataFrame, benchmark: DataFrame, window: int = 10, shingle: int
                      pa.array(runs, pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))), pa.array(items, pa.list_(pa.string()))],
                     ["doc_id", "h", "n_words", "runs", "items"])
 
-        out.append(rows.mapInArrow(run, schema))
+        part = rows.mapInArrow(run, schema)
+        if out or items is not None:
+            part = saved(part.where(F.size("runs") > 0) if out else part, "block_hits")
+            index.destroy()
+            ready.destroy()
+        out.append(part)
     if not out:
         def count(batches):
             for b in batches:
@@ -223,7 +232,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
         rows = p if rows is None else rows.unionByName(p)
     rows = rows.withColumn("turn", F.row_number().over(turn))
     merged = rows.groupBy("doc_id", "h", "turn").agg(
-        F.max("n_words").alias("n_words"),
+        F.max("n_words").alias("n_words"),  # the first block has every row, the others those with hits
         F.flatten(F.collect_list("runs")).alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
     return merged.drop("turn")
 

@@ -20,6 +20,26 @@ def test_awkward_cases(spark, block_words):
     same(got.collect(), brute.decontaminate(AWKWARD, ITEMS))
 
 
+def test_one_block_at_a_time(spark, monkeypatch):
+    """A block is written before the index of the next is built; the whole benchmark is never a list."""
+    steps, prefixes, save, blocks = [], decontam.prefixes, decontam.saved, decontam.item_blocks
+
+    def read(*args):
+        for block in blocks(*args):
+            steps.append("read")
+            yield block
+
+    monkeypatch.setattr(decontam, "item_blocks", read)
+    monkeypatch.setattr(decontam, "prefixes", lambda *a: (steps.append("index"), prefixes(*a))[1])
+    monkeypatch.setattr(decontam, "saved", lambda *a: (steps.append("saved"), save(*a))[1])
+    got = decontam.decontaminate(frame(spark, AWKWARD), items(spark), block_words=12)
+    same(got.collect(), brute.decontaminate(AWKWARD, ITEMS))
+    built = [s for s in steps if s != "read"]
+    assert steps.count("index") > 3 and all(a != b for a, b in zip(built, built[1:]) if a == "index")
+    # two blocks are read ahead: the one whose turn it is, and the next
+    assert "saved" in steps[: steps.index("read", 4) + 4]
+
+
 def test_small_tables(spark):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     rows = small_documents()
