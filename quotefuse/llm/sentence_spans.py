@@ -18,9 +18,10 @@ span other than its first is removed with the white space after it. First is
 the least document (by id, a null id last, then text hash), then the least
 place in it.
 
-A span's occurrences are never gathered: its count and first document are
-partially aggregated minima, and the occurrences meet them in an equi-join that
-Spark can split.
+Spans are equal if their 128-bit hashes are. A span's occurrences are never
+gathered: its count and first document are partially aggregated, and the
+occurrences meet them in an equi-join; those of a very frequent span meet it by
+broadcast, so that no task has to read them all.
 
 Defined results: null text stays null and has no sentences; a text shorter
 than a span is kept whole (with ``whole`` its first copy only); rows equal in id and text are one document; a
@@ -43,6 +44,7 @@ _SPACE[[32, *range(9, 14)]] = True
 _STOP = np.zeros(256, dtype=bool)
 _STOP[[33, 46, 63]] = True
 _MULT = np.uint64(0x9E3779B97F4A7C15)
+_MULTS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 # stops that need no white space after them (CJK, half width, Arabic, Indic, Ethiopic, Myanmar, Khmer)
 _WIDE_STOPS = np.array([0x61F, 0x6D4, 0x964, 0x965, 0x104A, 0x104B, 0x1362, 0x17D4, 0x17D5, 0x3002, 0xFF01, 0xFF0E, 0xFF1F, 0xFF61])
 _WIDE_SPACES = np.array([0xA0, 0x3000])
@@ -161,22 +163,22 @@ def runs(n_words: np.ndarray, sentences: int, words: int, whole: bool) -> tuple[
 
 
 def run_hashes(data: bytes, start: np.ndarray, end: np.ndarray, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    one = np.fromiter((xxhash.xxh64_intdigest(data[s:e]) for s, e in zip(start.tolist(), end.tolist())), dtype=np.uint64, count=len(start))
-    # a hash of the sentences' hashes and their number, from sums of weighted hashes over a window
-    out, size = np.zeros(len(first), dtype=np.uint64), stop - first
+    """Two 64-bit hashes of every run, from the two halves of its sentences' 128-bit hashes and their number."""
+    one = np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[s:e]) for s, e in zip(start.tolist(), end.tolist())]), "<u8").reshape(-1, 2)
+    out, size = np.zeros((len(first), 2), dtype=np.uint64), stop - first
     for k in np.unique(size).tolist():
         which = np.flatnonzero(size == k)
         at = first[which]
-        h = np.full(len(at), k, dtype=np.uint64)
+        h = np.full((len(at), 2), k, dtype=np.uint64)
         for j in range(k):
-            h = (h ^ one[at + j]) * _MULT
+            h = (h ^ one[at + j]) * _MULTS
             h ^= h >> np.uint64(29)
         out[which] = h
     return out
 
 
 def occurrences(docs: DataFrame, sentences: int, words: int, whole: bool) -> DataFrame:
-    """ord, hash, pos (its number in the document), again (not the hash's first place in the document) of every span."""
+    """ord, hash, check, pos (its number in the document), again (not the first place of the two hashes in the document) of every span."""
 
     def run(batches):
         for b in batches:
@@ -189,27 +191,51 @@ def occurrences(docs: DataFrame, sentences: int, words: int, whole: bool) -> Dat
                     continue
                 h = run_hashes(data, start, end, at, stop)
                 first = np.zeros(len(at), dtype=bool)
-                first[np.unique(h, return_index=True)[1]] = True
+                first[np.unique(h.view("V16").ravel(), return_index=True)[1]] = True
                 take.append(np.full(len(at), i))
                 hashes.append(h.view(np.int64))
                 places.append(np.arange(len(at)))
                 again.append(~first)
             if take:
+                both = np.concatenate(hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("ord").take(pa.array(np.concatenate(take))), pa.array(np.concatenate(hashes)),
-                     pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(again))], ["ord", "hash", "pos", "again"])
+                    [b.column("ord").take(pa.array(np.concatenate(take))), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()),
+                     pa.array(np.concatenate(places).astype(np.int32)), pa.array(np.concatenate(again))],
+                    ["ord", "hash", "check", "pos", "again"])
 
     rows = docs.select(order_key(F.col("doc_id"), F.col("text")).alias("ord"), "text")
-    return rows.mapInArrow(run, "ord decimal(38,0), hash long, pos int, again boolean")
+    return rows.mapInArrow(run, "ord decimal(38,0), hash long, check long, pos int, again boolean")
 
 
-def dedup(docs: DataFrame, sentences: int = 2, words: int = 16, whole: bool = False) -> DataFrame:
-    """``docs`` with the text cut, and n_sentences, n_removed of every row."""
+def repeated_places(found: DataFrame, hot_share: int) -> DataFrame:
+    """ord and pos of every occurrence of a repeated span but the first.
+
+    Spans are equal if both hashes are. They are grouped and joined by the first
+    alone; where it stands for several of the second (``torn``) they are told apart
+    by both. Hashes with more than one of ``hot_share`` of all occurrences, so fewer
+    than ``hot_share`` hashes, are broadcast and their occurrences stay where they are."""
+    groups = saved(found.groupBy("hash").agg(F.count("*").alias("n"), F.min("ord").alias("first"), F.min("check").alias("least"),
+                                             F.max("check").alias("greatest")).where(F.col("n") > 1), "span_groups")
+    torn = groups.where(F.col("least") != F.col("greatest")).select("hash")
+    parts = found.join(torn, "hash", "left_semi")
+    parts = (parts.groupBy("hash", "check").agg(F.count("*").alias("n"), F.min("ord").alias("first")).where(F.col("n") > 1)
+             .join(found, ["hash", "check"]))
+    later = F.col("again") | (F.col("ord") != F.col("first"))
+    whole = groups.where(F.col("least") == F.col("greatest"))
+    hot = F.col("n") > F.lit(found.count() // hot_share + 1)
+    often = F.broadcast(whole.where(hot).select("hash", "first"))
+    frequent = found.join(often, "hash")
+    rest = found.join(F.broadcast(whole.where(hot).select("hash")), "hash", "left_anti").join(whole.where(~hot).select("hash", "first"), "hash")
+    out = frequent.where(later).select("ord", "pos").unionByName(rest.where(later).select("ord", "pos"))
+    return out.unionByName(parts.where(later).select("ord", "pos")) if torn.take(1) else out
+
+
+def dedup(docs: DataFrame, sentences: int = 2, words: int = 16, whole: bool = False, hot_share: int = 1000) -> DataFrame:
+    """``docs`` with the text cut, and n_sentences, n_removed of every row. With ``whole``
+    both count the pieces that long sentences are cut into."""
     ord_, cut_ord, places, n_all, n_cut = fresh(docs, "ord", "cut_ord", "places", "n_sentences", "n_removed")
     found = saved(occurrences(docs.select("doc_id", "text"), sentences, words, whole), "spans")
-    repeated = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("ord").alias("first")).where(F.col("n") > 1)
-    cuts = (found.join(repeated.select("hash", "first"), "hash").where(F.col("again") | (F.col("ord") != F.col("first")))
-            .groupBy(F.col("ord").alias(cut_ord)).agg(F.collect_set("pos").alias(places)))
+    cuts = repeated_places(found, hot_share).groupBy(F.col("ord").alias(cut_ord)).agg(F.collect_set("pos").alias(places))
     rows = docs.withColumn(ord_, order_key(F.col("doc_id"), F.col("text")))
     rows = rows.join(cuts, F.col(ord_) == F.col(cut_ord), "left")
     names = docs.columns

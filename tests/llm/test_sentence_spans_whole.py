@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from cases import AWKWARD, frame, small_documents
 
 import brute
@@ -87,3 +88,22 @@ def test_pieces_join_to_the_sentences():
         assert set(start.tolist()) <= set(s.tolist()) and set(end.tolist()) <= set(e.tolist()) and c.sum() == count.sum()
         s, e, c = sp.pieces(data, 1 << 30)
         assert s.tolist() == start.tolist() and e.tolist() == end.tolist() and c.tolist() == count.tolist()
+
+
+def test_one_colliding_hash_removes_nothing(spark, monkeypatch):
+    """Spans whose first hash is equal are told apart by the second, frequent ones too."""
+    rows = [(i, f"w{i} " * 20 + ". End.") for i in range(30)] + [(100 + i, "same " * 20 + ". End.") for i in range(5)]
+    want = sorted(map(tuple, sp.dedup(frame(spark, rows), whole=True).collect()))
+    assert sum(1 for r in want if r[1] == "") == 4
+    found = sp.occurrences(frame(spark, rows).select("doc_id", "text"), 2, 16, True)
+    clash = found.withColumn("hash", F.lit(7).cast("long"))
+    assert sorted(map(tuple, sp.repeated_places(clash, 1000).collect())) == sorted(map(tuple, sp.repeated_places(found, 1000).collect()))
+
+
+@pytest.mark.parametrize("share", [1, 3, 1000])
+def test_frequent_spans_are_cut_alike(spark, share):
+    rows = [(i, "The very same line of words stands in all of these texts again and again. Yes it does so.") for i in range(50)]
+    rows += [(100 + i, " ".join(f"u{i}x{k}" for k in range(14)) + f". Yes {i} or no.") for i in range(50)] * 2
+    got = sorted((r["doc_id"], r["text"], r["n_removed"]) for r in sp.dedup(frame(spark, rows), whole=True, hot_share=share).collect())
+    assert [t for i, t, _ in got if 0 < i < 50] == [""] * 49 and got[0][1] == rows[0][1]
+    assert all(n == 0 for i, _, n in got if i >= 100)
