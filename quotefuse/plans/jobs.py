@@ -176,12 +176,13 @@ def run_label() -> Column:
 
 def csv_bronze(spark: SparkSession, cfg: Config) -> DataFrame | None:
     """CSV snapshots (S1) as Bronze rows: the run comes from the file name
-    (``..._yyyyMMdd_HHmmss.csv``), the position from the scan."""
+    (``..._yyyyMMdd_HHmmss.csv``), the order from the place in the file, then its path."""
     if not cfg.bronze_csv:
         return None
-    df = bronze_scan.scan_bronze(spark, cfg.bronze_csv).drop("_qf_path")
+    df = bronze_scan.scan_split(spark, cfg.bronze_csv)
+    df = df.withColumnsRenamed({bronze_scan.POS_COL: SEQ, bronze_scan.PATH_COL: SNAPSHOT})
     run = F.nullif(F.regexp_extract("fichier_source", r"(\d{8}_\d{6})", 1), F.lit(""))
-    return df.withColumn(warehouse.RUN_COL, run).withColumn(SEQ, F.monotonically_increasing_id())
+    return df.withColumn(warehouse.RUN_COL, run)
 
 
 def bronze_quotes(spark: SparkSession, cfg: Config, runs: list[str] | None = None) -> DataFrame:

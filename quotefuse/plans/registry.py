@@ -363,8 +363,7 @@ def q_parse_fear_greed(spark, sf):
     return payloads.parse_fear_greed(fixtures.fear_greed_payloads(spark, sf))
 
 
-@register("bronze_scan")
-def q_bronze_scan(spark, sf):
+def _landed_csv(spark, sf, scan) -> DataFrame:
     """bronze_ev landed as CSV files of two column orders in ONE folder, with
     commas, quotes and line breaks in the names, then scanned back as Bronze
     (all text, NA tokens -> NULL, file-tagged)."""
@@ -373,7 +372,7 @@ def q_bronze_scan(spark, sf):
     cols = b.columns
     for run, order in ((0, cols), (1, list(reversed(cols)))):
         P.run_split(b, run).select(*order).write.mode("append").option("header", "true").option("escape", '"').csv(f"{root}/lots")
-    scanned = bronze.scan_bronze(spark, [f"{root}/lots", f"{root}/absent"])
+    scanned = scan(spark, [f"{root}/lots", f"{root}/absent"])
     num = set(NUMERIC_COLUMNS) | {"event_id"}
     return scanned.select(
         F.col("event_id").try_cast("long").alias("event_id"),
@@ -401,6 +400,17 @@ def _source_frames(spark, sf, prev=True):
     }
 
 
+@register("bronze_scan")
+def q_bronze_scan(spark, sf):
+    return _landed_csv(spark, sf, bronze.scan_bronze)
+
+
+@register("bronze_scan_split")
+def q_bronze_scan_split(spark, sf):
+    """The same files read split by split."""
+    return _landed_csv(spark, sf, bronze.scan_split)
+
+
 @register("collect_union")
 def q_collect_union(spark, sf):
     return collect.union_sources(_source_frames(spark, sf).values())
