@@ -6,22 +6,24 @@ task numpy prefix polynomials hash every word from its bytes and every run of 1
 to 4 words from its words: a fingerprint is a difference of two prefix sums.
 
 1. Runs of one and two words, then of three words whose word pairs may be
-   frequent: fingerprints with partial counts are shuffled and summed. Those that
-   reach ``least`` are marked in a bit table of fixed size. A sum is never under
-   the count of any phrase of that fingerprint and marks have no false negatives,
-   so nothing frequent is lost; a full bit table only prunes less.
+   frequent: the first 32 bits of fingerprints with partial counts are shuffled and
+   summed. Those that reach ``least`` are marked in a bit table of fixed size. A sum
+   is never under the count of any phrase that begins so and marks have no false
+   negatives, so nothing frequent is lost; a full bit table only prunes less.
 2. Marked runs, and runs of four words made of marked ones: each task sends the
    fingerprint, a second one by tables of random numbers instead of powers
-   (together 128 bits), a count, and a pointer to an occurrence: text key, byte
-   and length. Spark sums the counts and keeps the least pointer.
+   (together 128 bits), a count, and one number that points to an occurrence: 32
+   bits of a hash of the text, and the byte. Spark sums the counts and keeps the
+   least pointer. A task reads up to four splits here, since each task sends every
+   frequent phrase that it meets.
 3. Only what reaches ``least`` then meets the texts, and only the texts that are
-   pointed at (few: the least keys): the phrase is cut out, must have the
-   fingerprint's number of words, and counts are summed by the phrase itself.
-   Phrases that collide in one fingerprint have met apart by the other.
+   pointed at (the least hashes): the run of words at that byte must have the second
+   fingerprint, so that of texts with one hash the right one answers. Phrases that
+   collide in one fingerprint have met apart by the other.
 
-Repeated texts are read through one key (two 64-bit hashes of text and
-language), so a text copied a million times is shuffled once per task; a
-language or a word of any share is split by the fingerprint.
+Repeated texts are grouped before they are shuffled, so a text copied a million
+times is shuffled once per task; a language or a word of any share is split by
+the fingerprint.
 
 A candidate (2 to 4 words, ``least`` occurrences) is cut after each of its
 words; all parts are frequent too, so the counts of both parts come by
@@ -48,7 +50,9 @@ from quotefuse.llm.common import saved, text_slices
 MOST = 4                  # words of the longest phrase
 BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 HELD = 1 << 22            # fingerprints that a task holds before it writes counts out
-SPOTS = 1 << 19           # pointers that a task holds
+SPOTS = 3 << 19           # pointers that a task holds
+SPLITS = 4                # splits that a task reads for pointers, if there are tasks enough
+LOW = np.uint64(0xFFFFFFFF)
 BITS = 26                 # the bit table has 2**BITS bits (8 MB)
 TABLE = np.random.default_rng(12).integers(0, 1 << 63, (64, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 LOWER = np.arange(256, dtype=np.uint8)
@@ -126,12 +130,12 @@ class Words:
         return Prefix(mixed(sums[self.stop] - sums[self.start]), BASE ^ 0x5DEECE66C)
 
 
-def summed(fp: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct fingerprints and the sums of their counts."""
-    order = np.argsort(fp, kind="stable")
-    fp = fp[order]
-    heads = np.flatnonzero(np.concatenate(([True], fp[1:] != fp[:-1]))) if len(fp) else np.zeros(0, np.int64)
-    return fp[heads], np.add.reduceat(n[order], heads) if len(fp) else n
+def summed(packed: np.ndarray) -> np.ndarray:
+    """Numbers of 32 bits of a fingerprint and 32 of a count: one for each fingerprint, counts summed."""
+    packed = np.sort(packed)
+    fp = packed & ~LOW
+    heads = np.flatnonzero(np.concatenate(([True], fp[1:] != fp[:-1])))[: len(fp)]
+    return fp[heads] | np.add.reduceat(packed & LOW, heads) if len(fp) else packed
 
 
 def salts(langs: list[str]) -> np.ndarray:
@@ -141,37 +145,46 @@ def salts(langs: list[str]) -> np.ndarray:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
+    """(lang, text, k): nulls replaced, and 32 bits of a hash that point to the text."""
     text, lang = F.coalesce("text", F.lit("")), F.coalesce("lang", F.lit("und"))
-    return docs.select(lang.alias("lang"), text.alias("text"), F.xxhash64(text, lang).alias("k1"),
-                       F.xxhash64(F.lit(1), lang, text).alias("k2"))
+    return docs.select(lang.alias("lang"), text.alias("text"),
+                       F.shiftright(F.xxhash64(text, lang), 32).cast("int").alias("k"))
+
+
+def fewer_tasks(rows: DataFrame) -> DataFrame:
+    """``rows`` in tasks of up to SPLITS splits, as long as that leaves two tasks a core."""
+    splits = rows.rdd.getNumPartitions()
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(max(1, min(splits, max(-(-splits // SPLITS), 2 * cores))))
 
 
 def fingerprint_counts(rows: DataFrame, sizes: tuple[int, ...], marks: list[np.ndarray], bits: int) -> DataFrame:
-    """(fp, n): partial counts of the fingerprints of runs of some sizes; with ``marks``
-    (tables of shorter sizes) of the runs whose parts are all marked."""
+    """(part, n): partial counts of the first 32 bits of the fingerprints of runs of some sizes;
+    with ``marks`` (tables of shorter sizes) of the runs whose parts are all marked."""
     known = rows.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches):
         held, size = [], 0
 
         def out():
-            fp, n = summed(np.concatenate([x for x, _ in held]), np.concatenate([c for _, c in held]))
-            for at in range(0, len(fp), 1 << 17):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(fp[at: at + (1 << 17)].view(np.int64)), pa.array(n[at: at + (1 << 17)])], ["fp", "n"])
+            got = summed(np.concatenate(held))
+            for at in range(0, len(got), 1 << 17):
+                some = got[at: at + (1 << 17)]
+                yield pa.RecordBatch.from_arrays([pa.array((some >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                                                  pa.array((some & LOW).view(np.int64))], ["part", "n"])
 
         for b in text_slices(batches, "text"):
             words = Words(b.column("text"), salts(b.column("lang").to_pylist()))
             fp = np.concatenate([x for _, x in candidates(words, known.value, max(sizes), bits)[min(sizes) - 1:]])
-            held.append(summed(fp, np.ones(len(fp), np.int64)))
-            size += len(held[-1][0])
+            held.append(summed(fp & ~LOW | np.uint64(1)))
+            size += len(held[-1])
             if size > HELD:
                 yield from out()
                 held, size = [], 0
         if held:
             yield from out()
 
-    return rows.select("lang", "text").mapInArrow(run, "fp long, n long")
+    return rows.select("lang", "text").mapInArrow(run, "part int, n long")
 
 
 def candidates(words: Words, marks: list[np.ndarray], most: int, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -205,7 +218,7 @@ def marked(table: np.ndarray, fp: np.ndarray, bits: int) -> np.ndarray:
     return (table[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-NAMES = ["fp", "check", "n", "k1", "k2", "at", "size", "words"]
+NAMES = ["fp", "check", "words", "n", "spot"]
 
 
 def merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
@@ -217,13 +230,18 @@ def merged(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
         order = np.lexsort((cols[1], cols[0]))
         fp, check = cols[0][order], cols[1][order]
     heads = np.flatnonzero(np.concatenate(([True], (fp[1:] != fp[:-1]) | (check[1:] != check[:-1]))))[: len(fp)]
-    counts = np.add.reduceat(cols[2][order], heads) if len(fp) else cols[2]
-    return [counts if i == 2 else x[order[heads]] for i, x in enumerate(cols)]
+    counts = np.add.reduceat(cols[3][order], heads) if len(fp) else cols[3]
+    return [counts if i == 3 else x[order[heads]] for i, x in enumerate(cols)]
+
+
+def checks(words: Words, second: Prefix, at: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+    """Second fingerprints (language and length included) of the runs of ``n`` words from ``at``."""
+    return mixed(second.spans(at, at + n) + words.salt[at] + mixed(np.full(len(at), n, dtype=np.uint64)))
 
 
 def pointers(rows: DataFrame, marks: list[np.ndarray], bits: int) -> DataFrame:
-    """Partial counts of the runs that may be frequent, each with one occurrence: the
-    text's key (k1, k2), the first byte there and the number of bytes."""
+    """Partial counts of the runs that may be frequent, each with one occurrence: ``spot``
+    has the text's hash in its upper and the first byte there in its lower half."""
     known = rows.sparkSession.sparkContext.broadcast(marks)
 
     def run(batches):
@@ -236,48 +254,67 @@ def pointers(rows: DataFrame, marks: list[np.ndarray], bits: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in part], NAMES)
 
         for b in text_slices(batches, "text"):
-            b = b.take(pc.sort_indices(b.column("k1")))  # so that the least key is met first
+            b = b.take(pc.sort_indices(b.column("k")))  # so that the least hash is met first
             words = Words(b.column("text"), salts(b.column("lang").to_pylist()))
             second = words.second()
-            k1, k2 = (b.column(k).to_numpy(zero_copy_only=False) for k in ("k1", "k2"))
+            key = b.column("k").to_numpy(zero_copy_only=False).astype(np.int64) << 32
             found = []
             for n, (at, fp) in enumerate(candidates(words, known.value, MOST, bits), 1):
-                check = mixed(second.spans(at, at + n) + words.salt[at])
-                row, begin = words.row[at], words.start[at]
-                found.append([fp, check, np.ones(len(at), np.int64), k1[row], k2[row], begin - words.base[row],
-                              words.stop[at + n - 1] - begin, np.full(len(at), n, np.int64)])
+                row = words.row[at]
+                found.append([fp, checks(words, second, at, n), np.full(len(at), n, np.int64), np.ones(len(at), np.int64),
+                              key[row] + words.start[at] - words.base[row]])
             held.append(merged(found))
             size += len(held[-1][0])
             if size > SPOTS:
                 held = [merged(held)]
                 size = len(held[0][0])
-                if size > SPOTS // 2:
+                if size > SPOTS * 2 // 3:
                     yield from out()
                     held, size = [], 0
         if held:
             yield from out()
 
-    return rows.mapInArrow(run, ", ".join(f"{x} long" for x in NAMES))
+    return fewer_tasks(rows).mapInArrow(run, ", ".join(f"{x} long" for x in NAMES))
 
 
-def pointed(rows: DataFrame, keys: DataFrame, bits: int = 20) -> DataFrame:
-    """The texts that a key of ``keys`` points at, and a few others: a bit table of
-    fixed size spares the others the shuffle."""
-    known = rows.sparkSession.sparkContext.broadcast(bit_table(keys.select(F.col("k1").alias("fp")), bits))
+def pointed(rows: DataFrame, spots: DataFrame, bits: int = 20) -> DataFrame:
+    """(k, texts): the different texts with a hash that ``spots`` point at, and a few others:
+    a bit table of fixed size spares the others the shuffle."""
+    known = rows.sparkSession.sparkContext.broadcast(bit_table(spots.select(F.col("spot").alias("fp")), bits))
 
     def run(batches):
         for b in batches:
-            k1 = b.column("k1").to_numpy(zero_copy_only=False).view(np.uint64)
-            yield b.filter(pa.array(marked(known.value, k1, bits)))
+            k = b.column("k").to_numpy(zero_copy_only=False).astype(np.int64) << 32
+            yield b.filter(pa.array(marked(known.value, k.view(np.uint64), bits)))
 
-    return rows.mapInArrow(run, rows.schema).dropDuplicates(["k1", "k2"])
+    texts = rows.mapInArrow(run, rows.schema)
+    return texts.groupBy("k").agg(F.collect_set(F.struct("lang", "text")).alias("texts"))
 
 
-def cut_out(text: Column, at: Column, size: Column) -> Column:
-    """The phrase at some bytes of a text: lower case, one space between words."""
-    piece = F.decode(F.substring(F.encode(text, "UTF-8"), at.cast("int") + 1, size.cast("int")), "UTF-8")
-    low = F.translate(piece, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.regexp_replace(low, "[ \t]+", " ")
+def cut_out(data: DataFrame) -> DataFrame:
+    """(lang, words, phrase, n) from texts with ``spots``: the words at a byte of the text
+    (lower case, one space between them), where they have the second fingerprint."""
+
+    def run(batches):
+        for b in text_slices(batches, "text"):
+            words = Words(b.column("text"), salts(b.column("lang").to_pylist()))
+            second, raw = words.second(), words.data.tobytes()
+            spots = b.column("spots")
+            row = np.repeat(np.arange(b.num_rows), pc.list_value_length(spots).to_numpy(zero_copy_only=False))
+            check, n, count, at = (spots.flatten().field(x).to_numpy(zero_copy_only=False) for x in ("check", "words", "n", "at"))
+            place = words.base[row] + at
+            first = np.searchsorted(words.start, place)
+            fits = np.flatnonzero(first + n <= len(words.start))
+            fits = fits[(words.start[first[fits]] == place[fits]) & (words.row[first[fits]] == row[fits])]
+            fits = fits[words.piece[first[fits]] == words.piece[first[fits] + n[fits] - 1]]
+            fits = fits[checks(words, second, first[fits], n[fits]) == check[fits].view(np.uint64)]
+            lang = b.column("lang").take(pa.array(row[fits]))
+            phrases = [b" ".join(raw[words.start[i]: words.stop[i]] for i in range(first[x], first[x] + n[x])).decode("utf-8", "replace")
+                       for x in fits]
+            yield pa.RecordBatch.from_arrays([lang, pa.array(n[fits]), pa.array(phrases, pa.string()), pa.array(count[fits])],
+                                             ["lang", "words", "phrase", "n"])
+
+    return data.select("lang", "text", "spots").mapInArrow(run, "lang string, words long, phrase string, n long")
 
 
 WORD = r"[^.,;:!?\n-\r \t]+"
@@ -287,17 +324,17 @@ def phrase_counts(docs: DataFrame, least: int = 30, bits: int = BITS) -> DataFra
     """(lang, words, phrase, f) of all runs of 1 to 4 words with f >= ``least``."""
     rows, marks = _rows(docs), []
     for sizes in ((1, 2), (3,)):
-        often = fingerprint_counts(rows, sizes, marks, bits).groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        marks.append(bit_table(often, bits))
-    spots = saved(pointers(rows, marks, bits).groupBy("fp", "check", "words").agg(
-        F.sum("n").alias("n"), F.min(F.struct("k1", "k2", "at", "size")).alias("spot"))
-        .where(F.col("n") >= least).select("words", "n", "spot.*"), "phrase-pointers")
-    # all that points at one text: at most its runs
-    by_text = spots.groupBy("k1", "k2").agg(F.collect_list(F.struct("words", "at", "size", "n")).alias("spots"))
-    data = pointed(rows, spots).join(by_text, ["k1", "k2"]).select("lang", F.explode(F.transform("spots", lambda s: F.struct(
-        s["words"].alias("words"), s["n"].alias("n"), cut_out(F.col("text"), s["at"], s["size"]).alias("phrase")))).alias("s"))
-    right = F.size(F.split("s.phrase", " ")) == F.col("s.words")
-    counted = data.where(right).groupBy("lang", "s.words", "s.phrase").agg(F.sum("s.n").alias("f"))
+        often = fingerprint_counts(rows, sizes, marks, bits).groupBy("part").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        marks.append(bit_table(often.select(F.shiftleft(F.col("part").cast("long"), 32).alias("fp")), bits))
+    spots = saved(pointers(rows, marks, bits).groupBy("fp", "check", "words").agg(F.sum("n").alias("n"), F.min("spot").alias("spot"))
+                  .where(F.col("n") >= least).select("check", "words", "n", "spot"), "phrase-pointers")
+    # all that points at one hash: at most the runs of a text or two
+    by_text = (spots.withColumn("k", F.shiftright("spot", 32).cast("int"))
+               .withColumn("at", F.col("spot").bitwiseAND(F.lit((1 << 31) - 1)))
+               .groupBy("k").agg(F.collect_list(F.struct("check", "words", "n", "at")).alias("spots")))
+    data = pointed(rows, spots).join(by_text, "k").select("spots", F.explode("texts").alias("t")).select("t.*", "spots")
+    # texts of one hash may both begin with the phrase: it is one row all the same
+    counted = cut_out(data).groupBy("lang", "words", "phrase").agg(F.max("n").alias("f"))
     return saved(counted, "phrase-counts")
 
 

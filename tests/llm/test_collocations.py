@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from cases import AWKWARD, SCHEMA, small_documents
+from pyspark.sql import functions as F
 
 from quotefuse.llm import collocations as co
 
@@ -105,3 +106,31 @@ def test_words_of_a_sliced_batch():
     alone = co.Words(pa.array(["f", "x  F", "ab"]), np.zeros(3, np.uint64)).second()
     again = w.second()
     assert alone.spans(np.array([0, 2, 3]), np.array([1, 3, 4])).tolist() == again.spans(np.array([3, 3, 0]), np.array([4, 4, 1])).tolist()
+
+
+def test_a_phrase_makes_few_rows_however_many_splits(spark):
+    """Each task sends every phrase that it meets: 64 splits of the same words are read by 16 tasks, not 64."""
+    texts = [(lang, text) for lang, text in CASES[-130:-30] if text]
+    df = table(spark, texts * 8).repartition(64).localCheckpoint()
+    found = co.pointers(co._rows(df), [], 26)
+    few = max(16, 2 * spark.sparkContext.defaultParallelism)
+    assert found.count() <= few * len(counts(texts)[0]) < 64 * len(counts(texts)[0])
+    assert found.groupBy().sum("n").first()[0] == 8 * sum(counts(texts)[0].values())
+    assert len(found.columns) <= 5 and co.fingerprint_counts(co._rows(df), (1, 2), [], 26).dtypes == [("part", "int"), ("n", "bigint")]
+
+
+def test_texts_that_share_a_hash(spark, monkeypatch):
+    """A pointer names 32 bits of a text's hash: if all texts have the same ones, each phrase is still found once."""
+    real = co._rows
+    monkeypatch.setattr(co, "_rows", lambda docs: real(docs).withColumn("k", F.lit(-7)))
+    rows = CASES + [("en", "same same start, same same"), ("en", "same same start, another end"), ("fr", "same same start")] * 20
+    assert sorted(map(tuple, co.mine(table(spark, rows)).collect())) == brute(rows)
+
+
+def test_small_buffers_lose_nothing(spark, monkeypatch):
+    """Tasks that write their counts out many times give the same rows."""
+    monkeypatch.setattr(co, "HELD", 20)
+    monkeypatch.setattr(co, "SPOTS", 20)
+    assert sorted(map(tuple, co.mine(table(spark, CASES), least=10).collect())) == brute(CASES, least=10)
+    packed = np.array([(9 << 32) | 2, (1 << 32) | 1, (9 << 32) | 5, (0xFFFFFFFF << 32) | 1], np.uint64)
+    assert co.summed(packed).tolist() == [(1 << 32) | 1, (9 << 32) | 7, (0xFFFFFFFF << 32) | 1] and len(co.summed(packed[:0])) == 0
